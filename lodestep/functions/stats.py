@@ -12,18 +12,19 @@ from statistics import NormalDist
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def normal_quantile(p: float) -> float:
     return NormalDist().inv_cdf(p)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_cdf(z: pd.Series) -> pd.Series:
     return z.map(lambda v: None if v is None or v != v else 0.5 * math.erfc(-v / math.sqrt(2.0)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def two_sided_p(z: pd.Series) -> pd.Series:
     return z.map(lambda v: None if v is None or v != v else math.erfc(abs(v) / math.sqrt(2.0)))
 
@@ -60,7 +61,7 @@ def _upper_gamma_ratio(a: float, x: float) -> float:
     return front * h
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi_square_tail(statistic: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series(
         [

@@ -18,7 +18,7 @@ def hot_keys(facts: DataFrame, key: str, slices: int = SLICES) -> DataFrame:
 
 def spread_join(facts: DataFrame, lookup: DataFrame, key: str, row_id: str, how: str = "inner",
                 slices: int = SLICES) -> DataFrame:
-    """Join ``facts`` (any rows per key) to ``lookup`` (one row per key).
+    """Join ``facts`` (any rows per key) to ``lookup`` (few rows per key, as a rule one).
 
     Rows of a hot key are spread over ``slices`` by a hash of ``row_id``, and only the
     lookup rows of hot keys are copied to match. The hot-key list is broadcast; its
@@ -34,3 +34,17 @@ def spread_join(facts: DataFrame, lookup: DataFrame, key: str, row_id: str, how:
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(F.array(F.lit(0)))
     copied = lookup.join(hot, key, "left").withColumn(_SALT, F.explode(copies)).drop(_HOT)
     return salted.join(copied, [key, _SALT], how).drop(_SALT)
+
+
+def left_fan_out(base: DataFrame, facts: DataFrame, key: str, row_id: str, slices: int = SLICES) -> DataFrame:
+    """``base`` left join ``facts``, one row per match, spread over hot keys of ``facts``.
+
+    A plain left join cannot split a hot key on its right side. Matches come from
+    :func:`spread_join`; base rows without a match are added with NULLs.
+    """
+    extra = [f for f in facts.schema.fields if f.name != key]
+    matched = spread_join(facts, base, key, row_id, "inner", slices)
+    unmatched = base.join(facts.select(key).distinct(), key, "left_anti")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
+    order = [*base.columns, *[f.name for f in extra]]
+    return matched.select(*order).unionByName(unmatched.select("*", *nulls).select(*order))

@@ -17,6 +17,7 @@ from ..sources.tables import Tables
 from .metrics import turnaround_hours
 from .quantiles import LINEAR, quantiles
 from .running import order_cuts, running_sums
+from .spread import left_fan_out
 from .stages import stage_times
 
 UNIT_HOURS = {"hours": 1.0, "days": 24.0}
@@ -48,7 +49,8 @@ def with_kyc(dataset: DataFrame, kyc: DataFrame) -> DataFrame:
     """Add kyc_had_failure and kyc_turnaround_h; distinct case outcomes of a user each give a row."""
     cases = kyc.select("user_id", turnaround_hours().alias("kyc_turnaround_h"),
                        F.col("failure_reason").isNotNull().cast("int").alias("kyc_had_failure")).distinct()
-    return dataset.join(cases, "user_id", "left").fillna({"kyc_turnaround_h": 0.0, "kyc_had_failure": 0})
+    joined = left_fan_out(dataset, cases, "user_id", "kyc_turnaround_h")
+    return joined.fillna({"kyc_turnaround_h": 0.0, "kyc_had_failure": 0})
 
 
 def survival_dataset(tables: Tables, **options) -> DataFrame:

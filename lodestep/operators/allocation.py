@@ -13,9 +13,9 @@ from ..functions.times import period
 TRACKED_DAYS = 90
 VALUE_ADD = ("deep_work", "documentation")
 MEETINGS, TRAINING = "stakeholder_meetings", "training"
-TARGETS = {  # category: (low, high) percent
-    "deep_work": (35.0, 45.0), "stakeholder_meetings": (25.0, 35.0), "training": (10.0, 15.0),
-    "admin": (10.0, 15.0), "documentation": (10.0, 15.0),
+TARGETS = {  # category: (target, low, high) percent
+    "deep_work": (40.0, 35.0, 45.0), "stakeholder_meetings": (30.0, 25.0, 35.0), "training": (12.0, 10.0, 15.0),
+    "admin": (12.0, 10.0, 15.0), "documentation": (6.0, 5.0, 10.0),
 }
 
 
@@ -51,14 +51,15 @@ def dominant_category(calendar: DataFrame) -> DataFrame:
     return top.select(title_text(F.col("category")).alias("category"), F.round("total_hours", 2).alias("total_hours"), "percentage")
 
 
-def targets_gap(alloc: DataFrame, targets: dict[str, tuple[float, float]] = TARGETS) -> DataFrame:
-    """Percent against the middle of the target band and whether it lies inside."""
-    low = F.create_map(*[F.lit(x) for c, (a, _) in targets.items() for x in (c, a)])
-    high = F.create_map(*[F.lit(x) for c, (_, b) in targets.items() for x in (c, b)])
-    lo, hi = F.try_element_at(low, F.col("category")), F.try_element_at(high, F.col("category"))
-    return alloc.select("category", "percentage", lo.alias("target_low"), hi.alias("target_high"),
-                        F.round(F.col("percentage") - (lo + hi) / 2, 2).alias("gap_pp"),
-                        F.col("percentage").between(lo, hi).cast("int").alias("in_range"))
+def targets_gap(alloc: DataFrame, targets: dict[str, tuple[float, float, float]] = TARGETS) -> DataFrame:
+    """Percent against its target and whether it lies in the target range; unknown categories give NULL."""
+    def of(i: int):
+        pairs = F.create_map(*[F.lit(x) for c, t in targets.items() for x in (c, t[i])])
+        return F.try_element_at(pairs, F.col("category"))
+
+    return alloc.select("category", "percentage", of(0).alias("target"), of(1).alias("target_low"), of(2).alias("target_high"),
+                        F.round(F.col("percentage") - of(0), 2).alias("gap_pp"),
+                        F.col("percentage").between(of(1), of(2)).cast("int").alias("in_range"))
 
 
 def weekly_allocation(calendar: DataFrame) -> DataFrame:

@@ -137,10 +137,11 @@ SQL = {
     "time_dominant_category": CALENDAR + _ALLOC + """ SELECT CASE category WHEN 'deep_work' THEN 'Deep Work' WHEN 'stakeholder_meetings' THEN 'Stakeholder Meetings'
       WHEN 'training' THEN 'Training' WHEN 'admin' THEN 'Admin' ELSE 'Documentation' END AS category, ROUND(h, 2) AS total_hours, p AS percentage
       FROM (SELECT * FROM al ORDER BY h DESC, category LIMIT 1)""",
-    "time_targets_gap": CALENDAR + _ALLOC + """, tg AS (SELECT * FROM (VALUES ('deep_work', 35.0, 45.0), ('stakeholder_meetings', 25.0, 35.0), ('training', 10.0, 15.0),
-      ('admin', 10.0, 15.0), ('documentation', 10.0, 15.0)) v(category, lo, hi))
-      SELECT category, p AS percentage, lo::DOUBLE AS target_low, hi::DOUBLE AS target_high, ROUND(p - (lo + hi)::DOUBLE / 2, 2) AS gap_pp,
-             CAST(p BETWEEN lo::DOUBLE AND hi::DOUBLE AS INTEGER) AS in_range FROM al JOIN tg USING (category)""",
+    "time_targets_gap": CALENDAR + _ALLOC + """, tg AS (SELECT category, tgt::DOUBLE AS tgt, lo::DOUBLE AS lo, hi::DOUBLE AS hi FROM (VALUES
+        ('deep_work', 40, 35, 45), ('stakeholder_meetings', 30, 25, 35), ('training', 12, 10, 15), ('admin', 12, 10, 15),
+        ('documentation', 6, 5, 10)) v(category, tgt, lo, hi))
+      SELECT category, p AS percentage, tgt AS target, lo AS target_low, hi AS target_high, ROUND(p - tgt, 2) AS gap_pp,
+             CAST(p BETWEEN lo AND hi AS INTEGER) AS in_range FROM al JOIN tg USING (category)""",
     "time_weekly": f"""{CALENDAR}, c AS (SELECT strftime(date_trunc('week', date), '%Y-%m-%d') AS week, category, SUM(duration_hours) AS h FROM calendar_events GROUP BY 1, 2)
       SELECT week, category, ROUND(h, 2) AS hours, ROUND(h / SUM(h) OVER (PARTITION BY week) * 100, 1) AS percentage FROM c""",
 }

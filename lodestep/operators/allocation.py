@@ -21,8 +21,8 @@ TARGETS = {  # category: (target, low, high) percent
 
 def allocation(calendar: DataFrame, by: str = "category", hours: str = "duration_hours") -> DataFrame:
     """Hours and percent of all hours by category."""
-    whole = calendar.agg(F.sum(hours)).scalar()
     sums = calendar.groupBy(by).agg(F.sum(hours).alias("total_hours"))
+    whole = sums.agg(F.sum("total_hours")).scalar()
     return sums.select(by, "total_hours", F.bround(F.col("total_hours") / whole * 100, 1).alias("percentage"))
 
 

@@ -90,10 +90,10 @@ def mean_of_rates(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def best_and_worst(df: DataFrame, group: str, value: str) -> DataFrame:
     """Group with the highest and the lowest value; the first name wins a tie."""
-    top, low = df.agg(F.max(value)).scalar(), df.agg(F.min(value)).scalar()
-    return df.agg(
-        F.min(F.when(F.col(value) == top, F.col(group))).alias("best"), F.round(F.max(value), 4).alias("best_rate"),
-        F.min(F.when(F.col(value) == low, F.col(group))).alias("worst"), F.round(F.min(value), 4).alias("worst_rate"))
+    rated = df.where(F.col(value).isNotNull())
+    ends = rated.agg(F.min(F.struct((-F.col(value)).alias("v"), group)).alias("b"), F.min(F.struct(F.col(value).alias("v"), group)).alias("w"))
+    return ends.select(F.col(f"b.{group}").alias("best"), (-F.col("b.v")).alias("best_rate"),
+                       F.col(f"w.{group}").alias("worst"), F.col("w.v").alias("worst_rate"))
 
 
 def cohort_headline(rates: DataFrame) -> DataFrame:

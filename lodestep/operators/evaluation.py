@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.labels import right_closed_bins
 from ..functions.numeric import flag
-from ..session import materialize
 from .running import running_sums
 
 THRESHOLDS = (0.1, 0.9, 100)
@@ -28,8 +27,7 @@ def score_counts(scores: DataFrame, label: str = "label", score: str = "score")
 
 def curve_points(scores: DataFrame, label: str = "label", score: str = "score", cuts=None) -> DataFrame:
     """Per distinct score as cut-off: true and false positive rate, precision, recall."""
-    counts = materialize(score_counts(scores, label, score))
-    run = running_sums(counts, "score", {"tp": "pos", "fp": "neg"}, descending=True,
+    run = running_sums(score_counts(scores, label, score), "score", {"tp": "pos", "fp": "neg"}, descending=True,
                        totals={"p": "pos", "n": "neg"}, cuts=cuts)
     return run.select(
         "score", "pos", "neg", "tp", "fp", F.try_divide("fp", "n").alias("fpr"), F.try_divide("tp", "p").alias("tpr"),
@@ -98,8 +96,8 @@ def threshold_sweep(scores: DataFrame, label: str = "label", score: str = "score
 
 def best_threshold(sweep: DataFrame) -> DataFrame:
     """Lowest threshold with the highest F1."""
-    best = sweep.agg(F.max("f1")).scalar()
-    return sweep.where(F.col("f1") == best).agg(F.min("threshold").alias("threshold"), F.max("f1").alias("f1"))
+    top = sweep.agg(F.min(F.struct((-F.col("f1")).alias("minus_f1"), "threshold")).alias("b"))
+    return top.select("b.threshold", (-F.col("b.minus_f1")).alias("f1"))
 
 
 def calibration(scores: DataFrame, label: str = "label", score: str = "score", bins: int = 10) -> DataFrame:

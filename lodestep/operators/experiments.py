@@ -80,11 +80,11 @@ def pairwise_prop_test(groups: DataFrame, group: str = "channel", n: str = "n_us
 
 def test_counts(tests: DataFrame) -> DataFrame:
     """Tests in all, significant before and after correction, and the largest effect with its pair."""
-    top = tests.agg(F.max("cohen_h")).scalar()
     pair = F.concat_ws(" vs ", "group_a", "group_b")
+    top = F.min(F.struct((-F.col("cohen_h")).alias("minus_h"), pair.alias("pair")))
     return tests.agg(F.count(F.lit(1)).alias("n_tests"), F.count_if("sig_raw").alias("n_sig_raw"),
-                     F.count_if("sig_bonferroni").alias("n_sig_bonferroni"), F.max("cohen_h").alias("max_h"),
-                     F.min(F.when(F.col("cohen_h") == top, pair)).alias("max_h_pair"))
+                     F.count_if("sig_bonferroni").alias("n_sig_bonferroni"), top.alias("top")).select(
+        "n_tests", "n_sig_raw", "n_sig_bonferroni", (-F.col("top.minus_h")).alias("max_h"), F.col("top.pair").alias("max_h_pair"))
 
 
 def test_display(tests: DataFrame) -> DataFrame:
@@ -164,8 +164,7 @@ def p_value_matrix(tests: DataFrame, alpha: float = 0.05) -> DataFrame:
 def best_worst_gap(groups: DataFrame, group: str = "channel", rate: str = "activation_of_registered") -> DataFrame:
     """Best and worst group by rate and the distance in percentage points."""
     ends = best_and_worst(groups, group, rate)
-    exact = groups.agg((F.max(rate) - F.min(rate)) * 100).scalar()
-    return ends.select("best", "worst", F.round(exact, 4).alias("gap_pp"))
+    return ends.select("best", "worst", F.round((F.col("best_rate") - F.col("worst_rate")) * 100, 4).alias("gap_pp"))
 
 
 def difference_intervals(groups: DataFrame, group: str = "channel", n: str = "n_users",

@@ -89,13 +89,13 @@ def tickets_per_thousand(users: DataFrame, tickets: DataFrame, by: str = "channe
 
 def tickets_by_topic(tickets: DataFrame) -> DataFrame:
     """Tickets per topic with their share of all tickets."""
-    everything = tickets.agg(F.count(F.lit(1))).scalar()
     m = F.col("resolution_time_min")
-    return tickets.groupBy("topic").agg(
+    topics = tickets.groupBy("topic").agg(
         F.count(F.lit(1)).alias("ticket_count"), F.round(F.avg(m), 1).alias("avg_resolution_min"),
-        F.round(F.min(m), 1).alias("min_resolution_min"), F.round(F.max(m), 1).alias("max_resolution_min"),
-    ).select("topic", "ticket_count", pct(F.col("ticket_count"), everything).alias("pct_of_total"),
-             "avg_resolution_min", "min_resolution_min", "max_resolution_min")
+        F.round(F.min(m), 1).alias("min_resolution_min"), F.round(F.max(m), 1).alias("max_resolution_min"))
+    everything = topics.agg(F.sum("ticket_count")).scalar()
+    return topics.select("topic", "ticket_count", pct(F.col("ticket_count"), everything).alias("pct_of_total"),
+                         "avg_resolution_min", "min_resolution_min", "max_resolution_min")
 
 
 def activation_14d(events: DataFrame, days: int = 14) -> DataFrame:

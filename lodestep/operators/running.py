@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import materialize
+
 # Frames up to this many rows are summed by one window per group.
 ONE_WINDOW_ROWS = 200_000
 # Slices of a larger frame hold about this many rows.
@@ -65,12 +67,14 @@ def running_sums(df: DataFrame, order: str, sums: Mapping[str, str], by: Sequenc
     """Add ``out = sum of source`` over rows up to and including each row, per ``by`` group.
 
     ``df`` holds one row per (``by``, ``order``); ``sums`` maps output names to source
-    columns, ``totals`` adds whole-group sums the same way. Pass ``cuts`` to share the
-    slices between several calls on the same values. ``df`` is read more than once, so
-    pass a materialised frame where computing it is dear.
+    columns, ``totals`` adds whole-group sums the same way. Without ``cuts`` the frame is
+    written once and its slices are chosen from the files; pass ``cuts`` to share slices
+    between calls on the same values, with a frame that is cheap to read twice.
     """
     totals = dict(totals or {})
-    cuts = order_cuts(df, order) if cuts is None else cuts
+    if cuts is None:
+        df = materialize(df)
+        cuts = order_cuts(df, order)
     key = [F.col(order).desc() if descending else F.col(order).asc()]
     if not cuts:
         group = list(by) or [_ONE]

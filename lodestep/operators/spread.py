@@ -12,7 +12,7 @@ _HOT = "_hot"
 def hot_keys(facts: DataFrame, key: str, slices: int = SLICES) -> DataFrame:
     """Keys that hold more than ``1 / slices`` of all rows: by that rule fewer than ``slices``."""
     counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    everything = facts.agg(F.count(F.lit(1))).scalar()
+    everything = counts.agg(F.sum("_n")).scalar()
     return counts.where(F.col("_n") * slices > everything).select(key, F.lit(True).alias(_HOT))
 
 

@@ -152,7 +152,7 @@ def log_rank(dataset: DataFrame, group: str, time: str = "duration", event: str
     if k < 2:
         raise ValueError("a log-rank test needs at least two groups")
     own = lambda g: F.col(group) == g
-    per_time = materialize(
+    per_time = (
         dataset.where(F.col(group).isin(list(groups))).groupBy(F.col(time).alias("t")).agg(
             F.sum(event).cast("double").alias("d"),
             *[F.sum(F.when(own(g), F.col(event)).otherwise(0)).cast("double").alias(f"d{i}") for i, g in enumerate(groups)],

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import cohorts as co
 from ..operators import experiments as ex
 from ..operators import kpis as kp
+from ..session import materialize
 from ..sources import mapping
 from ..sources.tables import Tables
 
@@ -19,7 +20,7 @@ def _lifecycle_tables(spark, sf):
     """Order lifecycles next to the commerce facts, so seven-stage windows meet long spans."""
     users, events = mapping.lifecycles(spark, sf)
     rest = mapping.commerce(spark, sf)
-    return Tables(users, events, rest.kyc, rest.transactions, rest.tickets)
+    return Tables(users, events, lambda: rest.kyc, lambda: rest.transactions, lambda: rest.tickets)
 
 
 def _kpi(name, dims=(), source=mapping.journeys, **options):
@@ -40,7 +41,8 @@ def _rounded(df, places=6):
 
 
 def _groups(spark, sf):
-    return ex.group_metrics(*mapping.lifecycles(spark, sf))
+    """Counts per channel, written once: the tests read the few rows several times."""
+    return materialize(ex.group_metrics(*mapping.lifecycles(spark, sf)))
 
 
 def _on_groups(operator):
@@ -74,8 +76,8 @@ QUERIES = {
     "cohort_by_channel": partial(_channel_cohorts, grain="month"),
     "cohort_channel_grid": lambda s, sf: co.grid(_channel_cohorts(s, sf, "year"), "channel", "cohort", "activation_of_registered", YEARS),
     "cohort_activation_trend": lambda s, sf: co.trend(_cohorts(s, sf, "month"), "activation_of_registered", "cohort"),
-    "cohort_best_worst_channel": lambda s, sf: co.best_and_worst(
-        co.mean_of_rates(_channel_cohorts(s, sf, "month"), "channel", "activation_of_registered"), "channel", "mean_rate"),
+    "cohort_best_worst_channel": lambda s, sf: _rounded(co.best_and_worst(
+        co.mean_of_rates(_channel_cohorts(s, sf, "month"), "channel", "activation_of_registered"), "channel", "mean_rate"), 4),
     "cohort_stage_matrix": lambda s, sf: co.stage_matrix(_cohorts(s, sf, "month")),
     "cohort_headline": lambda s, sf: co.cohort_headline(_cohorts(s, sf, "month")),
     # experiments

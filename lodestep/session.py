@@ -48,16 +48,16 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and cut its lineage.
+    """Write ``df`` as a table in the shared folder and read it from there.
 
-    Used where several jobs read one intermediate result: each later job reads
-    the files, also after executors were lost.
+    Used where several jobs read one intermediate result. It is computed once, its
+    lineage ends at the files, so a lost executor costs no recomputation, and later
+    plans know its size and read only the columns they need.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = new_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -9,7 +9,10 @@ Three mappings, each over whole tables:
 
 from __future__ import annotations
 
+from functools import cache, lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from .schemas import (AGE_BANDS, CATEGORIES, CHANNELS, DEVICES, FAILURE_REASONS, STAGES, TIME_CATEGORIES, TOPICS)
 from .tables import Tables
@@ -31,8 +34,15 @@ TYPE_STAGES = {
 TYPE_CATEGORY = dict(zip(["click", "error", "purchase", "signup", "view"], TIME_CATEGORIES))
 
 
+@lru_cache(maxsize=256)
+def _schema(path: str) -> StructType:
+    """Schema of a table, read from its files once."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def _lookup(col: Column, pairs: dict) -> Column:
@@ -83,82 +93,82 @@ def _later(ts: Column, hours: Column) -> Column:
 
 
 def journeys(spark: SparkSession, sf_dir: str) -> Tables:
-    rows, customers = _journey_rows(spark, sf_dir), _customers(spark, sf_dir)
+    rows = cache(lambda: _journey_rows(spark, sf_dir))
+    customers = cache(lambda: _customers(spark, sf_dir))
     dims = ["channel", "device_os", "region", "age_band"]
-    seen = rows.select("custkey", "user_id", F.date_trunc("day", "ts").alias("created_at")).distinct()
-    idle = (
-        customers.join(rows.select("custkey"), "custkey", "left_anti")
-        .select(F.concat(F.col("custkey").cast("string"), F.lit("@none")).alias("user_id"),
-                F.lit("2024-01-01").cast("timestamp").alias("created_at"), *dims)
-    )
-    users = seen.join(customers, "custkey").select("user_id", "created_at", *dims).unionByName(idle)
-
-    stage = None
-    for kind, (low, high) in TYPE_STAGES.items():
-        value = F.when(F.col("k") < 50, low).otherwise(high)
-        hit = F.col("event_type") == kind
-        stage = F.when(hit, value) if stage is None else stage.when(hit, value)
-    funded = F.when(F.col("k") % 10 < 7, "success").when(F.col("k") % 10 < 9, "failed")
-    events = (
-        rows.withColumn("event_name", stage).where(F.col("event_name").isNotNull())
-        .select("event_id", "user_id", F.col("ts").alias("event_time"), "event_name",
-                F.when(F.col("event_name") == "first_funding", funded).alias("event_value"),
-                F.lit(None).cast("string").alias("attempt_id"))
-    )
-    rejected = F.col("k") % 4 == 0
-    kyc = (
-        rows.where(F.col("event_type") == "view")
-        .join(customers.select("custkey", "device_os", "region"), "custkey")
-        .select(F.col("event_id").cast("string").alias("case_id"), "user_id",
-                F.col("ts").alias("submitted_time"), _later(F.col("ts"), F.col("value")).alias("decision_time"),
-                F.when(rejected, "rejected").otherwise("approved").alias("decision"),
-                F.when(rejected, _pick(F.col("k") % 5, FAILURE_REASONS)).alias("failure_reason"),
-                "device_os", "region")
-    )
-    transactions = rows.where(F.col("event_type") == "purchase").select(
-        F.col("event_id").cast("string").alias("txn_id"), "user_id", F.col("ts").alias("txn_time"),
-        F.col("value").alias("amount"), _pick(F.col("k") % 5, CATEGORIES).alias("category"),
-        F.when(F.col("k") % 10 < 8, "success").when(F.col("k") % 10 == 8, "failed").otherwise("pending").alias("status"),
-    )
-    tickets = rows.where(F.col("event_type") == "error").select(
-        F.col("event_id").cast("string").alias("ticket_id"), "user_id", F.col("ts").alias("created_time"),
-        _pick(F.col("k") % 7, TOPICS).alias("topic"), F.col("value").alias("resolution_time_min"),
-    )
+
+    def users():
+        seen = rows().select("custkey", "user_id", F.date_trunc("day", "ts").alias("created_at")).distinct()
+        idle = customers().join(rows().select("custkey"), "custkey", "left_anti").select(
+            F.concat(F.col("custkey").cast("string"), F.lit("@none")).alias("user_id"),
+            F.lit("2024-01-01").cast("timestamp").alias("created_at"), *dims)
+        return seen.join(customers(), "custkey").select("user_id", "created_at", *dims).unionByName(idle)
+
+    def events():
+        stage = None
+        for kind, (low, high) in TYPE_STAGES.items():
+            value = F.when(F.col("k") < 50, low).otherwise(high)
+            hit = F.col("event_type") == kind
+            stage = F.when(hit, value) if stage is None else stage.when(hit, value)
+        funded = F.when(F.col("k") % 10 < 7, "success").when(F.col("k") % 10 < 9, "failed")
+        named = rows().withColumn("event_name", stage).where(F.col("event_name").isNotNull())
+        return named.select(
+            "event_id", "user_id", F.col("ts").alias("event_time"), "event_name",
+            F.when(F.col("event_name") == "first_funding", funded).alias("event_value"), F.lit(None).cast("string").alias("attempt_id"))
+
+    def kyc():
+        rejected = F.col("k") % 4 == 0
+        cases = rows().where(F.col("event_type") == "view").join(customers().select("custkey", "device_os", "region"), "custkey")
+        return cases.select(
+            F.col("event_id").cast("string").alias("case_id"), "user_id", F.col("ts").alias("submitted_time"),
+            _later(F.col("ts"), F.col("value")).alias("decision_time"), F.when(rejected, "rejected").otherwise("approved").alias("decision"),
+            F.when(rejected, _pick(F.col("k") % 5, FAILURE_REASONS)).alias("failure_reason"), "device_os", "region")
+
+    def transactions():
+        status = F.when(F.col("k") % 10 < 8, "success").when(F.col("k") % 10 == 8, "failed").otherwise("pending")
+        return rows().where(F.col("event_type") == "purchase").select(
+            F.col("event_id").cast("string").alias("txn_id"), "user_id", F.col("ts").alias("txn_time"), F.col("value").alias("amount"),
+            _pick(F.col("k") % 5, CATEGORIES).alias("category"), status.alias("status"))
+
+    def tickets():
+        return rows().where(F.col("event_type") == "error").select(
+            F.col("event_id").cast("string").alias("ticket_id"), "user_id", F.col("ts").alias("created_time"),
+            _pick(F.col("k") % 7, TOPICS).alias("topic"), F.col("value").alias("resolution_time_min"))
+
     return Tables(users, events, kyc, transactions, tickets)
 
 
 def commerce(spark: SparkSession, sf_dir: str) -> Tables:
-    customers = _customers(spark, sf_dir)
-    start = F.lit("1995-01-01").cast("timestamp")
-    users = customers.select(
-        F.col("custkey").cast("string").alias("user_id"),
-        F.timestamp_micros(F.unix_micros(start) + (F.col("custkey") % 2000) * F.lit(86_400_000_000)).alias("created_at"),
-        "channel", "device_os", "region", "age_band",
-    )
-    orders = read(spark, sf_dir, "orders")
-    transactions = orders.select(
-        F.col("o_orderkey").cast("string").alias("txn_id"), F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("o_orderdate").cast("timestamp").alias("txn_time"), F.col("o_totalprice").alias("amount"),
-        _lookup(F.col("o_orderpriority"), PRIORITY_CATEGORY).alias("category"),
-        _lookup(F.col("o_orderstatus"), STATUS_STATUS).alias("status"),
-    )
-    rejected = F.col("l_returnflag") == "R"
-    kyc = (
-        read(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers.select("custkey", "device_os", "region"), F.col("o_custkey") == F.col("custkey"))
-        .select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("case_id"),
-                F.col("o_custkey").cast("string").alias("user_id"),
-                F.col("o_orderdate").cast("timestamp").alias("submitted_time"),
-                F.col("l_shipdate").cast("timestamp").alias("decision_time"),
-                F.when(rejected, "rejected").otherwise("approved").alias("decision"),
-                F.when(rejected, _lookup(F.col("l_linestatus"), {"F": FAILURE_REASONS[0], "O": FAILURE_REASONS[1]}))
-                .alias("failure_reason"),
-                "device_os", "region")
-    )
+    customers = cache(lambda: _customers(spark, sf_dir))
     journey = journeys(spark, sf_dir)
     owner = F.substring_index("user_id", "@", 1)
-    return Tables(users, journey.events.withColumn("user_id", owner), kyc, transactions,
-                  journey.tickets.withColumn("user_id", owner))
+
+    def users():
+        start = F.lit("1995-01-01").cast("timestamp")
+        created = F.timestamp_micros(F.unix_micros(start) + (F.col("custkey") % 2000) * F.lit(86_400_000_000))
+        return customers().select(F.col("custkey").cast("string").alias("user_id"), created.alias("created_at"),
+                                  "channel", "device_os", "region", "age_band")
+
+    def transactions():
+        return read(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").cast("string").alias("txn_id"), F.col("o_custkey").cast("string").alias("user_id"),
+            F.col("o_orderdate").cast("timestamp").alias("txn_time"), F.col("o_totalprice").alias("amount"),
+            _lookup(F.col("o_orderpriority"), PRIORITY_CATEGORY).alias("category"),
+            _lookup(F.col("o_orderstatus"), STATUS_STATUS).alias("status"))
+
+    def kyc():
+        rejected = F.col("l_returnflag") == "R"
+        reason = _lookup(F.col("l_linestatus"), {"F": FAILURE_REASONS[0], "O": FAILURE_REASONS[1]})
+        lines = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        cases = lines.join(customers().select("custkey", "device_os", "region"), F.col("o_custkey") == F.col("custkey"))
+        return cases.select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("case_id"), F.col("o_custkey").cast("string").alias("user_id"),
+            F.col("o_orderdate").cast("timestamp").alias("submitted_time"), F.col("l_shipdate").cast("timestamp").alias("decision_time"),
+            F.when(rejected, "rejected").otherwise("approved").alias("decision"), F.when(rejected, reason).alias("failure_reason"),
+            "device_os", "region")
+
+    return Tables(users, lambda: journey.events.withColumn("user_id", owner), kyc, transactions,
+                  lambda: journey.tickets.withColumn("user_id", owner))
 
 
 def lifecycles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

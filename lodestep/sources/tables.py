@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, fields, replace
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -14,18 +13,32 @@ from ..session import path_exists
 from .schemas import MAIN_TABLES, REPORT_SCHEMA, SCHEMAS
 
 
-@dataclass(frozen=True)
 class Tables:
-    """The star around ``users``; every field is a DataFrame in its logical schema."""
+    """The star around ``users``; every table is a DataFrame in its logical schema.
 
-    users: DataFrame
-    events: DataFrame
-    kyc: DataFrame
-    transactions: DataFrame
-    tickets: DataFrame
+    A table may be given as a function, which then runs on first use only: a metric that
+    reads one table does not plan the other four.
+    """
+
+    FIELDS = ("users", "events", "kyc", "transactions", "tickets")
+
+    def __init__(self, users, events, kyc=None, transactions=None, tickets=None):
+        self._given = dict(zip(self.FIELDS, (users, events, kyc, transactions, tickets)))
+
+    def _get(self, name: str) -> DataFrame:
+        given = self._given[name]
+        if callable(given):
+            given = self._given[name] = given()
+        return given
+
+    users = property(lambda self: self._get("users"))
+    events = property(lambda self: self._get("events"))
+    kyc = property(lambda self: self._get("kyc"))
+    transactions = property(lambda self: self._get("transactions"))
+    tickets = property(lambda self: self._get("tickets"))
 
     def named(self) -> dict[str, DataFrame]:
-        return dict(zip(MAIN_TABLES, (getattr(self, f.name) for f in fields(self))))
+        return {name: self._get(field) for name, field in zip(MAIN_TABLES, self.FIELDS)}
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
@@ -93,10 +106,9 @@ def empty_report(spark: SparkSession) -> DataFrame:
 
 def cached(tables: Tables) -> Tables:
     """Keep the tables for repeated metrics; spills to disk, lost blocks are recomputed."""
-    kept = {f.name: getattr(tables, f.name).persist(StorageLevel.MEMORY_AND_DISK) for f in fields(tables)}
-    return replace(tables, **kept)
+    return Tables(*[df.persist(StorageLevel.MEMORY_AND_DISK) for df in tables.named().values()])
 
 
 def release(tables: Tables) -> None:
-    for f in fields(tables):
-        getattr(tables, f.name).unpersist()
+    for df in tables.named().values():
+        df.unpersist()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.labels import title_text
 from ..functions.times import period
@@ -22,7 +22,8 @@ TARGETS = {  # category: (target, low, high) percent
 def allocation(calendar: DataFrame, by: str = "category", hours: str = "duration_hours") -> DataFrame:
     """Hours and percent of all hours by category."""
     sums = calendar.groupBy(by).agg(F.sum(hours).alias("total_hours"))
-    whole = sums.agg(F.sum("total_hours")).scalar()
+    # One row per category is left.
+    whole = F.sum("total_hours").over(Window.partitionBy(F.lit(1)))
     return sums.select(by, "total_hours", F.bround(F.col("total_hours") / whole * 100, 1).alias("percentage"))
 
 

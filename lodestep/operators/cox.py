@@ -110,7 +110,7 @@ def fit(dataset: DataFrame, covariates: Sequence[str], time: str = "duration", e
                 F.sum("logs").alias("logs"), *[F.sum(c[i] * F.col("inv") + F.col("d") * q[i]).alias(f"g{i}") for i in range(p)],
                 *[F.sum(c[i] * c[j] * F.col("inv2") + (c[i] * q[j] + q[i] * c[j]) * F.col("inv") + F.col("d") * q[i] * q[j]).alias(f"h{i}_{j}")
                   for i, j in pairs]).first()
-            hazard = running_sums(solved.select("t", "inv", "own"), "t", {"A": "inv"}, cuts=cuts)
+            hazard = running_sums(solved.select("t", "inv", "own"), "t", {"A": "inv"}, cuts=cuts, stored=True)
             weight = F.col("r") * (F.col("A") + F.col("e") * F.col("own"))
             # The join feeds a global aggregation, so adaptive execution may split a time that many rows share.
             second = scored.join(hazard.select("t", "A", "own"), "t").agg(
@@ -185,7 +185,7 @@ def concordance(dataset: DataFrame, score: Column, time: str = "duration", event
         *[at(g, every).alias(f"a{g}") for g in range(RADIX)], *[at(g, F.col("e") == 1).alias(f"v{g}") for g in range(RADIX)]))
     if cuts is None:
         cuts = order_cuts(cells, "t")
-    run = running_sums(cells, "t", {f"r{g}": f"a{g}" for g in range(RADIX)}, by=["level", "prefix"], descending=True, cuts=cuts)
+    run = running_sums(cells, "t", {f"r{g}": f"a{g}" for g in range(RADIX)}, by=["level", "prefix"], descending=True, cuts=cuts, stored=True)
     # Longer-lived rows per digit: later times, and the censored of the same time.
     longer = [F.col(f"r{g}") - F.col(f"v{g}") for g in range(RADIX)]
     event_at = [F.col(f"v{g}") for g in range(RADIX)]

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import or_zero, pct, ratio, total
 from ..functions.times import hours_between, period
+from ..session import materialize
 from ..sources.tables import Tables
 from .funnel import wide_funnel
-from .quantiles import LINEAR, UPPER, quantiles, quantiles_of_counts
+from .quantiles import LINEAR, UPPER, quantiles, quantiles_of_counts, value_counts
 from .stages import stage_flags, stage_times
 
 LEGS = {
@@ -33,11 +34,11 @@ def time_to_stage(events: DataFrame, legs: Mapping[str, tuple[str, str]] = LEGS,
                      F.round(hours_between(F.col(f"t_{end}"), F.col(f"t_{start}")), 2).alias("hours"))
             for metric, (start, end) in legs.items()]
     long = times.select(F.explode(F.array(*rows)).alias("r")).select("r.*").where(F.col("hours").isNotNull())
-    counts = long.groupBy("metric", "hours").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(long.groupBy("metric", "hours").agg(F.count(F.lit(1)).alias("n")))
     spread = counts.groupBy("metric").agg(
         F.round(F.sum(F.col("hours") * F.col("n")) / F.sum("n"), 1).alias("avg_hours"),
         F.min("hours").alias("min_hours"), F.max("hours").alias("max_hours"))
-    middle = quantiles_of_counts(counts, "hours", {"median_hours": (0.5, UPPER)}, by=["metric"])
+    middle = quantiles_of_counts(counts, "hours", {"median_hours": (0.5, UPPER)}, by=["metric"], stored=True)
     return spread.join(middle, "metric").select("metric", "avg_hours", "median_hours", "min_hours", "max_hours")
 
 
@@ -93,7 +94,8 @@ def tickets_by_topic(tickets: DataFrame) -> DataFrame:
     topics = tickets.groupBy("topic").agg(
         F.count(F.lit(1)).alias("ticket_count"), F.round(F.avg(m), 1).alias("avg_resolution_min"),
         F.round(F.min(m), 1).alias("min_resolution_min"), F.round(F.max(m), 1).alias("max_resolution_min"))
-    everything = topics.agg(F.sum("ticket_count")).scalar()
+    # One row per topic is left, so the total is a window over those few rows and not a second scan.
+    everything = F.sum("ticket_count").over(Window.partitionBy(F.lit(1)))
     return topics.select("topic", "ticket_count", pct(F.col("ticket_count"), everything).alias("pct_of_total"),
                          "avg_resolution_min", "min_resolution_min", "max_resolution_min")
 
@@ -228,10 +230,10 @@ def insight_ratios(events: DataFrame) -> DataFrame:
 
 
 def mean_and_median(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(value_counts(df, value, by))
     grouped = counts.groupBy(*by) if by else counts
     mean = grouped.agg(F.round(F.sum(F.col(value) * F.col("n")) / F.sum("n"), 4).alias("mean"))
-    middle = quantiles_of_counts(counts, value, {"m": (0.5, LINEAR)}, by)
+    middle = quantiles_of_counts(counts, value, {"m": (0.5, LINEAR)}, by, stored=True)
     if not by:
         return mean.select("mean", F.round(middle.scalar(), 4).alias("median"))
     return mean.join(middle, list(by)).select(*by, "mean", F.round("m", 4).alias("median"))

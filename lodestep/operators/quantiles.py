@@ -30,9 +30,9 @@ def quantiles(df: DataFrame, value: str, wanted: Mapping[str, tuple[float, str]]
 
 
 def quantiles_of_counts(counts: DataFrame, value: str, wanted: Mapping[str, tuple[float, str]],
-                        by: Sequence[str] = (), cuts=None) -> DataFrame:
+                        by: Sequence[str] = (), cuts=None, stored: bool = False) -> DataFrame:
     """As :func:`quantiles`, from a frame of distinct values with their count ``n``."""
-    ranked = running_sums(counts, value, {"_upto": "n"}, by, totals={"_all": "n"}, cuts=cuts)
+    ranked = running_sums(counts, value, {"_upto": "n"}, by, totals={"_all": "n"}, cuts=cuts, stored=stored)
 
     def at(rank: Column) -> Column:
         inside = (rank >= F.col("_upto") - F.col("n")) & (rank < F.col("_upto"))

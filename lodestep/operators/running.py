@@ -63,17 +63,19 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 def running_sums(df: DataFrame, order: str, sums: Mapping[str, str], by: Sequence[str] = (),
                  descending: bool = False, totals: Mapping[str, str] | None = None,
-                 cuts: Sequence[float] | None = None) -> DataFrame:
+                 cuts: Sequence[float] | None = None, stored: bool = False) -> DataFrame:
     """Add ``out = sum of source`` over rows up to and including each row, per ``by`` group.
 
     ``df`` holds one row per (``by``, ``order``); ``sums`` maps output names to source
-    columns, ``totals`` adds whole-group sums the same way. Without ``cuts`` the frame is
-    written once and its slices are chosen from the files; pass ``cuts`` to share slices
-    between calls on the same values, with a frame that is cheap to read twice.
+    columns, ``totals`` adds whole-group sums the same way. Choosing slices and summing
+    them read the frame several times, so it is written once first; ``stored=True`` says
+    it already lies in files or in the cache. Pass ``cuts`` to share slices between calls
+    on the same values; an empty list asks for one window per group.
     """
     totals = dict(totals or {})
-    if cuts is None:
+    if not stored and (cuts is None or cuts):
         df = materialize(df)
+    if cuts is None:
         cuts = order_cuts(df, order)
     key = [F.col(order).desc() if descending else F.col(order).asc()]
     if not cuts:

@@ -14,6 +14,7 @@ from ..functions.stats import chi_square_tail, normal_quantile
 from ..functions.times import hours_between
 from ..session import materialize
 from ..sources.tables import Tables
+from .features import categories
 from .metrics import turnaround_hours
 from .quantiles import LINEAR, quantiles
 from .running import order_cuts, running_sums
@@ -81,7 +82,7 @@ def kaplan_meier(dataset: DataFrame, by: Sequence[str] = (), time: str = "durati
     """
     table = materialize(life_table(dataset, by, time, event))
     cuts = order_cuts(table, "t") if cuts is None else cuts
-    at_risk = running_sums(table, "t", {"n": "m"}, by, descending=True, cuts=cuts)
+    at_risk = running_sums(table, "t", {"n": "m"}, by, descending=True, cuts=cuts, stored=True)
     d, n = F.col("d"), F.col("n")
     steps = at_risk.select(
         *by, "t", "d", "n",
@@ -146,8 +147,7 @@ def log_rank(dataset: DataFrame, group: str, time: str = "duration", event: str
     running sums from the end. All that leaves the cluster is one row with k
     differences and a k x k covariance.
     """
-    if groups is None:
-        groups = sorted(r[0] for r in dataset.where(F.col(group).isNotNull()).select(group).distinct().collect())
+    groups = categories(dataset, group) if groups is None else list(groups)
     k = len(groups)
     if k < 2:
         raise ValueError("a log-rank test needs at least two groups")

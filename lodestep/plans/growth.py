@@ -87,9 +87,10 @@ QUERIES = {
     "experiment_test_counts": _on_groups(lambda g: ex.test_counts(ex.pairwise_prop_test(g))),
     "experiment_test_display": _on_groups(lambda g: ex.test_display(ex.pairwise_prop_test(g))),
     "experiment_chi_square_statistic": _on_groups(lambda g: _rounded(ex.with_strength(ex.chi_square_statistic(g)))),
-    "experiment_chi_square": _on_groups(ex.chi_square),
+    "experiment_chi_square": _on_groups(lambda g: _rounded(ex.chi_square(g))),
     "experiment_sample_size": _on_groups(lambda g: ex.sample_size(g).withColumn("powered", F.col("powered").cast("int"))),
-    "experiment_power_curve": _on_groups(ex.power_curve),
+    "experiment_power_curve": _on_groups(lambda g: ex.power_curve(g).select(
+        "n_per_arm", "mde", F.round("z_power", 6).alias("z_power"), F.round("power", 6).alias("power"))),
     "experiment_p_value_matrix": _on_groups(lambda g: ex.p_value_matrix(ex.pairwise_prop_test(g))),
     "experiment_best_worst_gap": _on_groups(ex.best_worst_gap),
     "experiment_difference_intervals": _on_groups(ex.difference_intervals),

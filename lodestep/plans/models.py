@@ -206,8 +206,8 @@ QUERIES = {
     "survival_median": lambda s, sf: _rounded(sv.median_survival(_curve(s, sf), ["channel"])),
     "survival_at_times": lambda s, sf: _rounded(sv.survival_at(_curve(s, sf), POINTS_D, ["channel"])),
     "survival_fastest_slowest": lambda s, sf: sv.fastest_and_slowest(_curve(s, sf), 30, "channel"),
-    "survival_log_rank": lambda s, sf: sv.log_rank(_lifecycle_durations(s, sf), "channel"),
-    "survival_log_rank_age": _journeys(lambda t: sv.log_rank(_durations(t), "age_band")),
+    "survival_log_rank": lambda s, sf: _rounded(sv.log_rank(_lifecycle_durations(s, sf), "channel")),
+    "survival_log_rank_age": _journeys(lambda t: _rounded(sv.log_rank(_durations(t), "age_band"))),
     "survival_log_rank_pair": lambda s, sf: _rounded(sv.pairwise_log_rank(_lifecycle_durations(s, sf), "channel", "organic", "referral")).drop("p_value"),
     "survival_hazard_ratios": _journeys(cox_table),
     "survival_model_concordance": _journeys(cox_concordance),

@@ -66,6 +66,9 @@ QUERIES = {
     "quality_user_rules": _journeys(lambda t: q.affected_by_rule(t.users, [r for r in q.domain_rules(ALLOWED) if r.table == "users"])),
     "quality_kyc_rules": _commerce(lambda t: q.affected_by_rule(t.kyc, [r for r in q.domain_rules() if r.table == "kyc_cases"])),
     "quality_transaction_rules": _commerce(lambda t: q.affected_by_rule(t.transactions, [r for r in q.domain_rules() if r.table == "transactions"])),
+    "quality_event_rules": _journeys(lambda t: q.affected_by_rule(t.events, [r for r in q.domain_rules() if r.table == "onboarding_events"])),
+    "quality_ticket_rules": _commerce(lambda t: q.affected_by_rule(t.tickets, [r for r in q.domain_rules() if r.table == "support_tickets"])),
+    "quality_repeated_users": lambda s, sf: q.repeated_keys(mapping.journeys(s, sf).transactions, ["user_id"]),
     "quality_transactions_without_account": _journeys(lambda t: q.reached_but_not(t.events, "first_transaction", "account_created")),
     "quality_repeated_user_events": _journeys(lambda t: q.repeated_keys(t.events, ["user_id", "event_name"])),
     "quality_conflicting_decisions": _commerce(lambda t: q.conflicting_decisions(t.kyc)),

@@ -79,7 +79,66 @@ xx AS (SELECT chi2, ((SELECT COUNT(*) FROM rt) - 1) * ((SELECT COUNT(*) FROM ct)
 SELECT ROUND(chi2, 6) AS chi2, dof, ROUND(v, 6) AS cramers_v,
        CASE WHEN v > 0.3 THEN 'strong' WHEN v > 0.1 THEN 'moderate' ELSE 'weak' END AS strength FROM xx"""
 
+# Two-sided normal tails by Simpson's rule over [|z|, |z| + 10].
+_TESTS = _PAIRS + """, zs AS (SELECT *, (pa - pb) / SQRT(pp * (1 - pp) * (1.0 / n_a + 1.0 / n_b)) AS z FROM pr),
+tail AS (SELECT group_a, group_b, SUM(CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+           * EXP(-POW(ABS(z) + i * 0.0025::DOUBLE, 2) / 2)) * 0.0025::DOUBLE / 3 * 2 / SQRT(2 * PI()) AS p
+         FROM zs, range(4001) r(i) GROUP BY group_a, group_b),
+ts0 AS (SELECT zs.*, round_even(p, 6) AS p_value, (SELECT COUNT(*) FROM pr) AS m FROM zs JOIN tail USING (group_a, group_b)),
+ts AS (SELECT group_a, group_b, n_a, n_b, round_even(pa, 4) AS rate_a, round_even(pb, 4) AS rate_b, round_even(pa - pb, 4) AS diff,
+              round_even(z, 4) AS z_stat, p_value, round_even(ABS(2 * (ASIN(SQRT(pa)) - ASIN(SQRT(pb)))), 4) AS cohen_h,
+              p_value < 0.05 AS sig_raw, p_value < 0.05::DOUBLE / m AS sig_bonferroni FROM ts0)"""
+
+# The chi-square tail for 12 degrees of freedom has a closed form.
+_CHI_TAIL = "WITH st AS (" + _CHI + """), k AS (SELECT chi2, dof, cramers_v, strength, chi2 / 2 AS h FROM st)
+SELECT chi2, dof, cramers_v, strength, ROUND(EXP(-h) * (1 + h + POW(h, 2) / 2 + POW(h, 3) / 6 + POW(h, 4) / 24 + POW(h, 5) / 120), 6) AS p_value FROM k"""
+
+_POWER = _GROUPS + """, b AS (SELECT AVG(activation_of_registered) AS p, MIN(n_users) AS s FROM gm),
+arms AS (SELECT DISTINCT arm FROM (SELECT UNNEST([500, 1000, 2000]) AS arm UNION ALL SELECT s FROM b)),
+g AS (SELECT arm, p, 0.005::DOUBLE + i * ((0.08::DOUBLE - 0.005::DOUBLE) / 199) AS mde FROM arms, b, range(200) r(i)),
+zz AS (SELECT arm, mde, mde / SQRT(2 * p * (1 - p) / arm) - 1.959963984540054 AS z FROM g),
+cdf AS (SELECT arm, mde, z, 0.5 + SIGN(z) * SUM(CASE WHEN i = 0 OR i = 400 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+          * EXP(-POW(ABS(z) * i / 400.0::DOUBLE, 2) / 2)) * ABS(z) / 400 / 3 / SQRT(2 * PI()) AS c FROM zz, range(401) r(i) GROUP BY arm, mde, z)
+SELECT arm AS n_per_arm, ROUND(mde, 8) AS mde, ROUND(z, 6) AS z_power, ROUND(c, 6) AS power FROM cdf"""
+
+
+
+def _share(start, goal, days, where="TRUE"):
+    """Conversion within a window over journeys whose window has closed, as a scalar subquery."""
+    return f"""(SELECT 100.0 * COUNT(*) FILTER (epoch_us(b) - epoch_us(a) <= {days} * {_DAY}) / NULLIF(COUNT(*), 0)
+      FROM (SELECT user_id, MIN(event_time) AS a FROM onboarding_events WHERE event_name = '{start}' GROUP BY user_id) s
+      LEFT JOIN (SELECT user_id, MIN(event_time) AS b FROM onboarding_events WHERE event_name = '{goal}' GROUP BY user_id) g USING (user_id)
+      JOIN users USING (user_id)
+      WHERE epoch_us((SELECT MAX(event_time) FROM onboarding_events)) - epoch_us(a) >= {days} * {_DAY} AND {where})"""
+
+
+def _users_at(stage):
+    return f"(SELECT COUNT(DISTINCT user_id) FROM onboarding_events WHERE event_name = '{stage}')"
+
+
+_REPORT = [
+    ("onboarding_completion_rate", "7 days from registration_start", "Product Analytics Team", _share("registration_start", "kyc_approved", 7)),
+    ("activation_rate", "14 days from account_created", "Growth Team", _share("account_created", "first_transaction", 14)),
+    ("week1_retention_proxy", "7 days from first_transaction", "Retention Team", f"(100.0 * {_users_at('week1_active')} / {_users_at('first_transaction')})"),
+    ("median_kyc_turnaround_time", "Per KYC case", "Operations Team", f"(SELECT MEDIAN(ROUND({_hours('decision_time', 'submitted_time')}, 6)) FROM kyc_cases)"),
+    ("kyc_failure_rate", "Per submission", "Risk & Compliance Team", "(SELECT 100.0 * COUNT(*) FILTER (decision = 'rejected') / COUNT(*) FROM kyc_cases)"),
+    ("ticket_rate_per_1000_users", "Lifetime or specified cohort period", "Customer Support Team", "(1000.0 * (SELECT COUNT(*) FROM support_tickets) / (SELECT COUNT(*) FROM users))"),
+    ("median_time_to_first_transaction", "Per user who transacts", "Product Analytics Team", f"""(SELECT MEDIAN(ROUND({_hours('b', 'a')}, 6)) FROM (
+        SELECT MIN(event_time) FILTER (event_name = 'account_created') AS a, MIN(event_time) FILTER (event_name = 'first_transaction') AS b
+        FROM onboarding_events GROUP BY user_id) x WHERE a IS NOT NULL AND b IS NOT NULL)"""),
+    ("funding_success_rate", "Per funding attempt", "Payments Team", "(SELECT 100.0 * COUNT(*) FILTER (event_value = 'success') / COUNT(event_value) FROM onboarding_events WHERE event_name = 'first_funding')"),
+    ("txn_success_rate", "Rolling 7-day, 30-day, or all-time", "Payments Team", "(SELECT 100.0 * COUNT(*) FILTER (status = 'success') / COUNT(*) FROM transactions)"),
+    ("dropout_rate_at_verification", "30 days from registration_start", "Product Team", f"(100.0 * ({_users_at('registration_start')} - {_users_at('verification_submitted')}) / {_users_at('registration_start')})"),
+    ("account_creation_rate", "7 days from kyc_approved", "Engineering Team", _share("kyc_approved", "account_created", 7)),
+    ("conversion_paid_social_vs_referral", "Same period for both channels", "Marketing Team",
+     "(" + _share("account_created", "first_transaction", 14, "channel = 'paid_social'") + " / "
+     + _share("account_created", "first_transaction", 14, "channel = 'referral'") + ")"),
+    ("avg_transaction_value", "Rolling 30-day or per cohort", "Finance Team", "(SELECT AVG(amount) FROM transactions WHERE status = 'success')"),
+]
+
 SQL = {
+    "kpi_report": JOURNEYS + " " + " UNION ALL ".join(
+        f"SELECT '{name}' AS kpi_name, '{window}' AS time_window, '{owner}' AS owner, ROUND({value}::DOUBLE, 4) AS value" for name, window, owner, value in _REPORT),
     "kpi_onboarding_completion": _within("registration_start", "kyc_approved", 7, ["channel", "device_os"]),
     "kpi_activation": _within("account_created", "first_transaction", 14, ["channel"]),
     "kpi_retention_by_cohort": f"""{LIFECYCLES}, r AS (
@@ -167,7 +226,17 @@ SQL = {
     "experiment_pairwise_z": _PAIRS + """ SELECT group_a, group_b, n_a, n_b, round_even(pa, 4) AS rate_a, round_even(pb, 4) AS rate_b,
       round_even(pa - pb, 4) AS diff, ROUND((pa - pb) / SQRT(pp * (1 - pp) * (1.0 / n_a + 1.0 / n_b)), 4) AS z,
       round_even(ABS(2 * (ASIN(SQRT(pa)) - ASIN(SQRT(pb)))), 4) AS cohen_h FROM pr""",
+    "experiment_pairwise_tests": _TESTS + """ SELECT group_a, group_b, n_a, n_b, rate_a, rate_b, diff, z_stat, p_value, cohen_h, sig_raw, sig_bonferroni FROM ts""",
+    "experiment_test_counts": _TESTS + """ SELECT COUNT(*) AS n_tests, COUNT(*) FILTER (sig_raw) AS n_sig_raw, COUNT(*) FILTER (sig_bonferroni) AS n_sig_bonferroni,
+      MAX(cohen_h) AS max_h, (SELECT group_a || ' vs ' || group_b AS x FROM ts ORDER BY cohen_h DESC, x LIMIT 1) AS max_h_pair FROM ts""",
+    "experiment_test_display": _TESTS + """ SELECT group_a, group_b, round_even(rate_a * 100, 1) AS rate_a_pct, round_even(rate_b * 100, 1) AS rate_b_pct,
+      round_even(diff * 100, 1) AS diff_pp, round_even(cohen_h, 3) AS cohen_h, CASE WHEN p_value < 0.001 THEN printf('%.2e', p_value) ELSE printf('%.4f', p_value) END AS p_value,
+      sig_bonferroni AS significant FROM ts""",
+    "experiment_p_value_matrix": _TESTS + """, mk AS (SELECT group_a, group_b, p_value, CASE WHEN sig_bonferroni THEN '**' WHEN p_value < 0.05 THEN '*' ELSE '' END AS mark FROM ts)
+      SELECT * FROM mk UNION ALL SELECT group_b, group_a, p_value, mark FROM mk UNION ALL SELECT channel, channel, NULL, '' FROM gm""",
     "experiment_chi_square_statistic": _CHI,
+    "experiment_chi_square": _CHI_TAIL,
+    "experiment_power_curve": _POWER,
     "experiment_sample_size": _GROUPS + """, b AS (SELECT AVG(activation_of_registered) AS p, MIN(n_users) AS smallest_arm FROM gm),
       k AS (SELECT p, smallest_arm, CAST(CEIL(2 * p * (1 - p) * POW(1.959963984540054 + 0.8416212335729143, 2) / 0.0004) AS BIGINT) AS n FROM b)
       SELECT ROUND(p, 6) AS baseline, n AS n_per_arm, smallest_arm, CAST(smallest_arm >= n AS INTEGER) AS powered FROM k""",

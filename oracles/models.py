@@ -140,7 +140,30 @@ _PAIR = """, p AS (SELECT duration AS t, SUM(event) AS d, SUM(event) FILTER (cha
  q AS (SELECT t, d::DOUBLE AS d, COALESCE(d1, 0)::DOUBLE AS d1, (SUM(m) OVER (ORDER BY t DESC))::DOUBLE AS n, (SUM(m1) OVER (ORDER BY t DESC))::DOUBLE AS n1 FROM p)
  SELECT ROUND(POW(SUM(d1 - d * n1 / n), 2) / SUM(CASE WHEN n > 1 THEN d * (n1 / n) * (1 - n1 / n) * (n - d) / (n - 1) ELSE 0 END), 6) AS chi2, 1 AS dof FROM q WHERE d > 0"""
 
+
+def _log_rank(base, column, groups):
+    """k-sample log-rank: observed minus expected and covariance of the first k - 1 groups, then forward elimination."""
+    k, n = len(groups), len(groups) - 1
+    rows = f"""{base}, per AS (SELECT duration AS t, SUM(event)::DOUBLE AS d, COUNT(*) AS m, {', '.join(
+        f"COALESCE(SUM(event) FILTER ({column} = '{g}'), 0)::DOUBLE AS d{i}, COUNT(*) FILTER ({column} = '{g}') AS m{i}" for i, g in enumerate(groups))}
+      FROM dur GROUP BY duration),
+    risk AS (SELECT t, d, (SUM(m) OVER w)::DOUBLE AS n, {', '.join(f'd{i}, (SUM(m{i}) OVER w)::DOUBLE AS n{i}' for i in range(k))}
+      FROM per WINDOW w AS (ORDER BY t DESC)),
+    e0 AS (SELECT {', '.join(f'SUM(d{i} - d * n{i} / n) AS b{i}' for i in range(n))}, {', '.join(
+        f"SUM(CASE WHEN n > 1 THEN d * (n - d) / (n - 1) * n{i} / n * ({1.0 if i == j else 0.0}::DOUBLE - n{j} / n) ELSE 0 END) AS a{i}_{j}"
+        for i in range(n) for j in range(n))} FROM risk WHERE d > 0)"""
+    for step in range(n - 1):
+        cells = [f"a{i}_{j} - a{i}_{step} / a{step}_{step} * a{step}_{j} AS a{i}_{j}" if i > step else f"a{i}_{j}" for i in range(n) for j in range(n)]
+        right = [f"b{i} - a{i}_{step} / a{step}_{step} * b{step} AS b{i}" if i > step else f"b{i}" for i in range(n)]
+        rows += f", e{step + 1} AS (SELECT {', '.join(cells + right)} FROM e{step})"
+    chi2 = " + ".join(f"b{i} * b{i} / a{i}_{i}" for i in range(n))
+    return rows + f""", x AS (SELECT {chi2} AS chi2 FROM e{n - 1})
+    SELECT ROUND(chi2, 6) AS chi2, {n} AS dof, ROUND(EXP(-chi2 / 2) * (1 + chi2 / 2), 6) AS p_value FROM x"""
+
+
 SQL = {
+    "survival_log_rank": _log_rank(_LD, "channel", sorted(_CHANNELS)),
+    "survival_log_rank_age": _log_rank(_JD, "age_band", ["18-24", "25-34", "35-44", "45-54", "55+"]),
     "survival_durations": _JD + " SELECT user_id, channel, ROUND(duration, 6) AS duration, event FROM dur",
     "survival_dataset_kyc": _JD + _CASES + """ SELECT user_id, ROUND(duration, 6) AS duration, event, ROUND(COALESCE(kyc_turnaround_h, 0), 6) AS kyc_turnaround_h,
       COALESCE(kyc_had_failure, 0) AS kyc_had_failure FROM dur LEFT JOIN cases USING (user_id)""",

@@ -95,6 +95,12 @@ SQL = {
         COUNT(*) FILTER (category NOT IN ('transfer', 'bill_payment', 'mobile_topup', 'purchase', 'withdrawal')) AS affected FROM transactions
       UNION ALL SELECT 'DQ_ENUM_008', COUNT(*) FILTER (status NOT IN ('success', 'failed', 'pending')) FROM transactions
       UNION ALL SELECT 'DQ_RANGE_001', COUNT(*) FILTER (amount <= 0) FROM transactions""",
+    "quality_event_rules": f"""{JOURNEYS} SELECT 'DQ_ENUM_004' AS issue_id, COUNT(*) FILTER (event_name NOT IN ('app_install', 'registration_start',
+        'verification_submitted', 'kyc_approved', 'kyc_failed', 'account_created', 'first_funding', 'first_transaction', 'week1_active')) AS affected FROM onboarding_events
+      UNION ALL SELECT 'DQ_MISS_003', COUNT(*) FILTER (event_time IS NULL) FROM onboarding_events""",
+    "quality_ticket_rules": f"""{COMMERCE} SELECT 'DQ_ENUM_009' AS issue_id, COUNT(*) FILTER (topic NOT IN ('kyc_delay', 'transaction_failed', 'login_issue',
+        'card_request', 'account_question', 'technical_bug', 'fraud_concern')) AS affected FROM support_tickets""",
+    "quality_repeated_users": f"{JOURNEYS} SELECT user_id, COUNT(*) AS n FROM transactions GROUP BY user_id HAVING COUNT(*) > 1",
     "quality_transactions_without_account": f"""{JOURNEYS} SELECT DISTINCT user_id FROM onboarding_events a WHERE event_name = 'first_transaction'
       AND NOT EXISTS (SELECT 1 FROM onboarding_events b WHERE b.user_id = a.user_id AND b.event_name = 'account_created')""",
     "quality_repeated_user_events": f"{JOURNEYS} SELECT user_id, event_name, COUNT(*) AS n FROM onboarding_events GROUP BY ALL HAVING COUNT(*) > 1",

@@ -87,10 +87,8 @@ def lifetime_features(tables: Tables) -> DataFrame:
 def activation_features(tables: Tables, ties: str = "keep") -> DataFrame:
     """Features known at the first transaction; one row per user, KYC case and first transaction."""
     times = stage_times(tables.events, TIMED_STAGES).where(F.col("t_first_transaction").isNotNull())
-    first = first_transactions(tables.transactions, ties).select(
-        "user_id", F.col("amount").alias("first_txn_amount"), flag(F.col("status") == "success").alias("first_txn_success"))
     early = tickets_before(tables.tickets, times.select("user_id", "t_first_transaction"), "t_first_transaction")
-    base = tables.users.join(times, "user_id").join(first, "user_id", "left").join(early, "user_id", "left").select(
+    base = tables.users.join(times, "user_id").join(early, "user_id", "left").select(
         "user_id", *CATEGORICAL,
         _gap("verification_submitted", "registration_start").alias("h_reg_to_verify"),
         _gap("kyc_approved", "verification_submitted").alias("h_verify_to_kyc"),
@@ -98,11 +96,12 @@ def activation_features(tables: Tables, ties: str = "keep") -> DataFrame:
         _gap("first_funding", "account_created").alias("h_account_to_fund"),
         _gap("first_transaction", "first_funding").alias("h_fund_to_txn"),
         _gap("first_transaction", "registration_start").alias("h_total_onboarding"),
-        F.coalesce("first_txn_amount", F.lit(0.0)).alias("first_txn_amount"),
-        F.coalesce("first_txn_success", F.lit(0)).alias("first_txn_success"),
         F.coalesce("n_pre_tickets", F.lit(0)).alias("n_pre_tickets"),
         flag(F.col("t_week1_active").isNull()).alias("churned"))
-    return _with_cases(base, tables.kyc)
+    first = first_transactions(tables.transactions, ties).select(
+        "user_id", "txn_id", F.col("amount").alias("first_txn_amount"), flag(F.col("status") == "success").alias("first_txn_success"))
+    rows = left_fan_out(base, first, "user_id", "txn_id").drop("txn_id")
+    return _with_cases(rows.fillna({"first_txn_amount": 0.0, "first_txn_success": 0}), tables.kyc)
 
 
 def _with_cases(base: DataFrame, kyc: DataFrame) -> DataFrame:

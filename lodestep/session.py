@@ -33,6 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
     if path:
         return path.rstrip("/")
     context = spark.sparkContext
+    if context.getCheckpointDir():
+        return context.getCheckpointDir().rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     known = getattr(spark, "_lodestep_local_dir", None)
@@ -57,9 +59,27 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, "table")
     df.write.parquet(path)
+    _written(spark).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _written(spark: SparkSession) -> list[str]:
+    if not hasattr(spark, "_lodestep_tables"):
+        spark._lodestep_tables = []
+    return spark._lodestep_tables
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Delete the tables :func:`materialize` wrote in this session; frames that read them end here."""
+    paths = _written(spark)
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    count = len(paths)
+    paths.clear()
+    return count
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on whichever file system it names."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -27,9 +27,8 @@ def test_matches_sql(spark, con, sf, name):
     assert check.compare(QUERIES[name](spark, sf), con, SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - LONG))
-def test_gives_rows(spark, sf, name):
-    assert QUERIES[name](spark, sf).take(1)
+def test_only_fitted_models_lack_sql():
+    assert set(QUERIES) - set(SQL) == LONG
 
 
 def test_flagship(spark):

@@ -139,6 +139,16 @@ def duplicate_issues(df: DataFrame, identifier: str, table: str) -> DataFrame:
         F.col("entities").alias("frequency"), F.lit(usage).alias("downstream_usage_score"))
 
 
+def labelled_duplicates(df: DataFrame, table: str = "data_quality_issues", identifier: str = "email") -> DataFrame:
+    """One issue per row that an earlier process labelled as a duplicate identifier; the label is taken as given."""
+    check, severity, impact, usage = DUPLICATE
+    return df.where(F.col("issue_type") == check).select(
+        "issue_id", F.lit(check).alias("check_type"), F.lit(table).alias("table_name"), F.lit(identifier).alias("column_name"),
+        F.concat_ws(" ", F.lit(identifier), F.col(identifier), F.lit("labelled as shared by several users")).alias("issue_description"),
+        F.lit(1).cast("long").alias("affected_records"), F.lit(severity).alias("severity"), F.lit(impact).alias("impact_weight"),
+        F.lit(1).cast("long").alias("frequency"), F.lit(usage).alias("downstream_usage_score"))
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key combinations that occur more than once, with their count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -167,13 +177,13 @@ def missing_prerequisite(events: DataFrame, later: str, earlier: str) -> DataFra
 def success_without_account(transactions: DataFrame, events: DataFrame) -> DataFrame:
     """Users with a successful transaction but no account event."""
     paid = transactions.where(F.col("status") == "success").select("user_id").distinct()
-    return paid.join(events.where(F.col("event_name") == "account_created").select("user_id"), "user_id", "left_anti")
+    return paid.join(events.where(F.col("event_name") == "account_created").select("user_id").distinct(), "user_id", "left_anti")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str = "user_id") -> DataFrame:
     """Keys of ``child`` that ``parent`` lacks, with their rows; keys are grouped before the join."""
     keys = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return keys.join(parent.select(key), key, "left_anti")
+    return keys.join(parent.select(key).distinct(), key, "left_anti")
 
 
 def out_of_order(stages: Sequence[str] = STAGES) -> Column:
@@ -264,12 +274,12 @@ def top_issues(report: DataFrame, k: int = 5) -> DataFrame:
 
 
 def dq_score(issues: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Share of unaffected records per table with issues, against the target."""
+    """Share of unaffected records per table with issues, against the target; NULL for a table that is not given."""
     totals = reduce(DataFrame.unionByName, [
         df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("total")) for name, df in tables.items()])
     affected = issues.groupBy("table_name").agg(F.sum("affected_records").alias("affected"))
-    score = F.when(F.col("total") > 0, (F.col("total") - F.col("affected")) / F.col("total") * 100).otherwise(100.0)
-    return affected.join(totals, "table_name").select(
+    score = F.when(F.col("total") > 0, (F.col("total") - F.col("affected")) / F.col("total") * 100).when(F.col("total") == 0, 100.0)
+    return affected.join(totals, "table_name", "left").select(
         "table_name", "affected", "total", F.round(score, 2).alias("dq_score"), (score >= SCORE_TARGET).cast("int").alias("meets_target"))
 
 

@@ -61,6 +61,9 @@ def _calendar(operator):
 
 QUERIES = {
     "quality_duplicate_identifiers": lambda s, sf: q.duplicate_identifiers(mapping.identities(s, sf), "email"),
+    "quality_labelled_duplicates": lambda s, sf: q.triage(q.labelled_duplicates(
+        mapping.identities(s, sf).withColumn("issue_id", F.concat(F.lit("DQ"), F.col("user_id"))), "identities"))
+        .select("issue_id", "issue_description", "triage_score", "priority"),
     "quality_duplicate_phones": lambda s, sf: q.duplicate_identifiers(mapping.identities(s, sf), "phone_number"),
     "quality_identity_rules": lambda s, sf: q.affected_by_rule(mapping.identities(s, sf), identity_rules()),
     "quality_user_rules": _journeys(lambda t: q.affected_by_rule(t.users, [r for r in q.domain_rules(ALLOWED) if r.table == "users"])),

@@ -99,7 +99,7 @@ def journeys(spark: SparkSession, sf_dir: str) -> Tables:
 
     def users():
         seen = rows().select("custkey", "user_id", F.date_trunc("day", "ts").alias("created_at")).distinct()
-        idle = customers().join(rows().select("custkey"), "custkey", "left_anti").select(
+        idle = customers().join(rows().select("custkey").distinct(), "custkey", "left_anti").select(
             F.concat(F.col("custkey").cast("string"), F.lit("@none")).alias("user_id"),
             F.lit("2024-01-01").cast("timestamp").alias("created_at"), *dims)
         return seen.join(customers(), "custkey").select("user_id", "created_at", *dims).unionByName(idle)
@@ -208,4 +208,6 @@ def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 13 == 0, None).when(key % 17 == 0, "UNKNOWN_CHANNEL").otherwise(F.col("channel")).alias("channel"),
         "device_os",
         F.when(key % 19 != 0, F.col("region")).alias("region"),
+        F.when(key >= 1000, "duplicate_identifier").when(key % 13 == 0, "missing_field").when(key % 17 == 0, "invalid_enum")
+        .when(key % 20 == 0, "date_format_error").alias("issue_type"),
     )

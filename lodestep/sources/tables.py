@@ -45,7 +45,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame |
     """CSV with a header under an explicit schema; None when the file is absent."""
     if not path_exists(spark, path):
         return None
-    return spark.read.csv(path, header=True, schema=schema, mode="PERMISSIVE")
+    return spark.read.csv(path, header=True, schema=schema, mode="PERMISSIVE", escape='"')
 
 
 def load_csv_tables(spark: SparkSession, csv_dir: str, out_dir: str,
@@ -81,7 +81,7 @@ def load_result(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     if not path_exists(spark, path):
         return None
     if fmt == "csv":
-        return spark.read.csv(path, header=True, inferSchema=True)
+        return spark.read.csv(path, header=True, inferSchema=True, escape='"')
     return spark.read.format(fmt).load(path)
 
 
@@ -89,7 +89,7 @@ def write_result(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwr
     """One folder per result, written by all tasks; CSV carries a header."""
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.csv(path, header=True, escape='"')
     else:
         writer.format(fmt).save(path)
 

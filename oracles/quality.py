@@ -79,6 +79,8 @@ _ALLOC = """, al AS (SELECT category, SUM(duration_hours) AS h, round_even(SUM(d
 
 SQL = {
     "quality_duplicate_identifiers": f"{IDENTITIES} SELECT email, COUNT(DISTINCT user_id) AS entities FROM identities GROUP BY email HAVING COUNT(DISTINCT user_id) > 1",
+    "quality_labelled_duplicates": f"""{IDENTITIES} SELECT 'DQ' || user_id AS issue_id, 'email ' || email || ' labelled as shared by several users' AS issue_description,
+      100.0::DOUBLE AS triage_score, 'P0_CRITICAL' AS priority FROM identities WHERE CAST(user_id AS BIGINT) >= 1000""",
     "quality_duplicate_phones": f"{IDENTITIES} SELECT phone_number, COUNT(DISTINCT user_id) AS entities FROM identities GROUP BY phone_number HAVING COUNT(DISTINCT user_id) > 1",
     "quality_identity_rules": IDENTITIES + _IDENTITY_COUNTS,
     "quality_user_rules": f"""{JOURNEYS} SELECT 'DQ_MISS_001' AS issue_id, COUNT(*) FILTER (channel IS NULL) AS affected FROM users

@@ -135,6 +135,21 @@ def test_triage_scores_and_ladder(spark):
     assert [r["p"][:2] for r in ladder.collect()] == ["P0", "P1", "P1", "P2", "P3"]
 
 
+def test_labelled_duplicates_all_score_highest(spark):
+    df = spark.createDataFrame([("DQ0", "a@x", "duplicate_identifier"), ("DQ1", "b@x", "duplicate_identifier"), ("DQ2", "c@x", "missing_field")],
+                               "issue_id string, email string, issue_type string")
+    rows = q.triage(q.labelled_duplicates(df)).collect()
+    assert sorted(r["issue_id"] for r in rows) == ["DQ0", "DQ1"]
+    assert {(r["triage_score"], r["priority"], r["impact_weight"], r["downstream_usage_score"]) for r in rows} == {(100.0, "P0_CRITICAL", 9, 10)}
+
+
+def test_score_of_a_table_that_is_not_given_is_null(spark):
+    issues = spark.createDataFrame([("users", 5), ("elsewhere", 1)], "table_name string, affected_records long")
+    rows = {r["table_name"]: r for r in q.dq_score(issues, {"users": spark.range(1000)}).collect()}
+    assert rows["users"]["dq_score"] == 99.5 and rows["users"]["meets_target"] == 1
+    assert rows["elsewhere"]["dq_score"] is None
+
+
 def test_stage_order_rule_skips_missing_stages(spark):
     e = events_of(spark, [
         ("ok", "registration_start", "2024-01-01 00:00:00"), ("ok", "first_transaction", "2024-01-02 00:00:00"),
@@ -163,6 +178,9 @@ def test_csv_sources(spark, tmp_path):
     rows = users.orderBy("user_id").collect()
     assert rows[0]["created_at"].hour == 10 and rows[1]["created_at"] is None and rows[1]["channel"] is None
     assert tb.read_csv(spark, str(tmp_path / "absent.csv"), SCHEMAS["users"]) is None
+    with open(tmp_path / "kpi_dictionary.csv", "w") as f:
+        f.write(",".join(c.name for c in SCHEMAS["kpi_dictionary"]) + '\nk,"a, ""quoted"" text",c,d,e,f,g,h,i\n')
+    assert tb.read_csv(spark, str(tmp_path / "kpi_dictionary.csv"), SCHEMAS["kpi_dictionary"]).first()["business_definition"] == 'a, "quoted" text'
     counts = tb.load_csv_tables(spark, str(tmp_path), str(tmp_path / "out"))
     assert [tuple(r) for r in counts.collect()] == [("users", 2)]
     assert tb.load_csv_tables(spark, str(tmp_path / "none"), str(tmp_path / "out2")).count() == 0

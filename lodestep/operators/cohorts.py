@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numeric import pct_even
 from ..functions.times import period
-from .stages import reached, stage_flags
+from .stages import reached
 
 FUNNEL_COLUMNS = {
     "registration_start": "s1_registered", "verification_submitted": "s2_verified", "kyc_approved": "s3_kyc_approved",
@@ -17,22 +17,27 @@ FUNNEL_COLUMNS = {
 }
 
 
-def cohort_members(events: DataFrame, start: str = "registration_start", grain: str = "month") -> DataFrame:
-    """(user_id, cohort) once per user and period with a ``start`` event; a user may be in several."""
-    return (events.where(F.col("event_name") == start)
-            .select("user_id", period(F.col("event_time"), grain).alias("cohort")).distinct())
+def cohort_flags(events: DataFrame, stages: Sequence[str], start: str = "registration_start", grain: str = "month") -> DataFrame:
+    """(user_id, cohort, one 0/1 column per stage): a row per user and period with a ``start`` event.
+
+    One scan serves memberships and flags: events are reduced to a row per user and period
+    (one more for the other stages), and the flags then spread over the few rows of their
+    user. It replaces a self-join of the events per stage.
+    """
+    name = F.col("event_name")
+    label = F.when(name == start, period(F.col("event_time"), grain))
+    cells = (events.where(name.isin([start, *stages])).groupBy("user_id", label.alias("cohort"))
+             .agg(*[F.max(F.when(name == s, 1).otherwise(0)).alias(s) for s in stages]))
+    user = Window.partitionBy("user_id")
+    return cells.select("user_id", "cohort", *[F.max(s).over(user).alias(s) for s in stages]).where(F.col("cohort").isNotNull())
 
 
 def cohort_funnel(events: DataFrame, columns: dict[str, str] = FUNNEL_COLUMNS, start: str = "registration_start",
                   grain: str = "month") -> DataFrame:
-    """Users of each cohort that ever reached each stage.
-
-    One flag frame per user replaces a self-join of the events per stage.
-    """
+    """Users of each cohort that ever reached each stage; a user may be in several cohorts."""
     stages = [s for s in columns if s != start]
-    members = cohort_members(events, start, grain).join(stage_flags(events, stages), "user_id", "left")
     counts = [F.count(F.lit(1)).alias(columns[start])] + [reached(s).alias(columns[s]) for s in stages]
-    return members.groupBy("cohort").agg(*counts).select("cohort", *columns.values())
+    return cohort_flags(events, stages, start, grain).groupBy("cohort").agg(*counts).select("cohort", *columns.values())
 
 
 def cohort_rates(cohorts: DataFrame, columns: dict[str, str] = FUNNEL_COLUMNS) -> DataFrame:
@@ -47,9 +52,7 @@ def cohort_rates(cohorts: DataFrame, columns: dict[str, str] = FUNNEL_COLUMNS) -
 
 def channel_cohorts(users: DataFrame, events: DataFrame, by: str = "channel", grain: str = "month") -> DataFrame:
     """Registered, activated and retained users per group and cohort, with rates."""
-    flags = stage_flags(events, ["first_transaction", "week1_active"])
-    members = (cohort_members(events, grain=grain).join(users.select("user_id", by), "user_id")
-               .join(flags, "user_id", "left"))
+    members = cohort_flags(events, ["first_transaction", "week1_active"], grain=grain).join(users.select("user_id", by), "user_id")
     counts = members.groupBy(by, "cohort").agg(
         F.count(F.lit(1)).alias("registered"), reached("first_transaction").alias("activated"),
         reached("week1_active").alias("week1_retained"))

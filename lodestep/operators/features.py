@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import clip, flag, total
 from ..functions.times import hours_between
@@ -188,5 +188,6 @@ def stratified_split(df: DataFrame, label: str, key: str = "user_id", share: flo
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balancing weight per label: rows / (labels * rows of the label)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    rows, labels = df.agg(F.count(F.lit(1))).scalar(), df.agg(F.count_distinct(label)).scalar()
+    every = Window.partitionBy(F.lit(1))  # one row per label
+    rows, labels = F.sum("n").over(every), F.count(F.lit(1)).over(every)
     return counts.select(label, "n", (rows / (labels * F.col("n"))).alias("weight"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numeric import clip, total
 from ..functions.times import days_between, hours_between
+from ..session import materialize
 from ..sources.tables import Tables
 from .features import standardise
 from .stages import stage_flags
@@ -90,16 +91,18 @@ def cluster(points: DataFrame, k: int, starts: int = 20, seed: int = 42) -> Data
 
 def profile(df: DataFrame, columns: Sequence[str] = RFM, by: str = "cluster") -> DataFrame:
     """Mean features, users and share per cluster."""
-    everyone = df.agg(F.count(F.lit(1))).scalar()
     means = df.groupBy(by).agg(*[F.avg(c).alias(c) for c in columns], F.count(F.lit(1)).alias("n_users"))
+    # One row per cluster is left.
+    everyone = F.sum("n_users").over(Window.partitionBy(F.lit(1)))
     return means.withColumn("pct", F.bround(F.col("n_users") / everyone * 100, 1))
 
 
 def name_segments(profiles: DataFrame, by: str = "cluster") -> DataFrame:
     """Name each cluster by the first rule it meets; a repeated name is numbered by falling monetary value.
 
-    ``profiles`` has one row per cluster.
+    ``profiles`` has one row per cluster; it is written once because every rule reads all rows.
     """
+    profiles = materialize(profiles)
     cut = lambda c, p: profiles.agg(F.percentile(c, p)).scalar()
     name = (F.when(F.col("monetary") >= cut("monetary", 0.75), POWER)
             .when(F.col("recency_days") >= cut("recency_days", 0.75), DORMANT)

@@ -144,12 +144,12 @@ def model_attribution_sample(t):
 
 
 def split_report(t):
-    split = ft.stratified_split(ft.activation_features(t), "churned")
+    split = ft.stratified_split(materialize(ft.activation_features(t)), "churned")
     return split.groupBy("churned", "is_test", "fold").agg(F.count(F.lit(1)).alias("n"), F.min("user_id").alias("first_user"))
 
 
 def capped_features(t):
-    raw = ft.activation_features(t)
+    raw = materialize(ft.activation_features(t))
     timing = [c for c in raw.columns if c.startswith("h_")]
     capped = ft.derived_flags(ft.cap_and_fill(raw, timing))
     return _rounded(capped.select("user_id", *timing, "kyc_speed_flag", "fast_onboarding"), 4)
@@ -162,7 +162,7 @@ def encoded_features(t):
 
 def standardised_features(t):
     columns = ["n_transactions", "avg_amount", "n_tickets"]
-    return _rounded(ft.standardise(ft.lifetime_features(t).select("user_id", *columns), columns), 5)
+    return _rounded(ft.standardise(materialize(ft.lifetime_features(t).select("user_id", *columns)), columns), 5)
 
 
 def _segments(t, k=4, starts=5):
@@ -199,7 +199,7 @@ QUERIES = {
     "survival_durations": _journeys(lambda t: _rounded(_durations(t).select("user_id", "channel", "duration", "event"))),
     "survival_dataset_kyc": _journeys(lambda t: _rounded(sv.survival_dataset(t, **HOURS).select(
         "user_id", "duration", "event", "kyc_turnaround_h", "kyc_had_failure"))),
-    "survival_summary": lambda s, sf: sv.dataset_summary(_lifecycle_durations(s, sf)),
+    "survival_summary": lambda s, sf: sv.dataset_summary(materialize(_lifecycle_durations(s, sf))),
     "survival_curve_by_channel": lambda s, sf: _rounded(_curve(s, sf).select("channel", "t", "d", "n", "s")),
     "survival_curve_band": lambda s, sf: _rounded(_curve(s, sf).select("channel", "t", "s_low", "s_high")),
     "survival_curve_journeys": _journeys(lambda t: _rounded(sv.kaplan_meier(_durations(t), ["age_band"]).select("age_band", "t", "d", "n", "s"))),

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestep import session as ss
+from lodestep.operators import cohorts as co
 from lodestep.operators import funnel as fn
 from lodestep.operators import metrics as m
 from lodestep.operators import survival as sv
@@ -69,6 +70,11 @@ def test_funnel_is_one_scan_and_one_shuffle_on_the_entity(stored):
     assert "Window" not in text and "Expand" not in text and "Join" not in text
 
 
+def test_cohorts_scan_the_events_once(stored):
+    text = plan(co.cohort_funnel(stored.events))
+    assert text.count("FileScan") == 1 and "Join" not in text
+
+
 def test_channel_funnel_scans_each_table_once(stored):
     text = plan(fn.account_funnel(stored.users, stored.events))
     assert text.count("FileScan") == 2 and "Expand" not in text

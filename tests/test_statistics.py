@@ -125,6 +125,16 @@ def test_cohort_rates_and_trend(spark):
     assert (head["cohorts"], round(head["avg_activation"], 2), round(head["avg_week1_retention"], 2)) == (11, 23.85, 58.41)
 
 
+def test_a_user_counts_in_every_cohort_of_theirs(spark):
+    rows = [("a", "registration_start", "2024-01-05"), ("a", "registration_start", "2024-02-05"), ("a", "registration_start", "2024-02-09"),
+            ("a", "first_transaction", "2023-12-01"), ("b", "registration_start", "2024-02-01"), ("c", "first_transaction", "2024-02-01")]
+    events = spark.createDataFrame(rows, "user_id string, event_name string, t string").select("user_id", "event_name", F.to_timestamp("t").alias("event_time"))
+    got = {r["cohort"]: (r["s1_registered"], r["s6_first_transaction"], r["s7_week1_active"]) for r in co.cohort_funnel(events).collect()}
+    assert got == {"2024-01": (1, 1, 0), "2024-02": (2, 1, 0)}
+    users = spark.createDataFrame([("a", "x"), ("c", "x")], "user_id string, channel string")
+    assert {r["cohort"]: (r["registered"], r["activated"]) for r in co.channel_cohorts(users, events).collect()} == {"2024-01": (1, 1), "2024-02": (1, 1)}
+
+
 def test_normal_tails(spark):
     df = spark.createDataFrame([(-3.1,), (0.0,), (1.96,), (8.0,), (None,)], "z double")
     rows = df.select("z", normal_cdf("z").alias("c"), two_sided_p("z").alias("p")).collect()

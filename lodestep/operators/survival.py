@@ -28,13 +28,13 @@ def durations(users: DataFrame, events: DataFrame, start: str = "registration_st
               unit: str = "days", floor: float = 0.01, limit: float = 90.0, cap: str = "keep") -> DataFrame:
     """One row per user and start event with (duration, event); users without the goal are censored.
 
-    The clock of the censored stops at the last goal time seen. Durations above ``limit``
+    The clock of the censored stops at the last goal time of these users. Durations above ``limit``
     are cut to it; ``cap="keep"`` leaves the event flag, ``cap="censor"`` clears it.
     """
     starts = events.where(F.col("event_name") == start).select("user_id", F.col("event_time").alias("t_start")).distinct()
     goals = stage_times(events, [goal]).withColumnRenamed(f"t_{goal}", "t_goal")
-    ends = goals.agg(F.max("t_goal")).scalar()
     rows = starts.join(goals, "user_id", "left").join(users, "user_id")
+    ends = rows.agg(F.max("t_goal")).scalar()
     raw = hours_between(F.coalesce(F.col("t_goal"), ends), F.col("t_start")) / UNIT_HOURS[unit]
     happened = F.col("t_goal").isNotNull()
     if cap == "censor":

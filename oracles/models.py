@@ -12,9 +12,12 @@ def _h(end, start):
 
 
 def _durations(base, per, limit):
-    return f"""{base}, dur AS (
+    reached = _h("COALESCE(g.t, (SELECT x FROM last_goal))", "s.event_time")
+    return f"""{base}, last_goal AS (SELECT MAX(e.event_time) AS x FROM onboarding_events e JOIN users USING (user_id)
+      WHERE e.event_name = 'first_transaction' AND e.user_id IN (SELECT user_id FROM onboarding_events WHERE event_name = 'registration_start')),
+    dur AS (
       SELECT u.*, s.event_time AS t_start, CASE WHEN g.t IS NULL THEN 0 ELSE 1 END AS event,
-             LEAST(GREATEST({_h('COALESCE(g.t, (SELECT MAX(event_time) FROM onboarding_events WHERE event_name = ' + chr(39) + 'first_transaction' + chr(39) + '))', 's.event_time')} / {per}, 0.01::DOUBLE), {limit}.0::DOUBLE) AS duration
+             LEAST(GREATEST({reached} / {per}, 0.01::DOUBLE), {limit}.0::DOUBLE) AS duration
       FROM (SELECT DISTINCT user_id, event_time FROM onboarding_events WHERE event_name = 'registration_start') s
       JOIN users u USING (user_id)
       LEFT JOIN (SELECT user_id, MAX(event_time) AS t FROM onboarding_events WHERE event_name = 'first_transaction' GROUP BY user_id) g USING (user_id))"""

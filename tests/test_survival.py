@@ -153,7 +153,9 @@ def test_durations_floor_cap_and_censoring(spark):
         [("a", "registration_start", "2024-01-01 00:00:00"), ("a", "first_transaction", "2024-01-03 12:00:00"),
          ("b", "registration_start", "2024-01-05 00:00:00"), ("b", "first_transaction", "2024-01-04 00:00:00"),
          ("c", "registration_start", "2024-01-01 00:00:00"), ("d", "registration_start", "2023-01-01 00:00:00"),
-         ("d", "first_transaction", "2024-01-11 00:00:00")], "user_id string, event_name string, t string",
+         ("d", "first_transaction", "2024-01-11 00:00:00"),
+         # Never registered, so this time does not move the end of the observation.
+         ("e", "first_transaction", "2024-06-01 00:00:00")], "user_id string, event_name string, t string",
     ).select("user_id", "event_name", F.to_timestamp("t").alias("event_time"))
     got = {r["user_id"]: (r["duration"], r["event"]) for r in sv.durations(users, events).collect()}
     assert got == {"a": (2.5, 1), "b": (0.01, 1), "c": (10.0, 0), "d": (90.0, 1)}

@@ -21,6 +21,8 @@ from .running import order_cuts, running_sums
 from .spread import left_fan_out
 from .stages import stage_times
 
+LOG_UNITS = 1e15
+SLACK = 1e-12
 UNIT_HOURS = {"hours": 1.0, "days": 24.0}
 
 
@@ -78,7 +80,10 @@ def kaplan_meier(dataset: DataFrame, by: Sequence[str] = (), time: str = "durati
 
     Rows: group, t, d (events), n (at risk), s, s_low, s_high. The at-risk count is a
     running sum from the end, survival a running sum of logs from the start. Once the
-    last subject at risk has the event, survival is 0 from there on.
+    last subject at risk has the event, survival is 0 from there on. Logs are added as whole
+    numbers of ``1 / LOG_UNITS``: such sums do not depend on the order of addition, so the
+    curve never rises by a rounding error and repeats exactly. Their total stays within
+    the log of the number of subjects.
     """
     table = materialize(life_table(dataset, by, time, event))
     cuts = order_cuts(table, "t") if cuts is None else cuts
@@ -86,10 +91,10 @@ def kaplan_meier(dataset: DataFrame, by: Sequence[str] = (), time: str = "durati
     d, n = F.col("d"), F.col("n")
     steps = at_risk.select(
         *by, "t", "d", "n",
-        F.when(d < n, F.log1p(-d / n)).otherwise(0.0).alias("_log"), (d == n).cast("int").alias("_end"),
+        F.when(d < n, F.round(F.log1p(-d / n) * LOG_UNITS)).otherwise(0.0).cast("long").alias("_log"), (d == n).cast("int").alias("_end"),
         F.when(d < n, d / (n * (n - d))).otherwise(0.0).alias("_var"))
     curve = running_sums(steps, "t", {"_logs": "_log", "_ended": "_end", "_vars": "_var"}, by, cuts=cuts)
-    s = F.when(F.col("_ended") > 0, F.lit(0.0)).otherwise(F.exp("_logs"))
+    s = F.when(F.col("_ended") > 0, F.lit(0.0)).otherwise(F.exp(F.col("_logs") / LOG_UNITS))
     out = curve.select(*by, "t", "d", "n", s.alias("s"), "_vars")
     width = F.lit(normal_quantile(1 - alpha / 2)) * F.sqrt("_vars") / F.log("s")
     inside = (F.col("s") > 0) & (F.col("s") < 1)
@@ -98,9 +103,12 @@ def kaplan_meier(dataset: DataFrame, by: Sequence[str] = (), time: str = "durati
 
 
 def median_survival(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """First time at which survival is at most one half; infinity when it never is."""
+    """First time at which survival is at most one half; infinity when it never is.
+
+    The slack covers the rounding of the summed logs, far below the step of one subject.
+    """
     grouped = curve.groupBy(*by) if by else curve
-    first = F.min(F.when(F.col("s") <= 0.5, F.col("t")))
+    first = F.min(F.when(F.col("s") <= 0.5 + SLACK, F.col("t")))
     return grouped.agg(F.coalesce(first, F.lit(float("inf"))).alias("median_survival"))
 
 

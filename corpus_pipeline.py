@@ -10,6 +10,9 @@ from lodestep.llm.common import prepare, read, stored
 STAGES = [
     ("quality_rules", stages.quality_rules),
     ("exact_dedup", stages.exact_dedup),
+    ("near_dedup", stages.near_dedup),
+    ("secret_scan", stages.redact_secrets),
+    ("packing", stages.packed),
 ]
 
 #: SQL has no tokenizer, so none for the packed result; the tests hold each stage against brute force.

@@ -7,29 +7,55 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestep.llm import exact, rules
-from lodestep.llm.common import prepare, read, stored
+from lodestep.llm import exact, packing, rules, secret_scan, simhash
+from lodestep.llm.common import prepare, read
 from lodestep.session import new_path
 
 
+def bpe_file() -> str:
+    """The byte-level BPE file of the token queries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def new_index(spark: SparkSession) -> str:
     """An empty digest index of its own for one run, with a bucket for each shuffle partition."""
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return exact.open_index(spark, f"digests_{uuid.uuid4().hex}", new_path(spark, "index"), buckets)
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = secret_scan.scan(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in secret_scan.KINDS],
+                        F.sha2(secret_scan.listed("spans", secret_scan.KINDS[:3]), 256).alias("base_sha256"),
+                        secret_scan.listed("spans").alias("spans"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return packing.pack(read(spark, sf_dir, "documents"), bpe_file(), with_ids=False).drop("ids")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     out = rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return exact.decide(read(spark, sf_dir, "documents"), new_index(spark))
 
 
-QUERIES = {"op5_quality_rules": op5_quality_rules, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {q.__name__: q for q in (op1_secret_scan, op2_packing, op5_quality_rules, op6_simhash, op9_exact_dedup)}
 
 SQL = {
     "op9_exact_dedup": """

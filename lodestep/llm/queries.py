@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestep.llm import exact, packing, rules, secret_scan, simhash
+from lodestep.llm import classifier, exact, packing, rules, secret_scan, simhash
 from lodestep.llm.common import prepare, read
 from lodestep.session import new_path
 
@@ -39,6 +39,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), bpe_file(), with_ids=False).drop("ids")
 
 
+def op4_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = read(spark, sf_dir, "documents")
+    return classifier.score(docs, classifier.learn(docs, read(spark, sf_dir, "labels")))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     out = rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -55,7 +61,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.decide(read(spark, sf_dir, "documents"), new_index(spark))
 
 
-QUERIES = {q.__name__: q for q in (op1_secret_scan, op2_packing, op5_quality_rules, op6_simhash, op9_exact_dedup)}
+QUERIES = {q.__name__: q for q in (op1_secret_scan, op2_packing, op4_classifier, op5_quality_rules, op6_simhash, op9_exact_dedup)}
 
 SQL = {
     "op9_exact_dedup": """

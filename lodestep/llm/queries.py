@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestep.llm import classifier, exact, packing, rules, secret_scan, simhash
+from lodestep.llm import classifier, exact, packing, paragraphs, rules, secret_scan, simhash
 from lodestep.llm.common import prepare, read
 from lodestep.session import new_path
 
@@ -61,7 +61,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.decide(read(spark, sf_dir, "documents"), new_index(spark))
 
 
-QUERIES = {q.__name__: q for q in (op1_secret_scan, op2_packing, op4_classifier, op5_quality_rules, op6_simhash, op9_exact_dedup)}
+def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return paragraphs.repeated(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_secret_scan, op2_packing, op4_classifier, op5_quality_rules, op6_simhash, op9_exact_dedup,
+                                   op10_paragraph_dedup)}
 
 SQL = {
     "op9_exact_dedup": """

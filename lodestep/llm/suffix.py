@@ -199,6 +199,8 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = _mixed(number * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
         for s in range(int(low.min()), int(high.max()) + 1):
             some = np.flatnonzero((s >= low) & (s <= high) & (s <= left) & (LENGTH - s <= size - left))
+            if not len(some):
+                continue
             start = begin[some] + left[some] - s
             value = _mixed((sums[start + LENGTH] - sums[start]) * back[start]) ^ salt[some]
             order = np.argsort(value, kind="stable")

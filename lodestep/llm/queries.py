@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestep.llm import classifier, exact, packing, paragraphs, rules, secret_scan, simhash
+from lodestep.llm import classifier, exact, packing, paragraphs, rules, secret_scan, simhash, suffix
 from lodestep.llm.common import prepare, read
 from lodestep.session import new_path
 
@@ -56,6 +56,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return suffix.remove_repeats(read(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return exact.decide(read(spark, sf_dir, "documents"), new_index(spark))
@@ -66,7 +71,7 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.repeated(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secret_scan, op2_packing, op4_classifier, op5_quality_rules, op6_simhash, op9_exact_dedup,
+QUERIES = {q.__name__: q for q in (op1_secret_scan, op2_packing, op4_classifier, op5_quality_rules, op6_simhash, op7_suffix_dedup, op9_exact_dedup,
                                    op10_paragraph_dedup)}
 
 SQL = {

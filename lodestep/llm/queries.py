@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestep.llm import classifier, exact, packing, paragraphs, rules, secret_scan, simhash, suffix
+from lodestep.llm import classifier, exact, packing, paragraphs, rules, secret_scan, shards, simhash, suffix
 from lodestep.llm.common import prepare, read
 from lodestep.session import new_path
 
@@ -39,6 +39,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), bpe_file(), with_ids=False).drop("ids")
 
 
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    target = new_path(spark, "shards")
+    shards.write(read(spark, sf_dir, "documents"), bpe_file(), target)
+    return shards.checked(shards.read(spark, target))
+
+
 def op4_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = read(spark, sf_dir, "documents")
@@ -71,7 +78,7 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.repeated(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secret_scan, op2_packing, op4_classifier, op5_quality_rules, op6_simhash, op7_suffix_dedup, op9_exact_dedup,
+QUERIES = {q.__name__: q for q in (op1_secret_scan, op2_packing, op3_shards, op4_classifier, op5_quality_rules, op6_simhash, op7_suffix_dedup, op9_exact_dedup,
                                    op10_paragraph_dedup)}
 
 SQL = {

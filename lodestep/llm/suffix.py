@@ -133,7 +133,7 @@ def _anchored(texts: DataFrame) -> DataFrame:
 
 
 def _contexts(texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """key, gram, around, single, left, bytes, low, high: each class with the bytes around its first anchor."""
+    """Rows of _CONTEXT: each class with the bytes around its first anchor."""
     wanted = classes.groupBy(F.col("at.doc_id").alias("of"), F.col("at.mark").alias("marked")).agg(
         F.collect_list(F.struct("at.pos", "gram", "around", "single")).alias("places"))
 
@@ -144,16 +144,16 @@ def _contexts(texts: DataFrame, classes: DataFrame) -> DataFrame:
                 for x in places:
                     p = x["pos"]
                     rows.append((x["gram"], x["gram"], x["around"], x["single"], min(p, LENGTH - GRAM), raw[max(0, p - LENGTH + GRAM):p + LENGTH],
-                                 0, LENGTH - GRAM))
+                                 0, LENGTH - GRAM, None))
             yield _rows(rows)
 
     joined = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["of"]) & (texts["mark"] == wanted["marked"]))
     return joined.select("raw", "places").mapInArrow(cut, _CONTEXT)
 
 
-_CONTEXT = "key long, gram long, around long, single boolean, left int, bytes binary, low int, high int"
+_CONTEXT = "key long, gram long, around long, single boolean, left int, bytes binary, low int, high int, whole long"
 _TYPES = pa.schema([("key", pa.int64()), ("gram", pa.int64()), ("around", pa.int64()), ("single", pa.bool_()), ("left", pa.int32()),
-                    ("bytes", pa.binary()), ("low", pa.int32()), ("high", pa.int32())])
+                    ("bytes", pa.binary()), ("low", pa.int32()), ("high", pa.int32()), ("whole", pa.int64())])
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -162,9 +162,12 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of large buckets under the identifier of what all strings of either half of their starts share."""
+    """Rows of large buckets under the identifier of what all strings of either half of their starts share; ``whole``
+    identifies all the bytes these strings cover, where the row has them."""
     import xxhash
 
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+
     for batch in batches:
         rows = []
         for x in batch.to_pylist():
@@ -172,9 +175,10 @@ def _halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for low, high in ((x["low"], middle), (middle + 1, x["high"])):
                 # starts ``s`` bytes before the anchor are within the bytes from LENGTH - right to left
                 if low <= high and max(low, LENGTH - (len(x["bytes"]) - x["left"])) <= min(high, x["left"]):
-                    shared = x["bytes"][x["left"] - low:x["left"] + LENGTH - high]
-                    key = xxhash.xxh3_64_intdigest(shared, low << 16 | high)
-                    rows.append((key - (1 << 64) if key >> 63 else key, x["gram"], x["around"], x["single"], x["left"], x["bytes"], low, high))
+                    key = signed(xxhash.xxh3_64_intdigest(x["bytes"][x["left"] - low:x["left"] + LENGTH - high], x["key"] & 0xFFFFFFFF))
+                    inside = high <= x["left"] and x["left"] + LENGTH - low <= len(x["bytes"])
+                    whole = signed(xxhash.xxh3_64_intdigest(x["bytes"][x["left"] - high:x["left"] + LENGTH - low])) if inside else None
+                    rows.append((key, x["gram"], x["around"], x["single"], x["left"], x["bytes"], low, high, whole))
         yield _rows(rows)
 
 
@@ -241,6 +245,14 @@ def _refined(contexts: DataFrame) -> DataFrame:
     bucket = ["key", "low", "high"]
     now, out = contexts, None
     while True:
+        if out is not None:
+            # Rows of a bucket that agree in all bytes of their half: every string of it repeats. One of them goes on, as a partner for others.
+            same = now.filter("whole IS NOT NULL").groupBy(*bucket, "whole").agg(F.count(F.lit(1)).alias("alike"), F.min(F.struct("gram", "around")).alias("one"))
+            marked = now.join(stored(same.filter("alike > 1"), "alike"), [*bucket, "whole"], "left")
+            sure = marked.filter("alike > 1 AND single").select("gram", "around", F.col("high").alias("before"), (LENGTH - F.col("low")).alias("after"))
+            out = out.unionByName(stored(sure, "sure"))
+            now = stored(marked.filter("alike IS NULL OR (gram = one.gram AND around = one.around)")
+                         .withColumn("single", F.col("single") & F.col("alike").isNull()).select(*contexts.columns), "left")
         sizes = now.groupBy(*bucket).agg(F.count(F.lit(1)).alias("members"), F.max("single").alias("open")).filter("members > 1 AND open")
         sizes = stored(sizes, "buckets")
         rows = now.join(sizes, bucket)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestep.llm import classifier, exact, packing, paragraphs, rules, secret_scan, shards, simhash, suffix
+from lodestep.llm import classifier, exact, packing, paragraphs, pieces, rules, secret_scan, shards, simhash, suffix
 from lodestep.llm.common import prepare, read
 from lodestep.session import new_path
 
@@ -19,6 +19,13 @@ def bpe_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_file() -> str:
+    """The SentencePiece model of the segmentation query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def new_index(spark: SparkSession) -> str:
     """An empty digest index of its own for one run, with a bucket for each shuffle partition."""
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -68,6 +75,11 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(read(spark, sf_dir, "documents"), with_text=False).drop("kept")
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return pieces.encode(read(spark, sf_dir, "documents"), piece_file(), with_ids=False).drop("ids")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return exact.decide(read(spark, sf_dir, "documents"), new_index(spark))
@@ -78,8 +90,8 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.repeated(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secret_scan, op2_packing, op3_shards, op4_classifier, op5_quality_rules, op6_simhash, op7_suffix_dedup, op9_exact_dedup,
-                                   op10_paragraph_dedup)}
+QUERIES = {q.__name__: q for q in (op1_secret_scan, op2_packing, op3_shards, op4_classifier, op5_quality_rules, op6_simhash, op7_suffix_dedup,
+                                   op8_sentencepiece, op9_exact_dedup, op10_paragraph_dedup)}
 
 SQL = {
     "op9_exact_dedup": """

@@ -80,9 +80,10 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     bucket = ((hashed ^ hashed >> np.uint64(29)) * _BASE >> np.uint64(56)).astype(np.int64)
     table = np.bincount(place * BUCKETS + bucket, minlength=total * BUCKETS).reshape(total, BUCKETS)
     words = np.maximum(1, np.bincount(place, minlength=total)).astype(np.float64)
-    length = np.maximum(1, np.bincount(place, weights=end - start, minlength=total))
+    length = np.bincount(place, weights=end - start, minlength=total)
     shape = np.empty((total, SHAPES), np.float32)
     shape[:, 0] = length / words / 10
+    length = np.maximum(1, length)
     same = np.zeros(len(start))
     same[1:] = (hashed[1:] == hashed[:-1]) & (place[1:] == place[:-1])
     shape[:, 1] = np.bincount(place, weights=same, minlength=total) / words

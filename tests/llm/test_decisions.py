@@ -1,0 +1,189 @@
+"""Exact dedup, quality rules, classifier and secret scans."""
+
+import hashlib
+import re
+import uuid
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lodestep.llm import classifier, exact, rules, secret_scan
+from lodestep.llm.common import read, stored
+from lodestep.llm.queries import new_index
+from lodestep.session import new_path
+
+
+def low(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def test_exact_decisions_on_edges(spark, edges, nothing):
+    got = exact.decide(edges, new_index(spark)).collect()
+    rows = edges.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    groups = {}
+    for r in rows:
+        groups.setdefault(hashlib.sha256(low(r["text"]).encode()).hexdigest(), []).append(r["doc_id"])
+    for r in got:
+        ids = groups[r["text_sha256"]]
+        assert r["group_size"] == len(ids)
+        assert r["keep_id"] == max((i for i in ids if i is not None), default=None)
+    assert sum(r["kept"] for r in got) == len(groups)  # one row of each text, repeated rows too
+    assert exact.decide(nothing, new_index(spark)).count() == 0
+
+
+def test_exact_keeps_rows_with_their_columns(spark, edges):
+    kept = exact.deduplicate(edges, new_index(spark))
+    assert kept.columns == edges.columns
+    assert sorted(low(r["text"]) for r in kept.collect()) == sorted({low(r["text"]) for r in edges.select("text").collect()})
+
+
+def test_index_outlives_batches_and_sessions(spark):
+    path = new_path(spark, "index")
+    name = exact.open_index(spark, f"first_{uuid.uuid4().hex}", path, 4)
+    batch = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    first = {r["doc_id"]: r for r in exact.decide(batch([(1, "a"), (2, "A"), (3, "b")]), name).collect()}
+    assert [first[i]["kept"] for i in (1, 2, 3)] == [False, True, True]
+    again = exact.open_index(spark, f"second_{uuid.uuid4().hex}", path, 4)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    later = {r["doc_id"]: r for r in exact.decide(batch([(9, "a"), (10, "c"), (11, "c")]), again).collect()}
+    assert (later[9]["kept"], later[9]["keep_id"]) == (False, 2)
+    assert [later[i]["kept"] for i in (10, 11)] == [False, True]
+    assert spark.table(again).count() == 3
+    both = spark.table(again).hint("merge").join(spark.table(again), "digest")
+    assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()  # bucketed by digest: nothing of the index moves
+
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_counts(text):
+    words = WORD.findall(text or "")
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    seen = {}
+    for w in windows:
+        seen[w] = seen.get(w, 0) + 1
+    covered = {i + k for i, w in enumerate(windows) if seen[w] > 1 for k in range(3)}
+    lines, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            dup += line in lines
+            lines.add(line)
+    n_repeat = len(covered)
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), dup, n_repeat)
+
+
+def test_rule_statistics_equal_brute_force(edges, docs, nothing):
+    for table in (edges, docs):
+        rows = table.select("doc_id", "text").collect()
+        got = sorted(map(tuple, rules.statistics(table).select("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").collect()))
+        assert got == sorted(brute_counts(r["text"]) for r in rows)
+    assert rules.statistics(nothing).count() == 0
+
+
+def test_rules_learn_what_labels_say(spark, edges, nothing, labels):
+    sf = "/root/testdata/sf0.01"
+    known = read(spark, sf, "labels")
+    out = rules.judge(read(spark, sf, "documents"), known)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    got = out.join(known, "doc_id").filter("NOT base_failed").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    kept = {r["quality"]: r["kept"] for r in got}
+    assert kept[1] > 0.99 and kept[0] < 0.2
+    assert rules.judge(edges, labels).count() == edges.count()
+    none = labels.limit(0)
+    assert rules.judge(edges, none).filter("rule <> 0").count() == 0
+    assert rules.judge(nothing, labels).count() == 0
+
+
+def test_rules_are_ordered_and_pruned(spark):
+    rows = [(i, 100 + i % 7, 0 if i % 4 == 0 else 1) for i in range(400)]
+    stats = spark.createDataFrame([(i, 100, 500, 200 if bad == 0 else i % 5, 0, 0, 5, 90, 0, 0) for i, _, bad in rows],
+                                  "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, "
+                                  "n_distinct_words long, n_upper long, n_marks long")
+    known = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    found = rules.learn(stored(stats), known)
+    assert [[x.measure for x in r] for r in found] == [["symbol_share"]] and found[0][0].above
+    verdicts = stats.select("doc_id", rules.rule_number(found).alias("rule")).join(known, "doc_id").groupBy("quality", "rule").count().collect()
+    assert {(r["quality"], r["rule"]) for r in verdicts} == {(0, 1), (1, 0)}
+
+
+def test_classifier_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    table, known = read(spark, sf, "documents"), read(spark, sf, "labels")
+    got = classifier.score(table, classifier.learn(table, known)).join(known, "doc_id").toPandas()
+    held = got[got.held_out]
+    assert len(held) > 40 and (held.predicted == held.quality).mean() > 0.93
+    assert got.score.between(0, 1).all()
+
+
+def test_classifier_never_learns_held_out_labels(spark, docs, sf):
+    known = read(spark, sf, "labels")
+    model = classifier.learn(docs, known)
+    turned = known.withColumn("quality", F.when(classifier.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    again = classifier.learn(docs, turned)
+    assert all(np.array_equal(model.p[k], again.p[k]) for k in model.p)
+
+
+def test_classifier_on_edges(edges, nothing, labels):
+    model = classifier.learn(edges, labels)
+    got = classifier.score(edges, model).toPandas()
+    assert len(got) == edges.count() and got.score.between(0, 1).all()
+    assert classifier.score(nothing, classifier.learn(nothing, labels)).count() == 0
+    segmented, first = classifier.bags([b"w " * 700_000, b""])
+    assert first[1] == len(segmented) - 1 and (segmented[-1] == 0).all()
+
+
+def test_classifier_gradients(spark):
+    rng = np.random.default_rng(0)
+    x = rng.random((9, classifier.WIDTH)).astype(np.float32)
+    first, y = np.array([0, 2, 5]), np.array([1.0, 0.0, 1.0])
+    model = classifier.fit(np.zeros((0, classifier.WIDTH), np.float32), np.zeros(0, np.int64), np.zeros(0))
+    model.p = {k: np.asarray(v, np.float64) for k, v in model.p.items()}
+    loss = lambda: float(np.mean(np.log1p(np.exp(f := model.forward(x, first)["logit"])) - y * f))
+    grads = model.gradients(x, first, y)
+    for name, at in (("w", (3, 4)), ("v", (2, 1)), ("u", (0, 3)), ("a", (5,)), ("c", (7,)), ("b", (1,))):
+        held = model.p[name][at]
+        ends = []
+        for step in (1e-4, -1e-4):
+            model.p[name][at] = held + step
+            ends.append(loss())
+        model.p[name][at] = held
+        assert grads[name][at] == pytest.approx((ends[0] - ends[1]) / 2e-4, abs=1e-6)
+
+
+def brute_spans(text):
+    out = []
+    for kind, pattern, flags in ((0, r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
+                                 (1, "AKIA[A-Z0-9]+", 0), (2, "[0-9a-f]+", 0)):
+        for m in re.finditer(pattern, text or "", flags):
+            if len(m[2] if kind == 0 else m[0]) >= (6, 20, 24)[kind]:
+                out.append((m.start(), kind, m.end()))
+    return sorted(out)
+
+
+def test_secret_base_spans(spark, docs, edges, texts):
+    more = spark.createDataFrame([(1, 'ü PASSWORD : "abc.def=" apikey=short api_key= longer99 tokENs=no'), (2, "AKIA" + "Z" * 15 + " AKIA" + "Q9" * 8 + " " + "0f" * 12),
+                                  (3, "toKen=abcdef secret:'x' paſſword=abcdefgh")], "doc_id long, text string")
+    for table in (docs, edges, more):
+        want = sorted(str([(s, secret_scan.KINDS[k], e) for s, k, e in brute_spans(r["text"])]) for r in table.select("text").collect())
+        got = [str([(s["start"], s["kind"], s["end"]) for s in r["spans"] if s["kind"] != "novel"]) for r in secret_scan.scan(table).collect()]
+        assert sorted(got) == want
+
+
+def test_novel_strings_in_sensitive_places(spark, nothing):
+    rows = [(1, "the auth header was Bearer q7Zk2Lw9Xr4Tn8Vb3Ym6Pd1Hs5Jf0Gc and more"), (2, "private key: access_token_for_the_client_secret_name"),
+            (3, "a stone q7Zk2Lw9Xr4Tn8Vb3Ym6Pd1Hs5Jf0Gc lies here"), (4, "session key q7Zk2Lw9Xr4Tn8Vb3Ym6Pd1Hs5Jf0Gc of q7Zk2Lw9Xr4Tn8Vb3Ym6Pd1Hs5Jf0Gc"),
+            (5, "login with Passwords12 Passwords12 Passwords12Passwords12 now")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secret_scan.scan(table, dictionary=[]).collect()}
+    assert found[1] == ["novel"] and found[2] == [] and found[3] == [] and found[5] == []
+    assert secret_scan.scan(nothing).count() == 0 and secret_scan.redact(nothing).count() == 0
+
+
+def test_redaction_keeps_rows_and_the_rest_of_the_text(spark, edges):
+    table = spark.createDataFrame([(1, "x password=abcdefghij y", "k"), (2, None, "k"), (3, "clean", "k")], "doc_id long, text string, spans string")
+    got = {r["doc_id"]: r["text"] for r in secret_scan.redact(table).collect()}
+    assert got == {1: "x [SECRET] y", 2: None, 3: "clean"}
+    assert secret_scan.redact(edges).columns == edges.columns

@@ -13,6 +13,7 @@ from ..functions.times import days_between, hours_between, period
 from ..sources.tables import Tables
 from .metrics import turnaround_hours
 from .quantiles import LINEAR, quantiles
+from .running import join_null_safe
 from .spread import spread_join
 from .stages import reached, stage_times, user_flags
 
@@ -57,13 +58,12 @@ def conversion(tables: Tables, start: str, goal: str, days: float, dims: Sequenc
 
 
 def stage_ratio(tables: Tables, numerator: str, denominator: str, dims: Sequence[str] = (),
-                as_of: Column | None = None, complement: bool = False) -> DataFrame:
-    """Users at one stage per users at another; ``complement`` gives the missing share."""
+                as_of: Column | None = None) -> DataFrame:
+    """Users at one stage per users at another."""
     end = last_event(tables) if as_of is None else as_of
     base = with_user_dims(tables.users, dims, end)
     flags = user_flags(base, tables.events, [numerator, denominator])
-    top = reached(denominator) - reached(numerator) if complement else reached(numerator)
-    return _ratio_rows(flags, dims, top, reached(denominator))
+    return _ratio_rows(flags, dims, reached(numerator), reached(denominator))
 
 
 def onboarding_completion(tables, dims=(), as_of=None):
@@ -113,12 +113,18 @@ def kyc_failure(tables, dims=(), as_of=None):
 
 
 def ticket_rate(tables: Tables, dims: Sequence[str] = (), as_of: Column | None = None) -> DataFrame:
-    """Tickets per 1,000 users; ``topic`` splits tickets over all users, other dimensions split users."""
+    """Tickets per 1,000 users. ``topic`` splits the tickets, other dimensions split tickets and users."""
     if "topic" in dims:
-        users = tables.users.agg(F.count(F.lit(1))).scalar()
-        counts = tables.tickets.groupBy(*dims).agg(F.count(F.lit(1)).alias("numerator"))
-        return counts.select(*dims, "numerator", users.alias("denominator"),
-                             F.round(ratio(F.col("numerator"), users, 1000.0), 4).alias("value"))
+        other = [d for d in dims if d != "topic"]
+        users = with_user_dims(tables.users, other, last_event(tables) if as_of is None else as_of)
+        if other:
+            per_user = tables.tickets.groupBy("user_id", "topic").agg(F.count(F.lit(1)).alias("n"))
+            counts = per_user.join(users, "user_id").groupBy(*dims).agg(F.sum("n").alias("numerator"))
+            rows = join_null_safe(counts, users.groupBy(*other).agg(F.count(F.lit(1)).alias("denominator")), other)
+        else:
+            counts = tables.tickets.groupBy("topic").agg(F.count(F.lit(1)).alias("numerator"))
+            rows = counts.withColumn("denominator", users.agg(F.count(F.lit(1))).scalar())
+        return rows.select(*dims, "numerator", "denominator", F.round(ratio(F.col("numerator"), F.col("denominator"), 1000.0), 4).alias("value"))
     end = last_event(tables) if as_of is None else as_of
     per_user = tables.tickets.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     rows = with_user_dims(tables.users, dims, end).join(per_user, "user_id", "left")
@@ -148,8 +154,11 @@ def transaction_success(tables, dims=(), as_of=None):
     return _ratio_rows(tables.transactions, dims, total(F.col("status") == "success"), F.count(F.lit(1)))
 
 
-def dropout_at_verification(tables, dims=(), as_of=None):
-    return stage_ratio(tables, "verification_submitted", "registration_start", dims, as_of, complement=True)
+def dropout_at_verification(tables: Tables, dims: Sequence[str] = (), as_of: Column | None = None, days: int = 30) -> DataFrame:
+    """Share of users who start registration and do not submit verification within ``days``; users observed for less are left out."""
+    got = conversion(tables, "registration_start", "verification_submitted", days, dims, as_of)
+    missing = F.col("denominator") - F.col("numerator")
+    return got.select(*dims, missing.alias("numerator"), "denominator", F.round(ratio(missing, F.col("denominator"), 100.0), 4).alias("value"))
 
 
 def account_creation(tables: Tables, dims=(), as_of=None, alert_below: float = 95.0) -> DataFrame:

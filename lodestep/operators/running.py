@@ -17,35 +17,30 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 
-# Frames up to this many rows are summed by one window per group.
-ONE_WINDOW_ROWS = 200_000
-# Slices of a larger frame hold about this many rows.
+# A slice holds about this many rows; a frame has as many slices as that takes.
 ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 4_000
 _SLICE = "_slice"
 _ONE = "_one"
 
 
-def order_cuts(df: DataFrame, order: str, one_window_rows: int = ONE_WINDOW_ROWS,
-               rows_per_slice: int = ROWS_PER_SLICE) -> list[float]:
-    """Ascending cut points for ``order``; empty when one window is enough."""
-    rows = df.count()
-    if rows <= one_window_rows:
+def order_cuts(df: DataFrame, order: str, rows_per_slice: int = ROWS_PER_SLICE) -> list[float]:
+    """Ascending cut points for ``order``; none where one slice holds all rows."""
+    slices = -(-df.count() // rows_per_slice)
+    if slices <= 1:
         return []
-    slices = int(min(MAX_SLICES, max(8, rows // rows_per_slice)))
     probabilities = [i / slices for i in range(1, slices)]
-    found = df.select(F.col(order).cast("double").alias("v")).approxQuantile(
-        "v", probabilities, 0.25 / slices)
+    value = F.col(order).cast("double")
+    found = df.select(value.alias("v")).where(~F.isnan("v")).approxQuantile("v", probabilities, 0.25 / slices)
     return sorted(set(found))
 
 
 def with_slices(df: DataFrame, order: str, cuts: Sequence[float]) -> DataFrame:
-    if not cuts:
-        return df.withColumn(_SLICE, F.lit(0.0))
+    """Number the slices in ascending order: NULL first and NaN last, as windows order them."""
     value = f"_{order}_value"
     numbered = df.withColumn(value, F.col(order).cast("double"))
     edges = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=edges, inputCol=value, outputCol=_SLICE).transform(numbered).drop(value)
+    sliced = Bucketizer(splits=edges, inputCol=value, outputCol=_SLICE, handleInvalid="keep").transform(numbered)
+    return sliced.withColumn(_SLICE, F.when(F.col(value).isNull(), -1.0).otherwise(F.col(_SLICE))).drop(value)
 
 
 def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -70,7 +65,7 @@ def running_sums(df: DataFrame, order: str, sums: Mapping[str, str], by: Sequenc
     columns, ``totals`` adds whole-group sums the same way. Choosing slices and summing
     them read the frame several times, so it is written once first; ``stored=True`` says
     it already lies in files or in the cache. Pass ``cuts`` to share slices between calls
-    on the same values; an empty list asks for one window per group.
+    on the same values. An empty list says that one slice holds all rows: nothing lies before it, so its window is the result.
     """
     totals = dict(totals or {})
     if not stored and (cuts is None or cuts):
@@ -89,7 +84,6 @@ def running_sums(df: DataFrame, order: str, sums: Mapping[str, str], by: Sequenc
             *[F.sum(src).over(whole).alias(name) for name, src in totals.items()],
         )
         return out if by else out.drop(_ONE)
-
     sliced = with_slices(df, order, cuts)
     sources = sorted(set(sums.values()) | set(totals.values()))
     per_slice = sliced.groupBy(*by, _SLICE).agg(*[F.sum(s).alias(f"_t_{s}") for s in sources])

@@ -58,6 +58,7 @@ QUERIES = {
     "kpi_kyc_failure": _kpi("kyc_failure_rate", ["device_os", "region"], mapping.commerce),
     "kpi_ticket_rate": _kpi("ticket_rate_per_1000_users", ["channel"]),
     "kpi_ticket_rate_by_topic": _kpi("ticket_rate_per_1000_users", ["topic"]),
+    "kpi_ticket_rate_by_channel_topic": _kpi("ticket_rate_per_1000_users", ["channel", "topic"]),
     "kpi_ticket_rate_by_tenure": _kpi("ticket_rate_per_1000_users", ["user_tenure"], mapping.commerce),
     "kpi_time_to_first_transaction": _kpi("median_time_to_first_transaction", ["channel"], _lifecycle_tables),
     "kpi_funding_success": _kpi("funding_success_rate"),

@@ -19,8 +19,11 @@ def _event_stream(spark, sf):
 
 
 def stage_users(spark, sf):
-    closed = st.run_available(st.stage_users(_event_stream(spark, sf), TYPES), "stage-users")
-    return closed.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_name", "users")
+    rows = st.stage_rows(_event_stream(spark, sf), TYPES)
+    path = new_path(spark, "stage-users")
+    st.distinct_batches(rows, path, new_path(spark, "stage-users-checkpoint")).awaitTermination()
+    counted = st.stage_users(spark.read.parquet(path))
+    return counted.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_name", "users")
 
 
 def rule_counts(spark, sf):

@@ -45,8 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, which :func:`drop_intermediates` deletes."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _written(spark).append(path)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -59,7 +61,6 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, "table")
     df.write.parquet(path)
-    _written(spark).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -70,7 +71,7 @@ def _written(spark: SparkSession) -> list[str]:
 
 
 def drop_intermediates(spark: SparkSession) -> int:
-    """Delete the tables :func:`materialize` wrote in this session; frames that read them end here."""
+    """Delete what this session wrote below fresh paths; frames that read it end here."""
     paths = _written(spark)
     for path in paths:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)

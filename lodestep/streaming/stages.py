@@ -16,32 +16,26 @@ def read_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
     return spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_trigger).load(path)
 
 
-def stage_users(events: DataFrame, stages: Sequence[str], size: str = "1 day", delay: str = "1 day") -> DataFrame:
-    """Distinct users per stage and tumbling window, each window once it is closed.
+def stage_rows(events: DataFrame, stages: Sequence[str], size: str = "1 day") -> DataFrame:
+    """Window, stage and user of each event at one of the stages; keeps no state, so no event comes too late."""
+    return (events.where(F.col("event_name").isin(list(stages)))
+            .select(F.window("event_time", size).alias("window"), "event_name", "user_id"))
 
-    A user is kept once per stage and window; state older than the watermark is dropped.
+
+def distinct_batches(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the distinct rows of every micro-batch available now; a repeated batch overwrites its own folder."""
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.dropDuplicates().write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (df.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def stage_users(rows: DataFrame) -> DataFrame:
+    """Distinct users per stage and window over all batches written so far, open windows included.
+
+    A user that several batches hold is counted once, so neither the number nor the order of the files matters.
     """
-    seen = (
-        events.where(F.col("event_name").isin(list(stages)))
-        .withWatermark("event_time", delay)
-        .select(F.window("event_time", size).alias("window"), "event_name", "user_id")
-        .dropDuplicates(["window", "event_name", "user_id"])
-    )
-    return seen.groupBy("window", "event_name").agg(F.count(F.lit(1)).alias("users"))
-
-
-def write_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append everything available now to parquet, exactly once across restarts."""
-    return (df.writeStream.format("parquet").outputMode("append").option("path", path)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-
-
-def run_available(df: DataFrame, label: str) -> DataFrame:
-    """Run a stream over what is there now and read the result."""
-    spark = df.sparkSession
-    path, checkpoint = new_path(spark, label), new_path(spark, f"{label}-checkpoint")
-    write_available(df, path, checkpoint).awaitTermination()
-    return spark.read.schema(df.schema).parquet(path)
+    return rows.groupBy("window", "event_name").agg(F.countDistinct("user_id").alias("users"))
 
 
 def rule_batches(df: DataFrame, rules: Sequence[Rule], path: str, checkpoint: str) -> StreamingQuery:

@@ -128,7 +128,7 @@ _REPORT = [
         FROM onboarding_events GROUP BY user_id) x WHERE a IS NOT NULL AND b IS NOT NULL)"""),
     ("funding_success_rate", "Per funding attempt", "Payments Team", "(SELECT 100.0 * COUNT(*) FILTER (event_value = 'success') / COUNT(event_value) FROM onboarding_events WHERE event_name = 'first_funding')"),
     ("txn_success_rate", "Rolling 7-day, 30-day, or all-time", "Payments Team", "(SELECT 100.0 * COUNT(*) FILTER (status = 'success') / COUNT(*) FROM transactions)"),
-    ("dropout_rate_at_verification", "30 days from registration_start", "Product Team", f"(100.0 * ({_users_at('registration_start')} - {_users_at('verification_submitted')}) / {_users_at('registration_start')})"),
+    ("dropout_rate_at_verification", "30 days from registration_start", "Product Team", f"(100.0 - {_share('registration_start', 'verification_submitted', 30)})"),
     ("account_creation_rate", "7 days from kyc_approved", "Engineering Team", _share("kyc_approved", "account_created", 7)),
     ("conversion_paid_social_vs_referral", "Same period for both channels", "Marketing Team",
      "(" + _share("account_created", "first_transaction", 14, "channel = 'paid_social'") + " / "
@@ -164,6 +164,10 @@ SQL = {
       FROM users u LEFT JOIN support_tickets t ON t.user_id = u.user_id GROUP BY channel""",
     "kpi_ticket_rate_by_topic": f"""{JOURNEYS} SELECT topic, COUNT(*) AS numerator, (SELECT COUNT(*) FROM users) AS denominator,
         ROUND(1000.0 * COUNT(*) / (SELECT COUNT(*) FROM users), 4) AS value FROM support_tickets GROUP BY topic""",
+    "kpi_ticket_rate_by_channel_topic": f"""{JOURNEYS}, n AS (SELECT channel, COUNT(*) AS denominator FROM users GROUP BY channel),
+      c AS (SELECT channel, topic, COUNT(*) AS numerator FROM support_tickets JOIN users USING (user_id) GROUP BY channel, topic)
+      SELECT c.channel, topic, numerator, denominator, ROUND(1000.0 * numerator / denominator, 4) AS value
+      FROM c JOIN n ON c.channel IS NOT DISTINCT FROM n.channel""",
     "kpi_ticket_rate_by_tenure": f"""{COMMERCE}, u AS (
         SELECT user_id, CAST(FLOOR((epoch_us((SELECT MAX(event_time) FROM owner_events)) - epoch_us(created_at)) / {_DAY}.0 / 30) AS INTEGER) AS user_tenure FROM users)
       SELECT user_tenure, COUNT(DISTINCT ticket_id) AS numerator, COUNT(DISTINCT u.user_id) AS denominator,
@@ -187,9 +191,12 @@ SQL = {
         FROM transactions GROUP BY ALL)
       SELECT CAST(x.day AS VARCHAR) AS day, ROUND(100.0 * SUM(y.s) / SUM(y.n), 4) AS value
       FROM d x JOIN d y ON y.day BETWEEN x.day - 29 AND x.day GROUP BY ALL""",
-    "kpi_dropout_at_verification": f"""{LIFECYCLES}, r AS (
-        SELECT channel, device_os, {_n('registration_start')} - {_n('verification_submitted')} AS numerator, {_n('registration_start')} AS denominator
-        FROM users LEFT JOIN onboarding_events e USING (user_id) GROUP BY 1, 2)
+    # From the words of the numerator: registered, and no verification submitted within the window.
+    "kpi_dropout_at_verification": f"""{LIFECYCLES}, s AS (SELECT user_id, MIN(event_time) AS a FROM onboarding_events WHERE event_name = 'registration_start' GROUP BY user_id),
+      r AS (SELECT channel, device_os, COUNT(*) FILTER (NOT EXISTS (SELECT 1 FROM onboarding_events v WHERE v.user_id = s.user_id
+                AND v.event_name = 'verification_submitted' AND epoch_us(v.event_time) - epoch_us(a) <= 30 * {_DAY})) AS numerator, COUNT(*) AS denominator
+            FROM s JOIN users USING (user_id)
+            WHERE epoch_us((SELECT MAX(event_time) FROM onboarding_events)) - epoch_us(a) >= 30 * {_DAY} GROUP BY channel, device_os)
       SELECT *, ROUND(100.0 * numerator / NULLIF(denominator, 0), 4) AS value FROM r""",
     "kpi_account_creation": _within("kyc_approved", "account_created", 7, ["channel"],
                                     ", CAST(ROUND(100.0 * numerator / NULLIF(denominator, 0), 4) < 95 AS INTEGER) AS alert"),

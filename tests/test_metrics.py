@@ -89,6 +89,16 @@ def test_conversion_leaves_open_windows_out(spark):
     assert tuple(kp.conversion(t, "registration_start", "kyc_approved", 7, drop_open=False).first())[:2] == (2, 3)
 
 
+def test_dropout_counts_the_registered_who_submit_too_late_or_never(spark):
+    e = events_of(spark, [
+        ("a", "registration_start", "2024-01-01 00:00:00"), ("a", "verification_submitted", "2024-01-31 00:00:00"),
+        ("b", "registration_start", "2024-01-01 00:00:00"), ("b", "verification_submitted", "2024-01-31 00:00:01"),
+        ("c", "registration_start", "2024-01-02 00:00:00"), ("d", "verification_submitted", "2024-01-02 00:00:00"),
+        ("e", "registration_start", "2024-02-20 00:00:00"), ("f", "week1_active", "2024-03-01 00:00:00")])
+    t = tb.Tables(spark.createDataFrame([(u,) for u in "abcdef"], "user_id string"), e, None, None, None)
+    assert tuple(kp.kpi(t, "dropout_rate_at_verification").first()) == (2, 3, 66.6667)
+
+
 def test_kpi_checks_names_and_dimensions(spark, sf):
     t = mapping.journeys(spark, sf)
     with pytest.raises(KeyError):
@@ -219,11 +229,22 @@ def test_metrics_of_one_slice_agree_with_the_funnel(spark, sf):
     assert sum(shares) == pytest.approx(100, abs=0.05)
 
 
-def test_stream_restarts_without_duplicates(spark, sf, tmp_path):
-    schema = mapping.read(spark, sf, "events").schema
-    raw = st.read_stream(spark, f"{sf}/events*.parquet", schema).select("user_id", F.col("ts").cast("timestamp").alias("event_time"), F.col("event_type").alias("event_name"))
-    out, checkpoint = new_path(spark, "out"), new_path(spark, "check")
-    for _ in range(2):
-        st.write_available(st.stage_users(raw, ["signup"]), out, checkpoint).awaitTermination()
-    rows = spark.read.parquet(out)
-    assert rows.count() == rows.select("window", "event_name").distinct().count() > 20
+def _stage_stream(spark, folder, files_per_trigger):
+    schema = "user_id long, event_time timestamp, event_name string"
+    raw = st.read_stream(spark, folder, spark.createDataFrame([], schema).schema, files_per_trigger=files_per_trigger)
+    return st.stage_rows(raw, ["signup", "view"])
+
+
+def test_stream_counts_do_not_depend_on_files(spark, sf, tmp_path):
+    events = mapping.read(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("event_time"), F.col("event_type").alias("event_name"))
+    folder = str(tmp_path / "events")
+    for k in (2, 0, 3, 1):  # not in the order of time
+        events.where(F.dayofyear("event_time") % 4 == k).coalesce(1).write.mode("append").parquet(folder)
+    want = events.where("event_name IN ('signup', 'view')").groupBy(F.window("event_time", "1 day").alias("window"), "event_name").agg(
+        F.countDistinct("user_id").alias("users"))
+    want = sorted(map(str, want.collect()))
+    for files in (1, 100):
+        out, checkpoint = new_path(spark, "out"), new_path(spark, "check")
+        for _ in range(2):  # a restart adds nothing
+            st.distinct_batches(_stage_stream(spark, folder, files), out, checkpoint).awaitTermination()
+        assert sorted(map(str, st.stage_users(spark.read.parquet(out).drop("batch")).collect())) == want

@@ -34,13 +34,28 @@ def test_running_sums_equal_one_window(numbers, descending, by, cuts):
 
 def test_cuts_balance_slices(spark):
     df = spark.range(0, 40_000).select((F.col("id") * F.col("id")).alias("x"))
-    cuts = order_cuts(df, "x", one_window_rows=1000, rows_per_slice=4000)
+    cuts = order_cuts(df, "x", rows_per_slice=4000)
     assert len(cuts) == 9
     inside = np.histogram(np.arange(40_000.0) ** 2, bins=[-1, *cuts, 1e18])[0]
     assert inside.max() < 8000
     assert order_cuts(df, "x") == []
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_many_slices_with_nan_and_null_equal_a_window(spark, descending):
+    rng = random.Random(3)
+    values = [None, float("nan"), float("inf"), float("-inf"), *rng.sample(range(-900, 900), 700)]
+    df = spark.createDataFrame([(None if x is None else float(x), i % 7) for i, x in enumerate(values)], "x double, v long")
+    cuts = order_cuts(df, "x", rows_per_slice=3)
+    assert len(cuts) > 150
+    got = running_sums(df, "x", {"run": "v"}, (), descending, totals={"whole": "v"}, cuts=cuts)
+    w = Window.partitionBy(F.lit(1))
+    key = F.col("x").desc() if descending else F.col("x")
+    want = df.select("*", F.sum("v").over(w.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)).alias("run"), F.sum("v").over(w).alias("whole"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert sorted(map(str, running_sums(df, "x", {"run": "v"}, (), descending, totals={"whole": "v"}).collect())) == sorted(map(str, want.collect()))
+
+
 @pytest.mark.parametrize("cuts", [[], [10.0, 20.0, 21.0]])
 def test_quantiles_match_numpy(spark, cuts):
     rng = random.Random(1)

@@ -84,3 +84,16 @@ def test_metrics_never_use_cross_joins(stored):
     for df in (m.kpi_summary(stored), m.executive_strip(stored), sv.durations(stored.users, stored.events), m.volumes(stored)):
         text = plan(df)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_a_streaming_query_leaves_nothing_behind(spark, sf):
+    import os
+
+    import __spark_entry__ as entry
+
+    ss.drop_intermediates(spark)
+    folder = ss.shared_dir(spark)
+    before = set(os.listdir(folder))
+    assert entry.queries()["stream_stage_users"](spark, sf).count() and set(os.listdir(folder)) - before
+    ss.drop_intermediates(spark)
+    assert set(os.listdir(folder)) == before

@@ -61,9 +61,9 @@ def channel_cohorts(users: DataFrame, events: DataFrame, by: str = "channel", gr
         pct_even(F.col("week1_retained"), F.col("activated")).alias("retention_rate"))
 
 
-def grid(df: DataFrame, row: str, column: str, value: str, columns: Sequence[str]) -> DataFrame:
-    """Long to wide: one column per listed value; absent cells are NULL."""
-    return df.groupBy(row).pivot(column, list(columns)).agg(F.first(value))
+def grid(df: DataFrame, row: str, column: str, value: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Long to wide: one column per value of ``column``, or per listed value; absent cells are NULL."""
+    return df.groupBy(row).pivot(column, None if columns is None else list(columns)).agg(F.first(value))
 
 
 def stage_matrix(rates: DataFrame, columns: dict[str, str] = FUNNEL_COLUMNS) -> DataFrame:

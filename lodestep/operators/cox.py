@@ -38,6 +38,7 @@ class CoxModel:
     covariance: np.ndarray
     log_likelihood: float
     steps: int
+    converged: bool = True
 
     def score(self) -> Column:
         """Log partial hazard of a row."""
@@ -50,7 +51,7 @@ def _sum(terms):
 
 
 def fit(dataset: DataFrame, covariates: Sequence[str], time: str = "duration", event: str = "event",
-        penalizer: float = 0.1, cuts=None) -> CoxModel:
+        penalizer: float = 0.1, cuts=None, max_steps: int = MAX_STEPS, strict: bool = True) -> CoxModel:
     """Newton's method on the Efron partial likelihood.
 
     Covariates are standardised for the fit and the penalty is ``n * penalizer / 2`` times
@@ -58,6 +59,7 @@ def fit(dataset: DataFrame, covariates: Sequence[str], time: str = "duration", e
     aggregation per distinct time gives the risk sums (running sums from the end) and one
     aggregation over all rows gives the second moments, weighted by the cumulative hazard
     at the row's own time. The driver holds the p-vector and the p x p matrix only.
+    A fit that does not converge raises, or says so in ``converged`` where ``strict`` is off.
     """
     names = list(covariates)
     p = len(names)
@@ -125,22 +127,28 @@ def fit(dataset: DataFrame, covariates: Sequence[str], time: str = "duration", e
 
     beta = np.zeros(p)
     value, gradient, information = evaluate(beta)
-    steps = 0
-    while steps < MAX_STEPS:
+    steps, converged = 0, False
+    while True:
         move = np.linalg.solve(information, gradient)
         if float(gradient @ move) < TOLERANCE:
+            converged = True
+            break
+        if steps == max_steps:
             break
         steps += 1
-        size = 1.0
-        while True:
+        size, better = 1.0, False
+        while not better and size >= 1e-4:
             trial = evaluate(beta + size * move)
-            if trial[0] >= value - 1e-9 * abs(value) or size < 1e-4:
-                break
-            size /= 2
+            better = trial[0] >= value - 1e-9 * abs(value)
+            size = size if better else size / 2
+        if not better:  # no step along the gradient helps any more
+            break
         beta = beta + size * move
         value, gradient, information = trial
+    if strict and not converged:
+        raise RuntimeError(f"the Cox fit did not converge in {steps} steps")
     unscale = 1 / np.array(scale)
-    return CoxModel(names, beta * unscale, np.linalg.inv(information) * np.outer(unscale, unscale), value, steps)
+    return CoxModel(names, beta * unscale, np.linalg.inv(information) * np.outer(unscale, unscale), value, steps, converged)
 
 
 def hazard_ratios(spark, model: CoxModel, alpha: float = 0.05) -> DataFrame:

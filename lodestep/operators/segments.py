@@ -129,9 +129,10 @@ def scale_between(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) ->
 
 
 def mix_by_segment(df: DataFrame, values: Sequence[str], segment: str = "segment", column: str = "channel") -> DataFrame:
-    """Percent of each value within the segment, zero-filled, one column per value."""
-    counts = df.groupBy(segment).agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(column) == v).alias(f"_{v}") for v in values])
-    return counts.select(segment, *[(F.col(f"_{v}") / F.col("_n") * 100).alias(v) for v in values])
+    """Percent of each value within the segment, zero-filled, one column per value and ``other`` for what is not listed."""
+    counts = df.groupBy(segment).agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(column) == v).alias(f"_{v}") for v in values],
+                                     F.count_if(F.coalesce(~F.col(column).isin(list(values)), F.lit(True))).alias("_other"))
+    return counts.select(segment, *[(F.col(f"_{v}") / F.col("_n") * 100).alias(v) for v in [*values, "other"]])
 
 
 def metric_rows(profiles: DataFrame, metrics: Sequence[str] = ("recency_days", "frequency", "monetary"), segment: str = "segment_name") -> DataFrame:

@@ -13,8 +13,6 @@ from ..session import materialize
 from ..sources import mapping
 from ..sources.tables import Tables
 
-YEARS = [str(y) for y in range(1995, 2003)]
-
 
 def _lifecycle_tables(spark, sf):
     """Order lifecycles next to the commerce facts, so seven-stage windows meet long spans."""
@@ -75,7 +73,7 @@ QUERIES = {
     "cohort_funnel_monthly": partial(_cohorts, grain="month"),
     "cohort_funnel_daily_journeys": lambda s, sf: co.cohort_rates(co.cohort_funnel(mapping.journeys(s, sf).events, grain="day")),
     "cohort_by_channel": partial(_channel_cohorts, grain="month"),
-    "cohort_channel_grid": lambda s, sf: co.grid(_channel_cohorts(s, sf, "year"), "channel", "cohort", "activation_of_registered", YEARS),
+    "cohort_channel_grid": lambda s, sf: co.grid(materialize(_channel_cohorts(s, sf, "year")), "channel", "cohort", "activation_of_registered"),
     "cohort_activation_trend": lambda s, sf: co.trend(_cohorts(s, sf, "month"), "activation_of_registered", "cohort"),
     "cohort_best_worst_channel": lambda s, sf: _rounded(co.best_and_worst(
         co.mean_of_rates(_channel_cohorts(s, sf, "month"), "channel", "activation_of_registered"), "channel", "mean_rate"), 4),

@@ -76,6 +76,13 @@ def tied_scores(spark, sf):
         (F.col("event_type") == "purchase").cast("int").alias("label"))
 
 
+def high_risk(spark, sf):
+    """Top-tier orders, and those that outreach could prevent at the average precision of the score."""
+    scores = order_scores(spark, sf)
+    precision = ev.ranking_quality(ev.curve_points(scores)).select(F.round("average_precision", 6)).scalar()
+    return ev.high_risk_summary(ev.risk_tiers(scores), precision)
+
+
 def concordance_check(spark, sf):
     """Concordance of the order value with the time to the first transaction stage."""
     users, events = mapping.lifecycles(spark, sf)
@@ -165,10 +172,11 @@ def standardised_features(t):
     return _rounded(ft.standardise(materialize(ft.lifetime_features(t).select("user_id", *columns)), columns), 5)
 
 
-def _segments(t, k=4, starts=5):
-    """Users with a cluster, and named profiles."""
-    points = materialize(sg.clustering_input(sg.rfm(t)))
-    clustered = materialize(sg.cluster(points, k, starts))
+def _segments(t):
+    """Users with a cluster, as many as the silhouette chooses, and named profiles."""
+    points = materialize(sg.clustering_input(materialize(sg.rfm(t))))
+    best = sg.choose_k(points).where("chosen").first()["k"]
+    clustered = materialize(sg.cluster(points, best))
     return clustered, sg.name_segments(sg.profile(clustered))
 
 
@@ -189,7 +197,7 @@ def segment_export(t):
 
 
 def segment_components(t):
-    points = materialize(sg.clustering_input(sg.rfm(t)))
+    points = materialize(sg.clustering_input(materialize(sg.rfm(t))))
     parts, share = sg.principal_components(points)
     return parts.withColumn("explained", F.lit(float(sum(share))))
 
@@ -235,7 +243,7 @@ QUERIES = {
     "evaluation_best_threshold": lambda s, sf: _rounded(ev.best_threshold(ev.threshold_sweep(order_scores(s, sf)))),
     "evaluation_calibration": lambda s, sf: _rounded(ev.calibration(order_scores(s, sf))),
     "evaluation_risk_tiers": lambda s, sf: ev.tier_counts(ev.risk_tiers(tied_scores(s, sf))),
-    "evaluation_high_risk": lambda s, sf: ev.high_risk_summary(ev.risk_tiers(order_scores(s, sf)), F.lit(0.8)),
+    "evaluation_high_risk": high_risk,
     "evaluation_top_risk": lambda s, sf: _rounded(ev.top_risk(ev.risk_tiers(order_scores(s, sf)))),
     # models
     "model_logistic_regression": model_quality(md.FIRST_GENERATION["logistic_regression"]),
@@ -254,7 +262,7 @@ QUERIES = {
     "segment_metric_rows": _journeys(lambda t: _rounded(sg.metric_rows(banded_profiles(t)), 4)),
     "segment_best_and_riskiest": _journeys(lambda t: sg.best_and_riskiest(banded_profiles(t))),
     "segment_stuck": _journeys(lambda t: sg.stuck_at(t.events)),
-    "segment_choose_k": _journeys(lambda t: sg.choose_k(sg.clustering_input(sg.rfm(t)), range(2, 9), starts=2)),
+    "segment_choose_k": _journeys(lambda t: sg.choose_k(materialize(sg.clustering_input(materialize(sg.rfm(t)))))),
     "segment_kmeans_export": _journeys(segment_export),
     "segment_components": _journeys(segment_components),
 }

@@ -214,7 +214,7 @@ SQL = {
     "cohort_funnel_daily_journeys": _cohorts(JOURNEYS, "%Y-%m-%d") + " SELECT * FROM rates",
     "cohort_by_channel": _channel_cohorts("%Y-%m") + " SELECT * FROM cc",
     "cohort_channel_grid": _channel_cohorts("%Y") + " SELECT channel, " + ", ".join(
-        f"MAX(activation_of_registered) FILTER (cohort = '{y}') AS \"{y}\"" for y in range(1995, 2003)) + " FROM cc GROUP BY channel",
+        f"MAX(activation_of_registered) FILTER (cohort = '{y}') AS \"{y}\"" for y in range(1995, 2002)) + " FROM cc GROUP BY channel",
     "cohort_activation_trend": _cohorts(LIFECYCLES, "%Y-%m") + """,
       t AS (SELECT (ROW_NUMBER() OVER (ORDER BY cohort) - 1)::DOUBLE AS x,
                    COALESCE(activation_of_registered, AVG(activation_of_registered) OVER ()) AS y FROM rates)

@@ -223,8 +223,8 @@ SQL = {
     "evaluation_calibration": _ORDERS + """ SELECT CAST(LEAST(FLOOR(score * 10), 9) AS INTEGER) AS bin, COUNT(*) AS n, ROUND(AVG(score), 6) AS mean_score,
       ROUND(AVG(label), 6) AS event_rate FROM sc GROUP BY 1""",
     "evaluation_risk_tiers": _TIED + f" SELECT {_TIER} AS risk_tier, COUNT(*) AS n FROM sc GROUP BY 1",
-    "evaluation_high_risk": _ORDERS + f""", h AS (SELECT COUNT(*) FILTER ({_TIER} = 'High') AS k, COUNT(*) AS n FROM sc)
-      SELECT k AS high_risk, ROUND(k::DOUBLE / n * 100, 4) AS high_risk_pct, CAST(FLOOR(k * 0.8::DOUBLE * 0.5) AS BIGINT) AS preventable FROM h""",
+    "evaluation_high_risk": _ORDERS + _POINTS + f""", ap AS (SELECT ROUND(SUM(pos::DOUBLE / p * tp / (tp + fp)), 6) AS average_precision FROM r, t), h AS (SELECT COUNT(*) FILTER ({_TIER} = 'High') AS k, COUNT(*) AS n FROM sc)
+      SELECT k AS high_risk, ROUND(k::DOUBLE / n * 100, 4) AS high_risk_pct, CAST(FLOOR(k * (SELECT average_precision FROM ap) * 0.5) AS BIGINT) AS preventable FROM h""",
     "evaluation_top_risk": _ORDERS + f""", x AS (SELECT * FROM sc WHERE {_TIER} = 'High' ORDER BY score DESC, user_id LIMIT 10)
       SELECT user_id, ROUND(score, 6) AS score, label, 'High' AS risk_tier FROM x""",
     "segment_rfm": _rfm(COMMERCE, "owner_events") + " " + _select("rf", ["recency_days", "monetary", "avg_txn_value", "txn_rate_per_day", "h_reg_to_first_txn"],
@@ -233,7 +233,8 @@ SQL = {
     "segment_profile_grid": _PROFILES + " SELECT segment_name, " + ", ".join(
         f"ROUND(({c} - MIN({c}) OVER ()) / (MAX({c}) OVER () - MIN({c}) OVER () + 1e-9::DOUBLE), 4) AS {c}" for c in _FEATURES) + " FROM np",
     "segment_channel_mix": _BANDS + " SELECT cluster, " + ", ".join(
-        f"ROUND(COUNT(*) FILTER (channel = '{c}')::DOUBLE / COUNT(*) * 100, 4) AS {c}" for c in _CHANNELS) + " FROM bd GROUP BY cluster",
+        f"ROUND(COUNT(*) FILTER (channel = '{c}')::DOUBLE / COUNT(*) * 100, 4) AS {c}" for c in _CHANNELS) + ", ROUND(COUNT(*) FILTER (channel IS NULL OR channel NOT IN ("
+        + ", ".join(f"'{c}'" for c in _CHANNELS) + "))::DOUBLE / COUNT(*) * 100, 4) AS other FROM bd GROUP BY cluster",
     "segment_metric_rows": _PROFILES + " " + " UNION ALL ".join(
         f"SELECT segment_name, '{c}' AS metric, ROUND({c}, 4) AS value FROM np" for c in ["recency_days", "frequency", "monetary"]),
     "segment_best_and_riskiest": _PROFILES + """ SELECT (SELECT segment_name FROM np ORDER BY monetary DESC, segment_name DESC LIMIT 1) AS best_segment,

@@ -181,10 +181,10 @@ def _segments(t):
 
 
 def banded(t):
-    """Users in four fixed bands of transaction count: labels that need no model."""
+    """Users in fixed bands of transaction count and recency: labels that need no model and meet every naming rule."""
     users = sg.rfm(t)
-    band = F.least(F.floor(F.col("frequency") / 4), F.lit(3)).cast("int")
-    return users.withColumn("cluster", band)
+    band = F.least("frequency", F.lit(3)) * 2 + F.when(F.col("recency_days") >= 15, 1).otherwise(0)
+    return users.withColumn("cluster", band.cast("int"))
 
 
 def banded_profiles(t):

@@ -47,6 +47,16 @@ def future(spark, sf):
     return q.future_rows(e, "event_time", middle).groupBy("event_name").agg(F.count(F.lit(1)).alias("n"))
 
 
+def repeated_people(spark, sf) -> DataFrame:
+    """Identities, every 23rd of them twice."""
+    people = mapping.identities(spark, sf).select("user_id")
+    return people.unionByName(people.where(F.col("user_id").cast("long") % 23 == 0))
+
+
+def _spoiled(tables, operator):
+    return lambda spark, sf: operator(mapping.spoiled(tables(spark, sf)))
+
+
 def _journeys(operator):
     return lambda spark, sf: operator(mapping.journeys(spark, sf))
 
@@ -67,18 +77,18 @@ QUERIES = {
     "quality_duplicate_phones": lambda s, sf: q.duplicate_identifiers(mapping.identities(s, sf), "phone_number"),
     "quality_identity_rules": lambda s, sf: q.affected_by_rule(mapping.identities(s, sf), identity_rules()),
     "quality_user_rules": _journeys(lambda t: q.affected_by_rule(t.users, [r for r in q.domain_rules(ALLOWED) if r.table == "users"])),
-    "quality_kyc_rules": _commerce(lambda t: q.affected_by_rule(t.kyc, [r for r in q.domain_rules() if r.table == "kyc_cases"])),
-    "quality_transaction_rules": _commerce(lambda t: q.affected_by_rule(t.transactions, [r for r in q.domain_rules() if r.table == "transactions"])),
-    "quality_event_rules": _journeys(lambda t: q.affected_by_rule(t.events, [r for r in q.domain_rules() if r.table == "onboarding_events"])),
-    "quality_ticket_rules": _commerce(lambda t: q.affected_by_rule(t.tickets, [r for r in q.domain_rules() if r.table == "support_tickets"])),
-    "quality_repeated_users": lambda s, sf: q.repeated_keys(mapping.journeys(s, sf).transactions, ["user_id"]),
+    "quality_kyc_rules": _spoiled(mapping.commerce, lambda t: q.affected_by_rule(t.kyc, [r for r in q.domain_rules() if r.table == "kyc_cases"])),
+    "quality_transaction_rules": _spoiled(mapping.commerce, lambda t: q.affected_by_rule(t.transactions, [r for r in q.domain_rules() if r.table == "transactions"])),
+    "quality_event_rules": _spoiled(mapping.journeys, lambda t: q.affected_by_rule(t.events, [r for r in q.domain_rules() if r.table == "onboarding_events"])),
+    "quality_ticket_rules": _spoiled(mapping.commerce, lambda t: q.affected_by_rule(t.tickets, [r for r in q.domain_rules() if r.table == "support_tickets"])),
+    "quality_repeated_users": lambda s, sf: q.repeated_keys(repeated_people(s, sf), ["user_id"]),
     "quality_transactions_without_account": _journeys(lambda t: q.reached_but_not(t.events, "first_transaction", "account_created")),
     "quality_repeated_user_events": _journeys(lambda t: q.repeated_keys(t.events, ["user_id", "event_name"])),
     "quality_conflicting_decisions": _commerce(lambda t: q.conflicting_decisions(t.kyc)),
     "quality_rows_before_signup": _commerce(lambda t: q.events_before_signup(t.users, t.transactions, "txn_time")),
     "quality_approved_without_verification": _journeys(lambda t: q.missing_prerequisite(t.events, "kyc_approved", "verification_submitted")),
     "quality_paid_without_account": _journeys(lambda t: q.success_without_account(t.transactions, t.events)),
-    "quality_orphans": lambda s, sf: q.orphans(mapping.commerce(s, sf).transactions, mapping.commerce(s, sf).events),
+    "quality_orphans": _commerce(lambda t: q.orphans(t.tickets, t.users.where(F.col("user_id").cast("long") % 7 != 0))),
     "quality_stages_out_of_order": lambda s, sf: q.stages_out_of_order(mapping.lifecycles(s, sf)[1]),
     "quality_future_events": future,
     "quality_issues": journey_issues,

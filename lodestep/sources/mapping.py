@@ -211,3 +211,21 @@ def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key >= 1000, "duplicate_identifier").when(key % 13 == 0, "missing_field").when(key % 17 == 0, "invalid_enum")
         .when(key % 20 == 0, "date_format_error").alias("issue_type"),
     )
+
+
+def _spoil(df: DataFrame, number: Column, changes: dict[str, tuple[int, Column]]) -> DataFrame:
+    """Every k-th row (by ``number``) with another value in a column, for ``{column: (k, value)}``."""
+    return df.withColumns({c: F.when(number % k == 0, value).otherwise(F.col(c)) for c, (k, value) in changes.items()})
+
+
+def spoiled(t: Tables) -> Tables:
+    """The tables with violations of every row rule: undeclared values, gaps and amounts without a sign."""
+    number = lambda c: F.regexp_extract(c, r"([0-9]+)", 1).cast("long")
+    gap, odd = F.lit(None), F.lit("undeclared")
+    seconds = F.unix_seconds("event_time")
+    return Tables(
+        lambda: t.users,
+        lambda: _spoil(t.events, seconds, {"event_name": (11, odd), "event_time": (13, gap)}),
+        lambda: _spoil(t.kyc, number("case_id"), {"decision": (11, odd), "failure_reason": (13, odd), "submitted_time": (17, gap), "decision_time": (19, gap)}),
+        lambda: _spoil(t.transactions, number("txn_id"), {"category": (11, odd), "status": (13, odd), "amount": (17, -F.col("amount"))}),
+        lambda: _spoil(t.tickets, number("ticket_id"), {"topic": (11, odd)}))

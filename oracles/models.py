@@ -114,7 +114,7 @@ def _rfm(base, events):
 
 
 _FEATURES = ["recency_days", "frequency", "monetary", "avg_txn_value", "n_categories", "n_failed_txns", "txn_rate_per_day", "h_reg_to_first_txn", "n_tickets"]
-_BANDS = _rfm(JOURNEYS, "onboarding_events") + ", bd AS (SELECT *, CAST(LEAST(frequency // 4, 3) AS INTEGER) AS cluster FROM rf)"
+_BANDS = _rfm(JOURNEYS, "onboarding_events") + ", bd AS (SELECT *, CAST(LEAST(frequency, 3) * 2 + CASE WHEN recency_days >= 15 THEN 1 ELSE 0 END AS INTEGER) AS cluster FROM rf)"
 _PROFILES = _BANDS + ", pf AS (SELECT cluster, " + ", ".join(f"AVG({c}) AS {c}" for c in _FEATURES) + """, COUNT(*) AS n_users,
     round_even(COUNT(*)::DOUBLE / (SELECT COUNT(*) FROM bd) * 100, 1) AS pct FROM bd GROUP BY cluster),
   q AS (SELECT quantile_cont(monetary, 0.75) AS m, quantile_cont(recency_days, 0.75) AS r, quantile_cont(frequency, 0.5) AS f FROM pf),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .base import CALENDAR, COMMERCE, IDENTITIES, JOURNEYS, LIFECYCLES
 
+# Fixed values in this module: allowed values, weights and advice, which must equal the published ones.
 _ALLOWED = "('paid_social','referral','organic','paid_search')"
 _CHANNELS = "('paid_social','referral','organic','paid_search','partnership')"
 _BAD_DATE = "created_at IS NOT NULL AND TRY_CAST(created_at AS TIMESTAMP) IS NULL"
@@ -14,6 +15,24 @@ _IDENTITY_COUNTS = f"""
  UNION ALL SELECT 'DQ_ENUM_101', COUNT(*) FILTER (channel NOT IN {_CHANNELS}) FROM identities
  UNION ALL SELECT 'DQ_DATE_101', COUNT(*) FILTER ({_BAD_DATE}) FROM identities"""
 
+
+
+def _spoil(table, number, changes):
+    """A table in which every k-th row has another value in a column."""
+    replaced = ", ".join(f"CASE WHEN {number} % {k} = 0 THEN {value} ELSE {c} END AS {c}" for c, (k, value) in changes.items())
+    return f", dirty AS (SELECT * REPLACE ({replaced}) FROM {table}) "
+
+
+def _number(column):
+    return f"CAST(regexp_extract({column}, '([0-9]+)', 1) AS BIGINT)"
+
+
+_DIRTY_CASES = _spoil("kyc_cases", _number("case_id"), {
+    "decision": (11, "'undeclared'"), "failure_reason": (13, "'undeclared'"), "submitted_time": (17, "NULL"), "decision_time": (19, "NULL")})
+_DIRTY_TRANSACTIONS = _spoil("transactions", _number("txn_id"), {"category": (11, "'undeclared'"), "status": (13, "'undeclared'"), "amount": (17, "-amount")})
+_DIRTY_EVENTS = _spoil("onboarding_events", "(epoch_us(event_time) // 1000000)", {"event_name": (11, "'undeclared'"), "event_time": (13, "NULL")})
+_DIRTY_TICKETS = _spoil("support_tickets", _number("ticket_id"), {"topic": (11, "'undeclared'")})
+
 _IDENT_CTE = "identities AS (" + IDENTITIES.split("identities AS (", 1)[1]
 _JI = JOURNEYS + ",\n" + _IDENT_CTE
 
@@ -88,21 +107,22 @@ SQL = {
       UNION ALL SELECT 'DQ_ENUM_001', COUNT(*) FILTER (channel NOT IN {_ALLOWED}) FROM users
       UNION ALL SELECT 'DQ_ENUM_002', COUNT(*) FILTER (device_os NOT IN ('iOS', 'Android', 'Web')) FROM users
       UNION ALL SELECT 'DQ_ENUM_003', COUNT(*) FILTER (age_band NOT IN ('18-24', '25-34', '35-44', '45-54', '55+')) FROM users""",
-    "quality_kyc_rules": f"""{COMMERCE} SELECT 'DQ_ENUM_005' AS issue_id, COUNT(*) FILTER (decision NOT IN ('approved', 'rejected')) AS affected FROM kyc_cases
-      UNION ALL SELECT 'DQ_ENUM_006', COUNT(*) FILTER (failure_reason NOT IN ('document_quality', 'identity_mismatch', 'age_restriction', 'duplicate_account', 'watchlist_hit')) FROM kyc_cases
-      UNION ALL SELECT 'DQ_MISS_004', COUNT(*) FILTER (submitted_time IS NULL) FROM kyc_cases
-      UNION ALL SELECT 'DQ_MISS_005', COUNT(*) FILTER (decision_time IS NULL) FROM kyc_cases
-      UNION ALL SELECT 'DQ_ORDER_001', COUNT(*) FILTER (decision_time < submitted_time) FROM kyc_cases""",
-    "quality_transaction_rules": f"""{COMMERCE} SELECT 'DQ_ENUM_007' AS issue_id,
-        COUNT(*) FILTER (category NOT IN ('transfer', 'bill_payment', 'mobile_topup', 'purchase', 'withdrawal')) AS affected FROM transactions
-      UNION ALL SELECT 'DQ_ENUM_008', COUNT(*) FILTER (status NOT IN ('success', 'failed', 'pending')) FROM transactions
-      UNION ALL SELECT 'DQ_RANGE_001', COUNT(*) FILTER (amount <= 0) FROM transactions""",
-    "quality_event_rules": f"""{JOURNEYS} SELECT 'DQ_ENUM_004' AS issue_id, COUNT(*) FILTER (event_name NOT IN ('app_install', 'registration_start',
-        'verification_submitted', 'kyc_approved', 'kyc_failed', 'account_created', 'first_funding', 'first_transaction', 'week1_active')) AS affected FROM onboarding_events
-      UNION ALL SELECT 'DQ_MISS_003', COUNT(*) FILTER (event_time IS NULL) FROM onboarding_events""",
-    "quality_ticket_rules": f"""{COMMERCE} SELECT 'DQ_ENUM_009' AS issue_id, COUNT(*) FILTER (topic NOT IN ('kyc_delay', 'transaction_failed', 'login_issue',
-        'card_request', 'account_question', 'technical_bug', 'fraud_concern')) AS affected FROM support_tickets""",
-    "quality_repeated_users": f"{JOURNEYS} SELECT user_id, COUNT(*) AS n FROM transactions GROUP BY user_id HAVING COUNT(*) > 1",
+    "quality_kyc_rules": f"""{COMMERCE}{_DIRTY_CASES} SELECT 'DQ_ENUM_005' AS issue_id, COUNT(*) FILTER (decision NOT IN ('approved', 'rejected')) AS affected FROM dirty
+      UNION ALL SELECT 'DQ_ENUM_006', COUNT(*) FILTER (failure_reason NOT IN ('document_quality', 'identity_mismatch', 'age_restriction', 'duplicate_account', 'watchlist_hit')) FROM dirty
+      UNION ALL SELECT 'DQ_MISS_004', COUNT(*) FILTER (submitted_time IS NULL) FROM dirty
+      UNION ALL SELECT 'DQ_MISS_005', COUNT(*) FILTER (decision_time IS NULL) FROM dirty
+      UNION ALL SELECT 'DQ_ORDER_001', COUNT(*) FILTER (decision_time < submitted_time) FROM dirty""",
+    "quality_transaction_rules": f"""{COMMERCE}{_DIRTY_TRANSACTIONS} SELECT 'DQ_ENUM_007' AS issue_id,
+        COUNT(*) FILTER (category NOT IN ('transfer', 'bill_payment', 'mobile_topup', 'purchase', 'withdrawal')) AS affected FROM dirty
+      UNION ALL SELECT 'DQ_ENUM_008', COUNT(*) FILTER (status NOT IN ('success', 'failed', 'pending')) FROM dirty
+      UNION ALL SELECT 'DQ_RANGE_001', COUNT(*) FILTER (amount <= 0) FROM dirty""",
+    "quality_event_rules": f"""{JOURNEYS}{_DIRTY_EVENTS} SELECT 'DQ_ENUM_004' AS issue_id, COUNT(*) FILTER (event_name NOT IN ('app_install', 'registration_start',
+        'verification_submitted', 'kyc_approved', 'kyc_failed', 'account_created', 'first_funding', 'first_transaction', 'week1_active')) AS affected FROM dirty
+      UNION ALL SELECT 'DQ_MISS_003', COUNT(*) FILTER (event_time IS NULL) FROM dirty""",
+    "quality_ticket_rules": f"""{COMMERCE}{_DIRTY_TICKETS} SELECT 'DQ_ENUM_009' AS issue_id, COUNT(*) FILTER (topic NOT IN ('kyc_delay', 'transaction_failed', 'login_issue',
+        'card_request', 'account_question', 'technical_bug', 'fraud_concern')) AS affected FROM dirty""",
+    "quality_repeated_users": f"""{IDENTITIES} SELECT user_id, COUNT(*) AS n FROM (SELECT user_id FROM identities
+      UNION ALL SELECT user_id FROM identities WHERE CAST(user_id AS BIGINT) % 23 = 0) GROUP BY user_id HAVING COUNT(*) > 1""",
     "quality_transactions_without_account": f"""{JOURNEYS} SELECT DISTINCT user_id FROM onboarding_events a WHERE event_name = 'first_transaction'
       AND NOT EXISTS (SELECT 1 FROM onboarding_events b WHERE b.user_id = a.user_id AND b.event_name = 'account_created')""",
     "quality_repeated_user_events": f"{JOURNEYS} SELECT user_id, event_name, COUNT(*) AS n FROM onboarding_events GROUP BY ALL HAVING COUNT(*) > 1",
@@ -113,8 +133,8 @@ SQL = {
       EXCEPT SELECT user_id FROM onboarding_events WHERE event_name = 'verification_submitted'""",
     "quality_paid_without_account": f"""{JOURNEYS} SELECT user_id FROM transactions WHERE status = 'success'
       EXCEPT SELECT user_id FROM onboarding_events WHERE event_name = 'account_created'""",
-    "quality_orphans": f"""{COMMERCE} SELECT user_id, COUNT(*) AS n FROM transactions
-      WHERE user_id NOT IN (SELECT user_id FROM owner_events) GROUP BY user_id""",
+    "quality_orphans": f"""{COMMERCE} SELECT user_id, COUNT(*) AS n FROM support_tickets
+      WHERE user_id NOT IN (SELECT user_id FROM users WHERE CAST(user_id AS BIGINT) % 7 <> 0) GROUP BY user_id""",
     "quality_stages_out_of_order": f"""{LIFECYCLES}, s AS (
         SELECT user_id, CASE event_name WHEN 'registration_start' THEN 2 WHEN 'verification_submitted' THEN 3 WHEN 'kyc_approved' THEN 4
                WHEN 'account_created' THEN 5 WHEN 'first_funding' THEN 6 WHEN 'first_transaction' THEN 7 WHEN 'week1_active' THEN 8 END AS o,

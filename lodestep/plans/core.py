@@ -10,7 +10,7 @@ from ..operators.running import running_sums
 from ..operators.quantiles import LINEAR, quantiles
 from ..operators.slices import slice_tables
 from ..operators.stages import stage_times
-from ..session import new_path
+from ..session import materialize, new_path
 from ..sources import mapping, tables as tb
 from ..sources.schemas import SCHEMAS, STAGES, STATUSES
 
@@ -51,6 +51,22 @@ def typed_load(spark, sf):
     return tb.load_csv_tables(spark, csv_dir, out_dir, ["users", "transactions", "support_tickets", "kyc_cases"])
 
 
+def loaded_tables(spark, sf):
+    """Rows of the five tables after storing them as parquet folders and loading them from there."""
+    path = new_path(spark, "tables")
+    for name, df in mapping.journeys(spark, sf).named().items():
+        df.write.parquet(f"{path}/{name}")
+    return tb.row_counts(tb.load(spark, path).named(), spark)
+
+
+def cached_tables(spark, sf):
+    """Rows of the five tables, counted from cached ones that are released afterwards."""
+    kept = tb.cached(mapping.journeys(spark, sf))
+    counted = materialize(tb.row_counts(kept.named(), spark))
+    tb.release(kept)
+    return counted
+
+
 def stored_result(spark, sf):
     """Write a result, read it again when it exists; an absent one reads as None."""
     path = new_path(spark, "result")
@@ -85,6 +101,8 @@ QUERIES = {
     "source_csv_round_trip": csv_round_trip,
     "source_typed_load": typed_load,
     "source_stored_result": stored_result,
+    "source_loaded_tables": loaded_tables,
+    "source_cached_tables": cached_tables,
     "source_row_counts": lambda s, sf: tb.row_counts(mapping.journeys(s, sf).named(), s),
     # stage frame and funnels
     "stage_times": _journeys(stage_durations),

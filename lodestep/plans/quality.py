@@ -32,6 +32,15 @@ def identity_rules() -> list[q.Rule]:
     ]
 
 
+def clean_report(spark, sf) -> DataFrame:
+    """Issues of the identities that break no rule (an empty report) next to those of all identities."""
+    people = mapping.identities(spark, sf)
+    broken = reduce(lambda a, b: a | b, [r.violated for r in identity_rules()])
+    issues = lambda df: q.triage(q.run_rules({"identities": df}, identity_rules())).agg(F.count(F.lit(1)).alias("issues"))
+    return issues(people.where(~broken)).select(F.lit("clean").alias("rows"), "issues").unionByName(
+        issues(people).select(F.lit("all").alias("rows"), "issues"))
+
+
 def tables_with_issues(spark, sf):
     return {**mapping.journeys(spark, sf).named(), "identities": mapping.identities(spark, sf)}
 
@@ -91,6 +100,7 @@ QUERIES = {
     "quality_orphans": _commerce(lambda t: q.orphans(t.tickets, t.users.where(F.col("user_id").cast("long") % 7 != 0))),
     "quality_stages_out_of_order": lambda s, sf: q.stages_out_of_order(mapping.lifecycles(s, sf)[1]),
     "quality_future_events": future,
+    "quality_clean_report": clean_report,
     "quality_issues": journey_issues,
     "quality_triage": lambda s, sf: report(s, sf).select("issue_id", "triage_score", "priority", "recommendation"),
     "quality_priority_counts": lambda s, sf: q.priority_counts(report(s, sf)),

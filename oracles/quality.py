@@ -142,6 +142,8 @@ SQL = {
       SELECT DISTINCT a.user_id FROM s a JOIN s b ON a.user_id = b.user_id AND a.o < b.o AND a.t > b.t""",
     "quality_future_events": f"""{JOURNEYS}, mid AS (SELECT CAST((MIN(epoch_us(event_time)) + MAX(epoch_us(event_time))) // 2 AS BIGINT) AS m FROM onboarding_events)
       SELECT event_name, COUNT(*) AS n FROM onboarding_events, mid WHERE epoch_us(event_time) > m GROUP BY event_name""",
+    "quality_clean_report": f"""{IDENTITIES}, c AS ({_IDENTITY_COUNTS}) SELECT 'clean' AS rows, 0 AS issues UNION ALL
+      SELECT 'all', COUNT(*) FILTER (affected > 0) FROM c""",
     "quality_issues": _ISSUES + " SELECT * FROM issues",
     "quality_triage": _ISSUES + " SELECT issue_id, triage_score, priority, recommendation FROM report",
     "quality_priority_counts": _ISSUES + """ SELECT p AS priority, (SELECT COUNT(*) FROM report WHERE priority = p) AS n

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import ratio, total
 from ..functions.times import days_between, hours_between, period
-from ..sources.tables import Tables
+from ..sources.tables import Tables, read_csv
 from .metrics import turnaround_hours
 from .quantiles import LINEAR, quantiles
 from .running import join_null_safe
@@ -237,6 +237,38 @@ CATALOGUE = {
 }
 
 
+# What each KPI measures: meaning, numerator, denominator, formula and what to mind.
+MEANINGS = {
+    "onboarding_completion_rate": ("Share of registrations approved within a week", "users with kyc_approved within 7 days of registration_start",
+                                   "users with registration_start", "100 * approved_in_7d / registered", "users observed for less than 7 days are left out"),
+    "activation_rate": ("Share of accounts with a first transaction within two weeks", "users with first_transaction within 14 days of account_created",
+                        "users with account_created", "100 * transacted_in_14d / accounts", "users observed for less than 14 days are left out"),
+    "week1_retention_proxy": ("Share of transacting users active in their first week", "users with week1_active", "users with first_transaction",
+                              "100 * week1_active / transacted", "the week of recent cohorts may still be open"),
+    "median_kyc_turnaround_time": ("Hours from submission to decision", "hours of decided cases", "decided cases", "median(hours)",
+                                   "open cases have no hours; the 90th percentile is held against 48 hours"),
+    "kyc_failure_rate": ("Share of cases that are rejected", "cases with decision rejected", "cases", "100 * rejected / cases", "a user can have several cases"),
+    "ticket_rate_per_1000_users": ("Support tickets per thousand users", "tickets", "users", "1000 * tickets / users",
+                                   "topic splits the tickets only; severity is not weighed"),
+    "median_time_to_first_transaction": ("Hours from account to first transaction", "hours of users with both events", "users with both events", "median(hours)",
+                                         "users who never transact are not in it"),
+    "funding_success_rate": ("Share of funding attempts that succeed", "attempts with value success", "attempts with a value", "100 * successes / attempts",
+                             "retries count as attempts"),
+    "txn_success_rate": ("Share of transactions that succeed", "transactions with status success", "transactions", "100 * successes / transactions",
+                         "pending ones count as not successful"),
+    "dropout_rate_at_verification": ("Share of registrations without verification", "users with registration_start and no verification_submitted in 30 days",
+                                     "users with registration_start", "100 * without_verification / registered", "users observed for less than 30 days are left out"),
+    "account_creation_rate": ("Share of approved users whose account opens within a week", "users with account_created within 7 days of kyc_approved",
+                              "users with kyc_approved", "100 * accounts_in_7d / approved", "below 95 it raises an alert"),
+    "conversion_paid_social_vs_referral": ("Activation of paid social over that of referral", "activation rate of paid_social", "activation rate of referral",
+                                           "rate_paid_social / rate_referral", "the target band is 0.6 to 0.8"),
+    "avg_transaction_value": ("Mean amount of successful transactions", "sum of amounts", "successful transactions", "sum(amount) / successes",
+                              "a few large amounts move it"),
+}
+REGISTRY = ("kpi_name string, business_definition string, sql_definition string, numerator string, denominator string, time_window string, "
+            "segmentation_dimensions string, caveats_edge_cases string, owner string")
+
+
 def kpi(tables: Tables, name: str, dims: Sequence[str] = (), as_of: Column | None = None, **options) -> DataFrame:
     """One KPI, in one row or per combination of ``dims``."""
     entry = CATALOGUE.get(name)
@@ -249,9 +281,17 @@ def kpi(tables: Tables, name: str, dims: Sequence[str] = (), as_of: Column | Non
 
 
 def kpi_registry(spark: SparkSession) -> DataFrame:
-    """The catalogue as a table."""
-    rows = [(n, k.window, ", ".join(k.dimensions), k.owner) for n, k in CATALOGUE.items()]
-    return spark.createDataFrame(rows, "kpi_name string, time_window string, segmentation_dimensions string, owner string")
+    """The catalogue as a table of nine columns."""
+    rows = []
+    for name, k in CATALOGUE.items():
+        meaning, top, bottom, formula, mind = MEANINGS[name]
+        rows.append((name, meaning, formula, top, bottom, k.window, ", ".join(k.dimensions), mind, k.owner))
+    return spark.createDataFrame(rows, REGISTRY)
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame | None:
+    """A catalogue kept as CSV with a header; None when the file is absent."""
+    return read_csv(spark, path, spark.createDataFrame([], REGISTRY).schema)
 
 
 def kpi_report(tables: Tables, names: Sequence[str] = tuple(CATALOGUE), as_of: Column | None = None) -> DataFrame:

@@ -105,7 +105,12 @@ def test_kpi_checks_names_and_dimensions(spark, sf):
         kp.kpi(t, "no_such_kpi")
     with pytest.raises(ValueError):
         kp.kpi(t, "txn_success_rate", ["age_band"])
-    assert kp.kpi_registry(spark).count() == 13
+    registry = kp.kpi_registry(spark)
+    assert registry.count() == 13 and len(registry.columns) == 9
+    path = new_path(spark, "registry")
+    tb.write_result(registry, path)
+    assert sorted(map(tuple, kp.read_registry(spark, path).collect())) == sorted(map(tuple, registry.fillna("").replace("", None).collect()))
+    assert kp.read_registry(spark, path + "-absent") is None
 
 
 def test_slice_keeps_only_facts_of_chosen_users(spark, sf):

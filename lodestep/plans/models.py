@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import attribution as at
@@ -150,6 +151,30 @@ def model_attribution_sample(t):
     return at.sample_points(explained, names, top)
 
 
+def attribution_additive(t):
+    """Test rows, and those whose base and contributions add up to the forest's probability."""
+    df, names, model = _scored(t)
+    scored = md.score(model, df.where("is_test = 1"), ["user_id", *names])
+    explained, base = at.attributions(model, scored, names, ["user_id", "score"])
+    whole = F.aggregate("phi", F.lit(float(base)), lambda a, x: a + x)
+    return explained.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(whole - F.col("score")) < 1e-6).alias("additive"))
+
+
+def logistic_optimum(t):
+    """Training rows of the logistic fit, and the coordinates in which the penalised likelihood still has a slope."""
+    df, names = _prepared(t)
+    train = df.where("is_test = 0")
+    model = md.train(md.SECOND_GENERATION["logistic_regression"], train, names, "churned")
+    fit = model.stages[-1]
+    rows = model.transform(md.weighted(train, "churned")).select(
+        md.WEIGHT, (vector_to_array("probability")[1] - F.col(md.LABEL)).alias("miss"),
+        F.concat(F.array(F.lit(1.0)), vector_to_array("features")).alias("x"))
+    penalty = F.array(*[F.lit(float(b) * fit.getRegParam()) for b in [0.0, *fit.coefficients.toArray()]])
+    slopes = rows.select(md.WEIGHT, "miss", F.posexplode("x").alias("i", "v")).groupBy("i").agg(
+        (F.sum(F.col(md.WEIGHT) * F.col("miss") * F.col("v")) / F.sum(md.WEIGHT)).alias("g"), F.count(F.lit(1)).alias("n"))
+    return slopes.agg(F.max("n").alias("n"), F.count_if(F.abs(F.col("g") + F.get(penalty, F.col("i"))) > 1e-4).alias("off"))
+
+
 def split_report(t):
     split = ft.stratified_split(materialize(ft.activation_features(t)), "churned")
     return split.groupBy("churned", "is_test", "fold").agg(F.count(F.lit(1)).alias("n"), F.min("user_id").alias("first_user"))
@@ -254,6 +279,8 @@ QUERIES = {
     "model_risk_scores": _journeys(model_risk_scores),
     "model_attribution": _journeys(model_attribution),
     "model_attribution_sample": _journeys(model_attribution_sample),
+    "model_attribution_additive": _journeys(attribution_additive),
+    "model_logistic_optimum": _journeys(logistic_optimum),
     # segmentation
     "segment_rfm": lambda s, sf: _rounded(sg.rfm(mapping.commerce(s, sf)), 4),
     "segment_profiles": _journeys(lambda t: _rounded(banded_profiles(t), 4)),

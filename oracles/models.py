@@ -123,6 +123,8 @@ _PROFILES = _BANDS + ", pf AS (SELECT cluster, " + ", ".join(f"AVG({c}) AS {c}"
   np AS (SELECT *, base || CASE WHEN ROW_NUMBER() OVER w > 1 THEN ' ' || ROW_NUMBER() OVER w ELSE '' END AS segment_name
          FROM nm WINDOW w AS (PARTITION BY base ORDER BY monetary DESC, cluster))"""
 
+_PLACED = _ACT + """, o AS (SELECT *, COUNT(*) OVER (PARTITION BY churned ORDER BY substr(md5(user_id || '#42'), 1, 15)) AS up,
+   COUNT(*) OVER (PARTITION BY churned) AS al FROM af)"""
 _FLAGS = """, fl AS (SELECT user_id, MAX(CASE WHEN event_name = 'kyc_approved' THEN 1 ELSE 0 END) AS k, MAX(CASE WHEN event_name = 'first_funding' THEN 1 ELSE 0 END) AS f,
    MAX(CASE WHEN event_name = 'first_transaction' THEN 1 ELSE 0 END) AS x, MAX(CASE WHEN event_name = 'week1_active' THEN 1 ELSE 0 END) AS w
    FROM onboarding_events GROUP BY user_id)"""
@@ -209,6 +211,8 @@ SQL = {
         f"ROUND(({c} - (SELECT AVG({c}) FROM lf)) / (SELECT STDDEV_POP({c}) FROM lf), 5) AS {c}" for c in ["n_transactions", "avg_amount", "n_tickets"]) + " FROM lf",
     "features_split": _ACT + """, o AS (SELECT *, COUNT(*) OVER (PARTITION BY churned ORDER BY substr(md5(user_id || '#42'), 1, 15)) AS up, COUNT(*) OVER (PARTITION BY churned) AS al FROM af)
       SELECT churned, CASE WHEN up <= al * 0.2::DOUBLE THEN 1 ELSE 0 END AS is_test, CAST(up % 5 AS INTEGER) AS fold, COUNT(*) AS n, MIN(user_id) AS first_user FROM o GROUP BY ALL""",
+    "model_attribution_additive": _PLACED + " SELECT COUNT(*) AS n, COUNT(*) AS additive FROM o WHERE up <= al * 0.2::DOUBLE",
+    "model_logistic_optimum": _PLACED + " SELECT COUNT(*) AS n, 0 AS off FROM o WHERE up > al * 0.2::DOUBLE",
     "features_class_weights": _ACT + """ SELECT churned, COUNT(*) AS n, ROUND((SELECT COUNT(*) FROM af)::DOUBLE / ((SELECT COUNT(DISTINCT churned) FROM af) * COUNT(*)), 6) AS weight
       FROM af GROUP BY churned""",
     "evaluation_ranking": _ORDERS + _RANKING,

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import ratio, total
 from ..functions.times import days_between, hours_between, period
+from ..session import materialize
+from ..sources.schemas import STAGES
 from ..sources.tables import Tables, read_csv
 from .metrics import turnaround_hours
 from .quantiles import LINEAR, quantiles
@@ -18,8 +20,38 @@ from .spread import spread_join
 from .stages import reached, stage_times, user_flags
 
 
+def with_stage_frame(tables: Tables) -> Tables:
+    """The same tables with users stored, and one stored row per user that answers every KPI on events: one pass over them.
+
+    The row has the first time of each stage, the last event, and the funding attempts with their successes.
+    """
+    attempt = F.col("event_name") == "first_funding"
+    out = Tables(lambda: materialize(tables.users), *[lambda f=f: getattr(tables, f) for f in Tables.FIELDS[1:]])
+    out.stage_frame = materialize(stage_times(tables.events, STAGES, pick="min", extra={
+        "last": F.max("event_time"), "funded": F.count_if(attempt & (F.col("event_value") == "success")),
+        "attempts": F.count_if(attempt & F.col("event_value").isNotNull())}))
+    return out
+
+
 def last_event(tables: Tables) -> Column:
-    return tables.events.agg(F.max("event_time")).scalar()
+    frame = tables.stage_frame
+    return (tables.events.agg(F.max("event_time")) if frame is None else frame.agg(F.max("last"))).scalar()
+
+
+def _first_times(tables: Tables, stages: Sequence[str]) -> DataFrame:
+    """First time of each stage, one row per user with any of them."""
+    if tables.stage_frame is None:
+        return stage_times(tables.events, stages, pick="min")
+    times = [f"t_{s}" for s in stages]
+    return tables.stage_frame.select("user_id", *times).where(F.coalesce(*times).isNotNull())
+
+
+def _flags(tables: Tables, users: DataFrame, stages: Sequence[str]) -> DataFrame:
+    """Every user with a flag per stage."""
+    if tables.stage_frame is None:
+        return user_flags(users, tables.events, stages)
+    flags = tables.stage_frame.select("user_id", *[F.col(f"t_{s}").isNotNull().cast("int").alias(s) for s in stages])
+    return users.join(flags, "user_id", "left").fillna(0, subset=list(stages))
 
 
 def with_user_dims(users: DataFrame, dims: Sequence[str], as_of: Column) -> DataFrame:
@@ -50,7 +82,7 @@ def conversion(tables: Tables, start: str, goal: str, days: float, dims: Sequenc
     With ``drop_open`` users whose window has not closed by ``as_of`` leave the base.
     """
     end = last_event(tables) if as_of is None else as_of
-    times = stage_times(tables.events, [start, goal], pick="min").where(F.col(f"t_{start}").isNotNull())
+    times = _first_times(tables, [start, goal]).where(F.col(f"t_{start}").isNotNull())
     if drop_open:
         times = times.where(days_between(end, F.col(f"t_{start}")) >= days)
     hit = days_between(F.col(f"t_{goal}"), F.col(f"t_{start}")) <= days
@@ -62,7 +94,7 @@ def stage_ratio(tables: Tables, numerator: str, denominator: str, dims: Sequence
     """Users at one stage per users at another."""
     end = last_event(tables) if as_of is None else as_of
     base = with_user_dims(tables.users, dims, end)
-    flags = user_flags(base, tables.events, [numerator, denominator])
+    flags = _flags(tables, base, [numerator, denominator])
     return _ratio_rows(flags, dims, reached(numerator), reached(denominator))
 
 
@@ -86,7 +118,7 @@ def retained_by_activity(tables: Tables, dims: Sequence[str] = (), as_of: Column
     against the start of that user in one aggregation by user and day offset.
     """
     end = last_event(tables) if as_of is None else as_of
-    start = stage_times(tables.events, ["first_transaction"], pick="min").where(F.col("t_first_transaction").isNotNull())
+    start = _first_times(tables, ["first_transaction"]).where(F.col("t_first_transaction").isNotNull())
     acts = tables.transactions.select("user_id", F.col("txn_time").alias("t"), F.lit(1).alias("is_txn")).unionByName(
         tables.events.where(F.col("event_name") == login).select("user_id", F.col("event_time").alias("t"), F.lit(0).alias("is_txn")))
     # One row per user, time and kind keeps a very active user small before the join.
@@ -134,7 +166,7 @@ def ticket_rate(tables: Tables, dims: Sequence[str] = (), as_of: Column | None =
 def time_to_first_transaction(tables: Tables, dims: Sequence[str] = (), as_of: Column | None = None) -> DataFrame:
     """Median hours from the first account event to the first transaction event of users with both."""
     end = last_event(tables) if as_of is None else as_of
-    times = stage_times(tables.events, ["account_created", "first_transaction"], pick="min")
+    times = _first_times(tables, ["account_created", "first_transaction"])
     hours = times.select("user_id", F.round(hours_between(F.col("t_first_transaction"), F.col("t_account_created")), 6).alias("h"))
     q = quantiles(_by_user(tables, hours.where(F.col("h").isNotNull()), dims, end), "h", {"value": (0.5, LINEAR)}, dims)
     return q.select(*dims, F.round("value", 4).alias("value"))
@@ -143,9 +175,12 @@ def time_to_first_transaction(tables: Tables, dims: Sequence[str] = (), as_of: C
 def funding_success(tables: Tables, dims: Sequence[str] = (), as_of: Column | None = None) -> DataFrame:
     """Successful share of funding attempts whose status was recorded; NULL when none was."""
     end = last_event(tables) if as_of is None else as_of
-    attempts = tables.events.where(F.col("event_name") == "first_funding")
-    per_user = attempts.groupBy("user_id").agg(total(F.col("event_value") == "success").alias("s"),
-                                               F.count("event_value").alias("n"))
+    if tables.stage_frame is None:
+        attempts = tables.events.where(F.col("event_name") == "first_funding")
+        per_user = attempts.groupBy("user_id").agg(total(F.col("event_value") == "success").alias("s"),
+                                                   F.count("event_value").alias("n"))
+    else:
+        per_user = tables.stage_frame.where("attempts > 0").select("user_id", F.col("funded").alias("s"), F.col("attempts").alias("n"))
     return _ratio_rows(_by_user(tables, per_user, dims, end), dims,
                        F.coalesce(F.sum("s"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)))
 
@@ -295,6 +330,7 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def kpi_report(tables: Tables, names: Sequence[str] = tuple(CATALOGUE), as_of: Column | None = None) -> DataFrame:
-    """Overall value of each KPI next to its catalogue entry."""
+    """Overall value of each KPI next to its catalogue entry; the KPIs on events share one pass over them."""
+    tables = with_stage_frame(tables)
     rows = [kpi(tables, n, (), as_of).select(F.lit(n).alias("kpi_name"), "value") for n in names]
     return reduce(DataFrame.unionByName, rows).join(kpi_registry(tables.users.sparkSession), "kpi_name")

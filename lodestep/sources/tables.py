@@ -24,6 +24,7 @@ class Tables:
 
     def __init__(self, users, events, kyc=None, transactions=None, tickets=None):
         self._given = dict(zip(self.FIELDS, (users, events, kyc, transactions, tickets)))
+        self.stage_frame = None  # one row per user with its stage times, where an operator has stored it
 
     def _get(self, name: str) -> DataFrame:
         given = self._given[name]

@@ -99,6 +99,18 @@ def test_dropout_counts_the_registered_who_submit_too_late_or_never(spark):
     assert tuple(kp.kpi(t, "dropout_rate_at_verification").first()) == (2, 3, 66.6667)
 
 
+def test_report_reads_the_events_once_for_all_kpis_on_them(spark, sf):
+    t = mapping.journeys(spark, sf)
+    names = [n for n, k in kp.CATALOGUE.items()]
+    framed = kp.with_stage_frame(t)
+    for name in names:
+        assert sorted(map(str, kp.kpi(framed, name).collect())) == sorted(map(str, kp.kpi(t, name).collect())), name
+    on_events = ["onboarding_completion_rate", "activation_rate", "week1_retention_proxy", "median_time_to_first_transaction", "funding_success_rate",
+                 "dropout_rate_at_verification", "account_creation_rate"]
+    for name in on_events:
+        assert "events.parquet" not in kp.kpi(framed, name)._jdf.queryExecution().executedPlan().toString(), name
+
+
 def test_kpi_checks_names_and_dimensions(spark, sf):
     t = mapping.journeys(spark, sf)
     with pytest.raises(KeyError):

@@ -3,8 +3,8 @@
 Each leaf is a product of interval conditions, one per feature on its path. For a row,
 a condition holds or not (``one``), and without knowledge of the feature it holds with the
 share of training weight that went that way (``zero``). The Shapley value of a leaf follows
-from those two numbers per feature. Rows are scored in batches on the executors; the forest,
-whose size the model settings bound, is the only thing sent to them.
+from those two numbers per feature. Rows are scored in batches on the executors; trees are sent to
+them in parts of bounded size, whose contributions add up.
 """
 
 from __future__ import annotations
@@ -16,11 +16,11 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..session import new_path
 
-MAX_NODES = 2_000_000
+# Trees go to the executors in parts of at most this many nodes (or one tree).
+PART_NODES = 500_000
 
 
 def forest_nodes(model: PipelineModel, spark) -> DataFrame:
@@ -35,10 +35,10 @@ def forest_nodes(model: PipelineModel, spark) -> DataFrame:
         (stats[0] + stats[1]).alias("cover"), (stats[1] / (stats[0] + stats[1])).alias("value"))
 
 
-def leaf_conditions(nodes: pd.DataFrame) -> list[tuple]:
-    """Per leaf: features, open lower and closed upper bounds, zero shares, value over the number of trees."""
+def leaf_conditions(nodes: pd.DataFrame, trees: int | None = None) -> list[tuple]:
+    """Per leaf: features, open lower and closed upper bounds, zero shares, value over the number of trees in the forest."""
     leaves = []
-    trees = nodes["tree"].nunique()
+    trees = trees or nodes["tree"].nunique()
     for _, tree in nodes.groupby("tree"):
         at = tree.set_index("node").to_dict("index")
         stack = [(0, {})]
@@ -95,23 +95,33 @@ def attributions(model: PipelineModel, df: DataFrame, features: Sequence[str], k
     """
     spark = df.sparkSession
     nodes = forest_nodes(model, spark)
-    size = nodes.count()
-    if size > MAX_NODES:
-        raise ValueError(f"forest of {size} nodes is too large to send to every executor")
-    table = nodes.toPandas()
-    leaves = leaf_conditions(table)
-    base = float(sum(value * np.prod(zero) for _, _, _, zero, value in leaves))
-    sent = spark.sparkContext.broadcast(leaves)
+    sizes = nodes.groupBy("tree").count().orderBy("tree").collect()  # one row per tree
+    parts: list[list[int]] = []
+    room = 0
+    for row in sizes:
+        if not parts or row["count"] > room:
+            parts.append([])
+            room = PART_NODES
+        parts[-1].append(row["tree"])
+        room -= row["count"]
     names, kept = list(features), list(keep)
+    columns = list(dict.fromkeys([*kept, *names]))
+    out = df.select(*columns, F.array_repeat(F.lit(0.0), len(names)).alias("phi"))
+    base = 0.0
+    for part in parts:
+        leaves = leaf_conditions(nodes.where(F.col("tree").isin(part)).toPandas(), len(sizes))
+        base += float(sum(value * np.prod(zero) for _, _, _, zero, value in leaves))
+        out = out.mapInPandas(_explain(names, spark.sparkContext.broadcast(leaves)), out.schema)
+    return out.select(*kept, "phi"), base
+
 
+def _explain(names: list[str], sent):
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             phi = row_attributions(batch[names].to_numpy(dtype=float), sent.value)
-            yield batch[kept].assign(phi=list(phi))
+            yield batch.assign(phi=[a + b for a, b in zip(batch["phi"], phi)])
 
-    schema = StructType([*[df.schema[k] for k in kept], StructField("phi", ArrayType(DoubleType()))])
-    columns = list(dict.fromkeys([*kept, *names]))
-    return df.select(*columns).mapInPandas(explain, schema), base
+    return explain
 
 
 def mean_absolute(explained: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -18,6 +18,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the corpus operators rely on."""
     tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    # Intermediates are stored tables, so no later job reads the shuffle files of an earlier one: they go when it ends.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 

@@ -206,6 +206,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the least doc_id of each component, with all its columns."""
+    """The document with the least doc_id of each component, with all its columns.
+
+    Rows that share a doc_id are one document: they stay together if one of them does, so no component is lost.
+    """
     kept = near_duplicates(docs, doc_id, text).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id"))
     return docs.join(kept, docs[doc_id].eqNullSafe(kept["_kept_id"]), "left_semi")

@@ -185,8 +185,10 @@ def test_banding_reaches_its_recall():
         paragraphs.tune(0.01, 0.9999, 4)
 
 
-def test_near_paragraphs_of_a_large_family(spark):
+@pytest.mark.parametrize("block", [paragraphs.BLOCK, 20])
+def test_near_paragraphs_of_a_large_family(spark, block, monkeypatch):
     """Many edits of one paragraph: leaders connect most, the rest is found by verifying what is still apart."""
+    monkeypatch.setattr(paragraphs, "BLOCK", block)
     rng = np.random.default_rng(6)
     words = [f"w{i}" for i in range(400)]
     base = [words[i] for i in rng.integers(0, 400, 120)]

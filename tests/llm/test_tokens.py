@@ -163,7 +163,9 @@ def all_paths(lattice, unit):
     return list(walk(lattice.begin[unit]))
 
 
-def test_sampling_without_replacement(vocabulary):
+@pytest.mark.parametrize("head", [pieces.HEAD, 1])
+def test_sampling_without_replacement(vocabulary, head, monkeypatch):
+    monkeypatch.setattr(pieces, "HEAD", head)
     lattice = pieces.Lattice(["▁the", "▁on"], vocabulary)
     whole = {a + b: np.exp(x + y) for a, x in all_paths(lattice, 0) for b, y in all_paths(lattice, 1)}
     assert sum(whole.values()) == pytest.approx(1)
@@ -187,7 +189,9 @@ def test_sampling_without_replacement(vocabulary):
                 assert pair[a, b] / n == pytest.approx(chance, abs=4 * np.sqrt(chance / n) + 1e-3)
 
 
-def test_few_segmentations_are_all_found(vocabulary):
+@pytest.mark.parametrize("head", [pieces.HEAD, 1])
+def test_few_segmentations_are_all_found(vocabulary, head, monkeypatch):
+    monkeypatch.setattr(pieces, "HEAD", head)
     lattice = pieces.Lattice(["▁to"], vocabulary)
     whole = dict(all_paths(lattice, 0))
     (paths, threshold), = pieces.sample([[0]], [pieces._row_key(1, 1)], lattice, len(whole) + 3)

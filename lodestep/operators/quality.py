@@ -219,12 +219,15 @@ def stage_rules() -> list[Rule]:
 def logic_issues(tables: Tables) -> DataFrame:
     """Issue rows of the rules that need more than one row or table.
 
-    Rules on the stages of a user share one stage frame and one pass over it.
+    The events are read once, into a stored row per user and event name that the stage rules, the repeated pairs and
+    the accounts of payers share.
     """
+    pairs = materialize(tables.events.groupBy("user_id", "event_name").agg(
+        F.max("event_time").alias("event_time"), F.count(F.lit(1)).alias("n")))
     rule = lambda i, t, c, text, check=LOGIC: Rule(i, t, c, text, F.lit(True), check)
     found = [
-        run_rules({"onboarding_events": stage_times(tables.events, STAGES)}, stage_rules()),
-        set_issue(success_without_account(tables.transactions, tables.events),
+        run_rules({"onboarding_events": stage_times(pairs, STAGES)}, stage_rules()),
+        set_issue(success_without_account(tables.transactions, pairs),
                   rule("DQ_LOGIC_003", "transactions", "user_id", "users paid without an account event")),
         set_issue(conflicting_decisions(tables.kyc),
                   rule("DQ_LOGIC_004", "kyc_cases", "decision", "users both approved and rejected")),
@@ -232,7 +235,7 @@ def logic_issues(tables: Tables) -> DataFrame:
                   rule("DQ_REF_001", "support_tickets", "user_id", "ticket owners missing from users")),
         set_issue(repeated_keys(tables.users, ["user_id"]),
                   rule("DQ_DUP_001", "users", "user_id", "user ids occur more than once", DUPLICATE)),
-        set_issue(repeated_keys(tables.events, ["user_id", "event_name"]),
+        set_issue(pairs.where("n > 1"),
                   rule("DQ_DUP_002", "onboarding_events", "event_name", "user and event pairs occur more than once", DUPLICATE)),
     ]
     return reduce(DataFrame.unionByName, found)

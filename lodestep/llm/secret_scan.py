@@ -1,6 +1,6 @@
 """Secret scans: fixed patterns, and strings in sensitive contexts that a primed compressor finds new.
 
-A candidate is a long run of key characters shortly after a sensitive word. Its novelty is the number of
+A candidate is a long run of key characters shortly after a sensitive word; in NAME=value the name is its context. Its novelty is the number of
 bytes it adds when the surrounding text is compressed by zstandard with a dictionary of identifiers, over its
 length. Words and identifiers are in the dictionary or in the surrounding text and add little; random keys add
 most of their length.
@@ -39,7 +39,8 @@ MIN_LENGTH, MIN_NOVELTY = 16, 0.55
 #: Identifiers of the corpus enter the dictionary from so many documents on; most frequent first, up to so many bytes.
 MIN_DOCUMENTS, DICTIONARY_BYTES = 5, 32_768
 
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
+#: Runs of key characters; '=' ends one (what stands before it is a name), except as padding.
+_CANDIDATE = re.compile(r"(?=[A-Za-z0-9+/_=-]{%d})[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?" % (MIN_LENGTH, MIN_LENGTH - 2))
 _CONTEXT = re.compile("|".join(SENSITIVE), re.IGNORECASE | re.ASCII)
 _PLAIN = re.compile(r"[A-Z]?[a-z_-]+|[A-Z_-]+")
 _IDENTIFIER = re.compile(r"[A-Za-z]+(?:_[A-Za-z]+)+|[A-Za-z]{4,40}(?=[=(:])")

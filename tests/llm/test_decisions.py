@@ -182,6 +182,18 @@ def test_novel_strings_in_sensitive_places(spark, nothing):
     assert secret_scan.scan(nothing).count() == 0 and secret_scan.redact(nothing).count() == 0
 
 
+@pytest.mark.parametrize("text, value", [
+    ("export AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCYzQ8vT3kLm4", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzQ8vT3kLm4"),
+    ("private_key=MIIEvQIBADANBgkqhkiG9w0BAQEFAASCBKcwggSj", "MIIEvQIBADANBgkqhkiG9w0BAQEFAASCBKcwggSj"),
+    ("see https://maps.example.org/js?key=AIzaSyD9x7Kq2mWv4Tn8Rb3Yp6Ls1Hf5Jg0Zc&v=3 there", "AIzaSyD9x7Kq2mWv4Tn8Rb3Yp6Ls1Hf5Jg0Zc"),
+    ("auth=dGhpcyBpcyBxN1prMkx3OVhyNFRuOA==", "dGhpcyBpcyBxN1prMkx3OVhyNFRuOA==")])
+def test_novel_values_after_a_name(spark, text, value):
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    [row] = secret_scan.scan(table, dictionary=[]).collect()
+    assert [(s["kind"], text[s["start"]:s["end"]]) for s in row["spans"]] == [("novel", value)]
+    assert secret_scan.redact(table).first()["text"] == text.replace(value, "[SECRET]")
+
+
 def test_redaction_keeps_rows_and_the_rest_of_the_text(spark, edges):
     table = spark.createDataFrame([(1, "x password=abcdefghij y", "k"), (2, None, "k"), (3, "clean", "k")], "doc_id long, text string, spans string")
     got = {r["doc_id"]: r["text"] for r in secret_scan.redact(table).collect()}

@@ -62,9 +62,16 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
 
 
 def novelty(text: str, start: int, end: int, size) -> float:
-    """Bytes that text[start:end] adds to its compressed surroundings, over its length. ``size``: bytes -> compressed length."""
-    before, after = text[max(0, start - CONTEXT):start].encode(), text[end:end + CONTEXT].encode()
-    return (size(before + text[start:end].encode() + after) - size(before + after)) / (end - start)
+    """Bytes that text[start:end] adds to its compressed surroundings without its copies, over its length. ``size``: bytes -> compressed length."""
+    value, low, high = text[start:end], max(0, start - CONTEXT), min(len(text), end + CONTEXT)
+    first = text.find(value, max(0, low - len(value) + 1), start)  # a copy that only reaches into the surroundings goes as a whole
+    if 0 <= first < low:
+        low = first + len(value)
+    last = text.rfind(value, end, high + len(value) - 1)
+    if last >= 0 and last + len(value) > high:
+        high = last
+    before, after = text[low:start].replace(value, "").encode(), text[end:high].replace(value, "").encode()
+    return (size(before + value.encode() + after) - size(before + after)) / len(value)
 
 
 def novel_spans(text: str, raw: bytes, size, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
@@ -74,16 +81,28 @@ def novel_spans(text: str, raw: bytes, size, taken: list[tuple[int, int, int]])
     low = raw.lower()
     if not any(w.encode() in low for w in SENSITIVE):
         return []
-    out = []
+    free, near, found = [], [], {}
     for m in _CANDIDATE.finditer(text):
         start, end = m.span()
-        if _PLAIN.fullmatch(m[0]) or not _CONTEXT.search(text, max(0, start - REACH), start):
-            continue
         if any(s < end and start < e for s, _, e in taken):
             continue
+        free.append((start, end))
+        if _PLAIN.fullmatch(m[0]) or not _CONTEXT.search(text, max(0, start - REACH), start):
+            continue
+        near.append((start, end))
         if (score := novelty(text, start, end, size)) >= MIN_NOVELTY:
-            out.append((start, 3, end, score))
-    return out
+            found[m[0]] = max(score, found.get(m[0], score))
+    out = {(start, end): found[text[start:end]] for start, end in free if text[start:end] in found}
+    # A longer candidate that holds a novel string is little new beside it, so the copy inside is reported.
+    lengths = sorted({len(v) for v in found}, reverse=True)
+    for start, end in near:
+        at = start
+        while lengths and (start, end) not in out and at < end:
+            held = next((n for n in lengths if at + n <= end and text[at:at + n] in found), 0)
+            if held:
+                out[at, at + held] = found[text[at:at + held]]
+            at += held or 1
+    return [(start, 3, end, score) for (start, end), score in sorted(out.items())]
 
 
 def _sizer(dictionary: bytes):

@@ -194,6 +194,19 @@ def test_novel_values_after_a_name(spark, text, value):
     assert secret_scan.redact(table).first()["text"] == text.replace(value, "[SECRET]")
 
 
+@pytest.mark.parametrize("text, copies", [
+    ("session key {0} of {0}", 2), ("auth {0}\n" * 30, 30), ("bearer {0} " + "some words of the text " * 17 + "token {0}", 2),
+    ("api_key={0}\ncurl -H 'auth: {0}'", 1), ("private {0} and private {0}/more", 2)])
+def test_novel_strings_that_stand_twice(spark, text, copies):
+    key = "q7Zk2Lw9Xr4Tn8Vb3Ym6Pd1Hs5Jf0Gc8Ea2Wu4Ki"
+    text = text.format(key)
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    [row] = secret_scan.scan(table, dictionary=[]).collect()
+    found = [s for s in row["spans"] if s["kind"] == "novel"]
+    assert [text[s["start"]:s["end"]] for s in found] == [key] * copies
+    assert key not in secret_scan.redact(table).first()["text"]
+
+
 def test_redaction_keeps_rows_and_the_rest_of_the_text(spark, edges):
     table = spark.createDataFrame([(1, "x password=abcdefghij y", "k"), (2, None, "k"), (3, "clean", "k")], "doc_id long, text string, spans string")
     got = {r["doc_id"]: r["text"] for r in secret_scan.redact(table).collect()}

@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and strings in sensitive contexts that a primed compressor finds new.
 
-A candidate is a long run of key characters shortly after a sensitive word; in NAME=value the name is its context. Its novelty is the number of
-bytes it adds when the surrounding text is compressed by zstandard with a dictionary of identifiers, over its
+A candidate is a run of key characters near a sensitive word, on either side; in NAME=value the name is its context.
+The neighbours of a secret are candidates too, so a key in lines is followed from line to line. Its novelty is the number of
+bytes it adds when the surrounding text, without its copies, is compressed by zstandard with a dictionary of identifiers, over its
 length. Words and identifiers are in the dictionary or in the surrounding text and add little; random keys add
 most of their length.
 """
@@ -9,6 +10,7 @@ most of their length.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,26 +28,35 @@ HEX = re.compile(r"[0-9a-f]+")
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 6, 20, 24
 KINDS = ("assign", "access", "hex", "novel")
 
-#: Words after which a string may be a secret.
+#: Words near which a string may be a secret.
 SENSITIVE = ("key", "secret", "token", "passw", "pwd", "auth", "credential", "bearer", "private", "login", "signature", "session", "cert")
 #: Identifiers every dictionary starts with.
 IDENTIFIERS = ("password", "passwd", "secret", "token", "api_key", "apikey", "access_key", "access_token", "refresh_token", "client_id",
                "client_secret", "private_key", "public_key", "secret_key", "authorization", "Bearer", "credential", "username", "session_id",
                "signature", "certificate", "connection", "database", "localhost", "endpoint", "environment", "config", "default", "example",
                "placeholder", "changeme", "development", "production", "version", "timestamp", "description", "reference", "license")
-#: A candidate starts at most REACH characters after a sensitive word; CONTEXT characters on either side are compressed with it.
+#: A candidate stands at most REACH characters from a sensitive word; CONTEXT characters on either side are compressed with it.
 REACH, CONTEXT = 48, 400
-MIN_LENGTH, MIN_NOVELTY = 16, 0.55
+#: A novel string adds so many bytes for each of its characters, and so many in all. Runs shorter than an assigned value are not looked at.
+MIN_NOVELTY, MIN_ADDED, MIN_LENGTH = 0.55, 7, ASSIGN_MIN
 #: Identifiers of the corpus enter the dictionary from so many documents on; most frequent first, up to so many bytes.
 MIN_DOCUMENTS, DICTIONARY_BYTES = 5, 32_768
 
 #: Runs of key characters; '=' ends one (what stands before it is a name), except as padding.
-_CANDIDATE = re.compile(r"(?=[A-Za-z0-9+/_=-]{%d})[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?" % (MIN_LENGTH, MIN_LENGTH - 2))
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?" % MIN_LENGTH)
+_RULE = re.compile(r"-{2,}")
+#: What may stand between two parts of one secret: line ends, quotes, signs.
+_JOINT = re.compile(r"(?:[\W_]|\\[nrt]){1,%d}" % REACH)
 _CONTEXT = re.compile("|".join(SENSITIVE), re.IGNORECASE | re.ASCII)
 _PLAIN = re.compile(r"[A-Z]?[a-z_-]+|[A-Z_-]+")
 _IDENTIFIER = re.compile(r"[A-Za-z]+(?:_[A-Za-z]+)+|[A-Za-z]{4,40}(?=[=(:])")
 _KEEP_HEX = bytes(104 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
-_KEEP_KEY = bytes(107 if re.match(r"[A-Za-z0-9+/_=-]", chr(c)) else 32 for c in range(256))
+#: Stands before a text that begins less than CONTEXT characters ahead of a candidate, so that zstandard weighs letters as in longer texts.
+_LEAD = ("When the morning came the people of the town went down to the harbour and looked at the ships. Nobody knew how long they would stay, "
+         "but there were many of them, and the men on board said that the weather had been bad for weeks. In the evening a few of the older "
+         "ones told what they had seen on the other side, where the land is flat and the rivers are wide. It was late before the lights "
+         "went out. See read_me_first and set_up_the_tools_by_hand, 14-03-2019, pages 26/58, or http://www.some-place.org/about/us_and_them.html. ")
+_LEAD = (_LEAD * (CONTEXT // len(_LEAD) + 1))[-CONTEXT:]
 
 
 def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
@@ -61,8 +72,11 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
     return out
 
 
-def novelty(text: str, start: int, end: int, size) -> float:
-    """Bytes that text[start:end] adds to its compressed surroundings without its copies, over its length. ``size``: bytes -> compressed length."""
+def added(text: str, start: int, end: int, size) -> int:
+    """Bytes that text[start:end] adds to its compressed surroundings without its copies. ``size``: bytes -> compressed length.
+
+    The case of a word in one case says nothing, so such a string is measured in lower case.
+    """
     value, low, high = text[start:end], max(0, start - CONTEXT), min(len(text), end + CONTEXT)
     first = text.find(value, max(0, low - len(value) + 1), start)  # a copy that only reaches into the surroundings goes as a whole
     if 0 <= first < low:
@@ -70,32 +84,73 @@ def novelty(text: str, start: int, end: int, size) -> float:
     last = text.rfind(value, end, high + len(value) - 1)
     if last >= 0 and last + len(value) > high:
         high = last
-    before, after = text[low:start].replace(value, "").encode(), text[end:high].replace(value, "").encode()
-    return (size(before + value.encode() + after) - size(before + after)) / len(value)
+    before, after = text[low:start].replace(value, ""), text[end:high].replace(value, "")
+    before = _LEAD[len(before):] + before
+    if _PLAIN.fullmatch(value):
+        before, value, after = before.lower(), value.lower(), after.lower()
+    # Whatever stands here ends a match of the surroundings; against a line end that costs the string nothing.
+    return size((before + value + after).encode()) - size((before + "\n" + after).encode())
+
+
+def _candidates(text: str) -> list[tuple[int, int]]:
+    """(start, end) of runs of key characters, without the dashes of rules around them."""
+    out = []
+    for m in _CANDIDATE.finditer(text):
+        start, end = m.span()
+        if text.startswith("--", start):
+            start = _RULE.match(text, start, end).end()
+        if text.endswith("--", start, end):
+            end = start + len(text[start:end].rstrip("-"))
+        if end - start >= MIN_LENGTH:
+            out.append((start, end))
+    return out
+
+
+def _in_reach(text: str, spans: list[tuple[int, int]]) -> Iterator[int]:
+    """Numbers of the spans with a sensitive word in reach, before or after."""
+    words = [m.span() for m in _CONTEXT.finditer(text)]
+    starts, ends = [s for s, _ in words], [e for _, e in words]
+    for i, (start, end) in enumerate(spans):
+        before, after = bisect_right(ends, start) - 1, bisect_left(starts, end)
+        if before >= 0 and starts[before] >= start - REACH or after < len(words) and ends[after] <= end + REACH:
+            yield i
 
 
 def novel_spans(text: str, raw: bytes, size, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
     """(start, kind, end, novelty) of candidates no base span touches."""
-    if b"k" * MIN_LENGTH not in raw.translate(_KEEP_KEY):
-        return []
     low = raw.lower()
     if not any(w.encode() in low for w in SENSITIVE):
         return []
-    free, near, found = [], [], {}
-    for m in _CANDIDATE.finditer(text):
-        start, end = m.span()
-        if any(s < end and start < e for s, _, e in taken):
-            continue
-        free.append((start, end))
-        if _PLAIN.fullmatch(m[0]) or not _CONTEXT.search(text, max(0, start - REACH), start):
+    spans = _candidates(text)
+    base: list[list[int]] = []  # base spans, joined where they overlap
+    for s, _, e in sorted(taken):
+        if base and s < base[-1][1]:
+            base[-1][1] = max(base[-1][1], e)
+        else:
+            base.append([s, e])
+    first = [s for s, _ in base]
+    touched = [(j := bisect_left(first, end) - 1) >= 0 and base[j][1] > start for start, end in spans]
+    near, found = set(), {}
+    open_ = list(_in_reach(text, spans))
+    while open_:
+        i = open_.pop()
+        if i in near:
             continue
-        near.append((start, end))
-        if (score := novelty(text, start, end, size)) >= MIN_NOVELTY:
-            found[m[0]] = max(score, found.get(m[0], score))
-    out = {(start, end): found[text[start:end]] for start, end in free if text[start:end] in found}
+        near.add(i)
+        start, end = spans[i]
+        if not touched[i]:
+            more = added(text, start, end, size)
+            if more < MIN_ADDED or more < MIN_NOVELTY * (end - start):
+                continue
+            value, score = text[start:end], more / (end - start)
+            found[value] = max(score, found.get(value, score))
+        # The context holds on through the neighbours of a secret, line after line.
+        open_ += [j for j in (i - 1, i + 1) if 0 <= j < len(spans) and j not in near
+                  and _JOINT.fullmatch(text, spans[min(i, j)][1], spans[max(i, j)][0])]
+    out = {span: found[text[slice(*span)]] for span, t in zip(spans, touched) if not t and text[slice(*span)] in found}
     # A longer candidate that holds a novel string is little new beside it, so the copy inside is reported.
     lengths = sorted({len(v) for v in found}, reverse=True)
-    for start, end in near:
+    for start, end in (spans[i] for i in sorted(near) if not touched[i]):
         at = start
         while lengths and (start, end) not in out and at < end:
             held = next((n for n in lengths if at + n <= end and text[at:at + n] in found), 0)

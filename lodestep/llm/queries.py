@@ -87,7 +87,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return paragraphs.repeated(read(spark, sf_dir, "documents"))
+    return paragraphs.repeated_both(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {q.__name__: q for q in (op1_secret_scan, op2_packing, op3_shards, op4_classifier, op5_quality_rules, op6_simhash, op7_suffix_dedup,

@@ -203,3 +203,22 @@ def test_near_paragraphs_of_a_large_family(spark, block, monkeypatch):
     for r in paragraphs.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect():
         groups[r["component_id"]].append(r["doc_id"])
     assert sorted(map(sorted, groups.values())) == sorted(want)
+
+
+def test_short_lines_and_wrapped_passages(spark):
+    rng = np.random.default_rng(4)
+    passage = [f"w{i}" for i in rng.integers(0, 500, 100)]
+    other = [" ".join(f"v{i}" for i in rng.integers(0, 500, 30)) for _ in range(3)]
+    wrap = lambda n: "\n".join(" ".join(passage[i:i + n]) for i in range(0, 100, n))
+    short = "one two three four five six seven eight nine"
+    rows = [(1, f"{other[0]}\n\n{wrap(12)}\n \n{short}"), (2, f"{wrap(15)}\n\n{other[1]}"), (3, f"{' '.join(passage)}\n\nall rights\n\nkept {short}"),
+            (4, f"All  Rights\n{other[2]}")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = defaultdict(list)
+    for r in paragraphs.repeated_both(table).collect():
+        got[r["form"], r["component_id"]].append((r["doc_id"], r["paragraph"], r["removed"], dict(rows)[r["doc_id"]][r["start"]:r["end"]]))
+    # Lines of 1 and 3 share five of six shingles, those of 3 and 4 differ in case; blocks differ in how they are wrapped.
+    want = {"line": [[(1, 12, False, short), (3, 4, True, "kept " + short)], [(3, 2, False, "all rights"), (4, 0, True, "All  Rights")]],
+            "block": [[(1, 2, False, wrap(12)), (2, 0, True, wrap(15)), (3, 0, True, " ".join(passage))]]}
+    for form, groups in want.items():
+        assert sorted(sorted(g) for (f, _), g in got.items() if f == form) == groups

@@ -202,3 +202,11 @@ def test_lifetime_features_leak_the_label(spark, sf):
     tables = mapping.journeys(spark, sf)
     assert "events_completed" in ft.lifetime_features(tables).columns
     assert "events_completed" not in ft.activation_features(tables).columns
+
+
+def test_registered_comparison_fits_the_second_generation(monkeypatch):
+    from lodestep.plans import models as plans
+
+    monkeypatch.setattr(plans, "_prepared", lambda t: (t, ["a"]))
+    monkeypatch.setattr(plans.md, "compare", lambda specs, *rest, **options: specs)
+    assert plans.model_comparison(None) == md.SECOND_GENERATION

@@ -1,4 +1,7 @@
-"""Removal of repeated byte strings by bucket-pointer refinement over a sample of suffixes.
+"""Removal of repeated byte strings by refining buckets of a sample of suffixes with hashes of their bytes.
+
+In bucket-pointer refinement a bucket is sorted by the bucket identifiers of later offsets; here direct hashes of the bytes
+that the rows carry take that place, as only anchors would have identifiers.
 
 Which bytes does a string of LENGTH bytes cover that also starts elsewhere? Sorting all suffixes would move a
 row per byte. Here the suffixes at anchors are sorted: an anchor is the least q-gram hash of every string of

@@ -30,6 +30,8 @@ LAST_CLASS = 64
 BITS, PART_BLOCKS, BROADCAST_BYTES = 24, 1 << 18, 32 << 20
 #: Characters of a text read at once; distinct words a task holds before it hands on their counts; places probed at once.
 STRETCH, HELD, PROBED = 1_000_000, 200_000, 1 << 17
+#: Words probed in one task; a word has hundreds of edits, so a file of words is far more work than its bytes say.
+TASK_WORDS = 20_000
 
 _RUNS = re.compile(f"[{RUN}]{{{MIN_LENGTH},}}")
 _BREAK = re.compile(f"[^{RUN}]")
@@ -255,7 +257,8 @@ def near_words(words: DataFrame, part_blocks: int = PART_BLOCKS, limit: int = BR
         for r in filters.filter(here).collect():
             held.setdefault(r["size"], []).append((r["part"], bytes(r["bits"])))
         near = {s for size in held for s in (size, size + 1)}
-        asked = hashed.filter(F.col("size").isin(near)).select("word", "n")
+        tasks = -(-sum(n for size, n in sizes.items() if size in near) // TASK_WORDS)
+        asked = hashed.filter(F.col("size").isin(near)).select("word", "n").repartition(tasks, "word")
         shared = spark.sparkContext.broadcast(held)
         found = stored(asked.mapInArrow(_probe(shared, alphabet, blocks, part_blocks), "edit string, word string, n long"), "positives")
         shared.unpersist()

@@ -1,100 +1,177 @@
-"""Additive attributions of a random forest, path-dependent, as a distributed scoring job.
+"""Additive attributions of a tree ensemble, path-dependent, as a distributed scoring job.
 
-Each leaf is a product of interval conditions, one per feature on its path. For a row,
-a condition holds or not (``one``), and without knowledge of the feature it holds with the
-share of training weight that went that way (``zero``). The Shapley value of a leaf follows
-from those two numbers per feature. Rows are scored in batches on the executors; trees are sent to
-them in parts of bounded size, whose contributions add up.
+Each leaf is a product of interval conditions, one per feature on its path. For a row, a condition holds or not (``one``), and without knowledge of
+the feature it holds with the share of training weight that went that way (``zero``). The weight that a Shapley value gives to a set of known
+features is a Beta integral, so the value of feature i at a leaf is
+
+    value * (one_i - zero_i) * integral over t in (0, 1) of the product, over the other features j, of one_j * t + zero_j * (1 - t),
+
+a polynomial in t that Gauss-Legendre quadrature with half as many points as the path has features integrates exactly. The products are shared
+along paths: going down, a node has its parent's product times one factor; going up, it has the sum over its leaves, and each
+edge adds its feature's share of that sum. The work is nodes times points for each row, for all rows of a batch and all nodes of a level at once.
+Trees are sent to the executors in parts of bounded size, whose contributions add up.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from math import factorial
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import new_path
+from .ensembles import node_table
 
 # Trees go to the executors in parts of at most this many nodes (or one tree).
 PART_NODES = 500_000
+# Trees are explained together up to so many nodes, for so many numbers (nodes x rows x points) at a time.
+GROUP_NODES, AT_ONCE = 1_000, 1 << 18
+# A branch no training row took still has this share.
+LEAST_SHARE = 1e-12
 
 
-def forest_nodes(model: PipelineModel, spark) -> DataFrame:
-    """Nodes of the forest, from its saved form in the shared folder."""
-    path = new_path(spark, "forest")
-    model.stages[-1].write().save(path)
-    node = F.col("nodeData")
-    stats = node["impurityStats"]
-    return spark.read.parquet(f"{path}/data").select(
-        F.col("treeID").alias("tree"), node["id"].alias("node"), node["leftChild"].alias("left"), node["rightChild"].alias("right"),
-        node["split"]["featureIndex"].alias("feature"), F.try_element_at(node["split"]["leftCategoriesOrThreshold"], F.lit(1)).alias("threshold"),
-        (stats[0] + stats[1]).alias("cover"), (stats[1] / (stats[0] + stats[1])).alias("value"))
-
-
-def leaf_conditions(nodes: pd.DataFrame, trees: int | None = None) -> list[tuple]:
-    """Per leaf: features, open lower and closed upper bounds, zero shares, value over the number of trees in the forest."""
-    leaves = []
-    trees = trees or nodes["tree"].nunique()
-    for _, tree in nodes.groupby("tree"):
-        at = tree.set_index("node").to_dict("index")
-        stack = [(0, {})]
-        while stack:
-            number, conditions = stack.pop()
-            node = at[number]
-            if node["left"] < 0:
-                features = sorted(conditions)
-                leaves.append((
-                    np.array(features, dtype=int), np.array([conditions[f][0] for f in features], dtype=float),
-                    np.array([conditions[f][1] for f in features], dtype=float),
-                    np.array([conditions[f][2] for f in features], dtype=float), node["value"] / trees))
-                continue
-            f, cut = int(node["feature"]), node["threshold"]
-            low, high, share = conditions.get(f, (-np.inf, np.inf, 1.0))
-            for child, bounds in ((node["left"], (low, min(high, cut))), (node["right"], (max(low, cut), high))):
-                part = at[child]["cover"] / node["cover"] if node["cover"] else 0.0
-                stack.append((child, {**conditions, f: (*bounds, share * part)}))
-    return leaves
-
-
-def leaf_values(one: np.ndarray, zero: np.ndarray) -> np.ndarray:
-    """Shapley values of a product game, one row per pattern of held conditions (unit leaf value)."""
-    patterns, d = one.shape
-    weights = np.array([factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)])
-    out = np.empty((patterns, d))
-    for i in range(d):
-        poly = np.zeros((patterns, d))
-        poly[:, 0] = 1.0
-        for degree, j in enumerate(k for k in range(d) if k != i):
-            poly[:, 1:degree + 2] = poly[:, 1:degree + 2] * zero[j] + poly[:, 0:degree + 1] * one[:, [j]]
-            poly[:, 0] *= zero[j]
-        out[:, i] = (one[:, i] - zero[i]) * (poly @ weights)
-    return out
-
-
-def row_attributions(x: np.ndarray, leaves: Sequence[tuple]) -> np.ndarray:
-    phi = np.zeros(x.shape)
-    for features, low, high, zero, value in leaves:
-        if not len(features) or value == 0:
+@dataclass
+class Level:
+    """The nodes of one depth of several trees, left children first, and what their edges do to a row.
+
+    ``factors`` and ``shares`` have a row per node for each of three cases: the row fails the condition so far, meets only the one the path had
+    on this feature before, or meets both.
+    """
+
+    parent: np.ndarray
+    feature: np.ndarray
+    bounds: np.ndarray
+    factors: np.ndarray
+    shares: np.ndarray
+    inner: np.ndarray
+    value: np.ndarray
+
+
+def _levels(trees: list[dict], points: np.ndarray, weights: np.ndarray) -> tuple[list[Level], float, np.ndarray]:
+    """Levels below the roots of some trees (a dict of columns each), their base value, and the roots' splits mark."""
+    anywhere = (-np.inf, np.inf, 1.0)
+    base = 0.0
+    front = [(tree, int(np.flatnonzero(tree["node"] == 0)[0]), {}, 1.0) for tree in trees]
+    place = [{int(n): i for i, n in enumerate(tree["node"])} for tree in trees]
+    spots = {id(tree): spot for tree, spot in zip(trees, place)}
+    base += sum(float(tree["value"][i]) for tree, i, _, _ in front if tree["left"][i] < 0)
+    roots = np.array([tree["left"][i] >= 0 for tree, i, _, _ in front])
+    levels = []
+    while True:
+        inner = [k for k, (tree, i, _, _) in enumerate(front) if tree["left"][i] >= 0]
+        if not inner:
+            return levels, base, roots
+        below, parent, feature, bounds, zeros = [], [], [], [], []
+        for side in ("left", "right"):
+            for number, k in enumerate(inner):
+                tree, i, path, reach = front[k]
+                f, cut = int(tree["feature"][i]), float(tree["threshold"][i])
+                low, high, zero = path.get(f, anywhere)
+                child = spots[id(tree)][int(tree[side][i])]
+                share = max(float(tree["cover"][child] / tree["cover"][i]) if tree["cover"][i] else 0.0, LEAST_SHARE)
+                new = (low, min(high, cut), zero * share) if side == "left" else (max(low, cut), high, zero * share)
+                below.append((tree, child, {**path, f: new}, reach * share))
+                parent.append(k)
+                feature.append(f)
+                bounds.append((low, high, new[0], new[1]))
+                zeros.append((zero, new[2]))
+                if tree["left"][child] < 0:
+                    base += float(tree["value"][child]) * reach * share
+        zero = np.array(zeros)[:, :, None, None]
+        one = np.array([[[0.0], [1.0], [1.0]], [[0.0], [0.0], [1.0]]])[None]  # before and now, in the three cases
+        q = one * points + zero * (1 - points)
+        part = (one - zero) / q
+        values = np.array([float(tree["value"][i]) if tree["left"][i] < 0 else 0.0 for tree, i, _, _ in below])
+        levels.append(Level(np.array(parent), np.array(feature), np.array(bounds), q[:, 1] / q[:, 0], (part[:, 1] - part[:, 0]) * weights,
+                            np.array([tree["left"][i] >= 0 for tree, i, _, _ in below]), values))
+        front = below
+
+
+def compiled(nodes: pd.DataFrame, trees: int | None = None) -> tuple[list[list[Level]], float]:
+    """Groups of trees ready for :func:`row_attributions`, and the mean of the ensemble over its own training rows.
+
+    Values are divided by the number of ``trees`` of the whole ensemble.
+    """
+    columns = ["node", "left", "right", "feature", "threshold", "cover", "value"]
+    each = [{c: tree[c].to_numpy() for c in columns} for _, tree in nodes.groupby("tree")]
+    trees = trees or len(each)
+    each = [{**tree, "value": tree["value"] / trees} for tree in each]
+    groups, room = [], 0
+    for tree in each:
+        if len(tree["node"]) > room:
+            groups.append([])
+            room = max(GROUP_NODES, len(tree["node"]))
+        groups[-1].append(tree)
+        room -= len(tree["node"])
+    out, base = [], 0.0
+    for group in groups:
+        depth = max(_depth(tree) for tree in group)
+        if depth == 0:
+            base += sum(float(tree["value"][0]) for tree in group)
             continue
-        cells = x[:, features]
-        held = (cells > low) & (cells <= high)
-        codes = held @ (1 << np.arange(len(features)))
-        _, index, inverse = np.unique(codes, return_index=True, return_inverse=True)
-        phi[:, features] += value * leaf_values(held[index].astype(float), zero)[inverse]
+        points, weights = np.polynomial.legendre.leggauss((depth + 1) // 2)
+        levels, part, _ = _levels(group, (points + 1) / 2, weights / 2)
+        out.append(levels)
+        base += part
+    return out, base
+
+
+def _depth(tree: dict) -> int:
+    at = {int(n): i for i, n in enumerate(tree["node"])}
+    front, depth = [0], 0
+    while front := [int(tree[side][at[n]]) for n in front if tree["left"][at[n]] >= 0 for side in ("left", "right")]:
+        depth += 1
+    return depth
+
+
+def row_attributions(x: np.ndarray, groups: Sequence[list[Level]]) -> np.ndarray:
+    """Contributions (rows x features) of rows of feature values; NaN lies above every threshold."""
+    phi = np.zeros(x.shape)
+    x = np.where(np.isnan(x), np.inf, x)
+    for levels in groups:
+        step = max(1, AT_ONCE // (sum(len(level.parent) for level in levels) * levels[0].factors.shape[-1]))
+        for first in range(0, len(x), step):
+            rows = slice(first, first + step)
+            phi[rows] += _explained(x[rows], levels)
     return phi
 
 
+def _explained(x: np.ndarray, levels: list[Level]) -> np.ndarray:
+    columns = np.ascontiguousarray(x.T)
+    cases, products = [], []
+    above = np.ones((int(levels[0].parent.max()) + 1, len(x), levels[0].factors.shape[-1]))
+    for level in levels:
+        cell, (low, high, new_low, new_high) = columns[level.feature], level.bounds.T[:, :, None]
+        case = ((cell > low) & (cell <= high)).astype(np.intp) + ((cell > new_low) & (cell <= new_high))
+        above = above[level.parent] * np.take_along_axis(level.factors, case[:, :, None], 1)
+        cases.append(case)
+        products.append(above)
+    phi = np.zeros((x.shape[1], len(x)))
+    sums = None
+    for level, case, product in zip(reversed(levels), reversed(cases), reversed(products)):
+        total = product * level.value[:, None, None]
+        if sums is not None:
+            total[level.inner] = sums
+        change = np.einsum("nrk,nrk->nr", total, np.take_along_axis(level.shares, case[:, :, None], 1))
+        phi += (np.arange(len(phi))[:, None] == level.feature) @ change
+        half = len(total) // 2
+        sums = total[:half] + total[half:]
+    return phi.T
+
+
 def attributions(model: PipelineModel, df: DataFrame, features: Sequence[str], keep: Sequence[str] = ("user_id",)) -> tuple[DataFrame, float]:
-    """(kept columns, ``phi`` array in feature order) per row and the base value.
+    """(kept columns, ``phi`` array in feature order) per row and the base value, for a fitted forest.
 
     The base plus a row's contributions is the forest's probability of class 1.
     """
+    return explained(node_table(model, df.sparkSession), df, features, keep)
+
+
+def explained(nodes: DataFrame, df: DataFrame, features: Sequence[str], keep: Sequence[str] = ("user_id",)) -> tuple[DataFrame, float]:
+    """As :func:`attributions` for any node table of a forest (see ``ensembles``): base and contributions add up to its mean leaf value."""
     spark = df.sparkSession
-    nodes = forest_nodes(model, spark)
     sizes = nodes.groupBy("tree").count().orderBy("tree").collect()  # one row per tree
     parts: list[list[int]] = []
     room = 0
@@ -109,9 +186,9 @@ def attributions(model: PipelineModel, df: DataFrame, features: Sequence[str], k
     out = df.select(*columns, F.array_repeat(F.lit(0.0), len(names)).alias("phi"))
     base = 0.0
     for part in parts:
-        leaves = leaf_conditions(nodes.where(F.col("tree").isin(part)).toPandas(), len(sizes))
-        base += float(sum(value * np.prod(zero) for _, _, _, zero, value in leaves))
-        out = out.mapInPandas(_explain(names, spark.sparkContext.broadcast(leaves)), out.schema)
+        groups, mean = compiled(nodes.where(F.col("tree").isin(part)).toPandas(), len(sizes))
+        base += mean
+        out = out.mapInPandas(_explain(names, spark.sparkContext.broadcast(groups)), out.schema)
     return out.select(*kept, "phi"), base
 
 

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import attribution as at
-from ..operators import cox, survival as sv
+from ..operators import cox, ensembles as en, survival as sv
 from ..operators import evaluation as ev
 from ..operators import features as ft
 from ..operators import models as md
@@ -129,6 +129,55 @@ def model_importance(t):
     return md.feature_importance(model, names, df.sparkSession)
 
 
+# A scorecard of the time before and at the first transaction: splits by hand, values by measurement.
+CARD_FEATURES = ["kyc_turnaround_h", "first_txn_amount", "n_pre_tickets", "h_reg_to_verify"]
+CARD = [(0, 0, 1, 2, 0, 20.0), (0, 1, 3, 4, 1, 35.0), (0, 2, 5, 6, 3, 5.0), (0, 3, -1, -1, None, None), (0, 4, -1, -1, None, None),
+        (0, 5, -1, -1, None, None), (0, 6, 7, 8, 0, 50.0), (0, 7, -1, -1, None, None), (0, 8, -1, -1, None, None),
+        (1, 0, 1, 2, 3, 0.0), (1, 1, -1, -1, None, None), (1, 2, 3, 4, 1, 60.0), (1, 3, -1, -1, None, None), (1, 4, 5, 6, 0, 0.0),
+        (1, 5, -1, -1, None, None), (1, 6, -1, -1, None, None),
+        (2, 0, 1, 2, 1, 15.0), (2, 1, -1, -1, None, None), (2, 2, 3, 4, 2, 0.5), (2, 3, 5, 6, 1, 70.0), (2, 4, -1, -1, None, None),
+        (2, 5, -1, -1, None, None), (2, 6, -1, -1, None, None)]
+
+
+def _card(t):
+    """Feature rows with their split, and the scorecard as measured on the training rows."""
+    rows = materialize(ft.stratified_split(materialize(ft.activation_features(t)), "churned"))
+    splits = rows.sparkSession.createDataFrame(CARD, "tree int, node int, left int, right int, feature int, threshold double")
+    nodes = splits.withColumns({"cover": F.lit(0.0), "value": F.lit(0.0), "gain": F.lit(0.0), "weight": F.lit(1.0)})
+    return rows, materialize(en.measured(nodes, rows.where("is_test = 0"), CARD_FEATURES, "churned"))
+
+
+def ensemble_statistics(t):
+    return _rounded(_card(t)[1].select("tree", "node", "cover", "value", "gain"))
+
+
+def ensemble_scores(t):
+    rows, nodes = _card(t)
+    return _rounded(ev.risk_tiers(en.score(nodes, rows.where("is_test = 1"), CARD_FEATURES, ["user_id"])))
+
+
+def ensemble_importance(t):
+    return _rounded(en.importance(_card(t)[1], CARD_FEATURES))
+
+
+def ensemble_attribution(t):
+    rows, nodes = _card(t)
+    found, base = at.explained(nodes, rows.where("is_test = 1"), CARD_FEATURES)
+    return _rounded(found.select("user_id", F.lit(base).alias("base"), *[F.col("phi")[i].alias(f) for i, f in enumerate(CARD_FEATURES)]))
+
+
+def forest_walk(t):
+    """Test rows, those whose walked score is the fitted forest's probability, and features whose importance from stored gains differs."""
+    df, names, model = _scored(t)
+    nodes = materialize(en.node_table(model, df.sparkSession))
+    fitted = md.score(model, df.where("is_test = 1"), names).withColumnRenamed("score", "fitted")
+    walked = en.score(nodes, fitted, names, ["fitted"])
+    stored = md.feature_importance(model, names, df.sparkSession).withColumnRenamed("importance", "fitted")
+    off = en.importance(nodes, names).join(stored, "feature").where(F.abs(F.col("importance") - F.col("fitted")) > 1e-9)
+    return walked.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(F.col("score") - F.col("fitted")) < 1e-9).alias("walked")).select(
+        "n", "walked", off.agg(F.count(F.lit(1))).scalar().alias("importances_off"))
+
+
 def model_risk_scores(t):
     df, _, model = _scored(t)
     return ev.risk_tiers(md.score(model, df, ["user_id"])).orderBy(F.col("score").desc(), "user_id")
@@ -278,6 +327,11 @@ QUERIES = {
     "model_attribution_sample": _journeys(model_attribution_sample),
     "model_attribution_additive": _journeys(attribution_additive),
     "model_logistic_optimum": _journeys(logistic_optimum),
+    "model_forest_walk": _journeys(forest_walk),
+    "ensemble_node_statistics": _journeys(ensemble_statistics),
+    "ensemble_scores": _journeys(ensemble_scores),
+    "ensemble_importance": _journeys(ensemble_importance),
+    "ensemble_attribution": _journeys(ensemble_attribution),
     # segmentation
     "segment_rfm": lambda s, sf: _rounded(sg.rfm(mapping.commerce(s, sf)), 4),
     "segment_profiles": _journeys(lambda t: _rounded(banded_profiles(t), 4)),

@@ -125,6 +125,34 @@ _PROFILES = _BANDS + ", pf AS (SELECT cluster, " + ", ".join(f"AVG({c}) AS {c}"
 
 _PLACED = _ACT + """, o AS (SELECT *, COUNT(*) OVER (PARTITION BY churned ORDER BY substr(md5(user_id || '#42'), 1, 15)) AS up,
    COUNT(*) OVER (PARTITION BY churned) AS al FROM af)"""
+_X = ["kyc_turnaround_h", "first_txn_amount", "n_pre_tickets", "h_reg_to_verify"]
+_CARD = """(0, 0, 1, 2, 0, 20.0), (0, 1, 3, 4, 1, 35.0), (0, 2, 5, 6, 3, 5.0), (0, 3, -1, -1, NULL, NULL), (0, 4, -1, -1, NULL, NULL),
+  (0, 5, -1, -1, NULL, NULL), (0, 6, 7, 8, 0, 50.0), (0, 7, -1, -1, NULL, NULL), (0, 8, -1, -1, NULL, NULL),
+  (1, 0, 1, 2, 3, 0.0), (1, 1, -1, -1, NULL, NULL), (1, 2, 3, 4, 1, 60.0), (1, 3, -1, -1, NULL, NULL), (1, 4, 5, 6, 0, 0.0),
+  (1, 5, -1, -1, NULL, NULL), (1, 6, -1, -1, NULL, NULL),
+  (2, 0, 1, 2, 1, 15.0), (2, 1, -1, -1, NULL, NULL), (2, 2, 3, 4, 2, 0.5), (2, 3, 5, 6, 1, 70.0), (2, 4, -1, -1, NULL, NULL),
+  (2, 5, -1, -1, NULL, NULL), (2, 6, -1, -1, NULL, NULL)"""
+# Rows walk the trees in a recursive query; st has the counts, shares and gains that the training rows give the nodes.
+_WALK = "WITH RECURSIVE" + _PLACED.removeprefix("WITH") + f""",
+nodes(tree, node, lft, rgt, feature, threshold) AS (VALUES {_CARD}),
+rw AS MATERIALIZED (SELECT ROW_NUMBER() OVER () AS rid, user_id, churned, up <= al * 0.2::DOUBLE AS test, [{', '.join(f'{c}::DOUBLE' for c in _X)}] AS x FROM o),
+walk AS (SELECT rid, tree, 0 AS node FROM rw, (SELECT DISTINCT tree FROM nodes) t
+         UNION ALL SELECT w.rid, w.tree, CASE WHEN x[feature + 1] <= threshold THEN lft ELSE rgt END
+                   FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node JOIN rw ON rw.rid = w.rid WHERE lft >= 0),
+cs AS (SELECT tree, node, COUNT(*)::DOUBLE AS cover, AVG(churned) AS value FROM walk JOIN rw USING (rid) WHERE NOT test GROUP BY tree, node),
+im AS (SELECT n.*, COALESCE(cover, 0) AS cover, value, COALESCE(2 * value * (1 - value) * cover, 0) AS impure FROM nodes n LEFT JOIN cs USING (tree, node)),
+st AS MATERIALIZED (SELECT a.*, CASE WHEN a.lft >= 0 AND a.cover > 0 THEN GREATEST((a.impure - l.impure - r.impure) / a.cover, 0) ELSE 0 END AS gain
+       FROM im a LEFT JOIN im l ON l.tree = a.tree AND l.node = a.lft LEFT JOIN im r ON r.tree = a.tree AND r.node = a.rgt)"""
+# Shapley values by definition: the expected score for every set of known features, walked with the shares of the training rows.
+_SHAPLEY = _WALK + """,
+gone AS (SELECT rid, m, tree, 0 AS node, 1.0::DOUBLE AS w FROM rw, range(16) s(m), (SELECT DISTINCT tree FROM nodes) t WHERE test
+         UNION ALL SELECT g.rid, g.m, g.tree, c.node, g.w * CASE WHEN g.m >> a.feature & 1 = 1 THEN 1 ELSE c.cover / a.cover END
+                   FROM gone g JOIN st a ON a.tree = g.tree AND a.node = g.node JOIN rw ON rw.rid = g.rid
+                   JOIN st c ON c.tree = a.tree AND (c.node = a.lft OR c.node = a.rgt)
+                   WHERE a.lft >= 0 AND (g.m >> a.feature & 1 = 0 OR c.node = CASE WHEN x[a.feature + 1] <= a.threshold THEN a.lft ELSE a.rgt END)),
+known AS (SELECT rid, m, SUM(w * value) / 3 AS v FROM gone JOIN st USING (tree, node) WHERE lft < 0 GROUP BY rid, m),
+phi AS (SELECT a.rid, i, SUM((b.v - a.v) * CASE bit_count(a.m::INTEGER) WHEN 1 THEN 1 WHEN 2 THEN 1 ELSE 3 END / 12.0::DOUBLE) AS p
+        FROM known a, range(4) f(i), known b WHERE b.rid = a.rid AND a.m >> i & 1 = 0 AND b.m = a.m + (1 << i) GROUP BY a.rid, i)"""
 _FLAGS = """, fl AS (SELECT user_id, MAX(CASE WHEN event_name = 'kyc_approved' THEN 1 ELSE 0 END) AS k, MAX(CASE WHEN event_name = 'first_funding' THEN 1 ELSE 0 END) AS f,
    MAX(CASE WHEN event_name = 'first_transaction' THEN 1 ELSE 0 END) AS x, MAX(CASE WHEN event_name = 'week1_active' THEN 1 ELSE 0 END) AS w
    FROM onboarding_events GROUP BY user_id)"""
@@ -213,6 +241,15 @@ SQL = {
       SELECT churned, CASE WHEN up <= al * 0.2::DOUBLE THEN 1 ELSE 0 END AS is_test, CAST(up % 5 AS INTEGER) AS fold, COUNT(*) AS n, MIN(user_id) AS first_user FROM o GROUP BY ALL""",
     "model_attribution_additive": _PLACED + " SELECT COUNT(*) AS n, COUNT(*) AS additive FROM o WHERE up <= al * 0.2::DOUBLE",
     "model_logistic_optimum": _PLACED + " SELECT COUNT(*) AS n, 0 AS off FROM o WHERE up > al * 0.2::DOUBLE",
+    "model_forest_walk": _PLACED + " SELECT COUNT(*) AS n, COUNT(*) AS walked, 0::BIGINT AS importances_off FROM o WHERE up <= al * 0.2::DOUBLE",
+    "ensemble_node_statistics": _WALK + " SELECT tree, node, ROUND(cover, 6) AS cover, ROUND(value, 6) AS value, ROUND(gain, 6) AS gain FROM st",
+    "ensemble_scores": _WALK + f""", sc AS (SELECT rid, AVG(value) AS score FROM walk JOIN st USING (tree, node) WHERE lft < 0 GROUP BY rid)
+      SELECT user_id, ROUND(score, 6) AS score, {_TIER} AS risk_tier FROM sc JOIN rw USING (rid) WHERE test""",
+    "ensemble_importance": _WALK + f""", g AS (SELECT tree, feature, SUM(gain * cover) AS g FROM st WHERE lft >= 0 GROUP BY tree, feature),
+      h AS (SELECT feature, SUM(g / t) AS g FROM g JOIN (SELECT tree, SUM(g) AS t FROM g GROUP BY tree) USING (tree) WHERE t > 0 GROUP BY feature)
+      SELECT {_X}[i + 1] AS feature, ROUND(COALESCE(g, 0) / (SELECT SUM(g) FROM h), 6) AS importance FROM range(4) f(i) LEFT JOIN h ON feature = i""",
+    "ensemble_attribution": _SHAPLEY + """ SELECT user_id, ROUND(v, 6) AS base, """ + ", ".join(
+        f"ROUND((SELECT p FROM phi WHERE phi.rid = rw.rid AND i = {i}), 6) AS {c}" for i, c in enumerate(_X)) + " FROM rw JOIN known USING (rid) WHERE m = 0",
     "features_class_weights": _ACT + """ SELECT churned, COUNT(*) AS n, ROUND((SELECT COUNT(*) FROM af)::DOUBLE / ((SELECT COUNT(DISTINCT churned) FROM af) * COUNT(*)), 6) AS weight
       FROM af GROUP BY churned""",
     "evaluation_ranking": _ORDERS + _RANKING,

@@ -1,6 +1,5 @@
 """Features, splits, score evaluation, attribution and segments."""
 
-import itertools
 import math
 import random
 
@@ -146,28 +145,13 @@ def test_attributions_add_up_to_the_prediction(spark, training):
     assert points.count() == 100 and points.where("scaled_value < 0 OR scaled_value > 1").count() == 0
 
 
-def test_leaf_values_equal_the_shapley_sum():
-    rng = np.random.default_rng(0)
-    zero = rng.random(4)
-    one = np.array(list(itertools.product([0.0, 1.0], repeat=4)))
-    game = lambda row, s: np.prod([row[j] if j in s else zero[j] for j in range(4)])
-    for row, got in zip(one, at.leaf_values(one, zero)):
-        for i in range(4):
-            others = [j for j in range(4) if j != i]
-            want = sum(math.factorial(k) * math.factorial(3 - k) / 24 * (game(row, {*s, i}) - game(row, set(s)))
-                       for k in range(4) for s in itertools.combinations(others, k))
-            assert got[i] == pytest.approx(want)
-
-
 def test_repeated_feature_on_a_path_is_one_condition():
     nodes = pd.DataFrame([
         (0, 0, 1, 2, 0, 0.5, 10.0, 0.5), (0, 1, 3, 4, 0, 0.2, 6.0, 0.4), (0, 2, -1, -1, -1, None, 4.0, 1.0),
         (0, 3, -1, -1, -1, None, 2.0, 0.0), (0, 4, -1, -1, -1, None, 4.0, 0.6)],
         columns=["tree", "node", "left", "right", "feature", "threshold", "cover", "value"])
-    leaves = at.leaf_conditions(nodes)
-    assert all(len(f) == 1 for f, *_ in leaves)
-    phi = at.row_attributions(np.array([[0.1], [0.3], [0.9]]), leaves)
-    base = sum(v * z.prod() for _, _, _, z, v in leaves)
+    groups, base = at.compiled(nodes)
+    phi = at.row_attributions(np.array([[0.1], [0.3], [0.9]]), groups)
     assert phi[:, 0] + base == pytest.approx([0.0, 0.6, 1.0])
 
 

@@ -36,6 +36,11 @@ def _rounded(df, places=6):
     return df.select(*[F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
+def _rounded_means(df, places=4):
+    """Rounded as decimals, half away from zero: a mean of amounts often lies on a half, and the order of its sum must not decide."""
+    return df.select(*[F.round(F.col(c).cast("decimal(28,10)"), places).cast("double").alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
 def _curve(spark, sf):
     return sv.kaplan_meier(_lifecycle_durations(spark, sf), ["channel"])
 
@@ -334,10 +339,10 @@ QUERIES = {
     "ensemble_attribution": _journeys(ensemble_attribution),
     # segmentation
     "segment_rfm": lambda s, sf: _rounded(sg.rfm(mapping.commerce(s, sf)), 4),
-    "segment_profiles": _journeys(lambda t: _rounded(banded_profiles(t), 4)),
+    "segment_profiles": _journeys(lambda t: _rounded_means(banded_profiles(t))),
     "segment_profile_grid": _journeys(lambda t: _rounded(sg.scale_between(banded_profiles(t), sg.RFM, ["segment_name"]), 4)),
     "segment_channel_mix": _journeys(lambda t: _rounded(sg.mix_by_segment(banded(t), CHANNELS, "cluster"), 4)),
-    "segment_metric_rows": _journeys(lambda t: _rounded(sg.metric_rows(banded_profiles(t)), 4)),
+    "segment_metric_rows": _journeys(lambda t: _rounded_means(sg.metric_rows(banded_profiles(t)))),
     "segment_best_and_riskiest": _journeys(lambda t: sg.best_and_riskiest(banded_profiles(t))),
     "segment_stuck": _journeys(lambda t: sg.stuck_at(t.events)),
     "segment_choose_k": _journeys(lambda t: sg.choose_k(materialize(sg.clustering_input(materialize(sg.rfm(t)))))),

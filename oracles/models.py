@@ -158,6 +158,10 @@ _FLAGS = """, fl AS (SELECT user_id, MAX(CASE WHEN event_name = 'kyc_approved' T
    FROM onboarding_events GROUP BY user_id)"""
 
 
+def _mean(c):
+    return f"ROUND({c}::DECIMAL(28, 10), 4)::DOUBLE"
+
+
 def _dummies():
     values = {"channel": sorted(_CHANNELS)[1:], "region": ["AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"], "device_os": ["Web", "iOS"],
               "age_band": ["25-34", "35-44", "45-54", "55+"]}
@@ -270,14 +274,14 @@ SQL = {
       SELECT user_id, ROUND(score, 6) AS score, label, 'High' AS risk_tier FROM x""",
     "segment_rfm": _rfm(COMMERCE, "owner_events") + " " + _select("rf", ["recency_days", "monetary", "avg_txn_value", "txn_rate_per_day", "h_reg_to_first_txn"],
         ["user_id", "channel", "region", "age_band", "device_os", "frequency", "n_categories", "n_failed_txns", "events_count", "n_tickets"]),
-    "segment_profiles": _PROFILES + " " + _select("np", [*_FEATURES, "pct"], ["cluster", "n_users", "segment_name"]),
+    "segment_profiles": _PROFILES + " SELECT cluster, n_users, segment_name, " + ", ".join(f"{_mean(c)} AS {c}" for c in [*_FEATURES, "pct"]) + " FROM np",
     "segment_profile_grid": _PROFILES + " SELECT segment_name, " + ", ".join(
         f"ROUND(({c} - MIN({c}) OVER ()) / (MAX({c}) OVER () - MIN({c}) OVER () + 1e-9::DOUBLE), 4) AS {c}" for c in _FEATURES) + " FROM np",
     "segment_channel_mix": _BANDS + " SELECT cluster, " + ", ".join(
         f"ROUND(COUNT(*) FILTER (channel = '{c}')::DOUBLE / COUNT(*) * 100, 4) AS {c}" for c in _CHANNELS) + ", ROUND(COUNT(*) FILTER (channel IS NULL OR channel NOT IN ("
         + ", ".join(f"'{c}'" for c in _CHANNELS) + "))::DOUBLE / COUNT(*) * 100, 4) AS other FROM bd GROUP BY cluster",
     "segment_metric_rows": _PROFILES + " " + " UNION ALL ".join(
-        f"SELECT segment_name, '{c}' AS metric, ROUND({c}, 4) AS value FROM np" for c in ["recency_days", "frequency", "monetary"]),
+        f"SELECT segment_name, '{c}' AS metric, {_mean(c)} AS value FROM np" for c in ["recency_days", "frequency", "monetary"]),
     "segment_best_and_riskiest": _PROFILES + """ SELECT (SELECT segment_name FROM np ORDER BY monetary DESC, segment_name DESC LIMIT 1) AS best_segment,
       (SELECT pct FROM np ORDER BY monetary DESC, segment_name DESC LIMIT 1) AS best_pct,
       (SELECT segment_name FROM np ORDER BY recency_days DESC, segment_name DESC LIMIT 1) AS risk_segment,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -58,6 +59,33 @@ def _cox(t):
     return data, cox.fit(data, names)
 
 
+COX_AT = {"kyc_had_failure": 0.4, "kyc_turnaround_h": -0.7, "referred": 0.2}
+
+
+def cox_derivatives(t):
+    """Slope and information of the partial likelihood at fixed coefficients."""
+    rows = materialize(sv.survival_dataset(t, **HOURS).withColumns({
+        "kyc_turnaround_h": F.least("kyc_turnaround_h", F.lit(200.0)), "referred": F.when(F.col("channel") == "referral", 1).otherwise(0)}))
+    data = cox.lay_out(rows, list(COX_AT))
+    _, gradient, information = cox.derivatives(data, list(COX_AT.values()))
+    data.close()
+    return _rounded(cox.derivative_rows(rows.sparkSession, data.names, gradient, information), 4)
+
+
+def cox_optimum(t):
+    """Rows of the fit, covariates, and coordinates in which the penalised likelihood still has a slope at its result."""
+    rows, names = _cox_data(t)
+    model = cox.fit(rows, names)
+    data = cox.lay_out(rows, names)
+    standard = model.coefficients * data.scale
+    _, gradient, information = cox.derivatives(data, standard)
+    data.close()
+    inverse = np.linalg.inv(information + 0.1 * data.n * np.eye(len(names))) / np.outer(data.scale, data.scale)
+    off = int((np.abs(gradient - 0.1 * data.n * standard) > 1e-3).sum())
+    wrong = int((np.abs(inverse - model.covariance) > 1e-6 * np.abs(model.covariance).max()).sum())
+    return rows.sparkSession.createDataFrame([(data.n, off, wrong)], "n long, slopes_off long, covariances_off long")
+
+
 def cox_table(t):
     data, model = _cox(t)
     return cox.hazard_ratios(data.sparkSession, model)
@@ -294,6 +322,8 @@ QUERIES = {
     "survival_log_rank_age": _journeys(lambda t: _rounded(sv.log_rank(_durations(t), "age_band"))),
     "survival_log_rank_pair": lambda s, sf: _rounded(sv.pairwise_log_rank(_lifecycle_durations(s, sf), "channel", "organic", "referral")).drop("p_value"),
     "survival_hazard_ratios": _journeys(cox_table),
+    "survival_cox_derivatives": _journeys(cox_derivatives),
+    "survival_cox_optimum": _journeys(cox_optimum),
     "survival_model_concordance": _journeys(cox_concordance),
     "survival_concordance": concordance_check,
     # features

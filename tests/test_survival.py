@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -163,3 +164,48 @@ def test_durations_floor_cap_and_censoring(spark):
     assert censored == {"a": 1, "b": 1, "c": 0, "d": 0}
     with pytest.raises(ValueError):
         sv.durations(users, events, cap="drop")
+
+
+def _crowd(spark):
+    """Rows of which a third share one time, with events and censored rows at it."""
+    rng = random.Random(12)
+    rows = [(5.0 if i % 3 == 0 else float(rng.randint(1, 40)), rng.choice([0, 1, 1]), rng.random(), rng.choice([0, 1])) for i in range(600)]
+    return spark.createDataFrame(rows, "duration double, event int, a double, b int")
+
+
+def test_crowded_times_are_dealt_to_several_buckets(spark):
+    df = _crowd(spark)
+    plain, dealt = cox.lay_out(df, ["a", "b"]), cox.lay_out(df, ["a", "b"], rows_per_time=20)
+    assert not plain.crowded and dealt.crowded
+    assert dealt.rows.where("t = 5").select("salt").distinct().count() >= 10
+    beta = [0.3, -0.2]
+    for x, y in zip(cox.derivatives(plain, beta), cox.derivatives(dealt, beta)):
+        assert np.allclose(x, y)
+    plain.close()
+    dealt.close()
+    whole, split = cox.fit(df, ["a", "b"]), cox.fit(df, ["a", "b"], rows_per_time=20)
+    assert np.allclose(whole.coefficients, split.coefficients) and np.allclose(whole.covariance, split.covariance)
+
+
+@pytest.mark.parametrize("rows_per_time", [1_000_000, 20])
+def test_no_step_of_a_cox_fit_moves_rows(spark, rows_per_time):
+    """Above the scan of the rows, nothing is exchanged before an aggregation has summed them."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    data = cox.lay_out(_crowd(spark), ["a", "b"], rows_per_time=rows_per_time)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        hazard = data.rows.select("t").distinct().selectExpr("t", "1D as A", "0D as own")
+        for frame in (data.per_time([0.1, 0.2]), data.second_moments([0.1, 0.2], hazard)):
+            plan = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+            scan = next(i for i, line in enumerate(plan) if "FileScan" in line and data.table in line)
+            depth = re.search(r"\w", plan[scan]).start()
+            above = []
+            for line in reversed(plan[:scan]):
+                if (start := re.search(r"\w", line).start()) < depth:
+                    depth = start
+                    above.append(line.strip(" :+-*()0123456789"))
+            first = next(i for i, line in enumerate(above) if "HashAggregate" in line)
+            assert not any("Exchange" in line for line in above[:first]), above
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        data.close()

@@ -30,6 +30,8 @@ SHARD_SEQUENCES = 8192
 END_ID = 0
 ROUNDS = 6
 KEY = 20240229
+#: Ranges of slots written one after another; only one of them is in a shuffle at a time, so that much of the data lies on disk twice.
+PASSES = 3
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -130,9 +132,12 @@ def write(docs: DataFrame, path: str, target: str, text: str = "text", stride: i
         dealt = (made.join(F.broadcast(begins), "part")  # a row for each task
                  .select(slot(F.col("begin") + F.col("number"), count, key).alias("slot"), "ids")
                  .withColumn("shard", F.expr(f"slot DIV {shard}")))
-        (dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
-         .select("shard", F.col("ids").cast("string").alias("value"))
-         .write.partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(target))
+        each = -(-shards // PASSES)
+        for first in range(0, shards, each):
+            last = min(first + each, shards) - 1
+            (dealt.filter(F.col("shard").between(first, last)).repartitionById(last - first + 1, (F.col("shard") - first).cast("int"))
+             .sortWithinPartitions("shard", "slot").select("shard", F.col("ids").cast("string").alias("value"))
+             .write.mode("append" if first else "error").partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(target))
     drop_stored(made)
     spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.mode("overwrite").text(f"{target}/_manifest")
     return manifest

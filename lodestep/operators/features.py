@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import clip, flag, total
@@ -134,10 +135,10 @@ def derived_flags(df: DataFrame) -> DataFrame:
 
 
 def categories(df: DataFrame, column: str) -> list[str]:
-    """Sorted values of a categorical column; refuses columns that are no categories."""
+    """Sorted values of a column that is to become one column per value; :func:`encoded` takes any number of values."""
     found = [r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().limit(MAX_CATEGORIES + 1).collect()]
     if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} values")
+        raise ValueError(f"{column} has more than {MAX_CATEGORIES} values; encoded() gives a sparse vector")
     return sorted(found)
 
 
@@ -147,6 +148,45 @@ def dummies(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> tuple[DataFr
     return df.withColumns(added).drop(*columns), list(added)
 
 
+def value_index(df: DataFrame, column: str) -> DataFrame:
+    """(value, index): the values of ``column`` that are not NULL, numbered from 0 in their order, without a single-task sort.
+
+    Ranges of values are sorted on their own; only the counts per range are summed in order.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = materialize(df.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct())
+    ordered = materialize(values.repartitionByRange(ranges, "value").sortWithinPartitions("value")
+                          .withColumn("_range", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
+    before = Window.partitionBy(F.lit(1)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ordered.groupBy("_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")).select(
+        "_range", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # a row per range
+    return ordered.join(starts, "_range").select("value", (F.col("_before") + F.col("_at") - F.col("_first")).alias("index"))
+
+
+def encoded(df: DataFrame, columns: Sequence[str] = CATEGORICAL, out: str = "encoded") -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Sparse 0/1 vectors in ``out`` for categorical columns of any number of values, and a (value, position) table per column.
+
+    As in :func:`dummies` the first value of each column in order has no position, and NULL none either. Values meet their positions in a join.
+    """
+    names, first, coded = {}, 0, df
+    for c in columns:
+        index = materialize(value_index(df, c))
+        size = index.count()
+        names[c] = index.where("index > 0").select("value", (F.col("index") - 1 + first).alias("position"))
+        # The encoder leaves out the last index, so the order is turned round; NULL goes the way of the first value.
+        nominal = {"ml_attr": {"type": "nominal", "num_vals": max(size, 2)}}
+        slot = F.coalesce(F.lit(max(size, 2) - 1) - F.col("_index"), F.lit(max(size, 2) - 1)).cast("double")
+        coded = (coded.join(index.select(F.col("value").alias(f"_v_{c}"), F.col("index").alias("_index")), F.col(c) == F.col(f"_v_{c}"), "left")
+                 .withColumn(f"_i_{c}", slot.alias(f"_i_{c}", metadata=nominal)).drop(f"_v_{c}", "_index"))
+        # Positions within a column run from its last value to its second.
+        names[c] = names[c].select("value", (F.lit(2 * first + max(size, 2) - 2) - F.col("position")).alias("position"))
+        first += max(size, 2) - 1
+    inputs, outputs = [f"_i_{c}" for c in columns], [f"_o_{c}" for c in columns]
+    hot = OneHotEncoder(inputCols=inputs, outputCols=outputs, dropLast=True).fit(coded).transform(coded)
+    joined = VectorAssembler(inputCols=outputs, outputCol=out).transform(hot)
+    return joined.drop(*inputs, *outputs), names
+
+
 def prepared(tables: Tables, ties: str = "keep") -> tuple[DataFrame, list[str]]:
     """Model-ready activation features with their column names, written once for all later fits."""
     raw = materialize(activation_features(tables, ties))

@@ -14,7 +14,7 @@ from ..functions.stats import chi_square_tail, normal_quantile
 from ..functions.times import hours_between
 from ..session import materialize
 from ..sources.tables import Tables
-from .features import categories
+from .features import MAX_CATEGORIES
 from .metrics import turnaround_hours
 from .quantiles import LINEAR, quantiles
 from .running import order_cuts, running_sums
@@ -149,13 +149,22 @@ def _log_rank_statistic(k: int):
 
 def log_rank(dataset: DataFrame, group: str, time: str = "duration", event: str = "event",
              groups: Sequence[str] | None = None, cuts=None) -> DataFrame:
-    """k-sample log-rank statistic, degrees of freedom and p-value.
+    """k-sample log-rank statistic, degrees of freedom and p-value, for any number of groups.
 
-    Per distinct time the groups' exits and events are columns; at-risk counts are
-    running sums from the end. All that leaves the cluster is one row with k
-    differences and a k x k covariance.
+    Up to MAX_CATEGORIES groups are columns of one pass, with a k x k covariance; more take :func:`log_rank_long`.
+    """
+    if groups is None:
+        some = dataset.where(F.col(group).isNotNull()).select(group).distinct().limit(MAX_CATEGORIES + 1).collect()
+        if len(some) > MAX_CATEGORIES:
+            return log_rank_long(dataset, group, time, event, cuts)
+        groups = sorted(r[0] for r in some)
+    return log_rank_wide(dataset, group, time, event, list(groups), cuts)
+
+
+def log_rank_wide(dataset: DataFrame, group: str, time: str, event: str, groups: list, cuts=None) -> DataFrame:
+    """Per distinct time the groups' exits and events are columns; at-risk counts are running sums from the end. All that leaves the
+    cluster is one row with k differences and a k x k covariance.
     """
-    groups = categories(dataset, group) if groups is None else list(groups)
     k = len(groups)
     if k < 2:
         raise ValueError("a log-rank test needs at least two groups")
@@ -179,6 +188,60 @@ def log_rank(dataset: DataFrame, group: str, time: str = "duration", event: str
         "chi2", "dof", chi_square_tail(F.col("chi2"), F.col("dof").cast("double")).alias("p_value"))
 
 
+# Conjugate gradients end at this relative residual; each step takes one direction out of the rest.
+RESIDUAL, MOST_STEPS = 1e-12, 500
+
+
+def log_rank_long(dataset: DataFrame, group: str, time: str = "duration", event: str = "event", cuts=None) -> DataFrame:
+    """The k-sample test with groups as rows.
+
+    Cells are (group, time) pairs that occur. The covariance is a diagonal less a sum over times of products of at-risk shares; it is never formed:
+    its product with a vector over the groups is two running sums over the times, joined with the cells, and conjugate gradients with the diagonal as
+    preconditioner solve for the statistic. The driver holds a few numbers per group.
+    """
+    cells = materialize(dataset.where(F.col(group).isNotNull()).groupBy(F.col(group).alias("g"), F.col(time).alias("t")).agg(
+        F.count(F.lit(1)).cast("double").alias("m"), F.sum(event).cast("double").alias("e")))
+    exits = cells.groupBy("t").agg(F.sum("m").alias("m"), F.sum("e").alias("d"))
+    cuts = order_cuts(exits, "t") if cuts is None else cuts
+    risk = materialize(running_sums(exits, "t", {"n": "m"}, descending=True, cuts=cuts))
+    d, n = F.col("d"), F.col("n")
+    spread = F.when(n > 1, d * (n - d) / (n - 1)).otherwise(0.0)
+    hazards = materialize(risk.select("t", (d / n).alias("h"), (spread / n).alias("v"), (spread / (n * n)).alias("w")))
+    summed = running_sums(hazards, "t", {"sum_h": "h", "sum_v": "v"}, cuts=cuts, stored=True).select("t", "sum_h", "sum_v")
+    per_group = cells.join(summed, "t").groupBy("g").agg((F.sum("e") - F.sum(F.col("m") * F.col("sum_h"))).alias("u"), F.sum(F.col("m") * F.col("sum_v")).alias("d"))
+    table = per_group.toPandas().sort_values("g", ignore_index=True)  # a row per group
+    if len(table) < 2:
+        raise ValueError("a log-rank test needs at least two groups")
+    diff, diagonal = table["u"].to_numpy(), table["d"].to_numpy()
+    live = diagonal > 0
+
+    def times(x: np.ndarray) -> np.ndarray:
+        values = dataset.sparkSession.createDataFrame(pd.DataFrame({"g": table["g"], "x": x}))
+        weighted = cells.join(values, "g").groupBy("t").agg(F.sum(F.col("m") * F.col("x")).alias("mx"))
+        at_risk = running_sums(weighted, "t", {"s": "mx"}, descending=True, cuts=cuts).select("t", "s")
+        pulls = materialize(hazards.join(at_risk, "t").select("t", (F.col("w") * F.col("s")).alias("ws")))
+        met = running_sums(pulls, "t", {"q": "ws"}, cuts=cuts, stored=True).select("t", "q")
+        found = cells.join(met, "t").groupBy("g").agg(F.sum(F.col("m") * F.col("q")).alias("p")).toPandas().sort_values("g", ignore_index=True)
+        return diagonal * x - found["p"].to_numpy()
+
+    rest = np.where(live, diff, 0.0)
+    size = float(np.abs(rest).max())
+    chi2, scaled = 0.0, np.divide(rest, diagonal, out=np.zeros_like(rest), where=live)
+    way, power = scaled, float(rest @ scaled)
+    for _ in range(MOST_STEPS if size > 0 else 0):
+        product = np.where(live, times(way), 0.0)
+        step = power / float(way @ product)
+        chi2 += step * float(diff @ way)
+        rest = rest - step * product
+        scaled = np.divide(rest, diagonal, out=np.zeros_like(rest), where=live)
+        before, power = power, float(rest @ scaled)
+        if float(np.abs(rest).max()) <= RESIDUAL * size:
+            break
+        way = scaled + power / before * way
+    out = dataset.sparkSession.createDataFrame([(chi2, len(table) - 1)], "chi2 double, dof int")
+    return out.select("chi2", "dof", chi_square_tail(F.col("chi2"), F.col("dof").cast("double")).alias("p_value"))
+
+
 def pairwise_log_rank(dataset: DataFrame, group: str, a: str, b: str, **options) -> DataFrame:
     """Log-rank test of two groups."""
     return log_rank(dataset, group, groups=[a, b], **options)

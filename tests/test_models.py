@@ -54,6 +54,25 @@ def test_too_many_categories_are_refused(spark):
         ft.categories(spark.range(1000).select(F.col("id").cast("string").alias("c")), "c")
 
 
+def test_sparse_vectors_equal_the_dummies(spark):
+    df = spark.createDataFrame([("b", "x"), ("a", "y"), ("c", None), (None, "x"), ("b", "y")], "channel string, region string")
+    coded, names = ft.encoded(df.withColumn("id", F.monotonically_increasing_id()), ["channel", "region"])
+    wide, columns = ft.dummies(df.withColumn("id", F.monotonically_increasing_id()), ["channel", "region"])
+    place = {f"{c}_{r['value']}": r["position"] for c, table in names.items() for r in table.collect()}
+    assert sorted(place) == sorted(columns) and sorted(place.values()) == list(range(len(columns)))
+    want = {r["id"]: [r[c] for c in sorted(place, key=place.get)] for r in wide.collect()}
+    assert {r["id"]: r["encoded"].toArray().tolist() for r in coded.collect()} == want
+
+
+def test_thousands_of_categories_are_encoded(spark):
+    df = spark.range(20_000).select("id", F.concat(F.lit("v"), F.lpad((F.col("id") % 5000).cast("string"), 5, "0")).alias("c"))
+    coded, names = ft.encoded(df, ["c"])
+    place = {r["value"]: r["position"] for r in names["c"].collect()}
+    assert len(place) == 4999 and "v00000" not in place
+    for r in coded.where("id % 997 = 0 OR id % 5000 = 0").collect():
+        assert r["encoded"].size == 4999 and r["encoded"].indices.tolist() == ([place[r["c"]]] if r["c"] in place else [])
+
+
 def test_cap_and_fill(spark):
     df = spark.createDataFrame([(float(i) if i else None, -1.0) for i in range(101)], "h_a double, h_b double")
     out = ft.cap_and_fill(df, ["h_a", "h_b"])

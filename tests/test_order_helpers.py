@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
+from lodestep.operators import quantiles as qs
 from lodestep.operators.quantiles import LINEAR, UPPER, quantiles
 from lodestep.operators.running import order_cuts, running_sums
 from lodestep.operators.spread import hot_keys, left_fan_out, spread_join
@@ -106,3 +107,32 @@ def test_left_fan_out_equals_left_join(skewed):
     got = left_fan_out(lookup, facts, "k", "id", slices=20)
     want = lookup.join(facts, "k", "left")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+
+
+def test_few_values_are_written_and_ordered(spark):
+    df = spark.range(200_000).select((F.col("id") % 3).alias("g"), (F.xxhash64("id") / 1e9).alias("v"))
+    wanted = {"m": (0.5, LINEAR), "p99": (0.99, LINEAR)}
+    inside = qs.bracketed(df, "v", wanted, ["g"]).where("v IS NOT NULL").agg(F.sum("n")).first()[0]
+    assert 0 < inside < 0.02 * 200_000
+    values = df.toPandas()
+    for r in quantiles(df, "v", wanted, ["g"]).collect():
+        mine = values[values["g"] == r["g"]]["v"]
+        assert r["m"] == pytest.approx(mine.median(), rel=1e-12) and r["p99"] == pytest.approx(mine.quantile(0.99), rel=1e-12)
+
+
+def test_ranks_outside_their_bracket_are_found(spark, monkeypatch):
+    """With a bracket that misses, all values are ordered and the result is the same."""
+    df = spark.range(5000).select((F.xxhash64("id") / 1e9).alias("v"))
+    want = quantiles(df, "v", {"m": (0.3, LINEAR)}).first()["m"]
+    real = qs.bracketed
+    monkeypatch.setattr(qs, "bracketed", lambda d, v, w, by=(): real(d, v, {k: (0.9, kind) for k, (_, kind) in w.items()}, by))
+    assert quantiles(df, "v", {"m": (0.3, LINEAR)}).first()["m"] == pytest.approx(want)
+    assert want == pytest.approx(df.toPandas()["v"].quantile(0.3))
+
+
+def test_quantiles_of_ties_null_groups_and_nothing(spark):
+    rows = [(None, 1.0)] * 50 + [("a", 2.0)] * 900 + [("a", float(i)) for i in range(10)] + [("b", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r for r in quantiles(df, "v", {"m": (0.5, LINEAR), "up": (0.5, UPPER), "lo": (0.0, LINEAR), "hi": (1.0, LINEAR)}, ["g"]).collect()}
+    assert set(got) == {None, "a"} and tuple(got[None])[1:] == (1.0, 1.0, 1.0, 1.0) and tuple(got["a"])[1:] == (2.0, 2.0, 0.0, 9.0)
+    assert quantiles(df.where("g = 'b'"), "v", {"m": (0.5, LINEAR)}).first()["m"] is None

@@ -209,3 +209,31 @@ def test_no_step_of_a_cox_fit_moves_rows(spark, rows_per_time):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         data.close()
+
+
+def test_log_rank_with_groups_as_rows(spark, data):
+    want = sv.log_rank_wide(data, "g", "duration", "event", ["a", "b", "c"]).first()
+    for cuts in (None, [0.5, 1.0]):
+        got = sv.log_rank_long(data, "g", cuts=cuts).first()
+        assert got["chi2"] == pytest.approx(want["chi2"], rel=1e-9) and got["dof"] == 2 and got["p_value"] == pytest.approx(want["p_value"], rel=1e-6)
+
+
+def test_log_rank_of_thousands_of_groups(spark):
+    """Against the covariance formed in full."""
+    rng = random.Random(7)
+    k = 2500
+    rows = [(f"g{rng.randrange(k)}", float(rng.randint(1, 30)), rng.choice([0, 1, 1])) for _ in range(12_000)]
+    got = sv.log_rank(spark.createDataFrame(rows, "g string, duration double, event int"), "g").first()
+    names = sorted({g for g, _, _ in rows})
+    place = {g: i for i, g in enumerate(names)}
+    g, t, e = (np.array(x) for x in zip(*[(place[a], b, c) for a, b, c in rows]))
+    diff, cov = np.zeros(len(names)), np.zeros((len(names), len(names)))
+    for at in np.unique(t):
+        risk = np.bincount(g[t >= at], minlength=len(names)).astype(float)
+        dead = np.bincount(g[(t == at) & (e == 1)], minlength=len(names)).astype(float)
+        d, n = dead.sum(), risk.sum()
+        diff += dead - d * risk / n
+        c = d * (n - d) / (n - 1) if n > 1 else 0.0
+        cov += c * (np.diag(risk / n) - np.outer(risk, risk) / n ** 2)
+    want = diff[1:] @ np.linalg.lstsq(cov[1:, 1:], diff[1:], rcond=None)[0]
+    assert got["dof"] == len(names) - 1 and got["chi2"] == pytest.approx(want, rel=1e-7)

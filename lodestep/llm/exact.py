@@ -2,7 +2,9 @@
 
 The index is a table bucketed and sorted by digest. A batch is reduced to one row per digest,
 the digests the index lacks are found by a sort-merge anti-join that moves no row of the index,
-and appended. Decisions join the digests of the batch with their winners, so texts never move.
+and appended with the key of the batch. Decisions join the digests of the batch with their winners, so texts never move.
+A batch that is run again, because its result was lost after the append, finds its own digests and decides as before.
+Each append adds a sorted file to every bucket; :func:`compact` makes one of them again.
 """
 
 from __future__ import annotations
@@ -23,18 +25,32 @@ def digest(text):
 
 def open_index(spark: SparkSession, name: str, path: str, buckets: int = BUCKETS) -> str:
     """Make the index ``name`` known to this session; its files stay at ``path`` from session to session."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (digest STRING, keep_id BIGINT) USING parquet "
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (digest STRING, keep_id BIGINT, batch STRING) USING parquet "
               f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'")
     return name
 
 
-def decide(docs: DataFrame, index: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def compact(spark: SparkSession, index: str, name: str, path: str) -> str:
+    """Write ``index`` to a new index ``name`` at ``path`` with one sorted file per bucket; the old one stays as it is."""
+    buckets = _buckets(spark, index)
+    made = open_index(spark, name, path, buckets)
+    spark.table(index).repartition(buckets, "digest").sortWithinPartitions("digest").write.insertInto(made)
+    return made
+
+
+def _buckets(spark: SparkSession, index: str) -> int:
+    return int(spark.sql(f"DESCRIBE EXTENDED {index}").filter("col_name = 'Num Buckets'").first()[1])
+
+
+def decide(docs: DataFrame, index: str, doc_id: str = "doc_id", text: str = "text", batch: str | None = None) -> DataFrame:
     """Deduplicate a batch against ``index``, append what is new, and return a decision per row.
 
     Columns: doc_id, keep_id, group_size (rows of the batch with this text), kept, text_sha256.
     Of equal new texts the row with the largest doc_id stays; a text the index already holds keeps
     the doc_id under which it was first stored, and all its rows in the batch go. Of rows that repeat a
-    doc_id and its text one stays; a NULL doc_id loses to any other. An empty batch changes nothing.
+    doc_id and its text one stays; a NULL doc_id loses to any other. An empty batch changes nothing. ``batch`` is the key under which the batch is
+    appended, by default a hash of its ids and texts: what the index holds under the same key counts as not yet there, so a batch
+    that is run again has the same decisions and is not appended twice.
     Other columns of the batch are not looked at. Appending runs when this is called.
     """
     spark = docs.sparkSession
@@ -42,14 +58,20 @@ def decide(docs: DataFrame, index: str, doc_id: str = "doc_id", text: str = "tex
                   .withColumn("row", F.monotonically_increasing_id()), "digests")
     groups = stored(rows.groupBy("digest").agg(F.max(F.struct("doc_id", "row")).alias("last"), F.count(F.lit(1)).alias("group_size")),
                     "groups")
-    known = spark.table(index)
+    if batch is None:
+        n, mark = rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("doc_id", "digest").cast("decimal(38,0)"))).first()
+        batch = f"{n}:{mark}"
+    known = spark.table(index).filter(F.col("batch") != batch)
     fresh = groups.hint("merge").join(known.select("digest"), "digest", "left_anti")
-    buckets = int(spark.sql(f"DESCRIBE EXTENDED {index}").filter("col_name = 'Num Buckets'").first()[1])
+    buckets = _buckets(spark, index)
     earlier = groups.hint("merge").join(known, "digest").select("digest", "group_size", "keep_id", F.lit(None).cast("long").alias("row"))
     winners = stored(fresh.select("digest", "group_size", F.col("last.doc_id").alias("keep_id"), F.col("last.row").alias("row"))
                      .unionByName(earlier), "winners")
-    (winners.filter("row IS NOT NULL").select("digest", "keep_id").repartition(buckets, "digest").sortWithinPartitions("digest")
-     .write.insertInto(index))
+    new = winners.filter("row IS NOT NULL").select("digest", "keep_id", F.lit(batch).alias("batch"))
+    own = spark.table(index).filter(F.col("batch") == batch).select("digest")
+    if not own.isEmpty():  # an earlier run of this batch, whole or not
+        new = stored(new.join(own, "digest", "left_anti"), "rest")
+    new.repartition(buckets, "digest").sortWithinPartitions("digest").write.insertInto(index)
     return (rows.alias("r").join(winners.alias("w"), "digest")
             .select("r.doc_id", "w.keep_id", "w.group_size", F.coalesce(F.expr("r.row = w.row"), F.lit(False)).alias("kept"),
                     F.col("digest").alias("text_sha256")))

@@ -51,10 +51,29 @@ def test_index_outlives_batches_and_sessions(spark):
     assert (later[9]["kept"], later[9]["keep_id"]) == (False, 2)
     assert [later[i]["kept"] for i in (10, 11)] == [False, True]
     assert spark.table(again).count() == 3
+    small = exact.compact(spark, again, f"third_{uuid.uuid4().hex}", new_path(spark, "index"))
+    assert sorted(map(tuple, spark.table(small).collect())) == sorted(map(tuple, spark.table(again).collect()))
+    assert len(spark.table(small).inputFiles()) <= 4
     both = spark.table(again).hint("merge").join(spark.table(again), "digest")
     assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()  # bucketed by digest: nothing of the index moves
 
 
+def test_a_batch_that_is_run_again_decides_the_same(spark):
+    name = exact.open_index(spark, f"again_{uuid.uuid4().hex}", new_path(spark, "index"), 4)
+    batch = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    rows = [(1, "a"), (2, "A"), (3, "b"), (4, "c")]
+    first = sorted(map(tuple, exact.decide(batch(rows), name).collect()))
+    held = sorted(map(tuple, spark.table(name).collect()))
+    assert sorted(map(tuple, exact.decide(batch(rows[::-1]), name).collect())) == first  # its result was lost
+    assert sorted(map(tuple, spark.table(name).collect())) == held
+    assert not any(r["kept"] for r in exact.decide(batch([(5, "a"), (6, "B")]), name).collect())
+    assert sorted(map(tuple, exact.decide(batch(rows), name).collect())) == first
+    # a named batch, of which only a part was appended
+    exact.decide(batch([(7, "d")]), name, batch="x").collect()
+    assert [r["kept"] for r in exact.decide(batch([(7, "d"), (8, "e")]), name, batch="x").orderBy("doc_id").collect()] == [True, True]
+    assert spark.table(name).count() == 5
+
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 

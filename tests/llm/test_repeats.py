@@ -1,6 +1,7 @@
 """Near and repeated texts against brute force."""
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -140,42 +141,105 @@ def test_repeated_bytes_within_pieces_and_periods(spark, monkeypatch):
     assert Counter(map(tuple, suffix.remove_repeats(table).drop("kept").collect())) == want
 
 
-def brute_paragraphs(rows, similarity, least):
-    paras = []
-    for r, text in enumerate(rows):
-        for number, line in enumerate((text or "").encode().split(b"\n")):
-            words = line.lower().split()
-            if len(words) >= least:
-                paras.append((r, number, frozenset(tuple(words[i:i + 5]) for i in range(len(words) - 4)) if len(words) > 5 else frozenset([tuple(words)])))
-    links = []
-    for i, (_, _, a) in enumerate(paras):
-        for j in range(i):
-            b = paras[j][2]
-            both = len(a & b)
-            if both >= similarity * (len(a) + len(b) - both) - 1e-9:
-                links.append((i, j))
+def plain_words(text):
+    """(word, start, end in bytes) with A-Z in lower case."""
+    raw = (text or "").encode()
+    return [(m[0].lower(), m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+
+
+def brute_paragraphs(rows, similarity=0.8, least=paragraphs.MIN_WORDS):
+    """Plain form: chunks as tuples of words, stretches of chunks that occur again, all pairs. Rows are (doc_id, text).
+
+    Returns (row, first chunk, start, end, words, has a first occurrence) and the groups of their numbers.
+    """
+    chunks = []
+    for r, (_, text) in enumerate(rows):
+        words = plain_words(text)
+        edge = paragraphs.cuts(paragraphs.tokens((text or "").encode())[0]) if words else []
+        chunks.append([(tuple(w for w, _, _ in words[a:b]), words[a][1], words[b - 1][2]) for a, b in zip(edge, edge[1:])])
+    where = defaultdict(list)
+    for r, mine in enumerate(chunks):
+        for k, (content, _, _) in enumerate(mine):
+            where[content].append((r, k))
+    found = []
+    for r, mine in enumerate(chunks):
+        island = []
+        for k in [k for k, (content, _, _) in enumerate(mine) if len(where[content]) > 1] + [None]:
+            if island and (k is None or k - island[-1] > 2):
+                size = sum(len(mine[i][0]) for i in island)
+                if size >= least:
+                    found.append((r, island[0], mine[island[0]][1], mine[island[-1]][2], size, [mine[i][0] for i in island]))
+                island = []
+            island.append(k)
+    sets = []
+    for r, _, start, end, _, _ in found:
+        words = [w for w, a, b in plain_words(rows[r][1]) if start <= a and b <= end]
+        sets.append(frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))))
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9]
     groups = defaultdict(list)
-    for p, c in zip(paras, connected(len(paras), links)):
-        groups[c].append(p[:2])
-    return [g for g in groups.values() if len(g) > 1]
+    for i, g in enumerate(connected(len(sets), links)):
+        groups[g].append(i)
+    return found, list(groups.values())
 
 
-def test_paragraph_clusters(docs, edges, nothing):
-    for table in (docs.filter("doc_id < 120"), edges):
-        rows = table.select("doc_id", "text").collect()
-        want = Counter(tuple(sorted(((rows[r]["doc_id"] is None, rows[r]["doc_id"] or 0), n) for r, n in g))
-                       for g in brute_paragraphs([r["text"] for r in rows], 0.8, paragraphs.MIN_WORDS))
-        groups = defaultdict(list)
-        for r in paragraphs.repeated(table).collect():
-            groups[r["component_id"]].append(r)
-        got = Counter(tuple(sorted(((r["doc_id"] is None, r["doc_id"] or 0), r["paragraph"]) for r in g)) for g in groups.values())
-        assert got == want
-        for g in groups.values():
-            assert sum(not r["removed"] for r in g) == 1
-            kept = next(r for r in g if not r["removed"])
-            assert all((r["keep_doc_id"], r["keep_paragraph"]) == (kept["doc_id"], kept["paragraph"]) for r in g)
-            assert kept["doc_id"] == min((r["doc_id"] for r in g if r["doc_id"] is not None), default=None)
-    assert paragraphs.repeated(nothing).count() == 0
+def checked_paragraphs(df):
+    rows = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+    found, groups = brute_paragraphs(rows)
+    told = lambda i: (rows[found[i][0]][0] is None, rows[found[i][0]][0] or 0, *found[i][1:5])
+    want = Counter(tuple(sorted(told(i) for i in g)) for g in groups)
+    got = defaultdict(list)
+    for r in paragraphs.repeated(df).collect():
+        got[r["component_id"]].append(r)
+    key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["paragraph"], r["start"], r["end"], r["words"])
+    assert Counter(tuple(sorted(map(key, g))) for g in got.values()) == want
+    for g in got.values():
+        assert all(r["members"] == len(g) for r in g)
+        if len(g) > 1:
+            kept = [r for r in g if not r["removed"]]
+            assert len(kept) == 1 and key(kept[0])[:3] == min(map(key, g))[:3]
+            assert all((r["keep_doc_id"], r["keep_paragraph"]) == (kept[0]["doc_id"], kept[0]["paragraph"]) for r in g)
+    return rows, [r for g in got.values() for r in g]
+
+
+def test_paragraphs_equal_the_plain_form(docs, edges, nothing):
+    rows, found = checked_paragraphs(docs)
+    assert found
+    checked_paragraphs(edges)
+    checked_paragraphs(edges.unionByName(edges))
+    assert paragraphs.repeated(nothing).count() == 0 and paragraphs.repeated(edges.filter("text IS NULL")).count() == 0
+
+
+def test_passages_are_found_and_clean_texts_left_alone(docs):
+    """Runs of 50 words that stand in other texts too, against rows of the operator; texts that share no nine words have no row."""
+    rows = [(r["doc_id"], [w for w, _, _ in plain_words(r["text"])]) for r in docs.select("doc_id", "text").collect()]
+
+    def shared(width):
+        holders = defaultdict(set)
+        for doc, words in rows:
+            for i in range(len(words) - width + 1):
+                holders[tuple(words[i:i + width])].add(doc)
+        return {doc for held in holders.values() if len(held) > 1 for doc in held}
+
+    long, any_at_all = shared(50), shared(9)
+    got = {r["doc_id"] for r in paragraphs.repeated(docs).select("doc_id").distinct().collect()}
+    assert len(got & long) >= 0.95 * len(long)
+    inside = {doc for doc, words in rows if len(words) > len({tuple(words[i:i + 9]) for i in range(len(words) - 8)}) + 8}
+    assert not got - any_at_all - inside
+
+
+def test_words_and_their_places(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [" ", "a", "\tTwo  words\x0b", "naïve ÄÖ " * 30, "x" * 500 + " y", "".join(rng.choice(list("abC \n\t"), 3000))]
+    for stretch in (paragraphs.STRETCH, 64, 1):
+        monkeypatch.setattr(paragraphs, "STRETCH", stretch)
+        names = {}
+        for text in texts:
+            value, start, end = paragraphs.tokens(text.encode())
+            assert list(zip(start, end)) == [(a, b) for _, a, b in plain_words(text)]
+            for v, (w, _, _) in zip(value.tolist(), plain_words(text)):
+                assert names.setdefault(w, v) == v
+        assert len(set(names.values())) == len(names)
+    assert all(len(x) == 0 for x in paragraphs.tokens(b""))
 
 
 def test_banding_reaches_its_recall():
@@ -198,27 +262,22 @@ def test_near_paragraphs_of_a_large_family(spark, block, monkeypatch):
         for at in rng.choice(120, rng.integers(0, 7), replace=False):
             copy[at] = words[rng.integers(0, 400)]
         rows.append((i, " ".join(copy)))
-    want = [sorted(r for r, _ in g) for g in brute_paragraphs([t for _, t in rows], 0.8, 20)]
-    groups = defaultdict(list)
-    for r in paragraphs.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect():
-        groups[r["component_id"]].append(r["doc_id"])
-    assert sorted(map(sorted, groups.values())) == sorted(want)
+    _, found = checked_paragraphs(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert max(r["members"] for r in found) > 50
 
 
-def test_short_lines_and_wrapped_passages(spark):
+def test_passages_in_mid_line_wrapped_and_short_lines(spark):
     rng = np.random.default_rng(4)
-    passage = [f"w{i}" for i in rng.integers(0, 500, 100)]
-    other = [" ".join(f"v{i}" for i in rng.integers(0, 500, 30)) for _ in range(3)]
-    wrap = lambda n: "\n".join(" ".join(passage[i:i + n]) for i in range(0, 100, n))
+    passage = [f"w{i}" for i in rng.integers(0, 500, 80)]
+    other = [" ".join(f"v{k}{i}" for i in rng.integers(0, 500, 60)) for k in range(4)]
+    wrap = lambda n: "\n".join(" ".join(passage[i:i + n]) for i in range(0, 80, n))
     short = "one two three four five six seven eight nine"
-    rows = [(1, f"{other[0]}\n\n{wrap(12)}\n \n{short}"), (2, f"{wrap(15)}\n\n{other[1]}"), (3, f"{' '.join(passage)}\n\nall rights\n\nkept {short}"),
-            (4, f"All  Rights\n{other[2]}")]
-    table = spark.createDataFrame(rows, "doc_id long, text string")
-    got = defaultdict(list)
-    for r in paragraphs.repeated_both(table).collect():
-        got[r["form"], r["component_id"]].append((r["doc_id"], r["paragraph"], r["removed"], dict(rows)[r["doc_id"]][r["start"]:r["end"]]))
-    # Lines of 1 and 3 share five of six shingles, those of 3 and 4 differ in case; blocks differ in how they are wrapped.
-    want = {"line": [[(1, 12, False, short), (3, 4, True, "kept " + short)], [(3, 2, False, "all rights"), (4, 0, True, "All  Rights")]],
-            "block": [[(1, 2, False, wrap(12)), (2, 0, True, wrap(15)), (3, 0, True, " ".join(passage))]]}
-    for form, groups in want.items():
-        assert sorted(sorted(g) for (f, _), g in got.items() if f == form) == groups
+    rows = [(1, f"{other[0]} {' '.join(passage)} {other[0][::-1]}\n{short}"), (2, f"{wrap(13)}\n\n{other[1]}\n{short}"),
+            (3, f"{short}\n{other[2]} {wrap(7).upper()}"), (4, f"{short}\n{other[3]}")]
+    _, found = checked_paragraphs(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in found) == [1, 2, 3]  # the short line alone is no paragraph
+    texts = {i: t.encode() for i, t in rows}
+    for r in found:
+        assert texts[r["doc_id"]][r["start"]:r["end"]].lower().split()[5:-5] == [w.encode() for w in passage][
+            passage.index(texts[r["doc_id"]][r["start"]:r["end"]].lower().split()[0].decode()):][5:r["words"] - 5]
+    assert [r["removed"] for r in sorted(found, key=lambda r: r["doc_id"])] == [False, True, True]

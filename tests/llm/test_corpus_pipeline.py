@@ -2,7 +2,7 @@
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -57,10 +57,17 @@ def test_stages_one_by_one(spark, sf):
 
 def test_stages_on_edges_and_nothing(spark, sf, edges, nothing):
     for table in (edges, nothing):
-        docs = table
+        kept = [table]
         for name, stage in corpus_pipeline.STAGES:
-            docs = stored(stage(spark, docs, sf), name)
-        pass
+            kept.append(stored(stage(spark, kept[-1], sf), name))
+        ids = [Counter(r["doc_id"] for r in k.select("doc_id").collect()) for k in kept]
+        for before, after in zip(ids[:4], ids[1:5]):
+            assert not after - before  # a stage adds no row
+        # under 50 words, or mostly words that repeat: rejected; rows 4, 5 and the one without an id are one text, of which 5 stays
+        assert set(ids[1]) <= {4, 5, 7, None} and set(ids[2]) <= {5, 7} | ({4} if 5 not in ids[1] else set())
+        assert all(n == 1 for n in ids[2].values()) and ids[3] == ids[4] and set(ids[5]) == set(ids[4])
+        assert kept[0].columns == kept[4].columns
+    assert not any(ids)  # the empty table
 
 
 def test_registered_queries(spark, sf):

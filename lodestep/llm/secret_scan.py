@@ -1,8 +1,9 @@
 """Secret scans: fixed patterns, and strings in sensitive contexts that a primed compressor finds new.
 
 A candidate is a run of key characters near a sensitive word, on either side; in NAME=value the name is its context.
-The neighbours of a secret are candidates too, so a key in lines is followed from line to line. Its novelty is the number of
-bytes it adds when the surrounding text, without its copies, is compressed by zstandard with a dictionary of identifiers, over its
+The two neighbours on either side of a secret, base ones included, are candidates too, so a key in lines is followed from line to
+line across one line that is not new. What is assigned to a sensitive name is a candidate as a whole, with the signs in it.
+A candidate that reaches beyond a base span is measured as a whole and reported beside it. Its novelty is the number of bytes it adds when the surrounding text, without its copies, is compressed by zstandard with a dictionary of identifiers, over its
 length. Words and identifiers are in the dictionary or in the surrounding text and add little; random keys add
 most of their length.
 """
@@ -39,11 +40,17 @@ IDENTIFIERS = ("password", "passwd", "secret", "token", "api_key", "apikey", "ac
 REACH, CONTEXT = 48, 400
 #: A novel string adds so many bytes for each of its characters, and so many in all. Runs shorter than an assigned value are not looked at.
 MIN_NOVELTY, MIN_ADDED, MIN_LENGTH = 0.55, 7, ASSIGN_MIN
+#: So many for each character of a value with signs: paths, calls and addresses are full of signs, which cost more than letters.
+MIN_SIGNED = 0.75
 #: Identifiers of the corpus enter the dictionary from so many documents on; most frequent first, up to so many bytes.
 MIN_DOCUMENTS, DICTIONARY_BYTES = 5, 32_768
 
 #: Runs of key characters; '=' ends one (what stands before it is a name), except as padding.
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?" % MIN_LENGTH)
+#: What is assigned to a sensitive name, up to a space, its closing quote or the next part of a query string.
+_ASSIGNED = re.compile(r"""(?:%s)[A-Za-z0-9_-]{0,32}["']?[ \t]*(?:=>|:=|[:=])[ \t]*(?:"([^"\s]+)"|'([^'\s]+)'|((?:(?!&[A-Za-z_]+=)\S)+))"""
+                       % "|".join(SENSITIVE), re.IGNORECASE | re.ASCII)
+_CLOSING = "\"'`.,;)]}>\\"
 _RULE = re.compile(r"-{2,}")
 #: What may stand between two parts of one secret: line ends, quotes, signs.
 _JOINT = re.compile(r"(?:[\W_]|\\[nrt]){1,%d}" % REACH)
@@ -116,10 +123,20 @@ def _in_reach(text: str, spans: list[tuple[int, int]]) -> Iterator[int]:
             yield i
 
 
+def _signed(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of assigned values that hold more than key characters."""
+    for m in _ASSIGNED.finditer(text):
+        start, end = m.span(m.lastindex)
+        if m.lastindex == 3:
+            end = start + len(text[start:end].rstrip(_CLOSING))
+        if end - start >= MIN_LENGTH and not _CANDIDATE.fullmatch(text, start, end):
+            yield start, end
+
+
 def novel_spans(text: str, raw: bytes, size, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
-    """(start, kind, end, novelty) of candidates no base span touches."""
+    """(start, kind, end, novelty) of candidates that no base span covers."""
     low = raw.lower()
-    if not any(w.encode() in low for w in SENSITIVE):
+    if not taken and not any(w.encode() in low for w in SENSITIVE):
         return []
     spans = _candidates(text)
     base: list[list[int]] = []  # base spans, joined where they overlap
@@ -129,34 +146,56 @@ def novel_spans(text: str, raw: bytes, size, taken: list[tuple[int, int, int]])
         else:
             base.append([s, e])
     first = [s for s, _ in base]
-    touched = [(j := bisect_left(first, end) - 1) >= 0 and base[j][1] > start for start, end in spans]
+
+    def last_before(end: int) -> int:
+        return bisect_left(first, end) - 1
+
+    def covered(start: int, end: int) -> bool:
+        return (j := last_before(end)) >= 0 and base[j][0] <= start and end <= base[j][1]
+
+    inside = [covered(*span) for span in spans]
+    touched = [(j := last_before(end)) >= 0 and base[j][1] > start for start, end in spans]
     near, found = set(), {}
-    open_ = list(_in_reach(text, spans))
+
+    def new(start: int, end: int, least: float = MIN_NOVELTY) -> float | None:
+        more = added(text, start, end, size)
+        return None if more < MIN_ADDED or more < least * (end - start) else more / (end - start)
+
+    open_ = sorted({*_in_reach(text, spans), *(i for i, t in enumerate(touched) if t)})
     while open_:
         i = open_.pop()
         if i in near:
             continue
         near.add(i)
-        start, end = spans[i]
-        if not touched[i]:
-            more = added(text, start, end, size)
-            if more < MIN_ADDED or more < MIN_NOVELTY * (end - start):
+        if not inside[i]:
+            score = new(*spans[i])
+            if score is not None:
+                value = text[slice(*spans[i])]
+                found[value] = max(score, found.get(value, score))
+            elif not touched[i]:
                 continue
-            value, score = text[start:end], more / (end - start)
-            found[value] = max(score, found.get(value, score))
-        # The context holds on through the neighbours of a secret, line after line.
-        open_ += [j for j in (i - 1, i + 1) if 0 <= j < len(spans) and j not in near
-                  and _JOINT.fullmatch(text, spans[min(i, j)][1], spans[max(i, j)][0])]
-    out = {span: found[text[slice(*span)]] for span, t in zip(spans, touched) if not t and text[slice(*span)] in found}
+        # The context holds on through the neighbours of a secret, line after line, across one that is not new.
+        for step in (-1, 1):
+            j = i
+            while abs(j - i) < 2 and 0 <= j + step < len(spans):
+                here, j = j, j + step
+                if not _JOINT.fullmatch(text, spans[min(here, j)][1], spans[max(here, j)][0]):
+                    break
+                if j not in near:
+                    open_.append(j)
+    out = {span: found[text[slice(*span)]] for span, t in zip(spans, inside) if not t and text[slice(*span)] in found}
     # A longer candidate that holds a novel string is little new beside it, so the copy inside is reported.
     lengths = sorted({len(v) for v in found}, reverse=True)
-    for start, end in (spans[i] for i in sorted(near) if not touched[i]):
+    for start, end in (spans[i] for i in sorted(near) if not inside[i]):
         at = start
         while lengths and (start, end) not in out and at < end:
             held = next((n for n in lengths if at + n <= end and text[at:at + n] in found), 0)
             if held:
                 out[at, at + held] = found[text[at:at + held]]
             at += held or 1
+    for span in _signed(text):
+        if not covered(*span) and (score := new(*span, MIN_SIGNED)) is not None:
+            out[span] = score
     return [(start, 3, end, score) for (start, end), score in sorted(out.items())]
 
 

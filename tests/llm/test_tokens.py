@@ -225,3 +225,31 @@ def test_the_library_decodes_the_ids(vocabulary):
     texts = ["Grüße, Welt!  Two  spaces", "日本語 😀\n\ttabs", " leading and trailing ", "x" * 300]
     for (key, rank, ids, *_rest), text in zip(pieces.segmentations([(i, t) for i, t in enumerate(texts)], vocabulary, 1, 5), texts):
         assert vocabulary.sp.decode(ids.tolist()) == text == vocabulary.decode(ids.tolist())
+
+
+def test_kept_words_and_blocks_change_no_sample(texts, monkeypatch):
+    """Any size of chunks, blocks and kept words gives the same ids and scores, in whichever order texts come."""
+    rows = list(texts.items())[:150] + [(-1, None), (-2, ""), (-3, "x" * 3000), (-4, "a  b▁ c \x00 d")]
+
+    def found(some, kept, chunk, block):
+        monkeypatch.setattr(pieces, "KEPT", kept)
+        monkeypatch.setattr(pieces, "CHUNK", chunk)
+        monkeypatch.setattr(pieces, "BLOCK", block)
+        return {(key, rank): (ids.tolist(), round(total, 6), round(value, 6), round(chance, 6))
+                for key, rank, ids, total, value, chance, _ in pieces.segmentations(some, pieces.Vocabulary(MODEL), 2, 1)}
+
+    want = found(rows, 0, 4_000_000, 1 << 16)
+    assert len(want) >= 300
+    assert found(rows, 500, 2_000, 100) == want and found(rows[::-1], 100_000, 5_000, 7) == want
+
+
+def test_a_worker_goes_on_after_rows_left_unread(texts):
+    v = pieces.Vocabulary(MODEL)
+    rows = [(i, t) for i, t in texts.items() if t][:100]
+    next(pieces.segmentations(rows, v, 2, 1))
+    assert [r[2].tolist() for r in pieces.segmentations(rows, v, 2, 1)] == [r[2].tolist() for r in pieces.segmentations(rows, pieces.Vocabulary(MODEL), 2, 1)]
+
+
+def test_spelling_is_decoding(texts, vocabulary):
+    for _, _, ids, _, _, _, normal in pieces.segmentations(list(texts.items())[:100], vocabulary, 2, 1):
+        assert vocabulary.spelling(ids) == normal.replace(pieces.SPACE, " ").encode() == b"".join(vocabulary.raw[i] for i in ids)

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
@@ -15,6 +12,7 @@ from ..functions.numeric import clip, total
 from ..functions.times import days_between, hours_between
 from ..session import materialize
 from ..sources.tables import Tables
+from . import kmeans
 from .features import standardise
 from .stages import stage_flags
 
@@ -58,35 +56,26 @@ def clustering_input(df: DataFrame, columns: Sequence[str] = RFM) -> DataFrame:
     return VectorAssembler(inputCols=list(scaled.values()), outputCol="features").transform(ready).drop(*scaled.values())
 
 
-def _fit(points: DataFrame, k: int, starts: int, seed: int):
-    """Lowest-cost K-means of several starts."""
-    best = None
-    for i in range(starts):
-        model = KMeans(k=k, seed=seed + i, maxIter=100).fit(points)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
-
-
 def choose_k(points: DataFrame, ks: Sequence[int] = range(2, 9), starts: int = 10, seed: int = 42) -> DataFrame:
-    """Inertia and silhouette (squared Euclidean) per k; the highest silhouette is chosen."""
-    points = points.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    judge = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
+    """Inertia and mean Euclidean silhouette with its bounds per k; the highest silhouette is chosen."""
+    table = kmeans.stored_points(points)
+    cells = kmeans.cell_centres(table, seed=seed)
     rows = []
-    for k in ks:
-        model = _fit(points, k, starts, seed)
-        rows.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(points)))))
-    points.unpersist()
-    best = max(rows, key=lambda r: (r[2], -r[0]))[0]
-    return points.sparkSession.createDataFrame([(*r, r[0] == best) for r in rows], "k int, inertia double, silhouette double, chosen boolean")
+    for k, (centres, cost) in kmeans.fit(table, ks, starts, seed).items():
+        if len(centres):
+            scored = kmeans.silhouette(table.withColumn("cluster", kmeans.nearest(F.col("x"), centres)), centres=cells)
+            rows.append((k, cost, *scored.agg(F.avg("silhouette"), F.avg("silhouette_low"), F.avg("silhouette_high")).first()))
+    best = max(rows, key=lambda r: (r[2], -r[0]))[0] if rows else None
+    return points.sparkSession.createDataFrame(
+        [(*r, r[0] == best) for r in rows], "k int, inertia double, silhouette double, silhouette_low double, silhouette_high double, chosen boolean")
 
 
 def cluster(points: DataFrame, k: int, starts: int = 20, seed: int = 42) -> DataFrame:
-    """Add ``cluster`` from the best of several K-means runs."""
-    cached = points.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    model = _fit(cached, k, starts, seed)
-    cached.unpersist()
-    return model.setPredictionCol("cluster").transform(points)
+    """Add ``cluster`` from the cheapest of several K-means starts."""
+    centres, _ = kmeans.fit(kmeans.stored_points(points), [k], starts, seed)[k]
+    if not len(centres):
+        return points.withColumn("cluster", F.lit(0))
+    return points.withColumn("cluster", kmeans.nearest(vector_to_array("features"), centres))
 
 
 def profile(df: DataFrame, columns: Sequence[str] = RFM, by: str = "cluster") -> DataFrame:

@@ -13,6 +13,7 @@ from ..operators.stages import stage_times
 from ..session import materialize, new_path
 from ..sources import mapping, tables as tb
 from ..sources.schemas import SCHEMAS, STAGES, STATUSES
+from ..sources.snapshots import Snapshots
 
 SLICE = {"channel": "referral", "region": "ASIA", "device_os": None}
 
@@ -67,6 +68,16 @@ def cached_tables(spark, sf):
     return counted
 
 
+def snapshot_tables(spark, sf):
+    """Rows of the five tables, counted from versions that are taken on first use and deleted afterwards."""
+    now = mapping.journeys(spark, sf)
+    shared = Snapshots(spark, {name: lambda df=df: df for name, df in now.named().items()})
+    with shared.tables() as kept:
+        counted = materialize(tb.row_counts(kept.named(), spark))
+    shared.close()
+    return counted
+
+
 def stored_result(spark, sf):
     """Write a result, read it again when it exists; an absent one reads as None."""
     path = new_path(spark, "result")
@@ -103,6 +114,7 @@ QUERIES = {
     "source_stored_result": stored_result,
     "source_loaded_tables": loaded_tables,
     "source_cached_tables": cached_tables,
+    "source_snapshot_tables": snapshot_tables,
     "source_row_counts": lambda s, sf: tb.row_counts(mapping.journeys(s, sf).named(), s),
     # stage frame and funnels
     "stage_times": _journeys(stage_durations),

@@ -12,6 +12,7 @@ from ..operators import evaluation as ev
 from ..operators import features as ft
 from ..operators import models as md
 from ..operators import segments as sg
+from ..operators import kmeans as km
 from ..session import materialize
 from ..sources import mapping
 from ..sources.schemas import CHANNELS
@@ -295,6 +296,26 @@ def banded_profiles(t):
     return sg.name_segments(sg.profile(banded(t)))
 
 
+def lloyd_steps(t):
+    """Two K-means steps from the means of the bands: users and centre of every cluster after each."""
+    columns = ["recency_days", "frequency", "n_tickets"]
+    users = materialize(banded(t).select("cluster", F.array(*[F.col(c).cast("double") for c in columns]).alias("x")))
+    means = users.groupBy("cluster").agg(*[F.avg(F.col("x")[j]).alias(c) for j, c in enumerate(columns)]).orderBy("cluster").collect()  # one row per band
+    centres, rows = np.array([[r[c] for c in columns] for r in means], float).reshape(-1, len(columns)), []
+    for turn in (1, 2) if len(centres) else ():
+        [(centres, n, _cost)] = km.step(users, [centres])
+        rows += [(turn, j, int(n[j]), *map(float, centre)) for j, centre in enumerate(centres)]
+    out = users.sparkSession.createDataFrame(rows, "step int, centre int, n long, " + ", ".join(f"{c} double" for c in columns))
+    return _rounded(out, 4)
+
+
+def band_silhouettes(t):
+    """Users and mean Euclidean silhouette of every band, over capped counts of transactions and tickets, so scores are exact."""
+    x = F.array(F.least("frequency", F.lit(12)).cast("double"), F.least("n_tickets", F.lit(6)).cast("double"))
+    scored = km.silhouette(materialize(banded(t).select("cluster", x.alias("x"))))
+    return _rounded(scored.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette")), 5)
+
+
 def segment_export(t):
     clustered, named = _segments(t)
     return sg.export(clustered.join(named.select("cluster", F.col("segment_name").alias("segment")), "cluster"))
@@ -375,6 +396,8 @@ QUERIES = {
     "segment_metric_rows": _journeys(lambda t: _rounded_means(sg.metric_rows(banded_profiles(t)))),
     "segment_best_and_riskiest": _journeys(lambda t: sg.best_and_riskiest(banded_profiles(t))),
     "segment_stuck": _journeys(lambda t: sg.stuck_at(t.events)),
+    "segment_lloyd_steps": _journeys(lloyd_steps),
+    "segment_band_silhouettes": _journeys(band_silhouettes),
     "segment_choose_k": _journeys(lambda t: sg.choose_k(materialize(sg.clustering_input(materialize(sg.rfm(t)))))),
     "segment_kmeans_export": _journeys(segment_export),
     "segment_components": _journeys(segment_components),

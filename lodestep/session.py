@@ -73,14 +73,21 @@ def _written(spark: SparkSession) -> list[str]:
 def drop_intermediates(spark: SparkSession) -> int:
     """Delete what this session wrote below fresh paths; frames that read it end here."""
     paths = _written(spark)
-    for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
     count = len(paths)
+    for path in list(paths):
+        delete_path(spark, path)
     paths.clear()
     return count
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this session wrote below a fresh path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path in _written(spark):
+        _written(spark).remove(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on whichever file system it names."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -221,4 +221,4 @@ SQL = {
         COUNT(*) FILTER (status = 'failed') AS failed, COUNT(*) FILTER (status = 'pending') AS pending FROM transactions GROUP BY category""",
     "topic_frequency": f"{COMMERCE} SELECT topic, COUNT(*) AS n FROM support_tickets GROUP BY topic",
 }
-SQL["source_loaded_tables"] = SQL["source_cached_tables"] = SQL["source_row_counts"]
+SQL["source_loaded_tables"] = SQL["source_cached_tables"] = SQL["source_snapshot_tables"] = SQL["source_row_counts"]

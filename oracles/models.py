@@ -308,3 +308,27 @@ SQL = {
       UNION ALL SELECT user_id, 'funded_not_transacted' FROM fl WHERE f = 1 AND x = 0
       UNION ALL SELECT user_id, 'transacted_not_retained' FROM fl WHERE x = 1 AND w = 0""",
 }
+
+
+def _lloyd(before: str, after: str) -> str:
+    """One K-means step in SQL: every point to its nearest centre, the lower number on ties, and the means."""
+    return f"""{after}_near AS (SELECT p.*, c.j FROM pt p CROSS JOIN {before} c
+            QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ((p.r - c.r) ** 2 + (p.f - c.f) ** 2) + (p.t - c.t) ** 2, c.j) = 1),
+        {after} AS (SELECT c.j, COUNT(a.user_id) AS n, COALESCE(AVG(a.r), MAX(c.r)) AS r, COALESCE(AVG(a.f), MAX(c.f)) AS f, COALESCE(AVG(a.t), MAX(c.t)) AS t
+            FROM {before} c LEFT JOIN {after}_near a ON a.j = c.j GROUP BY c.j)"""
+
+
+SQL["segment_lloyd_steps"] = _BANDS + f""", pt AS (SELECT user_id, cluster, CAST(recency_days AS DOUBLE) AS r, CAST(frequency AS DOUBLE) AS f, CAST(n_tickets AS DOUBLE) AS t FROM bd),
+        c0 AS (SELECT ROW_NUMBER() OVER (ORDER BY cluster) - 1 AS j, AVG(r) AS r, AVG(f) AS f, AVG(t) AS t FROM pt GROUP BY cluster),
+        {_lloyd("c0", "c1")}, {_lloyd("c1", "c2")}
+    SELECT CAST(step AS INTEGER) AS step, CAST(j AS INTEGER) AS centre, n, ROUND(r, 4) AS recency_days, ROUND(f, 4) AS frequency, ROUND(t, 4) AS n_tickets
+    FROM (SELECT 1 AS step, * FROM c1 UNION ALL SELECT 2, * FROM c2)"""
+
+SQL["segment_band_silhouettes"] = _BANDS + """, g AS (SELECT cluster, LEAST(frequency, 12) AS f, LEAST(n_tickets, 6) AS t, COUNT(*) AS w FROM bd GROUP BY ALL),
+        size AS (SELECT cluster, SUM(w) AS n FROM g GROUP BY cluster),
+        far AS (SELECT x.cluster, x.f, x.t, x.w, y.cluster AS other, SUM(y.w * SQRT((x.f - y.f) ** 2 + (x.t - y.t) ** 2)) AS d FROM g x CROSS JOIN g y GROUP BY ALL),
+        ab AS (SELECT far.cluster, f, t, w, own.n, MAX(CASE WHEN other = far.cluster AND own.n > 1 THEN d / (own.n - 1) END) AS a,
+                   MIN(CASE WHEN other <> far.cluster THEN d / size.n END) AS b
+               FROM far JOIN size own ON own.cluster = far.cluster JOIN size ON size.cluster = other GROUP BY ALL)
+    SELECT cluster, CAST(MAX(n) AS BIGINT) AS n, ROUND(SUM(w * CASE WHEN a IS NULL OR b IS NULL OR GREATEST(a, b) = 0 THEN 0 ELSE (b - a) / GREATEST(a, b) END) / MAX(n), 5) AS silhouette
+    FROM ab GROUP BY cluster"""

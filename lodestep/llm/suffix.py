@@ -1,19 +1,17 @@
-"""Removal of repeated byte strings by refining buckets of a sample of suffixes with hashes of their bytes.
-
-In bucket-pointer refinement a bucket is sorted by the bucket identifiers of later offsets; here direct hashes of the bytes
-that the rows carry take that place, as only anchors would have identifiers.
+"""Removal of repeated byte strings by bucket-pointer refinement over a sample of suffixes.
 
 Which bytes does a string of LENGTH bytes cover that also starts elsewhere? Sorting all suffixes would move a
-row per byte. Here the suffixes at anchors are sorted: an anchor is the least q-gram hash of every string of
+row per byte. Here the suffixes around anchors are sorted: an anchor is the least q-gram hash of every string of
 LENGTH bytes, so equal strings have equal anchors at equal places, and about one byte in seventy is one.
 
 1. Buckets: anchors by the identifier of their q-gram; a bucket of one is done.
-2. Refinement by all offsets at once: anchors whose whole surroundings are equal are one class; a class of two or
-   more is done, every string around its anchors repeats.
-3. Refinement by later offsets: the other classes of a bucket are compared by the strings that start up to LENGTH - q
-   bytes before the anchor. A small bucket is settled in one task. A large one is split, first half and second half of
-   these starts, by the identifier of the bytes all strings of the half share, and the new buckets are refined in the same
-   way, down to single strings, where two in a bucket repeat. No bucket is held in one place beyond a fixed size.
+2. Anchors whose whole surroundings are equal are one class; a class of two or more is done, every string around its
+   anchors repeats.
+3. Refinement of the other classes of a bucket, for the strings that start up to LENGTH - q bytes before the anchor: the suffixes at
+   each offset from the anchor have a bucket by their q-gram; a bucket is refined by sorting on the buckets of later offsets, and the
+   refined buckets are the pointers of the next refinement, until they stand for LENGTH bytes. A bucket of one takes no part any more.
+4. A bucket too large for one task is dealt out first: first half and second half of its starts, by a hash of the bytes that all strings of the
+   half share, and so on, down to single strings, where two in a bucket repeat. No bucket is held in one place beyond a fixed size.
 
 All strings around an anchor contain it, so what they cover is one run, given by the first and the last start that repeat.
 """
@@ -185,6 +183,72 @@ def _halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows(rows)
 
 
+def _sorted_names(*pointers: np.ndarray) -> np.ndarray:
+    """The bucket of each row among those with equal ``pointers``, by stable sorts from the last to the first; 0 for a bucket of one."""
+    order = np.argsort(pointers[-1], kind="stable" if len(pointers) > 1 else None)
+    for p in pointers[-2::-1]:
+        order = order[np.argsort(p[order], kind="stable")]
+    fresh = np.ones(len(order) + 1, bool)
+    fresh[1:-1] = np.logical_or.reduce([p[order][1:] != p[order][:-1] for p in pointers])
+    names = np.cumsum(fresh[:-1])
+    names[fresh[:-1] & fresh[1:]] = 0
+    out = np.empty(len(order), np.int64)
+    out[order] = names
+    return out
+
+
+def _starts(number: np.ndarray, low: np.ndarray, high: np.ndarray, left: np.ndarray, content: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(before, after) of each row: the first and last start, low to high bytes before the anchor, whose string another row of its
+    bucket ``number`` repeats; -1 without one. ``left`` is the place of the anchor in the row's bytes.
+
+    Buckets of q-grams at each offset from the anchor are refined twice by sorting on the buckets of later offsets: 64 bytes by
+    those 64 further on to 128, these by those 72 further on to 200. A row alone in a bucket takes no part in longer ones.
+    """
+    size = np.fromiter(map(len, content), np.int64, len(content))
+    begin = np.cumsum(size) - size
+    data = np.frombuffer(b"".join(content), np.uint8)
+    sums, back = _sums(data), _powers(_INVERSE, len(data) + 1)
+    salt = _mixed(number * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+    reach = LENGTH - GRAM
+    step = LENGTH - 2 * GRAM  # from a 128-gram to the one that ends where the string ends
+    # names fit two bytes, which are sorted by radix, as long as the rows do
+    kind = np.uint16 if len(content) < 1 << 16 else np.uint32
+    names = np.zeros((2 * reach + 1, len(content)), kind)  # at offset o: row o + reach
+
+    def grams(live: np.ndarray, o: int) -> np.ndarray:
+        """Names the q-grams at offset ``o`` of the live rows; returns the rows that are not alone."""
+        # strings over this q-gram start -o (or further) to reach - o (or nearer) bytes before the anchor
+        live = live[(o >= -left[live]) & (o + GRAM <= size[live] - left[live]) & (o >= -high[live]) & (o <= reach - low[live])]
+        start = begin[live] + left[live] + o
+        names[o + reach, live] = _sorted_names(_mixed((sums[start + GRAM] - sums[start]) * back[start]) ^ salt[live])
+        return live[names[o + reach, live] > 0]
+
+    least, most = int(low.min()), int(high.max())
+    # A string over an outer q-gram lies over those between it and the anchor too, so a row alone in one of them is out.
+    for offsets in (range(reach - least + 1), range(-1, -most - 1, -1)):
+        live = np.arange(len(content))
+        for o in offsets:
+            live = grams(live, o)
+
+    def refined(buckets: np.ndarray, o: int, further: int) -> np.ndarray:
+        own, later = buckets[o + reach], buckets[o + further + reach]
+        both = np.flatnonzero((own > 0) & (later > 0))
+        out = np.zeros(len(content), kind)
+        if len(both):
+            out[both] = _sorted_names(own[both], later[both])
+        return out
+
+    double = np.zeros_like(names)
+    for o in range(-most, step - least + 1):
+        double[o + reach] = refined(names, o, GRAM)
+    before, after = np.full(len(content), -1, np.int64), np.full(len(content), -1, np.int64)
+    for s in range(least, most + 1):
+        twice = np.flatnonzero((refined(double, -s, step) > 0) & (s >= low) & (s <= high))
+        before[twice] = s
+        after[twice[after[twice] < 0]] = LENGTH - s
+    return before, after
+
+
 def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """gram, around, before, after of classes of one anchor: first and last start that repeats in their bucket.
 
@@ -194,27 +258,7 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def solve(table: pa.Table) -> pa.RecordBatch:
         bucket = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "low", "high")], axis=1)
         number = np.cumsum(np.r_[False, (bucket[1:] != bucket[:-1]).any(axis=1)]).astype(np.uint64)
-        content = table.column("bytes").to_pylist()
-        size = np.fromiter(map(len, content), np.int64, len(content))
-        begin = np.cumsum(size) - size
-        left = table.column("left").to_numpy().astype(np.int64)
-        low, high = bucket[:, 1], bucket[:, 2]
-        data = np.frombuffer(b"".join(content), np.uint8)
-        sums, back = _sums(data), _powers(_INVERSE, len(data) + 1)
-        before = np.full(len(content), -1, np.int64)
-        after = np.full(len(content), -1, np.int64)
-        salt = _mixed(number * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
-        for s in range(int(low.min()), int(high.max()) + 1):
-            some = np.flatnonzero((s >= low) & (s <= high) & (s <= left) & (LENGTH - s <= size - left))
-            if not len(some):
-                continue
-            start = begin[some] + left[some] - s
-            value = _mixed((sums[start + LENGTH] - sums[start]) * back[start]) ^ salt[some]
-            order = np.argsort(value, kind="stable")
-            equal = value[order][1:] == value[order][:-1]
-            twice = some[order[np.r_[False, equal] | np.r_[equal, False]]]
-            before[twice] = s
-            after[twice[after[twice] < 0]] = LENGTH - s
+        before, after = _starts(number, bucket[:, 1], bucket[:, 2], table.column("left").to_numpy().astype(np.int64), table.column("bytes").to_pylist())
         hit = (before >= 0) & table.column("single").to_numpy(zero_copy_only=False)
         return pa.RecordBatch.from_arrays(
             [table.column("gram").to_numpy()[hit], table.column("around").to_numpy()[hit], before[hit].astype(np.int32), after[hit].astype(np.int32)],

@@ -129,6 +129,36 @@ def test_repeated_bytes(docs, edges, nothing, bucket, monkeypatch):
     assert suffix.remove_repeats(nothing).count() == 0
 
 
+def test_starts_of_repeats_around_anchors():
+    rng = np.random.default_rng(0)
+    reach, length = suffix.LENGTH - suffix.GRAM, suffix.LENGTH
+    number, low, high, left, content = [], [], [], [], []
+    for bucket in range(60):
+        base = rng.integers(97, 123, reach + length, dtype=np.uint8)
+        first, last = [(0, reach), (30, 100), (90, reach), (68, 68)][bucket % 4]
+        for _ in range(int(rng.integers(1, 12))):
+            row = base.copy()
+            for at in rng.integers(0, reach + length, int(rng.integers(0, 3))):
+                if not reach <= at < length:
+                    row[at] = 64
+            begin, end = (0, reach + length) if rng.random() < 0.7 else (int(rng.integers(0, reach + 1)), int(rng.integers(length, reach + length + 1)))
+            for to, value in zip((number, low, high, left, content), (bucket, first, last, reach - begin, row[begin:end].tobytes())):
+                to.append(value)
+    strings = defaultdict(list)
+    for i, raw in enumerate(content):
+        for s in range(low[i], high[i] + 1):
+            if s <= left[i] and left[i] - s + length <= len(raw):
+                strings[number[i], s, raw[left[i] - s:left[i] - s + length]].append(i)
+    want = defaultdict(list)
+    for (_, s, _), rows in strings.items():
+        for i in rows if len(rows) > 1 else []:
+            want[i].append(s)
+    before, after = suffix._starts(np.array(number, np.uint64), np.array(low), np.array(high), np.array(left), content)
+    assert before.tolist() == [max(want.get(i, [-1])) for i in range(len(content))]
+    assert after.tolist() == [length - min(want[i]) if i in want else -1 for i in range(len(content))]
+    assert (before >= 0).any() and (before < 0).any()
+
+
 def test_repeated_bytes_within_pieces_and_periods(spark, monkeypatch):
     monkeypatch.setattr(suffix, "PIECE", 700)
     rng = np.random.default_rng(5)

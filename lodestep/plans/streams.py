@@ -26,6 +26,14 @@ def stage_users(spark, sf):
     return counted.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_name", "users")
 
 
+def stage_changes(spark, sf):
+    """The same counts from the changes of each batch."""
+    path = new_path(spark, "stage-changes")
+    rows = st.stage_rows(_event_stream(spark, sf), TYPES)
+    st.count_batches(rows, path, new_path(spark, "stage-changes-checkpoint")).awaitTermination()
+    return st.counted_users(spark, path).select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_name", "users")
+
+
 def rule_counts(spark, sf):
     """Undeclared event names and missing times, summed over the batches."""
     rules = [Rule("DQ_ENUM_201", "events", "event_name", "events with an undeclared name", outside("event_name", TYPES), INVALID_ENUM),
@@ -35,4 +43,4 @@ def rule_counts(spark, sf):
     return spark.read.parquet(path).groupBy("issue_id").agg(F.sum("affected").alias("affected"))
 
 
-QUERIES = {"stream_stage_users": stage_users, "stream_rule_counts": rule_counts}
+QUERIES = {"stream_stage_users": stage_users, "stream_stage_changes": stage_changes, "stream_rule_counts": rule_counts}

@@ -1,5 +1,7 @@
 """Hand-worked metrics, quality rules, allocation, sources and streams."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,3 +267,29 @@ def test_stream_counts_do_not_depend_on_files(spark, sf, tmp_path):
         for _ in range(2):  # a restart adds nothing
             st.distinct_batches(_stage_stream(spark, folder, files), out, checkpoint).awaitTermination()
         assert sorted(map(str, st.stage_users(spark.read.parquet(out).drop("batch")).collect())) == want
+
+
+def test_stream_changes_read_only_the_days_of_a_batch(spark, tmp_path):
+    day = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    files = [[(1, day(3), "signup"), (2, day(3), "view"), (1, day(3, 5), "signup")],
+             [(1, day(9), "signup"), (3, day(3, 7), "signup"), (1, day(3, 9), "signup"), (None, day(3), "view"), (4, None, "view"), (5, day(3), "click")],
+             [(2, day(1), "view"), (1, day(9, 1), "signup"), (6, day(3, 1), "view")],  # a day before all others, and one long past
+             []]
+    schema = "user_id long, event_time timestamp, event_name string"
+    folder, out, checkpoint = str(tmp_path / "events"), new_path(spark, "changes"), new_path(spark, "check")
+    assert st.counted_users(spark, out).count() == 0
+    for rows in files:  # each file meets the running query's tables on its own
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        st.count_batches(_stage_stream(spark, folder, 1), out, checkpoint).awaitTermination()
+    want = {(3, "signup"): 2, (3, "view"): 2, (9, "signup"): 1, (1, "view"): 1}
+    got = lambda: {(r["window"]["start"].day, r["event_name"]): r["users"] for r in st.counted_users(spark, out).collect()}
+    assert got() == want
+    changes = spark.read.parquet(f"{out}/changes").where("batch = 2").collect()
+    assert {(r["window"]["start"].day, r["event_name"], r["users"]) for r in changes} == {(1, "view", 1), (3, "view", 1)}
+    keys = spark.read.parquet(f"{out}/keys")
+    assert keys.count() == sum(want.values()) == keys.select("window", "event_name", "user_id").distinct().count()
+    # All batches run again, as after a lost commit, over the keys they stored.
+    fresh = new_path(spark, "check")
+    for _ in range(2):
+        st.count_batches(_stage_stream(spark, folder, 1), out, fresh).awaitTermination()
+        assert got() == want

@@ -327,6 +327,13 @@ def segment_components(t):
     return parts.withColumn("explained", F.lit(float(sum(share))))
 
 
+def component_sizes(t):
+    """Components without their sign, which no rule fixes, and the share of the variance of each."""
+    parts, share = sg.principal_components(materialize(sg.clustering_input(materialize(sg.rfm(t)))))
+    sizes = parts.select("user_id", F.round(F.abs("pc1"), 4).alias("pc1"), F.round(F.abs("pc2"), 4).alias("pc2"))
+    return sizes.withColumns({f"share{i}": F.round(F.lit(float(v)), 6) for i, v in enumerate(share, 1)})
+
+
 QUERIES = {
     # survival
     "survival_durations": _journeys(lambda t: _rounded(_durations(t).select("user_id", "channel", "duration", "event"))),
@@ -401,4 +408,5 @@ QUERIES = {
     "segment_choose_k": _journeys(lambda t: sg.choose_k(materialize(sg.clustering_input(materialize(sg.rfm(t)))))),
     "segment_kmeans_export": _journeys(segment_export),
     "segment_components": _journeys(segment_components),
+    "segment_component_sizes": _journeys(component_sizes),
 }

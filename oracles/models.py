@@ -332,3 +332,32 @@ SQL["segment_band_silhouettes"] = _BANDS + """, g AS (SELECT cluster, LEAST(freq
                FROM far JOIN size own ON own.cluster = far.cluster JOIN size ON size.cluster = other GROUP BY ALL)
     SELECT cluster, CAST(MAX(n) AS BIGINT) AS n, ROUND(SUM(w * CASE WHEN a IS NULL OR b IS NULL OR GREATEST(a, b) = 0 THEN 0 ELSE (b - a) / GREATEST(a, b) END) / MAX(n), 5) AS silhouette
     FROM ab GROUP BY cluster"""
+
+
+def _axis(matrix, of, out):
+    """``out``: direction v and variance l of the first principal axis of the covariance ``matrix.c``. Squaring a symmetric matrix and
+    scaling it by its trace, again and again, leaves the projection on this axis."""
+    size = range(1, len(_FEATURES) + 1)
+    trace = lambda m: "list_sum([" + ", ".join(f"{m}[{i}][{i}]" for i in size) + "])"
+    return f"""{of} AS (SELECT 0 AS i, list_transform(c, lambda a: list_transform(a, lambda b: b / {trace("c")})) AS m FROM {matrix}
+        UNION ALL SELECT i + 1, list_transform(q, lambda a: list_transform(a, lambda b: b / {trace("q")})) FROM (
+          SELECT i, list_transform(m, lambda a: list_transform(m, lambda b: list_dot_product(a, b))) AS q FROM {of} WHERE i < 40)),
+      {out}_row AS (SELECT m[j] AS r, m[j][j] AS d FROM (SELECT m, list_position(dg, list_max(dg)) AS j FROM (
+        SELECT m, [{", ".join(f"m[{i}][{i}]" for i in size)}] AS dg FROM {of} WHERE i = 40))),
+      {out} AS (SELECT c, v, list_dot_product(list_transform(c, lambda a: list_dot_product(a, v)), v) AS l
+        FROM (SELECT list_transform(r, lambda a: a / SQRT(d)) AS v FROM {out}_row), {matrix})"""
+
+
+_FLOORED = [f"GREATEST(COALESCE(CAST({c} AS DOUBLE), 0::DOUBLE), 0::DOUBLE)" for c in _FEATURES]
+_PLACES = range(1, len(_FEATURES) + 1)
+_COVARIANCE = "[" + ", ".join("[" + ", ".join(f"SUM(x[{i}] * x[{j}]) / (COUNT(*) - 1)" for j in _PLACES) + "]" for i in _PLACES) + "]"
+_REST = "[" + ", ".join("[" + ", ".join(f"c[{i}][{j}] - l * v[{i}] * v[{j}]" for j in _PLACES) + "]" for i in _PLACES) + "]"
+SQL["segment_component_sizes"] = "WITH RECURSIVE" + _BANDS.removeprefix("WITH") + f""", z AS (SELECT user_id, [
+        {", ".join(f"({c} - AVG({c}) OVER ()) / COALESCE(NULLIF(STDDEV_POP({c}) OVER (), 0), 1)" for c in _FLOORED)}] AS x FROM rf),
+      cm AS (SELECT {_COVARIANCE} AS c FROM z),
+      {_axis("cm", "s1", "a1")},
+      cm2 AS (SELECT {_REST} AS c FROM a1),
+      {_axis("cm2", "s2", "a2")},
+      total AS (SELECT {" + ".join(f"c[{i}][{i}]" for i in _PLACES)} AS t FROM cm)
+    SELECT user_id, ROUND(ABS(list_dot_product(x, a1.v)), 4) AS pc1, ROUND(ABS(list_dot_product(x, a2.v)), 4) AS pc2,
+      ROUND(a1.l / t, 6) AS share1, ROUND(a2.l / t, 6) AS share2 FROM z, a1, a2, total"""

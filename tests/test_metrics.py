@@ -1,6 +1,7 @@
 """Hand-worked metrics, quality rules, allocation, sources and streams."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -278,6 +279,9 @@ def test_stream_changes_read_only_the_days_of_a_batch(spark, tmp_path):
     schema = "user_id long, event_time timestamp, event_name string"
     folder, out, checkpoint = str(tmp_path / "events"), new_path(spark, "changes"), new_path(spark, "check")
     assert st.counted_users(spark, out).count() == 0
+    unreadable = Path(out.removeprefix("file:"), "keys/day=2024-01-20/batch=0/part-0.parquet")  # of a day that no batch touches
+    unreadable.parent.mkdir(parents=True)
+    unreadable.write_text("no parquet")
     for rows in files:  # each file meets the running query's tables on its own
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
         st.count_batches(_stage_stream(spark, folder, 1), out, checkpoint).awaitTermination()
@@ -286,6 +290,7 @@ def test_stream_changes_read_only_the_days_of_a_batch(spark, tmp_path):
     assert got() == want
     changes = spark.read.parquet(f"{out}/changes").where("batch = 2").collect()
     assert {(r["window"]["start"].day, r["event_name"], r["users"]) for r in changes} == {(1, "view", 1), (3, "view", 1)}
+    unreadable.unlink()
     keys = spark.read.parquet(f"{out}/keys")
     assert keys.count() == sum(want.values()) == keys.select("window", "event_name", "user_id").distinct().count()
     # All batches run again, as after a lost commit, over the keys they stored.

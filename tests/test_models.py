@@ -13,6 +13,7 @@ from lodestep.operators import evaluation as ev
 from lodestep.operators import features as ft
 from lodestep.operators import models as md
 from lodestep.operators import segments as sg
+from lodestep.session import materialize
 from lodestep.sources import mapping
 
 
@@ -150,6 +151,32 @@ def test_model_comparison_and_cross_validation(training):
     assert all(0.55 < r["test_auc"] <= 1 and 0.55 < r["cv_auc"] <= 1 and 0 < r["brier"] < 0.3 for r in rows)
 
 
+def test_work_is_dealt_by_rows_not_by_bytes(spark, training, monkeypatch):
+    """Training, scoring and attribution of a table in one small file use several tasks, and give what one task gives."""
+    one = materialize(training.repartition(1))
+    spec = md.ModelSpec("forest", {"numTrees": 5, "maxDepth": 3})
+    model = md.train(spec, one, ["a", "b", "c"], "churned")
+    whole, base = at.attributions(model, one, ["a", "b", "c"])
+    scores = md.score(model, one, ["user_id"]).collect()
+    monkeypatch.setitem(md.ROWS, "forest", 40)
+    monkeypatch.setattr(at, "ROWS", 40)
+    assert one.rdd.getNumPartitions() == 1
+    dealt = md.build(spec, one, ["a", "b", "c"], "churned")[1]
+    assert dealt.rdd.getNumPartitions() > 1 and dealt.count() == one.count()
+    apart, again = at.attributions(model, one, ["a", "b", "c"])
+    assert apart.rdd.getNumPartitions() > 1 and again == base
+    assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, whole.collect()))
+    assert sorted(md.score(model, one, ["user_id"]).collect()) == sorted(scores)
+
+
+def test_comparison_gives_what_each_model_gives_alone(training):
+    specs = {"forest": md.ModelSpec("forest", {"numTrees": 5, "maxDepth": 3}), "logistic": md.ModelSpec("logistic", {"C": 0.5})}
+    rows = {r["model"]: r for r in md.compare(specs, training, ["a", "b", "c"], "churned").collect()}
+    for name, spec in specs.items():
+        mean, deviation = md.cross_validate(spec, training, ["a", "b", "c"], "churned")
+        assert (rows[name]["cv_auc"], rows[name]["cv_std"]) == pytest.approx((mean, deviation))
+
+
 def test_attributions_add_up_to_the_prediction(spark, training):
     names = ["a", "b", "c"]
     model = md.train(md.ModelSpec("forest", {"numTrees": 12, "maxDepth": 5, "minInstancesPerNode": 5}), training, names, "churned")

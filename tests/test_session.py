@@ -97,3 +97,13 @@ def test_a_streaming_query_leaves_nothing_behind(spark, sf):
     assert entry.queries()["stream_stage_users"](spark, sf).count() and set(os.listdir(folder)) - before
     ss.drop_intermediates(spark)
     assert set(os.listdir(folder)) == before
+
+
+def test_spread_deals_rows_by_their_number(spark):
+    """A table that one task would read is dealt evenly, with no more tasks than asked for; few rows stay as they are."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = ss.materialize(spark.range(1000).repartition(1).withColumn("key", F.lit(None).cast("string")))
+    sizes = [n for n in ss.spread(rows, 1000, 100).rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect() if n]
+    assert len(sizes) == min(cores, 10) and sum(sizes) == 1000 and max(sizes) - min(sizes) <= len(sizes)
+    assert ss.spread(rows, 1000, 1, per_core=3).rdd.getNumPartitions() == 3 * cores
+    assert ss.spread(rows, 1000, 1000) is rows and ss.spread(rows, 0, 10) is rows

@@ -22,12 +22,15 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import spread
 from .ensembles import node_table
 
 # Trees go to the executors in parts of at most this many nodes (or one tree).
 PART_NODES = 500_000
 # Trees are explained together up to so many nodes, for so many numbers (nodes x rows x points) at a time.
 GROUP_NODES, AT_ONCE = 1_000, 1 << 18
+# Rows of a task: under a forest of hundreds of trees a row costs milliseconds.
+ROWS = 500
 # A branch no training row took still has this share.
 LEAST_SHARE = 1e-12
 
@@ -183,7 +186,7 @@ def explained(nodes: DataFrame, df: DataFrame, features: Sequence[str], keep: Se
         room -= row["count"]
     names, kept = list(features), list(keep)
     columns = list(dict.fromkeys([*kept, *names]))
-    out = df.select(*columns, F.array_repeat(F.lit(0.0), len(names)).alias("phi"))
+    out = spread(df.select(*columns), df.count(), ROWS, per_core=3).select("*", F.array_repeat(F.lit(0.0), len(names)).alias("phi"))
     base = 0.0
     for part in parts:
         groups, mean = compiled(nodes.where(F.col("tree").isin(part)).toPandas(), len(sizes))

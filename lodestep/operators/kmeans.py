@@ -15,13 +15,17 @@ import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..session import materialize
+from ..session import materialize, spread
 
 #: Distinct points drawn by hash, with their weights, for start centres and cells.
 DRAWN = 4096
 #: Cells a cluster is reduced to. With no more distinct points than that, scores are exact.
 CELLS = 256
 _ROWS = 1024
+#: Distances computed at a time, few enough for a core's cache.
+_CACHED = 1 << 15
+#: Points of a task: a step meets every start of every k, the silhouette every cell of every cluster.
+POINTS = 2_000
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -32,14 +36,23 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances, coordinate by coordinate, so that equal points are at distance zero."""
     out = np.zeros((len(x), len(centres)))
-    for j in range(x.shape[1]):
-        out += np.square(x[:, j, None] - centres[None, :, j])
+    columns = np.ascontiguousarray(centres.T)
+    step = max(1, _CACHED // max(1, len(centres)))
+    held = np.empty((min(step, len(x)), len(centres)))
+    for low in range(0, len(x), step):
+        rows, sums = x[low:low + step], out[low:low + step]
+        part = held[:len(rows)]
+        for j in range(x.shape[1]):
+            np.subtract(rows[:, j, None], columns[j], out=part)
+            np.multiply(part, part, out=part)
+            sums += part
     return out
 
 
 def stored_points(points: DataFrame, *keep: str) -> DataFrame:
-    """``features`` as an array x, written once; points without features are left out."""
-    return materialize(points.where("features IS NOT NULL").select(vector_to_array("features").alias("x"), *keep))
+    """``features`` as an array x, written once and in files for as many tasks as the number of points asks for; points without features are left out."""
+    some = points.where("features IS NOT NULL")
+    return materialize(spread(some.select(vector_to_array("features").alias("x"), *keep), some.count(), POINTS))
 
 
 def drawn(table: DataFrame, n: int = DRAWN, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:

@@ -1,8 +1,10 @@
 import numpy as np
 import pytest
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql.types import StructType
 
 from lodestep.operators import kmeans, segments as sg
+from lodestep.session import materialize
 
 
 def frame(spark, x, label=None):
@@ -80,3 +82,19 @@ def test_fewer_points_than_clusters(spark):
 def test_hot_points_weigh_in_the_draw(spark):
     x, weight = kmeans.drawn(kmeans.stored_points(frame(spark, np.array([[0.0]] * 50 + [[float(i)] for i in range(1, 9)]))), n=20)
     assert len(x) == 9 and weight.max() == 50
+
+
+def test_points_in_one_file_are_dealt_to_tasks(spark, monkeypatch):
+    """A step over a small file runs in several tasks with the same result, and distances do not depend on how many are computed at a time."""
+    rng = np.random.default_rng(3)
+    rows = [(i, Vectors.dense(p)) for i, p in enumerate(rng.normal(size=(300, 3)).tolist())] + [(300, None)]
+    points = materialize(spark.createDataFrame(rows, StructType().add("i", "integer").add("features", VectorUDT())).repartition(1))
+    whole = kmeans.stored_points(points, "i")
+    monkeypatch.setattr(kmeans, "POINTS", 50)
+    dealt = kmeans.stored_points(points, "i")
+    assert whole.rdd.getNumPartitions() == 1 and dealt.rdd.getNumPartitions() > 1
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, whole.collect())) and dealt.count() == 300
+    x, centres = rng.normal(size=(70, 3)), rng.normal(size=(9, 3))
+    plain = sum(np.square(x[:, j, None] - centres[None, :, j]) for j in range(3))
+    monkeypatch.setattr(kmeans, "_CACHED", 40)
+    assert (kmeans._squared(x, centres) == plain).all() and (kmeans._squared(x[:0], centres).shape, kmeans._squared(x, centres[:0]).shape) == ((0, 9), (70, 0))

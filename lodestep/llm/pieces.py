@@ -175,11 +175,15 @@ class Vocabulary:
             return b""
         return self.raw_bytes[np.repeat(self.raw_first[ids] - ends + size, size) + np.arange(ends[-1])].tobytes()
 
-    def decode(self, ids: list[int]) -> str:
+    def text(self, ids: np.ndarray) -> str:
         """The normalised text that ids spell, with spaces, without the one in front."""
-        out = b"".join(map(self.raw.__getitem__, ids)).decode(errors="replace")
+        out = self.spelling(ids).decode(errors="replace")
         return out[1:] if out.startswith(" ") else out
 
+    def decode(self, ids: list[int]) -> str:
+        """As :meth:`text`, for a list."""
+        return self.text(np.array(ids, np.int64))
+
 
 class Lattice:
     """Word lattices one after the other, as edges by position, longest piece first: id, length, conditional log-probability of
@@ -572,9 +576,11 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
     """``rows`` with the text their ids spell in a further column ``out``; NULL ids give NULL."""
 
-    @F.pandas_udf("string")
+    @F.arrow_udf("string")
     def spell(column):
         v = vocabulary(path)
-        return column.map(lambda x: None if x is None else v.decode(list(x)))
+        flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+        texts = (v.text(flat[a:b]) if there else None for a, b, there in zip(ends, ends[1:], column.is_valid().to_pylist()))
+        return pa.array(texts, pa.string())
 
     return rows.withColumn(out, spell(F.col(ids)))

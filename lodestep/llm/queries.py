@@ -77,7 +77,8 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return pieces.encode(read(spark, sf_dir, "documents"), piece_file(), with_ids=False).drop("ids")
+    found = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), piece_file()), piece_file(), out="decoded")
+    return found.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("ids", "decoded")
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Packing, shards and segmentations."""
 
+import hashlib
 import zlib
 from collections import Counter, defaultdict
 
@@ -253,3 +254,19 @@ def test_a_worker_goes_on_after_rows_left_unread(texts):
 def test_spelling_is_decoding(texts, vocabulary):
     for _, _, ids, _, _, _, normal in pieces.segmentations(list(texts.items())[:100], vocabulary, 2, 1):
         assert vocabulary.spelling(ids) == normal.replace(pieces.SPACE, " ").encode() == b"".join(vocabulary.raw[i] for i in ids)
+
+
+def test_the_query_decodes_what_it_segments(spark, tmp_path):
+    """Every sampled segmentation is decoded by the operator; the digest is that of the normalised text, without the space in front."""
+    from lodestep.llm import queries
+
+    texts = {1: "The cat sat on the mat", 2: "", 3: None, 4: "  caf\u00e9 \U0001f600\n two  blanks ", 5: "\u5b57" * 40}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    v = pieces.Vocabulary(queries.piece_file())
+    found = queries.op8_sentencepiece(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in found} == set(texts) and "ids" not in found[0].asDict()
+    for r in found:
+        want = v.normalized(texts[r["doc_id"]] or "").replace(pieces.SPACE, " ").encode()
+        assert r["round_trip"] and r["decoded_sha256"] == hashlib.sha256(want[1:] if want[:1] == b" " else want).hexdigest()
+    gaps = spark.createDataFrame([(1, None), (2, []), (3, [v.sp.piece_to_id("\u2581the")])], "k int, ids array<int>")
+    assert [r["text"] for r in pieces.decode(gaps, queries.piece_file()).orderBy("k").collect()] == [None, "", "the"]

@@ -172,15 +172,19 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solve(*(np.concatenate(x) for x in zip(*held)))
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """(u, v) between distinct fingerprints (column fp) at most three bits apart, enough of them to connect all that are linked."""
-    distinct = prints.select("fp").distinct()
+def links(prints: DataFrame, unique: bool = False) -> DataFrame:
+    """(u, v) between distinct fingerprints (column fp) at most three bits apart, enough of them to connect all that are linked.
+
+    ``unique``: no fingerprint is repeated.
+    """
+    distinct = prints.select("fp") if unique else prints.select("fp").distinct()
     halves = distinct.select(F.explode(F.array(*[F.struct(F.lit(h).alias("half"), k.alias("key")) for h, k in (
         (0, F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))), (1, F.shiftrightunsigned("fp", 32)))])).alias("x"))
     full = halves.groupBy("x.half", "x.key").count().filter(F.col("count") > SPLIT_ABOVE).select("half", "key")
-    crowded = stored(full.mapInArrow(_visited, "half int, key long").distinct(), "crowded")
     probes = distinct.mapInArrow(_probes, "half int, key long, sub long, fp long, owner boolean")
-    if crowded.limit(1).count():
+    full = stored(full, "full")
+    if full.count():
+        crowded = stored(full.mapInArrow(_visited, "half int, key long").distinct(), "crowded")
         probes = stored(probes, "probes")
         many = probes.join(crowded, ["half", "key"]).select("half", "key", "sub", "fp", "owner").mapInArrow(_split, probes.schema)
         probes = probes.join(crowded, ["half", "key"], "left_anti").select("half", "key", "sub", "fp", "owner").unionByName(many)
@@ -197,7 +201,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     prints = stored(fingerprints(docs, doc_id, text), "fingerprints")
     classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    linked = components(links(classes))  # over fingerprints as numbers
+    linked = components(links(classes, unique=True))  # over fingerprints as numbers
     named = stored(classes.join(linked, classes["fp"] == linked["node"], "left")
                    .select("fp", "least", F.coalesce("component", "fp").alias("component")), "named")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))

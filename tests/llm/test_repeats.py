@@ -25,6 +25,28 @@ def connected(n, links):
     return [root(i) for i in range(n)]
 
 
+def test_few_links_are_stored_by_few_tasks(spark, monkeypatch):
+    """Also where no coalescing by adaptive execution helps: rounds over a handful of links cost a handful of tasks."""
+    files, store = [], components.stored
+
+    def counted(df, label):
+        out = store(df, label)
+        files.append((label, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(components, "stored", counted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = components.components(spark.createDataFrame([(i, i + 1) for i in range(300)], "u long, v long"))
+        assert {r["component"] for r in got.collect()} == {0} and got.count() == 301
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(n for label, n in files if label != "links") <= spark.sparkContext.defaultParallelism
+
+
 def test_components_of_chains_stars_and_nothing(spark):
     rng = np.random.default_rng(1)
     links = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(200, 400)] + [(7, 7), (900, 3), (3, 900), (2, 1)]

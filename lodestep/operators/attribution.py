@@ -23,7 +23,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import spread
-from .ensembles import node_table
+from .ensembles import node_table, parts_of
 
 # Trees go to the executors in parts of at most this many nodes (or one tree).
 PART_NODES = 500_000
@@ -87,7 +87,8 @@ def _levels(trees: list[dict], points: np.ndarray, weights: np.ndarray) -> tuple
         q = one * points + zero * (1 - points)
         part = (one - zero) / q
         values = np.array([float(tree["value"][i]) if tree["left"][i] < 0 else 0.0 for tree, i, _, _ in below])
-        levels.append(Level(np.array(parent), np.array(feature), np.array(bounds), q[:, 1] / q[:, 0], (part[:, 1] - part[:, 0]) * weights,
+        levels.append(Level(np.array(parent), np.array(feature), np.array(bounds), np.ascontiguousarray((q[:, 1] / q[:, 0])),
+                            np.ascontiguousarray((part[:, 1] - part[:, 0]) * weights),
                             np.array([tree["left"][i] >= 0 for tree, i, _, _ in below]), values))
         front = below
 
@@ -148,16 +149,19 @@ def _explained(x: np.ndarray, levels: list[Level]) -> np.ndarray:
     for level in levels:
         cell, (low, high, new_low, new_high) = columns[level.feature], level.bounds.T[:, :, None]
         case = ((cell > low) & (cell <= high)).astype(np.intp) + ((cell > new_low) & (cell <= new_high))
-        above = above[level.parent] * np.take_along_axis(level.factors, case[:, :, None], 1)
+        case += 3 * np.arange(len(case))[:, None]  # the row of the tables below, whose points are moved as one
+        above = above[level.parent]
+        above *= np.take(level.factors.reshape(-1, above.shape[-1]), case, axis=0)
         cases.append(case)
         products.append(above)
     phi = np.zeros((x.shape[1], len(x)))
     sums = None
     for level, case, product in zip(reversed(levels), reversed(cases), reversed(products)):
-        total = product * level.value[:, None, None]
+        product *= level.value[:, None, None]
         if sums is not None:
-            total[level.inner] = sums
-        change = np.einsum("nrk,nrk->nr", total, np.take_along_axis(level.shares, case[:, :, None], 1))
+            product[level.inner] = sums
+        total = product
+        change = np.einsum("nrk,nrk->nr", total, np.take(level.shares.reshape(-1, total.shape[-1]), case, axis=0))
         phi += (np.arange(len(phi))[:, None] == level.feature) @ change
         half = len(total) // 2
         sums = total[:half] + total[half:]
@@ -175,21 +179,13 @@ def attributions(model: PipelineModel, df: DataFrame, features: Sequence[str], k
 def explained(nodes: DataFrame, df: DataFrame, features: Sequence[str], keep: Sequence[str] = ("user_id",)) -> tuple[DataFrame, float]:
     """As :func:`attributions` for any node table of a forest (see ``ensembles``): base and contributions add up to its mean leaf value."""
     spark = df.sparkSession
-    sizes = nodes.groupBy("tree").count().orderBy("tree").collect()  # one row per tree
-    parts: list[list[int]] = []
-    room = 0
-    for row in sizes:
-        if not parts or row["count"] > room:
-            parts.append([])
-            room = PART_NODES
-        parts[-1].append(row["tree"])
-        room -= row["count"]
+    parts, trees = parts_of(nodes, PART_NODES)
     names, kept = list(features), list(keep)
     columns = list(dict.fromkeys([*kept, *names]))
     out = spread(df.select(*columns), df.count(), ROWS, per_core=3).select("*", F.array_repeat(F.lit(0.0), len(names)).alias("phi"))
     base = 0.0
     for part in parts:
-        groups, mean = compiled(nodes.where(F.col("tree").isin(part)).toPandas(), len(sizes))
+        groups, mean = compiled(nodes.where(F.col("tree").isin(part)).toPandas(), trees)
         base += mean
         out = out.mapInPandas(_explain(names, spark.sparkContext.broadcast(groups)), out.schema)
     return out.select(*kept, "phi"), base

@@ -8,15 +8,22 @@ table, or be written by hand as a scorecard.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import materialize, new_path
+from ..session import materialize, new_path, spread
 
 COLUMNS = ["tree", "node", "left", "right", "feature", "threshold", "cover", "value", "gain", "weight"]
 FOREST, BOOSTING = "forest", "boosting"
+# Trees go to the executors in parts of at most this many nodes (or one tree).
+PART_NODES = 500_000
+# Rows of a task that walks trees, and places (rows x trees) looked up at a time.
+ROWS, AT_ONCE = 20_000, 1 << 18
 
 
 def node_table(model: PipelineModel, spark) -> DataFrame:
@@ -68,23 +75,96 @@ def walk(nodes: DataFrame, rows: DataFrame, features: Sequence[str], keep: Seque
     return here.select(*keep, "tree", F.col("_at").alias("leaf"), "path")
 
 
+def parts_of(nodes: DataFrame, most: int) -> tuple[list[list[int]], int]:
+    """The trees in parts of at most ``most`` nodes (or one tree), and their number."""
+    sizes = nodes.groupBy("tree").count().orderBy("tree").collect()  # one row per tree
+    parts: list[list[int]] = []
+    room = 0
+    for row in sizes:
+        if not parts or row["count"] > room:
+            parts.append([])
+            room = most
+        parts[-1].append(row["tree"])
+        room -= row["count"]
+    return parts, len(sizes)
+
+
+def _steps(table: pd.DataFrame, features: int) -> dict:
+    """A node table as arrays by place: where a row goes to either side, on which value, and what it finds at a leaf.
+
+    A child that the table does not have is a place without a leaf, and a feature that the row does not have is missing.
+    """
+    places = {key: i for i, key in enumerate(zip(table["tree"].tolist(), table["node"].tolist()))}
+    nowhere = len(places)
+    here = np.array([*places.values(), nowhere])
+    sides = {}
+    inner = np.append(table["left"].to_numpy(float) >= 0, False)
+    for side in ("left", "right"):
+        there = [places.get((t, c), nowhere) for t, c in zip(table["tree"].tolist(), table[side].tolist())]
+        sides[side] = np.where(inner, np.append(there, nowhere), here).astype(np.int32)
+    feature = np.append(table["feature"].to_numpy(float), -1)
+    feature = np.where((feature >= 0) & (feature < features), feature, features).astype(np.int32)
+    roots = np.array([i for (_, node), i in places.items() if node == 0], np.int32)
+    levels, front = 0, roots[inner[roots]]
+    while len(front):
+        levels += 1
+        front = np.unique(np.concatenate([sides["left"][front], sides["right"][front]]))
+        front = front[inner[front]]
+    leaf = np.append(table["left"].to_numpy(float) < 0, False)
+    number = lambda c: np.append(table[c].to_numpy(float), np.nan)
+    return {**sides, "feature": feature, "threshold": number("threshold"), "leaf": leaf, "value": number("value"), "weight": number("weight"),
+            "roots": roots, "levels": levels}
+
+
+def _summed(features: int, kind: str, sent):
+    """Adds to ``found`` of each row the sum of the leaf values of these trees, how many there are, and how many leaves it reached."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = sent.value
+        worth = np.where(trees["leaf"], trees["value"] if kind == FOREST else trees["value"] * trees["weight"], np.nan)
+        for batch in batches:
+            x = batch.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, features)
+            x = np.concatenate([x, np.full((len(x), 1), np.nan)], axis=1)
+            found = batch.column("found").flatten().to_numpy(zero_copy_only=False).reshape(len(x), 3).copy()
+            step = max(1, AT_ONCE // max(1, len(trees["roots"])))
+            for low in range(0, len(x), step):
+                some = x[low:low + step]
+                row = np.arange(len(some))[:, None]
+                at = np.tile(trees["roots"], (len(some), 1))
+                for _ in range(trees["levels"]):
+                    at = np.where(some[row, trees["feature"][at]] <= trees["threshold"][at], trees["left"][at], trees["right"][at])
+                value = worth[at]
+                known = ~np.isnan(value)
+                found[low:low + step] += np.stack([np.where(known, value, 0.0).sum(1), known.sum(1), trees["leaf"][at].sum(1)], axis=1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, 3 * len(x) + 1, 3, dtype=np.int32)), pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(n) if n != "found" else lists for n in batch.schema.names], batch.schema.names)
+
+    return add
+
+
 def score(nodes: DataFrame, rows: DataFrame, features: Sequence[str], keep: Sequence[str] = (), kind: str = FOREST) -> DataFrame:
     """Kept columns and the score of each row, repeated rows included.
 
-    A forest's score is the mean value of the leaves; a boosted ensemble's the logistic of twice their weighted sum.
+    A forest's score is the mean value of the leaves; a boosted ensemble's the logistic of twice their weighted sum. The trees go to the rows in
+    parts of bounded size, and a row walks all trees of a part at once where it is: no copy of a row is made for a tree, and none moves.
     """
     if kind not in (FOREST, BOOSTING):
         raise ValueError("kind is 'forest' or 'boosting'")
+    spark = rows.sparkSession
     nodes = materialize(nodes)
-    marked = materialize(rows.select(*dict.fromkeys([*keep, *features]))).withColumn("_row", F.monotonically_increasing_id())
-    leaves = nodes.where("left < 0").select("tree", F.col("node").alias("leaf"), "value", "weight")
-    ends = walk(nodes, marked, features, ["_row", *keep]).join(leaves, ["tree", "leaf"])
-    if kind == FOREST:
-        found = F.avg("value")
-    else:
-        found = 1 / (1 + F.exp(-2 * F.sum(F.col("value") * F.col("weight"))))
-    # The copies of a row, one per tree, lie in one task until here, so they are added up before they move.
-    return ends.groupBy("_row", *keep).agg(found.alias("score")).drop("_row")
+    rows = materialize(rows.select(*dict.fromkeys([*keep, *features])))
+    # A missing value goes right as NaN does.
+    values = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(float("nan"))) for f in features])
+    none = F.array(*[F.lit(0.0)] * 3)
+    out = spread(rows.select(F.struct(*[F.col(c) for c in keep], F.lit(0).alias("_")).alias("_kept"), values.alias("_x"), none.alias("found")),
+                 rows.count(), ROWS, per_core=3)
+    for part in parts_of(nodes, PART_NODES)[0]:
+        trees = _steps(nodes.where(F.col("tree").isin(part)).toPandas(), len(features))
+        add = _summed(len(features), kind, spark.sparkContext.broadcast(trees))
+        out = out.mapInArrow(add, out.schema)
+    total, known, reached = (F.col("found")[i] for i in range(3))
+    found = total / known if kind == FOREST else 1 / (1 + F.exp(-2 * total))
+    return out.where(reached > 0).select(*[F.col("_kept")[c].alias(c) for c in keep], F.when(known > 0, found).alias("score"))
 
 
 def measured(nodes: DataFrame, rows: DataFrame, features: Sequence[str], label: str, weight: str | None = None) -> DataFrame:

@@ -37,6 +37,23 @@ def boosted(training):
     return md.train(md.ModelSpec("boosting", {"maxIter": 6, "maxDepth": 3, "stepSize": 0.3}, balanced=False), training, NAMES, "churned")
 
 
+@pytest.mark.parametrize("kind", [en.FOREST, en.BOOSTING])
+def test_scores_make_no_copy_of_a_row_for_a_tree(training, forest, boosted, kind, monkeypatch):
+    """Rows walk the trees where they lie: no explode, join or grouping by row. The scores are those of the walk by joins."""
+    nodes = en.node_table(forest if kind == en.FOREST else boosted, training.sparkSession)
+    scored = en.score(nodes, training, NAMES, ["user_id"], kind)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Generate", "Join", "Aggregate"))
+    leaves = nodes.where("left < 0").select("tree", F.col("node").alias("leaf"), "value", "weight")
+    ends = en.walk(nodes, training, NAMES, ["user_id"]).join(leaves, ["tree", "leaf"]).groupBy("user_id")
+    value = F.avg("value") if kind == en.FOREST else 1 / (1 + F.exp(-2 * F.sum(F.col("value") * F.col("weight"))))
+    want = {r["user_id"]: r["w"] for r in ends.agg(value.alias("w")).collect()}
+    monkeypatch.setattr(en, "PART_NODES", 60)
+    for found in (scored, en.score(nodes, training, NAMES, ["user_id"], kind)):
+        got = {r["user_id"]: r["score"] for r in found.collect()}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+
+
 @pytest.mark.parametrize("kind", [en.FOREST, en.BOOSTING])
 def test_walk_gives_the_fitted_probabilities(spark, training, forest, boosted, kind):
     model = forest if kind == en.FOREST else boosted

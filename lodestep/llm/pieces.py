@@ -135,6 +135,9 @@ class Vocabulary:
         self.raw = [b"" if sp.is_control(i) or sp.is_unknown(i) else sp.id_to_piece(i).replace(SPACE, " ").encode() for i in range(size)]
         for value, i in self.byte.items():
             self.raw[i] = bytes([value])
+        self.raw_size = np.fromiter(map(len, self.raw), np.int64, size)
+        self.raw_first = np.cumsum(self.raw_size) - self.raw_size
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
         self.words = Words()
         self.plain_text = sp.normalize(_PROBE) == SPACE + _PROBE.replace(" ", SPACE)
 
@@ -166,7 +169,11 @@ class Vocabulary:
 
     def spelling(self, ids: np.ndarray) -> bytes:
         """The bytes that ids spell, with spaces."""
-        return b"".join(map(self.raw.__getitem__, ids.tolist()))
+        size = self.raw_size[ids]
+        ends = np.cumsum(size)
+        if not len(ends):
+            return b""
+        return self.raw_bytes[np.repeat(self.raw_first[ids] - ends + size, size) + np.arange(ends[-1])].tobytes()
 
     def text(self, ids: np.ndarray) -> str:
         """The normalised text that ids spell, with spaces, without the one in front."""
@@ -443,10 +450,11 @@ def sample(units: list[list[int]], keys: list[np.uint64], lattice: Lattice, samp
 def spelled(path: Path, lattice: Lattice, vocabulary: Vocabulary) -> np.ndarray:
     """The ids of a path."""
     ids = lattice.id[path.edges]
-    if not lattice.lost or ids.min(initial=0) >= 0:
+    lost = np.flatnonzero(ids < 0) if lattice.lost else ()
+    if not len(lost):
         return ids
     parts, begin = [], 0
-    for i in np.flatnonzero(ids < 0):
+    for i in lost:
         raw = chr(lattice.codes[lattice.at[path.edges[i]]]).encode("utf-8", "surrogatepass")
         parts += [ids[begin:i], np.array([vocabulary.byte.get(b, vocabulary.unknown) for b in raw], np.int32)]
         begin = i + 1

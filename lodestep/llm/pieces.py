@@ -31,9 +31,9 @@ SAMPLES, SEED = 2, 1
 #: Below 1 flattens the distribution over segmentations, above 1 sharpens it.
 SHARPNESS = 1.0
 #: Characters whose words share a lattice table at a time.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Characters of the words whose lattices a worker keeps from chunk to chunk.
-KEPT = 1_000_000
+KEPT = 500_000
 #: Positions of a lattice whose pieces are looked up at a time.
 BLOCK = 1 << 16
 #: Steps of a path whose sets get a value of their own at once.
@@ -175,10 +175,15 @@ class Vocabulary:
             return b""
         return self.raw_bytes[np.repeat(self.raw_first[ids] - ends + size, size) + np.arange(ends[-1])].tobytes()
 
+    @staticmethod
+    def shown(raw: bytes) -> str:
+        """Spelled bytes as a text, without the space in front."""
+        out = raw.decode(errors="replace")
+        return out[1:] if out.startswith(" ") else out
+
     def text(self, ids: np.ndarray) -> str:
         """The normalised text that ids spell, with spaces, without the one in front."""
-        out = self.spelling(ids).decode(errors="replace")
-        return out[1:] if out.startswith(" ") else out
+        return self.shown(self.spelling(ids))
 
     def decode(self, ids: list[int]) -> str:
         """As :meth:`text`, for a list."""
@@ -547,13 +552,16 @@ def segmentations(rows: list[tuple], v: Vocabulary, samples: int, seed: int) ->
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", samples: int = SAMPLES, seed: int = SEED,
-           sharpness: float = SHARPNESS, with_ids: bool = True) -> DataFrame:
+           sharpness: float = SHARPNESS, with_ids: bool = True, decoded: str | None = None) -> DataFrame:
     """doc_id, sample (1 has the largest perturbed value), n_ids, ids, ids_crc32 (little-endian unsigned 32-bit), log_prob, perturbed, inclusion, round_trip.
 
     ``samples`` distinct segmentations of each whole text, or all where there are fewer; a NULL or empty text has the one
     without pieces. inclusion: probability that a segmentation is among the sampled, given the threshold. round_trip: whether
-    the ids decode to the normalised text. Repeated rows give equal rows; an empty table gives none. Other columns are not looked at.
+    the ids decode to the normalised text. ``decoded`` names a further column for the text the ids spell, as :func:`decode` gives it, without a second
+    pass of the ids through a worker. Repeated rows give equal rows; an empty table gives none. Other columns are not looked at.
     """
+    schema = ("doc_id long, sample int, n_ids long, ids array<int>, ids_crc32 long, log_prob double, perturbed double, inclusion double, "
+              "round_trip boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path, sharpness)
@@ -562,15 +570,19 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
             for key, rank, ids, total, value, chance, normal in segmentations(rows, v, samples, seed):
                 if rank == 1:
                     plain = normal.replace(SPACE, " ").encode()
-                same = v.spelling(ids) == plain
-                found.append((key, rank, len(ids), ids if with_ids else None, zlib.crc32(ids.astype("<u4").tobytes()), total, value, chance, same))
-            columns = list(zip(*found)) or [[]] * 9
+                raw = v.spelling(ids)
+                found.append((key, rank, len(ids), ids if with_ids else None, zlib.crc32(ids.astype("<u4").tobytes()), total, value, chance, raw == plain,
+                              *([v.shown(raw)] if decoded else [])))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             ["doc_id", "sample", "n_ids", "ids", "ids_crc32", "log_prob", "perturbed", "inclusion", "round_trip"])
+            names = ["doc_id", "sample", "n_ids", "ids", "ids_crc32", "log_prob", "perturbed", "inclusion", "round_trip"]
+            if decoded:
+                kinds, names = [*kinds, pa.string()], [*names, decoded]
+            columns = list(zip(*found)) or [[]] * len(kinds)
+            del found
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, sample int, n_ids long, ids array<int>, ids_crc32 long, log_prob double, perturbed double, inclusion double, round_trip boolean")
+        run, schema + (f", `{decoded}` string" if decoded else ""))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:

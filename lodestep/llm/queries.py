@@ -77,7 +77,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    found = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), piece_file()), piece_file(), out="decoded")
+    found = pieces.encode(read(spark, sf_dir, "documents"), piece_file(), with_ids=False, decoded="decoded")
     return found.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("ids", "decoded")
 
 

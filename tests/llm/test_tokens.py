@@ -256,6 +256,19 @@ def test_spelling_is_decoding(texts, vocabulary):
         assert vocabulary.spelling(ids) == normal.replace(pieces.SPACE, " ").encode() == b"".join(vocabulary.raw[i] for i in ids)
 
 
+def test_ids_and_texts_come_from_one_worker(spark, docs, edges, tmp_path):
+    """The query decodes where it segments: no second Python worker stands beside the first. Both ways give the same texts."""
+    from lodestep.llm import queries
+
+    table = docs.select("doc_id", "text").limit(40).unionByName(edges.select("doc_id", "text"))
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    plan = queries.op8_sentencepiece(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+    here = {(r["doc_id"], r["sample"], r["ids_crc32"], r["here"]) for r in pieces.encode(table, MODEL, with_ids=False, decoded="here").collect()}
+    apart = pieces.decode(pieces.encode(table, MODEL), MODEL, out="there").collect()
+    assert here == {(r["doc_id"], r["sample"], r["ids_crc32"], r["there"]) for r in apart} and len(here) > 40
+
+
 def test_the_query_decodes_what_it_segments(spark, tmp_path):
     """Every sampled segmentation is decoded by the operator; the digest is that of the normalised text, without the space in front."""
     from lodestep.llm import queries

@@ -88,7 +88,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return paragraphs.repeated(read(spark, sf_dir, "documents"))
+    return paragraphs.near_duplicates(read(spark, sf_dir, "documents"))
 
 
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

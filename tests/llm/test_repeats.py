@@ -333,3 +333,90 @@ def test_passages_in_mid_line_wrapped_and_short_lines(spark):
         assert texts[r["doc_id"]][r["start"]:r["end"]].lower().split()[5:-5] == [w.encode() for w in passage][
             passage.index(texts[r["doc_id"]][r["start"]:r["end"]].lower().split()[0].decode()):][5:r["words"] - 5]
     assert [r["removed"] for r in sorted(found, key=lambda r: r["doc_id"])] == [False, True, True]
+
+
+def plain_units(text, least):
+    """(start, end, words) of lines, blocks between blank lines and the whole text, in bytes."""
+    words = plain_words(text)
+    raw = (text or "").encode()
+    breaks = [raw[a:b].count(b"\n") for (_, _, a), (_, b, _) in zip(words, words[1:])]
+    out = set()
+    for lines in (1, 2, len(raw) + 1):
+        begin = 0
+        for i in range(1, len(words) + 1):
+            if i == len(words) or breaks[i - 1] >= lines:
+                if i - begin >= least:
+                    out.add((words[begin][1], words[i - 1][2], tuple(w for w, _, _ in words[begin:i])))
+                begin = i
+    return out
+
+
+def checked_near(df, least=paragraphs.MIN_WORDS):
+    """All similar pairs of lines, blocks and texts that do not overlap are in one component; what is added to the repeated chunks is in such a pair."""
+    rows = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+    units = [(i, a, b, words) for i, (_, text) in enumerate(rows) for a, b, words in plain_units(text, least)]
+    sets = [frozenset(tuple(u[3][i:i + 5]) for i in range(max(1, len(u[3]) - 4))) for u in units]
+    holders = defaultdict(set)
+    for i, s in enumerate(sets):
+        for x in s:
+            holders[x].add(i)
+    pairs = {(min(i, j), max(i, j)) for held in holders.values() for i in held for j in held if i != j}
+    apart = [(i, j) for i, j in pairs if units[i][0] != units[j][0] or units[i][1] >= units[j][2] or units[j][1] >= units[i][2]]
+    alike = [(i, j) for i, j in apart if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9]
+    found = [r.asDict() for r in paragraphs.near_duplicates(df).collect()]
+    where = defaultdict(list)
+    for r in found:
+        where[r["doc_id"]].append(r)
+    over = [{r["component_id"] for r in where[rows[i][0]] if r["start"] < b and a < r["end"]} for i, a, b, _ in units]
+    assert all(over[i] & over[j] for i, j in alike)
+    key = lambda r: (r["doc_id"], r["paragraph"], r["start"], r["end"], r["words"])
+    before = Counter(map(key, (r.asDict() for r in paragraphs.repeated(df).collect())))
+    assert not before - Counter(map(key, found))
+    similar = {(rows[units[i][0]][0], *units[i][1:3]) for pair in alike for i in pair}
+    assert all(key(r) in before or (r["doc_id"], r["start"], r["end"]) in similar for r in found)
+    groups = defaultdict(list)
+    for r in found:
+        groups[r["component_id"]].append(r)
+    for g in groups.values():
+        assert all(r["members"] == len(g) for r in g) and (len(g) == 1 or sum(not r["removed"] for r in g) == 1)
+    return alike, found
+
+
+def test_near_copies_without_common_chunks(spark, docs, edges, nothing):
+    """Lines, blocks and texts with a few changed words are found though too few of their chunks recur."""
+    rng = np.random.default_rng(17)
+    prose = lambda name, n: [f"{name}{i}" for i in rng.integers(0, 900, n)]
+    rows, lost = [], 0
+    for k in range(60):
+        a = prose(f"k{k}x", 60)
+        b = list(a)
+        b[30] = "changed"
+        kind = k % 3
+        if kind == 0:  # whole texts
+            rows += [(2 * k, " ".join(a)), (2 * k + 1, "\n".join([" ".join(b[:33]), " ".join(b[33:])]))]
+        elif kind == 1:  # lines
+            rows += [(2 * k, " ".join(prose("o", 70)) + "\n" + " ".join(a)), (2 * k + 1, " ".join(b).upper() + "\n" + " ".join(prose("p", 30)))]
+        else:  # two lines of one text
+            rows.append((2 * k, "\n".join([" ".join(a), " ".join(prose("q", 25)), " ".join(b)])))
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    alike, found = checked_near(table)
+    assert {r["doc_id"] for r in found if r["members"] > 1} == {i for i, _ in rows} and len(alike) >= 60
+    assert len({r["doc_id"] for r in paragraphs.repeated(table).filter("members > 1").collect()}) < len(rows) / 2
+    alike, found = checked_near(docs)
+    assert alike
+    checked_near(edges.filter("doc_id NOT IN (4, 11) AND doc_id IS NOT NULL"))
+    near = paragraphs.near_duplicates(edges).collect()
+    assert {r["doc_id"] for r in near} >= {None, 4, 5, 9} and len([r for r in near if r["doc_id"] == 4]) == 2
+    assert paragraphs.near_duplicates(nothing).count() == 0
+
+
+def test_overlapping_paragraphs_of_a_component():
+    def stays(*spots):
+        whole, start, end = map(np.array, zip(*spots))
+        return sorted(paragraphs.outermost(whole, start, end).tolist())
+
+    assert stays((True, 0, 90), (True, 10, 90)) == [0]  # a line that nearly fills its text
+    assert stays((True, 0, 100), (True, 0, 50), (True, 50, 100)) == [1, 2]  # a repetition inside a text
+    assert stays((True, 0, 90), (False, 5, 80), (True, 100, 120)) == [1, 2]  # a stretch stays
+    assert stays((True, 0, 99), (True, 0, 40), (True, 2, 40), (True, 50, 99)) == [1, 3]
+    assert stays((False, 0, 10), (False, 20, 30)) == [0, 1]

@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 from math import expm1, log
 
 import numpy as np
@@ -71,6 +71,11 @@ def _truncated(location: np.ndarray, bound, u: np.ndarray) -> np.ndarray:
     return out if np.isfinite(location).all() else np.where(np.isneginf(location), -np.inf, out)
 
 
+def utf8_sizes(codes: np.ndarray) -> np.ndarray:
+    """Bytes of each code point in UTF-8."""
+    return 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
+
+
 class Table:
     """Ids of strings by their hashes, looked up without a search: what collides in one level stands in the next."""
 
@@ -114,6 +119,8 @@ class Vocabulary:
         self.by_word = not any(SPACE in n.lstrip(SPACE) for n in names)
         self.byte = {int(sp.id_to_piece(i)[1:-1], 16): i for i in range(size) if sp.is_byte(i)}
         self.unknown = max(0, sp.unk_id())
+        self.of_byte = np.full(256, self.unknown, np.int32)
+        self.of_byte[list(self.byte)] = list(self.byte.values())
         scores = np.array([sp.get_score(i) for i in plain], np.float64)
         if (np.sort(-scores)[: len(scores) // 2] == np.round(np.sort(-scores)[: len(scores) // 2])).all():  # ranks
             order = np.empty(len(scores))
@@ -228,29 +235,32 @@ class Lattice:
         self.lost = bool(lost.any())
         if self.lost:
             self.id[lost] = -1
-        code = self.codes[self.at]
-        score = np.where(self.id < 0, v.rarest * (1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)), v.score[self.id])
+        score = v.score[self.id]
+        if self.lost:
+            score[lost] = v.rarest * utf8_sizes(self.codes[self.at[lost]])
         self.first = np.zeros(total + 1, np.int64)
         np.cumsum(np.bincount(self.at, minlength=total), out=self.first[1:])
         beta = np.zeros(total + 1)
         chance = np.empty(len(score))
         near = left[self.at]
-        order = np.argsort(np.minimum(near, 32767).astype(np.int16) if near.max(initial=0) < 32767 else near, kind="stable")
+        order = np.argsort(near.astype(np.int16) if near.max(initial=0) < 32767 else near, kind="stable")
         cuts = np.searchsorted(near[order], np.arange(1, int(near.max(initial=0)) + 2))
+        at, plain = self.at[order], score[order]
+        to = at + self.length[order]
         for d in range(1, len(cuts)):  # positions by their distance from the end of the unit
-            edges = order[cuts[d - 1]:cuts[d]]
-            if len(edges):
-                at = self.at[edges]
-                begins = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-                each = np.diff(np.r_[begins, len(at)])
-                value = score[edges] + beta[at + self.length[edges]]
+            low, high = cuts[d - 1], cuts[d]
+            if low < high:
+                here = at[low:high]
+                begins = np.flatnonzero(np.r_[True, here[1:] != here[:-1]])
+                each = np.diff(np.r_[begins, len(here)])
+                value = plain[low:high] + beta[to[low:high]]
                 top = np.maximum.reduceat(value, begins)
                 part = np.exp(value - np.repeat(top, each))
                 whole = np.add.reduceat(part, begins)
                 mass = top + np.log(whole)
-                beta[at[begins]] = mass
-                score[edges] = value - np.repeat(mass, each)
-                chance[edges] = part / np.repeat(whole, each)
+                beta[here[begins]] = mass
+                score[order[low:high]] = value - np.repeat(mass, each)
+                chance[order[low:high]] = part / np.repeat(whole, each)
         self.step, self.chance = score, chance
         some = np.flatnonzero(self.first[1:] > self.first[:-1])
         begins, each = self.first[some], np.diff(self.first)[some]
@@ -261,9 +271,8 @@ class Lattice:
             # the rest beside a step more likely than all others is summed without it, so it keeps its digits
             likely = chance > 0.5
             left = 1 - chance
-            sure = np.flatnonzero(likely)
             rest = np.add.reduceat(np.where(likely, 0, chance), begins)
-            left[sure] = rest[np.searchsorted(some, self.at[sure])]
+            left[likely] = np.repeat(rest, each)[likely]
             with np.errstate(divide="ignore"):
                 self.others = np.log(left)
         else:
@@ -336,12 +345,12 @@ class Path:
         return max(self.tail, float(self.sets.max(initial=-np.inf)))
 
 
-def sample(units: list[list[int]], keys: list[np.uint64], lattice: Lattice, samples: int) -> list[tuple[list[Path], float]]:
-    """For each text (its units as numbers of the lattice) the paths with the largest values in order, and the value of the best set left."""
+def sample(units: list, keys: list[np.uint64], lattice: Lattice, samples: int) -> list[tuple[list[Path], float]]:
+    """For each text (its units as numbers of the lattice, a list or array) the paths with the largest values in order, and the value of the best set left."""
     if not units:
         return []
     each = np.fromiter(map(len, units), np.int64, len(units))
-    unit = np.fromiter(chain.from_iterable(units), np.int64, int(each.sum()))
+    unit = np.concatenate([np.asarray(u, np.int64) for u in units])
     text = np.repeat(np.arange(len(units)), each)
     first = np.cumsum(each) - each
     word = np.arange(len(unit)) - first[text]
@@ -349,9 +358,12 @@ def sample(units: list[list[int]], keys: list[np.uint64], lattice: Lattice, samp
     with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
         salt = [_mixed(key + np.uint64(s + 1) * _M1) for s in range(samples)]
 
-        def fresh(s: int):
-            count, edges = lattice.drawn(unit, _mixed(salt[s][text] + word.astype(np.uint64) * _M2))
-            return np.repeat(word, count), edges, np.concatenate([[0], np.cumsum(count)])
+        def fresh(s: int, some=slice(None)):
+            """A path through these words: the words and edges of its steps, and where the steps of each word begin."""
+            count, edges = lattice.drawn(unit[some], _mixed(salt[s][text[some]] + word[some].astype(np.uint64) * _M2))
+            each = np.zeros(len(unit), np.int64)
+            each[some] = count
+            return np.repeat(word[some], count), edges, np.concatenate([[0], np.cumsum(each)])
 
         def noise_of(s: int, t: int, turn: int, size: int, kind: int = 0):
             return _uniform(_mixed(salt[s][t] ^ _M3) + np.arange(turn, turn + size).astype(np.uint64) * _M1 + np.uint64(kind) * _M2)
@@ -368,7 +380,7 @@ def sample(units: list[list[int]], keys: list[np.uint64], lattice: Lattice, samp
 
         def heads(low: int):
             """For TEXTS texts from ``low`` on: whole value of the first path, its sets up to step HEAD, and the set of the rest."""
-            words, edges, steps = drawn[0]
+            words, edges, steps = drawn
             some = slice(low, low + TEXTS)
             begin, end = steps[first[some]], steps[first[some] + each[some]]
             n = end - begin
@@ -389,67 +401,71 @@ def sample(units: list[list[int]], keys: list[np.uint64], lattice: Lattice, samp
             sets = _truncated(np.where(there, total - step + others, -np.inf), top[some, None], noise[:, :HEAD])
             return whole, sets, _truncated(mass, top[some], noise[np.arange(len(n)), np.minimum(n, HEAD)])
 
-        out = []
-        drawn = [fresh(s) for s in range(samples)]
+        drawn = fresh(0)
         top = -np.log(-np.log(_uniform(key ^ _M2)))
+        found: list[list[Path]] = []
         for t in range(len(units)):
             if t % TEXTS == 0:
                 whole_of, sets_of, tail_of = heads(t)
-            paths: list[Path] = []
-            for s in range(samples):
-                words, edges, steps = drawn[s]
-                begin, end = steps[first[t]], steps[first[t] + each[t]]
-                if s == 0:
-                    start, i = min(int(end - begin), HEAD), t % TEXTS
-                    paths.append(Path(edges[begin:end], words[begin:end], float(top[t]), sets_of[i, :start].copy(), float(whole_of[i]), {}, start,
-                                      float(tail_of[i]), 0))
-                else:
-                    lead = [p.best() for p in paths]
-                    which = int(np.argmax(lead))
-                    if np.isneginf(lead[which]):
-                        break
-                    parent = paths[which]
-                    if parent.tail == lead[which]:
-                        opened(parent, t)
-                    cut, value = int(parent.sets.argmax()), float(lead[which])
-                    parent.sets[cut] = -np.inf
-                    gone = parent.excluded.get(cut, frozenset()) | {int(parent.edges[cut])}
-                    w, node = int(parent.word[cut]), int(lattice.at[parent.edges[cut]])
-                    noise = _mixed(salt[s][t:t + 1] + np.uint64(w) * _M3)
-                    new = []
-                    while node < lattice.end[units[t][w]]:
-                        low, high = lattice.first[node], lattice.first[node + 1]
-                        chance = lattice.chance[low:high].copy()
-                        if not new:
-                            chance[[e - low for e in gone]] = 0
-                        reach = np.cumsum(chance)
-                        u = float(_uniform(noise + np.uint64(len(new)) * _M2)[0])
-                        new.append(int(low) + min(int(np.searchsorted(reach, u * reach[-1], side="right")), int(np.flatnonzero(chance)[-1])))
-                        node += int(lattice.length[new[-1]])
-                    later = steps[first[t] + w + 1] if w + 1 < each[t] else end
-                    edges = np.concatenate([parent.edges[:cut], new, edges[later:end]])
-                    words = np.concatenate([parent.word[:cut], np.full(len(new), w), words[later:end]])
-                    step = lattice.step[edges]
-                    whole, start = float(step.sum()), min(len(edges), cut + HEAD)
-                    total = np.cumsum(step[:start])
-                    location = total[cut:] - step[cut:start] + lattice.others[edges[cut:start]]
-                    # what leaves here besides the steps already taken from this set
-                    low, high = lattice.first[lattice.at[edges[cut]]], lattice.first[lattice.at[edges[cut]] + 1]
+            words, edges, steps = drawn
+            begin, end = steps[first[t]], steps[first[t] + each[t]]
+            start, i = min(int(end - begin), HEAD), t % TEXTS
+            found.append([Path(edges[begin:end], words[begin:end], float(top[t]), sets_of[i, :start].copy(), float(whole_of[i]), {}, start,
+                               float(tail_of[i]), 0)])
+        for s in range(1, samples):
+            chosen, some = [], np.zeros(len(unit), bool)
+            for t, paths in enumerate(found):
+                lead = [p.best() for p in paths]
+                which = int(np.argmax(lead))
+                if np.isneginf(lead[which]):
+                    continue
+                parent = paths[which]
+                if parent.tail == lead[which]:
+                    opened(parent, t)
+                cut = int(parent.sets.argmax())
+                parent.sets[cut] = -np.inf
+                w = int(parent.word[cut])
+                some[first[t] + w + 1:first[t] + each[t]] = True  # the words after the cut, which are drawn anew
+                chosen.append((t, parent, cut, w, float(lead[which])))
+            drawn_words, drawn_edges, steps = fresh(s, some)
+            for t, parent, cut, w, value in chosen:
+                gone = parent.excluded.get(cut, frozenset()) | {int(parent.edges[cut])}
+                node = int(lattice.at[parent.edges[cut]])
+                noise = _mixed(salt[s][t:t + 1] + np.uint64(w) * _M3)
+                new, ends = [], int(lattice.end[units[t][w]])
+                while node < ends:
+                    low, high = lattice.first[node], lattice.first[node + 1]
                     chance = lattice.chance[low:high].copy()
-                    chance[[e - low for e in gone | {int(edges[cut])}]] = 0
-                    left = chance.sum()
-                    location[0] = total[cut] - step[cut] + np.log(left) if left > 0 else -np.inf
-                    # all paths that share the first ``start`` steps, but this one
-                    rest = whole - float(total[-1]) if start else 0.0
-                    more = start < len(edges) and (rest < -1e-9 or np.isfinite(lattice.others[edges[start:]]).any())
-                    mass = float(total[-1]) + log(-expm1(min(rest, -1e-300))) if more else -np.inf
-                    drawn_sets = _truncated(np.append(location, mass), value, noise_of(s, t, cut, len(location) + 1))
-                    sets = np.full(start, -np.inf)
-                    sets[cut:] = drawn_sets[:-1]
-                    tail = float(drawn_sets[-1])
-                    paths.append(Path(edges, words, float(value), sets, whole, {cut: gone}, start, tail, s))
-            out.append((paths, max((p.best() for p in paths), default=-np.inf)))
-    return out
+                    if not new:
+                        chance[[e - low for e in gone]] = 0
+                    reach = np.cumsum(chance)
+                    if len(new) % HEAD == 0:
+                        us = _uniform(noise + np.arange(len(new), len(new) + HEAD).astype(np.uint64) * _M2).tolist()
+                    u = us[len(new) % HEAD]
+                    new.append(int(low) + min(int(np.searchsorted(reach, u * reach[-1], side="right")), int(np.flatnonzero(chance)[-1])))
+                    node += int(lattice.length[new[-1]])
+                later = slice(steps[first[t] + w + 1], steps[first[t] + each[t]])
+                edges = np.concatenate([parent.edges[:cut], new, drawn_edges[later]])
+                words = np.concatenate([parent.word[:cut], np.full(len(new), w), drawn_words[later]])
+                step = lattice.step[edges]
+                whole, start = float(step.sum()), min(len(edges), cut + HEAD)
+                total = np.cumsum(step[:start])
+                location = total[cut:] - step[cut:start] + lattice.others[edges[cut:start]]
+                # what leaves here besides the steps already taken from this set
+                low, high = lattice.first[lattice.at[edges[cut]]], lattice.first[lattice.at[edges[cut]] + 1]
+                chance = lattice.chance[low:high].copy()
+                chance[[e - low for e in gone | {int(edges[cut])}]] = 0
+                left = chance.sum()
+                location[0] = total[cut] - step[cut] + np.log(left) if left > 0 else -np.inf
+                # all paths that share the first ``start`` steps, but this one
+                rest = whole - float(total[-1]) if start else 0.0
+                more = start < len(edges) and (rest < -1e-9 or np.isfinite(lattice.others[edges[start:]]).any())
+                mass = float(total[-1]) + log(-expm1(min(rest, -1e-300))) if more else -np.inf
+                drawn_sets = _truncated(np.append(location, mass), value, noise_of(s, t, cut, len(location) + 1))
+                sets = np.full(start, -np.inf)
+                sets[cut:] = drawn_sets[:-1]
+                found[t].append(Path(edges, words, value, sets, whole, {cut: gone}, start, float(drawn_sets[-1]), s))
+    return [(paths, max((p.best() for p in paths), default=-np.inf)) for paths in found]
 
 
 def spelled(path: Path, lattice: Lattice, vocabulary: Vocabulary) -> np.ndarray:
@@ -458,12 +474,13 @@ def spelled(path: Path, lattice: Lattice, vocabulary: Vocabulary) -> np.ndarray:
     lost = np.flatnonzero(ids < 0) if lattice.lost else ()
     if not len(lost):
         return ids
-    parts, begin = [], 0
-    for i in lost:
-        raw = chr(lattice.codes[lattice.at[path.edges[i]]]).encode("utf-8", "surrogatepass")
-        parts += [ids[begin:i], np.array([vocabulary.byte.get(b, vocabulary.unknown) for b in raw], np.int32)]
-        begin = i + 1
-    return np.concatenate([*parts, ids[begin:]])
+    codes = lattice.codes[lattice.at[path.edges[lost]]]
+    times = np.ones(len(ids), np.int64)
+    times[lost] = utf8_sizes(codes)
+    out = np.repeat(ids, times)
+    raw = codes.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+    out[out < 0] = vocabulary.of_byte[np.frombuffer(raw, np.uint8)]
+    return out
 
 
 def _chunks(rows: list[tuple], size: int) -> Iterator[list[tuple]]:
@@ -505,16 +522,17 @@ class Words:
             self.lattice = built if self.lattice is None else self.lattice.joined(built)
         return self.lattice
 
-    def keep(self, units: list[list[int]]) -> None:
-        """Keep the most frequent words up to KEPT characters; ``units``: the words of the last chunk. Older counts weigh half."""
-        count = np.bincount(np.fromiter(chain.from_iterable(units), np.int64), minlength=len(self.number))
-        count[:len(self.count)] += self.count // 2
+    def keep(self, units: list[np.ndarray]) -> None:
+        """Keep the most frequent words up to KEPT characters; ``units``: the words of the last chunk. Counts, in sixteenths, lose an eighth
+        with each chunk, so a word seen once stays for some chunks where there is room."""
+        count = 16 * np.bincount(np.concatenate(units), minlength=len(self.number))
+        count[:len(self.count)] += self.count * 7 // 8
         order = np.argsort(-count, kind="stable")
         size = (self.lattice.end - self.lattice.begin + 1)[order]
-        order = np.sort(order[(np.cumsum(size) <= KEPT) & (count[order] > 1)])
+        order = np.sort(order[(np.cumsum(size) <= KEPT) & (count[order] > 0)])
         names = list(self.number)
         self.lattice, self.count = self.lattice.taken(order), count[order]
-        self.number = _Numbers((names[i], n) for n, i in enumerate(order.tolist()))
+        self.number = _Numbers(zip(map(names.__getitem__, order.tolist()), range(len(order))))
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -540,7 +558,7 @@ def segmentations(rows: list[tuple], v: Vocabulary, samples: int, seed: int) ->
     for chunk in _chunks(rows, CHUNK):
         number = v.words.number if v.by_word else _Numbers()
         texts = [v.normalized(text or "") for _, text in chunk]
-        units = [list(map(number.__getitem__, v.units(t))) for t in texts]
+        units = [np.fromiter(map(number.__getitem__, u), np.int64, len(u)) for u in map(v.units, texts)]
         lattice = v.words.lattices(v) if v.by_word else Lattice(list(number), v)
         keys = [_row_key(key, seed) for key, _ in chunk]
         for (key, _), text, (paths, threshold) in zip(chunk, texts, sample(units, keys, lattice, samples)):

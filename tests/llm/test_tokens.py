@@ -251,6 +251,23 @@ def test_a_worker_goes_on_after_rows_left_unread(texts):
     assert [r[2].tolist() for r in pieces.segmentations(rows, v, 2, 1)] == [r[2].tolist() for r in pieces.segmentations(rows, pieces.Vocabulary(MODEL), 2, 1)]
 
 
+def test_words_seen_once_stay_where_there_is_room(monkeypatch):
+    """The lattices of rare words serve the next chunks too, up to KEPT characters."""
+    v = pieces.Vocabulary(MODEL)
+    list(pieces.segmentations([(1, "each word once"), (2, "the the the")], v, 2, 1))
+    assert v.words.number.units() == ["▁each", "▁word", "▁once", "▁the"]
+    monkeypatch.setattr(pieces, "KEPT", 12)
+    list(pieces.segmentations([(3, "the other one")], v, 2, 1))
+    assert "▁the" in v.words.number.units() and len(v.words.lattice.codes) <= 12
+
+
+def test_later_samples_draw_only_the_words_after_the_cut(texts, monkeypatch):
+    drawn, plain = [], pieces.Lattice.drawn
+    monkeypatch.setattr(pieces.Lattice, "drawn", lambda self, unit, key: drawn.append(len(unit)) or plain(self, unit, key))
+    list(pieces.segmentations(list(texts.items())[:100], pieces.Vocabulary(MODEL), 2, 1))
+    assert 0 < drawn[1] < drawn[0]
+
+
 def test_spelling_is_decoding(texts, vocabulary):
     for _, _, ids, _, _, _, normal in pieces.segmentations(list(texts.items())[:100], vocabulary, 2, 1):
         assert vocabulary.spelling(ids) == normal.replace(pieces.SPACE, " ").encode() == b"".join(vocabulary.raw[i] for i in ids)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestep.llm.common import drop_stored, stored
+from lodestep.llm.common import drop_stored, per_worker, stored
 from lodestep.llm.components import components
 
 SIMILARITY, SHINGLE = 0.8, 5
@@ -36,7 +36,9 @@ BLOCK = 256
 COLUMNS, HELD, STRETCH = 16_384, 4_000_000, 1 << 22
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9))
-_INVERSE = np.uint64(pow(int(_M1), -1, 1 << 64))
+_INVERSES = {m: np.uint64(pow(int(m), -1, 1 << 64)) for m in (_M1, _M3)}
+#: Powers that a worker keeps for each base; longer texts than these compute their own.
+KEPT_POWERS = 1 << 16
 _LETTERS = np.random.default_rng(12).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
 
@@ -60,6 +62,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
+    kept = per_worker(("powers", int(base)), lambda: _new_powers(base, KEPT_POWERS)) if n <= KEPT_POWERS else _new_powers(base, n)
+    return kept[:n]
+
+
+def _new_powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
@@ -67,7 +74,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 def tokens(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, end) of the words of a text in UTF-8, A-Z in lower case; positions in bytes. Read in stretches that end between words."""
-    letters, blank, inverse = _LETTERS, _BLANK, _INVERSE
+    letters, blank, inverse = _LETTERS, _BLANK, _INVERSES[_M1]
     found, at = [], 0
     low = raw.lower()
     while at < len(low):
@@ -105,7 +112,10 @@ def cuts(words: np.ndarray) -> np.ndarray:
     """Where the chunks of a text begin, the end of the text included."""
     gram = grams(words, GRAM)
     edge = np.full(REACH, np.uint64(2**64 - 1))
-    least = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, gram, edge]), 2 * REACH + 1).min(1)
+    least, width = np.concatenate([edge, gram, edge]), 1
+    while width < 2 * REACH + 1:  # least of so many from here on
+        more = min(width, 2 * REACH + 1 - width)
+        least, width = np.minimum(least[:-more], least[more:]), width + more
     inner = np.flatnonzero(gram == least)
     return np.concatenate([[0], inner[inner > 0], [len(words)]])
 
@@ -139,6 +149,7 @@ def _probes(gram: np.ndarray, a: np.ndarray, b: np.ndarray, times: np.ndarray) -
 def _chunks(docs: DataFrame, doc_id: str, text: str, least: int | None = None) -> DataFrame:
     """A row for each chunk: doc_id, row, mark (hash of the text), number, start, end, words, the hash of its words in two halves, whole, probes.
 
+    ``row`` counts the chunks of the partition before the text, so row + number tells chunks apart and orders them as row and number do.
     With ``least`` there is also a row for each line, block and text of as many words, with whole and its probes; number is that of the chunk it begins in.
     """
 
@@ -147,10 +158,11 @@ def _chunks(docs: DataFrame, doc_id: str, text: str, least: int | None = None) -
 
         names = ["doc_id", "row", "mark", "number", "start", "end", "words", "high", "low", "whole", "probes"]
         times = np.random.default_rng(13).integers(0, 1 << 63, 2 * PROBES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        before = 0
         for batch in batches:
             held: list[list] = []
-            gram, spans, begun = [], [], 0
-            for doc, row, value in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), batch.column("raw")):
+            texts, sizes, gram, spans, begun = [], [], [], [], 0
+            for i, (row, value) in enumerate(zip(batch.column("row").to_pylist(), batch.column("raw"))):
                 raw = value.as_py() or b""
                 words, start, end = tokens(raw)
                 if not len(words):
@@ -172,16 +184,20 @@ def _chunks(docs: DataFrame, doc_id: str, text: str, least: int | None = None) -
                 for base in (_M1, _M3):
                     sums = np.zeros(len(words) + 1, np.uint64)
                     np.cumsum(_mixed(words + base) * _powers(base, len(words)), out=sums[1:])
-                    halves.append(_mixed((sums[b] - sums[a]) * _powers(np.uint64(pow(int(base), -1, 1 << 64)), len(words))[a]).view(np.int64))
+                    halves.append(_mixed((sums[b] - sums[a]) * _powers(_INVERSES[base], len(words))[a]).view(np.int64))
                 n = len(a)
-                held.append([[doc] * n, np.full(n, row), np.full(n, np.int64(np.uint64(xxhash.xxh3_64_intdigest(raw)).view(np.int64))), number,
-                             start[a], end[b - 1], b - a, *halves, np.arange(n) >= n - units])
+                row = (row >> 33 << 33) + before  # Spark numbers rows by partition, in the upper bits
+                before += n - units
+                sizes.append(n)
+                texts.append((i, row, np.uint64(xxhash.xxh3_64_intdigest(raw)).view(np.int64)))
+                held.append([number, start[a], end[b - 1], b - a, *halves, np.arange(n) >= n - units])
             if held:
-                ids = pa.array([x for h in held for x in h[0]], pa.int64())
-                whole = np.concatenate([h[9] for h in held])
+                place, *of_text = np.repeat(np.array(texts, np.int64), sizes, axis=0).T
+                whole = np.concatenate([h[6] for h in held])
                 probes = _probes(np.concatenate(gram), *np.concatenate(spans, axis=1), times).ravel() if spans else np.zeros(0, np.uint64)
                 listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(whole * PROBES)]), pa.int32()), pa.array(probes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([ids, *[pa.array(np.concatenate([h[i] for h in held]), pa.int64()) for i in range(1, 9)],
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(place)), *[pa.array(x, pa.int64()) for x in of_text],
+                                                  *[pa.array(np.concatenate([h[i] for h in held]), pa.int64()) for i in range(6)],
                                                   pa.array(whole), listed], names)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text).cast("binary").alias("raw"))
@@ -195,7 +211,7 @@ def _stretches(chunks: DataFrame, least: int) -> DataFrame:
 
     Chunks that occur again are neighbours if at most one other chunk stands between them.
     """
-    at = F.struct("row", "number")
+    at = F.col("row") + F.col("number")  # one number, so that its minimum is kept in a hash table and not by sorting
     classes = stored(chunks.groupBy("high", "low").agg(F.min(at).alias("origin"), F.count(F.lit(1)).alias("members")).filter("members > 1")
                      .drop("members"), "repeated")
     again = stored(chunks.join(classes, ["high", "low"]).select("doc_id", "row", "mark", "number", "start", "end", "words", (F.col("origin") == at).alias("first")),
@@ -273,9 +289,9 @@ def outermost(whole: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 def _signed(docs: DataFrame, stretches: DataFrame, doc_id: str, text: str, bands: int, rows: int) -> DataFrame:
     """mark, start, end, content (128-bit hash of the words), n (shingles), shingles and band keys of each paragraph of a text.
 
-    One shingle has no bands: such a paragraph is similar to those of its class alone.
+    One shingle has no bands: such a paragraph is similar to those of its class alone. Of equal texts those under the least doc_id are read.
     """
-    wanted = (stretches.groupBy(F.col("doc_id").alias("of"), "mark").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
+    wanted = (stretches.groupBy("mark").agg(F.min("doc_id").alias("of"), F.collect_set(F.struct("start", "end")).alias("ranges"))
               .groupBy("of").agg(F.collect_list(F.struct("mark", "ranges")).alias("marks")))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,12 +384,15 @@ def links(classes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     order = F.struct(F.xxhash64("id", "band"), F.col("id"), F.col("n"))
     leaders = stored(rows.groupBy("band", "key").agg(F.min(order).alias("first")).select(
         "band", "key", F.col("first.id").alias("leader"), F.col("first.n").alias("m")), "leaders")
-    pairs = rows.join(leaders, ["band", "key"]).filter((F.col("id") != F.col("leader")) & _alike(F.col("n"), F.col("m"), similarity))
-    found = stored(_verified(pairs.select(*_pair("id", "leader")), sets, similarity), "verified")
-    apart = _still_apart(rows, found)
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    others = stored(rows.join(leaders, ["band", "key"]).filter(F.col("id") != F.col("leader")), "others")
     drop_stored(rows)
     drop_stored(leaders)
+    pairs = others.filter(_alike(F.col("n"), F.col("m"), similarity))
+    found = stored(_verified(pairs.select(*_pair("id", "leader")), sets, similarity), "verified")
+    # a leader has met every member of its key: only the others can still have links
+    apart = _still_apart(others, found)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    drop_stored(others)
     sizes = stored(apart.groupBy("band", "key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = (apart.join(sizes, ["band", "key"]).join(sets, "id").withColumn("block", block)
@@ -502,11 +521,11 @@ def _clustered(docs: DataFrame, doc_id: str, text: str, similarity: float, least
     else:
         stretches = stretches.withColumn("whole", F.lit(False))
     drop_stored(chunks)
-    signed = stored(_signed(docs, stretches, doc_id, text, bands, rows).dropDuplicates(["mark", "start", "end"]), "signed")
+    signed = stored(_signed(docs, stretches, doc_id, text, bands, rows), "signed")
     classes = stored(signed.groupBy("content").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles"),
                                                        *_places(("mark", "mark", "start", "end")))
                      .withColumn("id", F.monotonically_increasing_id()), "classes")
-    contents = stored(signed.select("mark", "start", "end", "content"), "contents")
+    contents = stored(signed.select("mark", "start", "end", "content").distinct(), "contents")  # rows can repeat a doc_id and a text
     drop_stored(signed)
     joined = stored(components(links(classes.select("id", "n", "bands", *PLACES), classes.select("id", "shingles"), similarity)), "joined")
     of_class = stored(classes.join(joined, classes["id"] == joined["node"], "left")

@@ -420,3 +420,36 @@ def test_overlapping_paragraphs_of_a_component():
     assert stays((True, 0, 90), (False, 5, 80), (True, 100, 120)) == [1, 2]  # a stretch stays
     assert stays((True, 0, 99), (True, 0, 40), (True, 2, 40), (True, 50, 99)) == [1, 3]
     assert stays((False, 0, 10), (False, 20, 30)) == [0, 1]
+
+
+def test_chunks_are_told_apart_by_one_number(edges):
+    """row + number is a number of its own for each chunk of a partition, in the order of texts."""
+    rows = paragraphs._chunks(edges.coalesce(1), "doc_id", "text", 20).filter("NOT whole").select("row", "number").collect()
+    at = [r["row"] + r["number"] for r in rows]
+    assert at == list(range(len(rows))) and len(rows) > 100
+
+
+def test_equal_texts_are_signed_once(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, text) for i in (3, 4, 5, None)], "doc_id long, text string")
+    stretches = paragraphs._stretches(paragraphs._chunks(docs, "doc_id", "text"), 20)
+    assert stretches.count() == 4
+    signed = paragraphs._signed(docs, stretches, "doc_id", "text", 18, 5)
+    assert signed.count() == 1
+    assert paragraphs.near_duplicates(docs).agg({"members": "min", "keep_doc_id": "max"}).first()[:] == (4, 3)
+
+
+def test_a_leader_is_not_verified_twice(spark, monkeypatch):
+    """Under a key of two paragraphs nothing is left to verify; under one of three, two are, and their link is found."""
+    seen, plain = [], paragraphs._still_apart
+    monkeypatch.setattr(paragraphs, "_still_apart", lambda rows, found: seen.append(rows.count()) or plain(rows, found))
+    a, b, c = list(range(100)), list(range(1000, 1100)), list(range(1000, 1095))
+    shape = "id long, n long, bands array<long>, first_mark long, last_mark long, last_start long, first_end long, shingles array<long>"
+
+    def linked(*sets):
+        rows = spark.createDataFrame([(i, len(x), [7], i, i, 0, 9, x) for i, x in enumerate(sets)], shape)
+        return {(r["u"], r["v"]) for r in paragraphs.links(rows.drop("shingles"), rows.select("id", "shingles"), 0.8).collect()}
+
+    assert linked(a, b) == set() and seen == [1]
+    for sets, link in (((a, b, c), (1, 2)), ((b, a, c), (0, 2)), ((b, c, a), (0, 1))):  # whichever leads
+        assert {tuple(sorted(x)) for x in linked(*sets)} == {link}

@@ -14,16 +14,16 @@ from pyspark.sql import functions as F
 
 from lodestep.llm.common import SPACES, let, stored, words
 
-#: Statistics a rule may test, as expressions over the counted columns.
+#: Statistics a rule may test, as expressions over the counted columns; a share of nothing is NULL, also where Spark raises on a division by zero.
 MEASURES = {
     "n_words": "double(n_words)",
-    "mean_word_length": "word_chars / n_words",
-    "symbol_share": "n_symbols / word_chars",
-    "duplicate_line_share": "n_dup_lines / n_lines",
-    "repeated_word_share": "n_repeat_words / n_words",
-    "distinct_word_share": "n_distinct_words / n_words",
-    "upper_share": "n_upper / word_chars",
-    "mark_share": "n_marks / word_chars",
+    "mean_word_length": "try_divide(word_chars, n_words)",
+    "symbol_share": "try_divide(n_symbols, word_chars)",
+    "duplicate_line_share": "try_divide(n_dup_lines, n_lines)",
+    "repeated_word_share": "try_divide(n_repeat_words, n_words)",
+    "distinct_word_share": "try_divide(n_distinct_words, n_words)",
+    "upper_share": "try_divide(n_upper, word_chars)",
+    "mark_share": "try_divide(n_marks, word_chars)",
 }
 #: Thresholds tried for each measure, at even steps of its distribution in each class.
 STEPS = 40

@@ -177,6 +177,30 @@ def test_comparison_gives_what_each_model_gives_alone(training):
         assert (rows[name]["cv_auc"], rows[name]["cv_std"]) == pytest.approx((mean, deviation))
 
 
+def test_forests_that_fill_the_cores_take_turns(training, monkeypatch):
+    """No more than FORESTS of them are fitted at a time, others beside them, and the result is that of all fits at once."""
+    specs = {"forest": md.ModelSpec("forest", {"numTrees": 5, "maxDepth": 3}), "logistic": md.ModelSpec("logistic", {"C": 0.5})}
+    whole = md.compare(specs, training, ["a", "b", "c"], "churned").collect()
+    fit, now, most, kinds = md.train, [], [], []
+
+    def watched(spec, *rest):
+        now.append(spec.kind)
+        most.append(now.count("forest"))
+        kinds.append(spec.kind)
+        try:
+            return fit(spec, *rest)
+        finally:
+            now.remove(spec.kind)
+
+    monkeypatch.setattr(md, "train", watched)
+    monkeypatch.setattr(md, "spread", lambda df, *rest, **more: df)  # the layout decides which rows a forest draws
+    monkeypatch.setitem(md.ROWS, "forest", 40)
+    turns = md.compare(specs, training, ["a", "b", "c"], "churned").collect()
+    assert max(most) <= md.FORESTS and sorted(kinds) == ["forest"] * 6 + ["logistic"] * 6
+    numbers = lambda rows: [v for r in rows for v in r if not isinstance(v, str)]
+    assert [r["model"] for r in turns] == [r["model"] for r in whole] and numbers(turns) == pytest.approx(numbers(whole))
+
+
 def test_attributions_add_up_to_the_prediction(spark, training):
     names = ["a", "b", "c"]
     model = md.train(md.ModelSpec("forest", {"numTrees": 12, "maxDepth": 5, "minInstancesPerNode": 5}), training, names, "churned")
